@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docindex.plans import read_plans  # noqa: F401
+from docindex.plans import read_plans, write_plans  # noqa: F401
 from docindex.plans.registry import REGISTRY
 
 
