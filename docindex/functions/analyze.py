@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docindex.session import spread
+
 # Fixed patterns (kept inside \p{L}\p{N}\s\S so Java and RE2 agree).
 STANDARD_TOKEN = r"[\p{L}\p{N}]+"
 STANDARD_PAIR = r"([^\p{L}\p{N}]*)([\p{L}\p{N}]+)"
@@ -52,6 +54,7 @@ def term_in_text(text: Column, value: str) -> Column:
 
 def _pair_tokens(df: DataFrame, key_cols: list[str], field: str, pair_pattern: str,
                  lowercase: bool, typed: bool) -> DataFrame:
+    df = spread(df)
     text = F.col(field)
     seps = F.regexp_extract_all(text, F.lit(pair_pattern), 1)
     toks = F.regexp_extract_all(text, F.lit(pair_pattern), 2)

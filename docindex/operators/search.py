@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from docindex.functions.analyze import STANDARD_TOKEN, term_in_text
 from docindex.functions.route import shard_of_value
 from docindex.operators.rank import global_rank
+from docindex.session import spread
 
 KEY = ["_index", "_id"]
 DEFAULT_SIZE = 20  # the declared default of the search call (SURVEY Q2)
@@ -103,7 +104,7 @@ def term(table: DataFrame, field: str, value, text_fields: tuple[str, ...] = (),
     if tokens is not None:
         hits = tokens.where((F.col("field") == field) & (F.col("token") == F.lit(value))).select(*KEY).distinct()
         return docs.join(hits, KEY, "left_semi")
-    return docs.where(term_in_text(F.col(field), str(value)))
+    return spread(docs).where(term_in_text(F.col(field), str(value)))
 
 
 # ---------------------------------------------------------------- R5 / R6 / R11
