@@ -73,6 +73,11 @@ def empty_table(ops: DataFrame, fields: list[str]) -> DataFrame:
     return spark.createDataFrame([], proto.schema)
 
 
+def _chunk_of(chunk_rows: int) -> Column:
+    """Chunk number of an op: ``seq div chunk_rows`` (integer arithmetic, exact for any long)."""
+    return F.expr(f"seq div {int(chunk_rows)}")
+
+
 def _eff(op: Column) -> Column:
     return (F.when(op.isin("index", "create"), F.lit(True))
             .when(op == "delete", F.lit(False)))
@@ -96,7 +101,7 @@ def _stored_state(table: DataFrame) -> DataFrame:
 def _evaluate(table: DataFrame, ops: DataFrame, chunk_rows: int) -> DataFrame:
     """Per-op rows with exact ``exists_before, succ, version, seg`` (see module doc)."""
     op = F.col("op")
-    o = ops.withColumn("_eff", _eff(op)).withColumn("_chunk", F.floor(F.col("seq") / chunk_rows))
+    o = ops.withColumn("_eff", _eff(op)).withColumn("_chunk", _chunk_of(chunk_rows))
     w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
     before_rows = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -280,7 +285,7 @@ def _update_with_noop(table: DataFrame, ops: DataFrame, chunk_rows: int) -> Repl
     is a window inside ``(key, chunk)`` plus a carried value from earlier chunks.
     """
     fields = [f for f in body_fields(ops, None)]
-    o = ops.withColumn("_chunk", F.floor(F.col("seq") / chunk_rows))
+    o = ops.withColumn("_chunk", _chunk_of(chunk_rows))
     w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
     before_rows = w.rowsBetween(Window.unboundedPreceding, -1)
     for f in fields:
@@ -336,7 +341,7 @@ def write_external(table: DataFrame | None, delta: DataFrame, gte: bool = False,
     max over all earlier rows equals the max over earlier accepted rows. The max is
     carried across chunks like the replay's counters.
     """
-    o = delta.withColumn("_chunk", F.floor(F.col("seq") / chunk_rows))
+    o = delta.withColumn("_chunk", _chunk_of(chunk_rows))
     fields = body_fields(o.drop("_chunk"), table)
     w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
     o = o.withColumn("_mx_local", F.max("version").over(w.rowsBetween(Window.unboundedPreceding, -1)))
