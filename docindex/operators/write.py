@@ -400,3 +400,116 @@ def bulk_batch_summary(items: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("items"),
         F.count_if(F.col("status") >= 300).alias("failed"),
         F.bool_or(F.col("status") >= 300).alias("errors"))
+
+
+# ---------------------------------------------------------------- W6b compare-and-set
+def _running_count(df: DataFrame, flag: str, out: str, chunk_rows: int, inclusive: bool,
+                   seed: DataFrame | None = None) -> DataFrame:
+    """Per-key running count of ``flag`` in ``seq`` order without a per-key task.
+
+    Window inside ``(key, chunk)`` plus, per chunk, the total of all earlier
+    chunks (a window over one summary row per key-chunk). ``seed`` adds a per-key
+    base (columns ``KEY + ['_base']``).
+    """
+    d = df.withColumn("_rc_chunk", _chunk_of(chunk_rows))
+    w = Window.partitionBy(*KEY, "_rc_chunk").orderBy("seq")
+    frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    d = d.withColumn("_rc_local", F.coalesce(F.sum(F.col(flag).cast("long")).over(frame), F.lit(0).cast("long")))
+    summ = df.withColumn("_rc_chunk", _chunk_of(chunk_rows)).groupBy(*KEY, "_rc_chunk").agg(
+        F.sum(F.col(flag).cast("long")).alias("_rc_tot"))
+    if seed is not None:
+        summ = summ.join(seed, KEY, "left")
+    else:
+        summ = summ.withColumn("_base", F.lit(0).cast("long"))
+    wc = Window.partitionBy(*KEY).orderBy("_rc_chunk")
+    summ = summ.withColumn("_rc_carry", F.coalesce(F.col("_base"), F.lit(0).cast("long")) + F.coalesce(
+        F.sum("_rc_tot").over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
+    d = d.join(summ.select(*KEY, "_rc_chunk", "_rc_carry"), [*KEY, "_rc_chunk"], "inner")
+    return d.withColumn(out, F.col("_rc_carry") + F.col("_rc_local")).drop("_rc_chunk", "_rc_local", "_rc_carry")
+
+
+def _next_occurrence(nodes: DataFrame, chunk_rows: int) -> DataFrame:
+    """For every node (key, seq, _u): the seq of the first later node of the same key with ``_u + 1``.
+
+    An as-of lookup done as a window over ``(key, value, chunk)`` plus a carried
+    "first target in a later chunk", so one hot (key, value) pair never lands in a
+    single task.
+    """
+    src = nodes.select(*KEY, (F.col("_u") + 1).alias("_val"), F.col("seq").alias("_s"), F.lit(True).alias("_src"))
+    tgt = nodes.select(*KEY, F.col("_u").alias("_val"), F.col("seq").alias("_s"), F.lit(False).alias("_src"))
+    u = src.unionByName(tgt).withColumn("_c", F.expr(f"_s div {int(chunk_rows)}"))
+    wv = Window.partitionBy(*KEY, "_val", "_c").orderBy("_s", "_src")
+    u = u.withColumn("_nl", F.first(F.when(~F.col("_src"), F.col("_s")), ignorenulls=True)
+                     .over(wv.rowsBetween(1, Window.unboundedFollowing)))
+    summ = u.groupBy(*KEY, "_val", "_c").agg(F.min(F.when(~F.col("_src"), F.col("_s"))).alias("_cmin"))
+    wt = Window.partitionBy(*KEY, "_val").orderBy("_c")
+    summ = summ.withColumn("_later", F.first("_cmin", ignorenulls=True).over(wt.rowsBetween(1, Window.unboundedFollowing)))
+    srcs = u.where("_src").join(summ.select(*KEY, "_val", "_c", "_later"), [*KEY, "_val", "_c"], "inner")
+    return srcs.select(*KEY, F.col("_s").alias("id"), F.coalesce("_nl", "_later").alias("nxt"))
+
+
+def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int = CHUNK_ROWS,
+                   max_rounds: int = 64) -> ReplayResult:
+    """Internal versions as compare-and-set (tier P).
+
+    An index op with a ``version`` is accepted iff it equals the current version
+    (absent document = 0); one without a version is always accepted; each
+    acceptance adds 1. Exact and parallel: with ``nb`` = null-version ops before
+    an op and ``v0`` the stored version, let ``u = version - nb - v0``. The
+    accepted versioned ops are exactly the greedy chain of ``u = 0, 1, 2, ...``
+    in ``seq`` order: the first op with ``u = 0``, then the first later op with
+    ``u = 1``, and so on. Each op's successor (first later op with ``u + 1``) is
+    an as-of lookup; the chain from each key's start is expanded by pointer
+    doubling (round ``k`` adds positions ``[2^k, 2^(k+1))``), so the number of
+    rounds is logarithmic in the chain length and every round is a
+    hash-partitioned join on ``(key, seq)``, materialised to cut lineage.
+    """
+    from docindex.operators.rank import materialize
+
+    fields = [f for f in body_fields(delta, table) if f in delta.columns]
+    d = delta.withColumn("_null", F.col("version").isNull())
+    seed = (table.select(*KEY, F.col("_version").alias("_base")) if table is not None else None)
+    d = _running_count(d, "_null", "_nb", chunk_rows, inclusive=False, seed=None)
+    if seed is not None:
+        d = d.join(seed, KEY, "left")
+    else:
+        d = d.withColumn("_base", F.lit(None).cast("long"))
+    d = d.withColumn("_v0", F.coalesce(F.col("_base"), F.lit(0).cast("long"))).drop("_base")
+    d = d.withColumn("_u", F.when(~F.col("_null"), F.col("version") - F.col("_nb") - F.col("_v0")))
+    d = materialize(d, "cas-ops")
+    nodes = d.where(~F.col("_null")).select(*KEY, "seq", "_u")
+
+    jump = materialize(_next_occurrence(nodes, chunk_rows).where(F.col("nxt").isNotNull()), "cas-jump")
+    path = materialize(nodes.where(F.col("_u") == 0).groupBy(*KEY).agg(F.min("seq").alias("id"))
+                       .withColumn("_w", F.lit(0).cast("long")), "cas-path")
+    step = 1
+    for _ in range(max_rounds):
+        ext = (path.join(jump, [*KEY, "id"], "inner")
+               .select(*KEY, F.col("nxt").alias("id"), (F.col("_w") + step).alias("_w")))
+        ext = materialize(ext, "cas-path")
+        if ext.isEmpty():
+            break
+        path = materialize(path.unionByName(ext), "cas-path")
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = materialize(a.join(b, (F.col("a._index") == F.col("b._index")) & (F.col("a._id") == F.col("b._id"))
+                                  & (F.col("a.nxt") == F.col("b.id")), "inner")
+                           .select(F.col("a._index"), F.col("a._id"), F.col("a.id"), F.col("b.nxt")), "cas-jump")
+        step *= 2
+    else:
+        raise RuntimeError("compare-and-set chain longer than 2^max_rounds")
+
+    accepted = path.select(*KEY, F.col("id").alias("seq"), F.lit(True).alias("_hit"))
+    rows = d.join(accepted, [*KEY, "seq"], "left").withColumn(
+        "succ", F.col("_null") | F.coalesce(F.col("_hit"), F.lit(False)))
+    rows = _running_count(rows, "succ", "_acc", chunk_rows, inclusive=True)
+    rows = rows.withColumn("_ver", F.col("_v0") + F.col("_acc"))
+    items = rows.select("seq", F.lit("index").alias("op"), *KEY,
+                        F.when(F.col("succ"), F.col("_ver")).alias("_version"),
+                        F.when(F.col("succ"), F.when(F.col("_ver") == 1, 201).otherwise(200)).otherwise(409)
+                        .cast("int").alias("status"),
+                        F.when(~F.col("succ"), F.lit(ERR_CONFLICT)).alias("error_type"))
+    last = rows.where("succ").groupBy(*KEY).agg(
+        F.max_by(F.struct(F.col("_ver"), F.col("seq"), *[F.col(f) for f in fields]), F.col("seq")).alias("_w"))
+    new_rows = last.select(*KEY, F.col("_w._ver").alias("_version"), F.lit(False).alias("_deleted"),
+                           F.col("_w.seq").alias("_seq"), *[F.col(f"_w.{f}").alias(f) for f in fields])
+    return ReplayResult(_overlay(table, new_rows), items)

@@ -259,3 +259,33 @@ def b2_batch_summary(spark, sf):
     stored, second = _stored(spark, sf)
     items = W.bulk_replay(stored, second).items
     return W.bulk_batch_summary(batch_numbers(items, "seq", 10))
+
+
+_CAS_OPS = """cops AS (SELECT _index, _id, seq, value, props,
+                  CASE WHEN op = 'index' AND value >= 100 THEN NULL ELSE CAST(trunc(value / 10) AS BIGINT) END AS version
+           FROM ops)"""
+
+
+def _cas_ops(spark, sf):
+    # Fixture: index ops with a large value carry no version; the others ask for value/10.
+    o = fx.ops(spark, sf)
+    v = F.when((F.col("op") == "index") & (F.col("value") >= 100), F.lit(None)).otherwise(
+        (F.col("value") / 10).cast("long"))
+    return o.withColumn("version", v.cast("long")).drop("op")
+
+
+@register("w6b_internal", "WITH RECURSIVE " + OPS + ",\n" + _CAS_OPS + """,
+r AS (SELECT *, row_number() OVER (PARTITION BY _index, _id ORDER BY seq) AS rn FROM cops),
+rec(_index, _id, rn, seq, ver, ok) AS (
+  SELECT DISTINCT _index, _id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BOOLEAN) FROM r
+  UNION ALL
+  SELECT r._index, r._id, r.rn, r.seq,
+         CASE WHEN r.version IS NULL OR r.version = rec.ver THEN rec.ver + 1 ELSE rec.ver END,
+         r.version IS NULL OR r.version = rec.ver
+  FROM rec JOIN r ON r._index = rec._index AND r._id = rec._id AND r.rn = rec.rn + 1)
+SELECT seq, 'index' AS op, _index, _id, CASE WHEN ok THEN ver END AS _version,
+       CAST(CASE WHEN ok THEN CASE WHEN ver = 1 THEN 201 ELSE 200 END ELSE 409 END AS INTEGER) AS status,
+       CASE WHEN NOT ok THEN 'version_conflict_engine_exception' END AS error_type
+FROM rec WHERE rn > 0""")
+def w6b_internal(spark, sf):
+    return W.write_internal(None, _cas_ops(spark, sf)).items

@@ -124,3 +124,36 @@ def test_bulk_105_by_10(spark):
     summary = W.bulk_batch_summary(items).orderBy("batch_no").collect()
     assert len(summary) == 11 and summary[-1]["items"] == 5 and not any(r.errors for r in summary)
     assert res.table.where("not _deleted").count() == 105
+
+
+def cas_fold(stored, ops):
+    state = dict(stored)
+    items = []
+    for seq, key, g in sorted(ops):
+        v = state.get(key, 0)
+        if g is None or g == v:
+            state[key] = v + 1
+            items.append((seq, 201 if v == 0 else 200, v + 1))
+        else:
+            items.append((seq, 409, None))
+    return state, items
+
+
+@pytest.mark.parametrize("chunk_rows,hot", [(1 << 20, 0.0), (2, 0.5), (5, 0.9)])
+def test_write_internal_matches_fold(spark, chunk_rows, hot):
+    rng = random.Random(11 + chunk_rows)
+    stored = {f"k{i}": rng.randrange(0, 3) for i in range(4)}
+    ops = []
+    for seq in range(1, 400):
+        key = "hot" if rng.random() < hot else f"k{rng.randrange(6)}"
+        g = None if rng.random() < 0.3 else rng.randrange(0, 25)
+        ops.append((seq, key, g))
+    want_state, want_items = cas_fold(stored, ops)
+    sdf = spark.createDataFrame([("ix", k, v, False, 0) for k, v in stored.items()],
+                                "_index string, _id string, _version long, _deleted boolean, _seq long")
+    odf = spark.createDataFrame([("ix", k, s, g, s * 10) for s, k, g in ops],
+                                "_index string, _id string, seq long, version long, payload long")
+    res = W.write_internal(sdf, odf, chunk_rows=chunk_rows)
+    assert sorted((r.seq, r.status, r._version) for r in res.items.collect()) == sorted(want_items)
+    got = {r._id: r._version for r in res.table.collect()}
+    assert got == {k: v for k, v in want_state.items() if v > 0 or k in stored}
