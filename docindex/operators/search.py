@@ -127,17 +127,18 @@ def default_order(df: DataFrame) -> list[Column]:
 
 
 def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFAULT_SIZE,
-           order: list | None = None, terminate_after: int | None = None) -> SearchResult:
+           order: list | None = None, max_per_shard: int | None = None) -> SearchResult:
     """A page of hits plus the exact total (relation ``eq``).
 
     ``from_``/``size`` page through a total order (default: score, index, id), which
     Spark plans as ``TakeOrderedAndProject`` (a per-partition top-k, then a merge of
     at most ``from_+size`` rows per partition), never a full sort.
+    ``max_per_shard`` is the ``terminate_after`` argument (R8).
     """
     df = multi_index(tables) if isinstance(tables, (list, tuple)) else tables
     matches = live(df) if query is None else live(df).where(query)
-    if terminate_after is not None:
-        matches = globals()["terminate_after"](matches, terminate_after)
+    if max_per_shard is not None:
+        matches = terminate_after(matches, max_per_shard)
     if "_score" not in matches.columns:
         matches = matches.withColumn("_score", F.lit(None).cast("double"))
     cols = order if order is not None else default_order(matches)

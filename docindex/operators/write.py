@@ -98,11 +98,19 @@ def _stored_state(table: DataFrame) -> DataFrame:
     return table.select(*KEY, (~F.col("_deleted")).alias("_st_exists"), F.col("_version").alias("_st_version"))
 
 
+def _single_chunk(ops: DataFrame, chunk_rows: int) -> bool:
+    """True when every op falls in one chunk (one small aggregate over ``seq``)."""
+    r = ops.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()[0]
+    return r["lo"] is None or (r["lo"] // chunk_rows) == (r["hi"] // chunk_rows)
+
+
 def _evaluate(table: DataFrame, ops: DataFrame, chunk_rows: int) -> DataFrame:
     """Per-op rows with exact ``exists_before, succ, version, seg`` (see module doc)."""
     op = F.col("op")
+    single = _single_chunk(ops, chunk_rows)
     o = ops.withColumn("_eff", _eff(op)).withColumn("_chunk", _chunk_of(chunk_rows))
-    w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
+    # One chunk: windows per key, and the stored state is the only carry (no summary fold).
+    w = Window.partitionBy(*KEY).orderBy("seq") if single else Window.partitionBy(*KEY, "_chunk").orderBy("seq")
     before_rows = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     o = o.withColumn("_prev", F.last("_eff", ignorenulls=True).over(before_rows))
@@ -114,6 +122,17 @@ def _evaluate(table: DataFrame, ops: DataFrame, chunk_rows: int) -> DataFrame:
         o = (o.withColumn(f"_cnt{tag}", F.sum(F.col(f"_succ{tag}").cast("long")).over(upto))
              .withColumn(f"_seg{tag}", F.sum(F.col(f"_rst{tag}").cast("long")).over(upto)))
 
+    if single:
+        st = _stored_state(table)
+        e = F.coalesce(F.col("_st_exists"), F.lit(False))
+        base = F.coalesce(F.col("_st_version"), F.lit(0).cast("long"))
+        return (o.join(st, KEY, "left")
+                .withColumn("_entry", e)
+                .withColumn("exists_before", F.coalesce(F.col("_prev"), e))
+                .withColumn("succ", F.when(e, F.col("_succT")).otherwise(F.col("_succF")))
+                .withColumn("version", base + F.when(e, F.col("_cntT")).otherwise(F.col("_cntF")))
+                .withColumn("seg", F.when(e, F.col("_segT")).otherwise(F.col("_segF"))))
+
     summary = o.groupBy(*KEY, "_chunk").agg(
         F.max_by("_eff", F.when(F.col("_eff").isNotNull(), F.col("seq"))).alias("_last_eff"),
         F.max("_cntT").alias("_totT"), F.max("_cntF").alias("_totF"),
@@ -204,11 +223,13 @@ def _prepare_ops(ops: DataFrame, table: DataFrame | None, default_index: str | N
 
 
 def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK_ROWS,
-                default_index: str | None = None) -> ReplayResult:
+                default_index: str | None = None, materialize_rows: bool = False) -> ReplayResult:
     """W8 + W9: apply a mixed ops log in ``seq`` order to ``table``.
 
     Returns the new doc_table (untouched stored rows pass through unchanged) and
-    the per-op item results. ``table`` may be None (empty index).
+    the per-op item results. ``table`` may be None (empty index). With
+    ``materialize_rows`` the evaluated op rows are written once to the checkpoint
+    folder, so writing both the table and the items does not evaluate them twice.
     """
     ops = _prepare_ops(ops, table, default_index)
     fields = body_fields(ops, table)
@@ -218,6 +239,10 @@ def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK
         if f not in ops.columns:
             ops = ops.withColumn(f, F.lit(None).cast(table.schema[f].dataType))
     rows = _evaluate(table, ops, chunk_rows)
+    if materialize_rows:
+        from docindex.operators.rank import materialize
+
+        rows = materialize(rows, "replay-rows")
     return ReplayResult(_final(table, rows, fields), _items(rows))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docindex import fixtures as fx
+from docindex.operators import search as S
 from docindex.operators import write as W
 from docindex.plans.registry import register
 from docindex.plans.views import CUT, DOCS, OPS, with_
@@ -30,6 +31,16 @@ def i8_store_roundtrip(spark, sf):
     return store.read_index(spark, root, ["docs_en", "docs_fr"]).drop("shard")
 
 
+@register("r1_get_doc_store", with_(DOCS) + """
+SELECT * FROM docs WHERE _index = 'docs_en' AND _id = '7' AND NOT _deleted
+  AND shard = CAST(CAST(('0x' || substr(md5('src7'), 1, 8)) AS BIGINT) % 4 AS INTEGER)""")
+def r1_get_doc_store(spark, sf):
+    # From the store: _index and shard are directories, so the read opens one shard's files.
+    root = scratch_path(spark, "store")
+    store.write_index(fx.docs(spark, sf), root, n_shards=fx.DOC_SHARDS)
+    return S.get_doc(store.read_index(spark, root), "docs_en", "7", routing="src7", n_shards=fx.DOC_SHARDS)
+
+
 def _seeded_store(spark, sf):
     """Store at version 1 = first half replayed; version 2 = second half, touched shards only."""
     first, second = fx.ops_halves(spark, sf)

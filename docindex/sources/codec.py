@@ -23,12 +23,6 @@ class Decoded:
     rejects: DataFrame  # input rows whose text did not parse
 
 
-def _as_struct(schema) -> T.StructType:
-    if isinstance(schema, str):
-        return T._parse_datatype_string(schema) if not schema.strip().startswith("struct") else T.StructType.fromDDL(schema)
-    return schema
-
-
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"}
 

@@ -148,23 +148,23 @@ def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int
                   base_version: int | None = -1):
     """Apply an ops log to the stored table, rewriting only the shards it touches.
 
-    Returns (new version, item results). The stored side is pruned to the touched
-    partitions before the replay, so untouched shards are neither read nor written.
+    Returns (new version, item results). The touched (index, shard) set is a lazy
+    frame whose size is bounded by the partition count; the stored side is
+    semi-joined against its broadcast, so untouched shards are neither read nor
+    written. The replay is evaluated once (materialised) for table and items.
     """
     from docindex.operators import write as W
 
     base = latest_version(spark, root) if base_version == -1 else base_version
-    routed_ops = route(ops, n_shards)
-    touched = [(r["_index"], r["shard"]) for r in routed_ops.select("_index", "shard").distinct().collect()]
-    touched_df = spark.createDataFrame(touched, "_index string, shard int")
+    touched = route(ops, n_shards).select("_index", "shard").distinct()
     stored = None
     if base is not None:
-        stored = read_index(spark, root, version=base).join(F.broadcast(touched_df), ["_index", "shard"], "left_semi")
+        stored = read_index(spark, root, version=base).join(F.broadcast(touched), ["_index", "shard"], "left_semi")
         stored = stored.drop("shard")
     kwargs = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
-    res = W.bulk_replay(stored, ops, **kwargs)
+    res = W.bulk_replay(stored, ops, materialize_rows=True, **kwargs)
     v = version if version is not None else (base or 0) + 1
-    write_index(route(res.table, n_shards), root, n_shards, version=v, base_version=base, touched=touched_df)
+    write_index(route(res.table, n_shards), root, n_shards, version=v, base_version=base, touched=touched)
     return v, res.items
 
 

@@ -38,11 +38,11 @@ def _batch_fn(spark: SparkSession, root: str, seed: int, n_shards: int, items_pa
         ops = batch.drop("part") if "part" in batch.columns else batch
         v, items = store.commit_replay(spark, root, ops, n_shards, version=base + 1,
                                        base_version=base if base > 0 else None)
-        items = items.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        items.write.mode("overwrite").parquet(f"{items_path}/batch_id={batch_id}")
-        # S3: the bulk response summary of this micro-batch.
-        summary = W.bulk_batch_summary(items.withColumn("batch_no", F.col("batch_id")))
-        summary.write.mode("overwrite").parquet(f"{summary_path}/batch_id={batch_id}")
+        items_dir = f"{items_path}/batch_id={batch_id}"
+        items.write.mode("overwrite").parquet(items_dir)
+        # S3: the bulk response summary of this micro-batch, from the written items.
+        written = spark.read.parquet(items_dir).withColumn("batch_no", F.lit(batch_id).cast("long"))
+        W.bulk_batch_summary(written).write.mode("overwrite").parquet(f"{summary_path}/batch_id={batch_id}")
     return apply
 
 
