@@ -20,6 +20,7 @@ from docindex.session import spread
 KEY = ["_index", "_id"]
 DEFAULT_SIZE = 20  # the declared default of the search call (SURVEY Q2)
 MGET_BROADCAST_KEYS = 1_000_000  # distinct keys allowed on the broadcast path
+MAX_RESULT_WINDOW = 10_000  # from + size limit of a page; deeper reads use scroll()
 
 
 def live(table: DataFrame) -> DataFrame:
@@ -135,6 +136,8 @@ def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFA
     at most ``from_+size`` rows per partition), never a full sort.
     ``max_per_shard`` is the ``terminate_after`` argument (R8).
     """
+    if from_ < 0 or size < 0 or from_ + size > MAX_RESULT_WINDOW:
+        raise ValueError(f"from + size must be within [0, {MAX_RESULT_WINDOW}]; use scroll() for deep reads")
     df = multi_index(tables) if isinstance(tables, (list, tuple)) else tables
     matches = live(df) if query is None else live(df).where(query)
     if max_per_shard is not None:
@@ -202,7 +205,9 @@ def parent_child(parents: DataFrame, children: DataFrame, how: str = "inner",
     ``how``: ``inner`` (children with parent fields), ``has_child`` (parents with at
     least one child, a semi-join) or ``has_no_child`` (anti-join). When both sides
     are routed by the parent id they share shard numbers, so a join on
-    ``(shard, _parent)`` is shuffle-free once both are bucketed on ``shard``.
+    ``(shard, _parent)`` is shuffle-free once both are bucketed on ``shard``. A
+    parent with a very large share of the children is a skewed join key; AQE's
+    skew-join handling splits that partition on the children side.
     """
     p = live(parents)
     c = live(children)

@@ -13,11 +13,11 @@ from docindex.plans.registry import register
 from docindex.plans.views import CUT, DOCS, OPS, with_
 
 
-def replay_sql_ctes(where: str = "TRUE") -> str:
+def replay_sql_ctes(where: str = "TRUE", source: str = "ops") -> str:
     """Oracle replay: the same per-key semantics as plain windows over the whole log."""
     return r""",
 log AS (SELECT *, CASE WHEN op IN ('index', 'create') THEN TRUE WHEN op = 'delete' THEN FALSE END AS eff
-        FROM ops WHERE """ + where + r"""),
+        FROM """ + source + " WHERE " + where + r"""),
 ra AS (SELECT *, COALESCE(last_value(eff IGNORE NULLS) OVER (PARTITION BY _index, _id ORDER BY seq
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS exb FROM log),
 rb AS (SELECT *, CASE op WHEN 'index' THEN TRUE WHEN 'create' THEN NOT exb ELSE exb END AS ok FROM ra),
@@ -289,3 +289,18 @@ SELECT seq, 'index' AS op, _index, _id, CASE WHEN ok THEN ver END AS _version,
 FROM rec WHERE rn > 0""")
 def w6b_internal(spark, sf):
     return W.write_internal(None, _cas_ops(spark, sf)).items
+
+
+_TYPED_OPS = """tops AS (SELECT _index || '/' || CASE WHEN value >= 50 THEN 'big' ELSE 'small' END AS _index,
+                 _id, seq, op, value, props FROM ops)"""
+
+
+@register("w8_bulk_replay_typed", with_(OPS, _TYPED_OPS) + replay_sql_ctes(source="tops") + """
+SELECT split_part(_index, '/', 1) AS _index, split_part(_index, '/', 2) AS _type, _id, _version, _deleted,
+       _seq, value, props FROM final""")
+def w8_bulk_replay_typed(spark, sf):
+    # ES 6 style: the same id lives once per type; the type comes from the op's value.
+    from docindex.operators.types import with_types
+
+    typed = fx.ops(spark, sf).withColumn("_type", F.when(F.col("value") >= 50, "big").otherwise("small"))
+    return with_types(W.bulk_replay, None, typed).table
