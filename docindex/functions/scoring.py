@@ -17,29 +17,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docindex.functions.analyze import standard_tokens
+from docindex.functions.analyze import STANDARD_TOKEN
 from docindex.session import spread
 
 K1 = 1.2
 B = 0.75
 
 
-def _equals(term: str):
-    # A one-argument lambda: F.filter passes (element, index) to two-argument ones.
-    return lambda x: x == F.lit(term)
+def _term_count(lower_text, term: str):
+    """Occurrences of ``term`` as a whole standard token in lower-cased text (JVM regex count)."""
+    quoted = term.replace("\\E", "")
+    return F.regexp_count(lower_text, F.lit(r"(?<![\p{L}\p{N}])\Q" + quoted + r"\E(?![\p{L}\p{N}])"))
 
 
 def bm25(df: DataFrame, field: str, terms: list[str], search_type: str = "dfs_query_then_fetch",
          k1: float = K1, b: float = B) -> DataFrame:
-    """Matches (at least one query term) with ``_score``; other columns kept."""
+    """Matches (at least one query term) with ``_score``; other columns kept.
+
+    Term frequencies and document lengths are regex counts over the lower-cased
+    text: no token arrays are built, and everything stays inside JVM codegen.
+    """
     terms = list(dict.fromkeys(t for t in terms if t))
     if not terms:
         raise ValueError("no query terms")
-    toks = standard_tokens(F.col(field))
-    base = spread(df.where(F.col(field).isNotNull())).withColumn("_toks", toks)
+    base = spread(df.where(F.col(field).isNotNull())).withColumn("_lt", F.lower(F.col(field)))
     staged = base.select(
-        *df.columns, F.size("_toks").alias("_dl"),
-        *[F.size(F.filter("_toks", _equals(t))).alias(f"_tf{i}") for i, t in enumerate(terms)])
+        *df.columns, F.regexp_count(F.col(field), F.lit(STANDARD_TOKEN)).alias("_dl"),
+        *[_term_count(F.col("_lt"), t).alias(f"_tf{i}") for i, t in enumerate(terms)])
     stat_aggs = [F.count(F.lit(1)).alias("_n"), F.sum("_dl").alias("_len")]
     stat_aggs += [F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(terms))]
 
@@ -53,8 +57,11 @@ def bm25(df: DataFrame, field: str, terms: list[str], search_type: str = "dfs_qu
             total = total + F.when(tf > 0, idf * tf / (tf + norm)).otherwise(F.lit(0.0))
         return total
 
-    any_tf = F.greatest(*[F.col(f"_tf{i}") for i in range(len(terms))]) > 0 if len(terms) > 1 \
-        else F.col("_tf0") > 0
+    # Match test: one boundary-anchored alternation with rlike, which stops at the first
+    # hit. Catalyst pushes this filter into the scan, so it must stay cheap; the
+    # per-term counts are computed only for matching documents.
+    alternation = "|".join(r"\Q" + t.replace("\\E", "") + r"\E" for t in terms)
+    any_tf = F.lower(F.col(field)).rlike(r"(?<![\p{L}\p{N}])(?:" + alternation + r")(?![\p{L}\p{N}])")
     if search_type == "dfs_query_then_fetch":
         st = staged.agg(*stat_aggs).collect()[0]
         if not st["_n"]:
