@@ -76,22 +76,27 @@ def apply_mapping(df: DataFrame, json_col: str, mapping: dict, keep: list[str] |
                   drop_source: bool = False) -> Mapped:
     """M1: cast JSON documents to the declared fields; misfits become rejects.
 
-    Each top-level field is read twice from the same parse: typed and as raw
-    text. A raw value that is present but whose typed value is null did not fit.
-    With ``drop_source`` (``_source.enabled: false``, M7) the JSON body is not kept.
+    The body is parsed once, every top-level field as its raw JSON text; each
+    field is then cast to its declared type (``try_cast``; objects and nested
+    fields through ``from_json``; dates through the mapping's format). A raw
+    value that is present but whose typed value is null did not fit. With
+    ``drop_source`` (``_source.enabled: false``, M7) the JSON body is not kept.
     """
     keep = keep or []
     props = mapping.get("properties", {})
     st = mapping_schema(mapping)
     raw = T.StructType([T.StructField(n, T.StringType()) for n in props])
-    parsed = df.select(*keep, F.col(json_col).alias("_source"),
-                       F.from_json(F.col(json_col), st).alias("_t"),
-                       F.from_json(F.col(json_col), raw).alias("_r"))
+    parsed = df.select(*keep, F.col(json_col).alias("_source"), F.from_json(F.col(json_col), raw).alias("_r"))
     typed = []
     for name, spec in props.items():
-        c = F.col(f"_t.{name}")
+        r = F.col(f"_r.{name}")
+        dt = st[name].dataType
         if spec.get("type") == "date":
-            c = _date_col(F.col(f"_r.{name}"), spec)
+            c = _date_col(r, spec)
+        elif isinstance(dt, (T.StructType, T.ArrayType)):
+            c = F.from_json(r, dt)
+        else:
+            c = r.try_cast(dt)
         typed.append(c.alias(name))
     staged = parsed.select(*keep, "_source", *typed, *[F.col(f"_r.{n}").alias(f"_raw_{n}") for n in props])
     fields_out = list(props)
