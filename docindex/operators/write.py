@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 KEY = ["_index", "_id"]
 OPS = ("index", "create", "update", "delete")
 CHUNK_ROWS = 1 << 20  # ops of one key evaluated together in one task, at most
+REPLAY_BROADCAST_KEYS = 2_000_000  # distinct touched keys that may be broadcast against the stored table
 META = {"_index", "_id", "seq", "op", "_version", "_deleted", "_seq", "shard", "version",
         "version_type", "routing", "parent", "pos", "batch_no"}
 
@@ -238,12 +239,27 @@ def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK
     for f in fields:
         if f not in ops.columns:
             ops = ops.withColumn(f, F.lit(None).cast(table.schema[f].dataType))
+    # Only stored rows whose key the log touches take part in the replay. With a
+    # counted, bounded key set the split is two broadcast joins (the stored table is
+    # not shuffled and untouched rows pass through as they are); beyond the bound
+    # the replay's own key-partitioned joins handle the whole table.
+    keys = ops.select(*KEY).distinct()
+    untouched = None
+    if keys.count() <= REPLAY_BROADCAST_KEYS:
+        bk = F.broadcast(keys)
+        untouched = table.join(bk, KEY, "left_anti")
+        table = table.join(bk, KEY, "left_semi")
     rows = _evaluate(table, ops, chunk_rows)
     if materialize_rows:
         from docindex.operators.rank import materialize
 
         rows = materialize(rows, "replay-rows")
-    return ReplayResult(_final(table, rows, fields), _items(rows))
+    final = _final(table, rows, fields)
+    if untouched is not None:
+        ucols = set(untouched.columns)
+        final = untouched.select(*[F.col(c) if c in ucols else F.lit(None).cast(final.schema[c].dataType).alias(c)
+                                   for c in final.columns]).unionByName(final)
+    return ReplayResult(final, _items(rows))
 
 
 def bulk_item_results(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
