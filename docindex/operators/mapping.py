@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed: field types of a mapping and the Spark type each one is stored as.
-ES_TYPES = {
+MAPPING_TYPES = {
     "keyword": T.StringType(), "text": T.StringType(), "string": T.StringType(),
     "long": T.LongType(), "integer": T.IntegerType(), "short": T.ShortType(), "byte": T.ByteType(),
     "double": T.DoubleType(), "float": T.FloatType(), "half_float": T.FloatType(), "scaled_float": T.DoubleType(),
@@ -31,9 +31,9 @@ def _field_type(spec: dict) -> T.DataType:
         inner = mapping_schema(spec)
         return T.ArrayType(inner) if spec.get("type") == "nested" else inner
     t = spec.get("type", "object")
-    if t not in ES_TYPES:
+    if t not in MAPPING_TYPES:
         raise ValueError(f"unsupported field type {t!r}")
-    return ES_TYPES[t]
+    return MAPPING_TYPES[t]
 
 
 def mapping_schema(mapping: dict) -> T.StructType:
@@ -115,16 +115,16 @@ def drop_source(df: DataFrame, source_col: str = "_source") -> DataFrame:
 
 # ---------------------------------------------------------------- M2
 # Fixed: variant type names -> mapping type names used by the inventory.
-_VARIANT_TO_ES = [("BIGINT", "long"), ("INT", "long"), ("SMALLINT", "long"), ("TINYINT", "long"),
+_VARIANT_TO_MAPPING = [("BIGINT", "long"), ("INT", "long"), ("SMALLINT", "long"), ("TINYINT", "long"),
                   ("DECIMAL", "double"), ("DOUBLE", "double"), ("FLOAT", "double"), ("STRING", "text"),
                   ("BOOLEAN", "boolean"), ("OBJECT", "object"), ("ARRAY", "array"), ("DATE", "date"),
                   ("TIMESTAMP", "date")]
 
 
-def _es_type(variant_type: Column) -> Column:
+def _mapping_type(variant_type: Column) -> Column:
     e = F.lit("unknown")
-    for prefix, es in reversed(_VARIANT_TO_ES):
-        e = F.when(variant_type.startswith(prefix), F.lit(es)).otherwise(e)
+    for prefix, name in reversed(_VARIANT_TO_MAPPING):
+        e = F.when(variant_type.startswith(prefix), F.lit(name)).otherwise(e)
     return e
 
 
@@ -137,7 +137,7 @@ def infer_mapping(df: DataFrame, json_col: str) -> DataFrame:
     """
     m = df.select(F.parse_json(F.col(json_col)).cast("map<string,variant>").alias("_m"))
     kv = m.select(F.explode("_m").alias("field", "_v")).where(~F.is_variant_null("_v"))
-    typed = kv.select("field", _es_type(F.schema_of_variant("_v")).alias("type"))
+    typed = kv.select("field", _mapping_type(F.schema_of_variant("_v")).alias("type"))
     return typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("docs"))
 
 

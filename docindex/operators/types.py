@@ -1,10 +1,10 @@
-"""ES 5/6 mapping types as an adapter over the typeless operators.
+"""Server generation 5/6 mapping types as an adapter over the typeless operators.
 
 With types a document key is ``(_index, _type, _id)`` and the same id may exist
 once per type. ``fold_types`` packs the type into the index name
 (``index/type``, the reference's ``name / type`` sugar) so every operator keys
 by ``(_index, _id)`` unchanged; ``unfold_types`` splits it back. Writes and
-gets without a type are refused, as the ES 6 client does.
+gets without a type are refused, as the generation-6 client does.
 """
 
 from __future__ import annotations

@@ -90,16 +90,16 @@ def _search_replies(spark, sf):
                    F.struct("lang", "source", "n_chars").alias("_source"))
     g = pages.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("rank", hit.alias("h")))).alias("_hs"))
     hits = F.transform("_hs", lambda x: x["h"])
-    es7 = F.struct(F.struct(F.lit(total).alias("value"), F.lit("eq").alias("relation")).alias("total"),
+    gen7 = F.struct(F.struct(F.lit(total).alias("value"), F.lit("eq").alias("relation")).alias("total"),
                    F.lit(None).cast("double").alias("max_score"), hits.alias("hits"))
-    es6 = F.struct(F.lit(total).alias("total"), F.lit(None).cast("double").alias("max_score"), hits.alias("hits"))
+    gen6 = F.struct(F.lit(total).alias("total"), F.lit(None).cast("double").alias("max_score"), hits.alias("hits"))
 
     def reply(h):
         return F.to_json(F.struct(F.lit(1).alias("took"), F.lit(False).alias("timed_out"),
                                   F.concat(F.lit("page-"), F.col("page").cast("string")).alias("_scroll_id"),
                                   h.alias("hits")))
 
-    return g.select("page", F.when(F.col("page") % 2 == 0, reply(es7)).otherwise(reply(es6)).alias("reply"))
+    return g.select("page", F.when(F.col("page") % 2 == 0, reply(gen7)).otherwise(reply(gen6)).alias("reply"))
 
 
 _I4_SQL = with_(DOCS) + """,

@@ -299,7 +299,7 @@ _TYPED_OPS = """tops AS (SELECT _index || '/' || CASE WHEN value >= 50 THEN 'big
 SELECT split_part(_index, '/', 1) AS _index, split_part(_index, '/', 2) AS _type, _id, _version, _deleted,
        _seq, value, props FROM final""")
 def w8_bulk_replay_typed(spark, sf):
-    # ES 6 style: the same id lives once per type; the type comes from the op's value.
+    # Generation-6 style: the same id lives once per type; the type comes from the op's value.
     from docindex.operators.types import with_types
 
     typed = fx.ops(spark, sf).withColumn("_type", F.when(F.col("value") >= 50, "big").otherwise("small"))

@@ -144,7 +144,7 @@ SEARCH_REPLY = T.StructType([
 
 
 def decode_search_responses(df: DataFrame, json_col: str, keep: list[str] | None = None) -> DataFrame:
-    """I4: search reply texts -> hit rows; ``total`` read as ES 7 object or ES 5/6 integer.
+    """I4: search reply texts -> hit rows; ``total`` read as a generation-7 object or a generation-5/6 integer.
 
     A reply with no hits still yields one row (null ``pos``) so its envelope is kept.
     """

@@ -34,11 +34,11 @@ def test_bulk_reply_round_trip(spark):
 
 
 def test_search_reply_totals_both_shapes(spark):
-    es7 = json.dumps({"took": 3, "timed_out": False, "hits": {"total": {"value": 2, "relation": "eq"},
+    gen7 = json.dumps({"took": 3, "timed_out": False, "hits": {"total": {"value": 2, "relation": "eq"},
                       "max_score": 1.5, "hits": [{"_index": "i", "_id": "a", "_score": 1.5, "_source": {"n": 1}},
                                                  {"_index": "i", "_id": "b", "_score": 0.5, "_source": {"n": 2}}]}})
-    es6 = json.dumps({"took": 1, "timed_out": False, "hits": {"total": 7, "max_score": None, "hits": []}})
-    df = spark.createDataFrame([(7, es7), (6, es6)], "v int, r string")
+    gen6 = json.dumps({"took": 1, "timed_out": False, "hits": {"total": 7, "max_score": None, "hits": []}})
+    df = spark.createDataFrame([(7, gen7), (6, gen6)], "v int, r string")
     rows = C.decode_search_responses(df, "r", keep=["v"]).orderBy("v", "pos").collect()
     assert [(r.v, r.total, r.relation, r.pos) for r in rows] == [(6, 7, "eq", None), (7, 2, "eq", 0), (7, 2, "eq", 1)]
     typed = C.hits_as(C.decode_search_responses(df, "r", keep=["v"]).where("pos is not null"), "n long")
