@@ -78,3 +78,12 @@ def bm25(df: DataFrame, field: str, terms: list[str], search_type: str = "dfs_qu
     else:
         raise ValueError(f"unknown search_type {search_type!r}")
     return out.select(*df.columns, "_score")
+
+
+def match_query(df: DataFrame, field: str, text: str, search_analyzer: str = "standard",
+                search_type: str = "dfs_query_then_fetch") -> DataFrame:
+    """A full-text query: the query text is analysed with the field's search analyzer
+    (T4: it may differ from the index analyzer), then its terms are scored by BM25."""
+    from docindex.functions.analyze import search_terms
+
+    return bm25(df, field, search_terms(text, search_analyzer), search_type)

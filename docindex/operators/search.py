@@ -197,6 +197,23 @@ def scroll(df: DataFrame, size: int, order: list | None = None) -> DataFrame:
     return ranked.withColumn("page", F.floor((F.col("rank") - 1) / size).cast("long"))
 
 
+def iter_pages(pages: DataFrame):
+    """Consume a scroll result page by page on the driver, one page in memory at a time.
+
+    ``pages`` is the output of ``scroll``; it is range-partitioned by ``page`` so
+    ``toLocalIterator`` fetches one partition after another, in page order.
+    """
+    current, rows = None, []
+    for r in pages.repartitionByRange("page").sortWithinPartitions("rank").toLocalIterator():
+        if current is not None and r["page"] != current:
+            yield current, rows
+            rows = []
+        current = r["page"]
+        rows.append(r)
+    if current is not None:
+        yield current, rows
+
+
 # ---------------------------------------------------------------- R12
 def parent_child(parents: DataFrame, children: DataFrame, how: str = "inner",
                  parent_prefix: str = "parent_") -> DataFrame:

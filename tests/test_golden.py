@@ -142,3 +142,19 @@ def test_template_pattern_and_date_format(spark):
     assert "_source" not in res.rows.columns
     assert rows[1].created_at is not None and rows[2].created_at is None
     assert [(r.k, r.field) for r in res.rejects.collect()] == [(2, "created_at")]
+
+
+def test_iter_pages_in_order(spark):
+    pages = S.scroll(S.match_all(_docs(spark, 35)), 10)
+    got = [(p, len(rows)) for p, rows in S.iter_pages(pages)]
+    assert got == [(0, 10), (1, 10), (2, 10), (3, 5)]
+
+
+def test_match_query_scores_matching_docs(spark):
+    from docindex.functions.scoring import match_query
+
+    df = spark.createDataFrame([("i", "1", False, "the cat sat"), ("i", "2", False, "a dog"),
+                                ("i", "3", False, "The cat, the hat")],
+                               "_index string, _id string, _deleted boolean, body string")
+    hits = {r._id: r._score for r in match_query(df, "body", "The CAT").collect()}
+    assert set(hits) == {"1", "3"} and hits["3"] > hits["1"] > 0
