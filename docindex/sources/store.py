@@ -2,14 +2,16 @@
 
 Layout under ``root``::
 
-    root/v00000003/_index=<name>/shard=<n>/part-*.parquet   data of version 3
-    root/_manifest/v00000003/part-*.parquet                  (_index, shard, version)
+    root/v=3/_index=<name>/shard=<n>/part-*.parquet   data of version 3
+    root/_manifest/v00000003/part-*.parquet           (_index, shard, version)
 
 Each version writes only the (index, shard) partitions it changed; its manifest
 maps every partition to the version directory that holds its current data, so
 a commit never rewrites untouched shards and never overwrites a path that a
 reader may be using. The manifest has one row per partition (bounded by
-indices x shards), so reading it on the driver is metadata, not data.
+indices x shards), so reading it on the driver is metadata, not data. Version
+folders are named ``v=<n>`` so one read over the current partition folders of
+any number of versions is a single scan with partition discovery under ``root``.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _vdir(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v{version:08d}"
+    return f"{root.rstrip('/')}/v={version}"
 
 
 def _mdir(root: str, version: int) -> str:
@@ -99,18 +101,22 @@ def _commit_manifest(spark: SparkSession, root: str, version: int, base: int | N
 
 
 def write_index(df: DataFrame, root: str, n_shards: int = DEFAULT_SHARDS, version: int | None = None,
-                base_version: int | None = None, touched: DataFrame | None = None) -> int:
+                base_version: int | None = None, touched: DataFrame | None = None,
+                files_per_shard: int = 1) -> int:
     """I8 (write): commit ``df`` as a new version.
 
     Without ``touched``, ``df`` is the whole table. With ``touched`` (rows of
     ``_index, shard``), ``df`` holds exactly those partitions and every other
     partition keeps pointing at ``base_version``'s data. Re-running a commit
     with the same ``version`` rewrites the same directories (idempotent).
+    ``files_per_shard`` bounds the data one task writes for a large shard.
     """
     spark = df.sparkSession
     v = version if version is not None else (latest_version(spark, root) or 0) + 1
     data = _ensure_shard(df, n_shards)
-    (data.repartition("_index", "shard").write.mode("overwrite")
+    # Each (index, shard) is written by ``files_per_shard`` tasks: the id hash picks one.
+    bucket = F.pmod(F.xxhash64("_id"), F.lit(max(1, files_per_shard)))
+    (data.repartition("_index", "shard", bucket).write.mode("overwrite")
      .partitionBy("_index", "shard").parquet(_vdir(root, v)))
     _commit_manifest(spark, root, v, base_version, touched)
     return v
@@ -129,18 +135,11 @@ def read_index(spark: SparkSession, root: str, indices: list[str] | None = None,
     parts = manifest(spark, root, v)
     if indices:
         parts = parts.where(F.col("_index").isin(list(indices)))
-    by_version: dict[int, list[str]] = {}
-    for r in parts.collect():  # one row per partition: metadata only
-        by_version.setdefault(r["version"], []).append(
-            f"{_vdir(root, r['version'])}/_index={r['_index']}/shard={r['shard']}")
-    frames = [spark.read.option("basePath", _vdir(root, ver)).parquet(*paths)
-              for ver, paths in sorted(by_version.items())]
-    if not frames:
-        return spark.read.parquet(_vdir(root, v)).where(F.lit(False))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    paths = [f"{_vdir(root, r['version'])}/_index={r['_index']}/shard={r['shard']}"
+             for r in parts.collect()]  # one row per partition: metadata only
+    if not paths:
+        return spark.read.parquet(_vdir(root, v)).where(F.lit(False)).drop("v")
+    return spark.read.option("basePath", root.rstrip("/")).parquet(*paths).drop("v")
 
 
 def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int = DEFAULT_SHARDS,
