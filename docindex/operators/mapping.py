@@ -128,17 +128,30 @@ def _mapping_type(variant_type: Column) -> Column:
     return e
 
 
-def infer_mapping(df: DataFrame, json_col: str) -> DataFrame:
-    """M2: field inventory of schema-less JSON documents (top level).
+def infer_mapping(df: DataFrame, json_col: str, max_depth: int = 4) -> DataFrame:
+    """M2: field inventory of schema-less JSON documents.
 
-    Rows ``field, type, docs``: how many documents hold the field with that
-    observed type. Null values are not counted (dynamic mapping ignores them).
-    Per document work only (parse, explode); the counts are a partial aggregate.
+    Rows ``field, type, docs``: how many documents hold the field (a dotted path
+    for fields inside objects, up to ``max_depth`` levels) with that observed
+    type. Null values are not counted (dynamic mapping ignores them). Work is
+    per document (parse, explode); the counts are a partial aggregate.
     """
     m = df.select(F.parse_json(F.col(json_col)).cast("map<string,variant>").alias("_m"))
-    kv = m.select(F.explode("_m").alias("field", "_v")).where(~F.is_variant_null("_v"))
-    typed = kv.select("field", _mapping_type(F.schema_of_variant("_v")).alias("type"))
-    return typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("docs"))
+    level = m.select(F.explode("_m").alias("field", "_v")).where(~F.is_variant_null("_v")) \
+        .withColumn("type", _mapping_type(F.schema_of_variant("_v")))
+    levels = [level.select("field", "type")]
+    for _ in range(max_depth - 1):
+        objs = level.where(F.col("type") == "object").select(
+            "field", F.col("_v").cast("map<string,variant>").alias("_m"))
+        level = objs.select(F.col("field").alias("_p"), F.explode("_m").alias("_k", "_v")) \
+            .where(~F.is_variant_null("_v")) \
+            .select(F.concat_ws(".", "_p", "_k").alias("field"), "_v") \
+            .withColumn("type", _mapping_type(F.schema_of_variant("_v")))
+        levels.append(level.select("field", "type"))
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out.groupBy("field", "type").agg(F.count(F.lit(1)).alias("docs"))
 
 
 # ---------------------------------------------------------------- M3

@@ -158,3 +158,11 @@ def test_match_query_scores_matching_docs(spark):
                                "_index string, _id string, _deleted boolean, body string")
     hits = {r._id: r._score for r in match_query(df, "body", "The CAT").collect()}
     assert set(hits) == {"1", "3"} and hits["3"] > hits["1"] > 0
+
+
+def test_infer_mapping_nested_paths(spark):
+    df = spark.createDataFrame([('{"a": 1, "o": {"b": "x", "c": {"d": 2.5}}, "n": null}',), ('{"a": 2.0, "o": {"b": "y"}}',)],
+                               "j string")
+    got = sorted(tuple(r) for r in M.infer_mapping(df, "j").collect())
+    assert got == [("a", "double", 1), ("a", "long", 1), ("o", "object", 2), ("o.b", "text", 2),
+                   ("o.c", "object", 1), ("o.c.d", "double", 1)]
