@@ -554,3 +554,61 @@ def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int =
     new_rows = last.select(*KEY, F.col("_w._ver").alias("_version"), F.lit(False).alias("_deleted"),
                            F.col("_w.seq").alias("_seq"), *[F.col(f"_w.{f}").alias(f) for f in fields])
     return ReplayResult(_overlay(table, new_rows), items)
+
+
+# ---------------------------------------------------------------- JSON bodies
+def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_source",
+                     chunk_rows: int = CHUNK_ROWS) -> ReplayResult:
+    """W8/W4 for schema-less bodies: ``body_col`` holds each op's JSON object.
+
+    Unlike the typed path, an explicit JSON ``null`` in an update sets the field to
+    null while an absent key leaves it alone. The per-op evaluation is the same
+    chunked replay; the body is then resolved per (document, field): every
+    contributing op's object is exploded into ``(field, value)`` entries (a
+    variant keeps the JSON value), the entry of the latest op inside the
+    document's last segment wins (stored fields count as the oldest entries when
+    the log never resets the document), and the winners are reassembled into one
+    JSON object per document with keys in name order (tier P).
+    """
+    keys = ops.select(*KEY).distinct()
+    if table is None:
+        spark = ops.sparkSession
+        table = spark.createDataFrame([], f"_index string, _id string, _version long, _deleted boolean, "
+                                          f"_seq long, {body_col} string")
+    untouched = None
+    if keys.count() <= REPLAY_BROADCAST_KEYS:
+        bk = F.broadcast(keys)
+        untouched = table.join(bk, KEY, "left_anti")
+        table = table.join(bk, KEY, "left_semi")
+    rows = _evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows)
+    contrib = F.col("succ") & F.col("op").isin("index", "create", "update")
+    per_doc = rows.groupBy(*KEY).agg(
+        F.max_by(F.coalesce(F.col("_eff"), F.col("exists_before")), F.col("seq")).alias("_n_exists"),
+        F.max("version").alias("_n_version"), F.max("seg").alias("_n_seg"),
+        F.max(F.when(F.col("succ"), F.col("seq"))).alias("_n_seq"))
+
+    def entries(df, seq, seg):
+        m = F.parse_json(F.col(body_col)).cast("map<string,variant>")
+        return df.select(*KEY, seq.alias("_e_seq"), seg.alias("_e_seg"), F.explode(m).alias("_f", "_v"))
+
+    log_entries = entries(rows.where(contrib), F.col("seq"), F.col("seg"))
+    stored_entries = entries(table.where(~F.col("_deleted")), F.lit(-1).cast("long"), F.lit(0).cast("long"))
+    latest = log_entries.unionByName(stored_entries).groupBy(*KEY, "_f").agg(
+        F.max_by(F.struct(F.col("_e_seg").alias("seg"), F.col("_v").alias("v")),
+                 F.struct(F.col("_e_seg"), F.col("_e_seq"))).alias("_w"))
+    alive = latest.join(per_doc.select(*KEY, "_n_seg", "_n_exists"), KEY, "inner") \
+        .where(F.col("_n_exists") & (F.col("_w.seg") == F.col("_n_seg")))
+    by_name = F.array_sort(F.collect_list(F.struct(F.col("_f").alias("k"), F.col("_w.v").alias("v"))),
+                           lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+    bodies = alive.groupBy(*KEY).agg(F.to_json(F.map_from_entries(by_name)).alias("_body"))
+
+    stored = table.select(*KEY, *[F.col(c).alias(f"_s{c}") for c in ("_version", "_deleted", "_seq")])
+    j = per_doc.join(stored, KEY, "left").join(bodies, KEY, "left")
+    final = j.select(
+        *KEY, F.col("_n_version").alias("_version"), (~F.col("_n_exists")).alias("_deleted"),
+        F.coalesce(F.col("_n_seq"), F.col("_s_seq")).cast("long").alias("_seq"),
+        F.when(F.col("_n_exists"), F.coalesce(F.col("_body"), F.lit("{}"))).alias(body_col)
+    ).where(F.col("_version") > 0)
+    if untouched is not None:
+        final = untouched.select(*final.columns).unionByName(final)
+    return ReplayResult(final, _items(rows))

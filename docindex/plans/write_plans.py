@@ -304,3 +304,36 @@ def w8_bulk_replay_typed(spark, sf):
 
     typed = fx.ops(spark, sf).withColumn("_type", F.when(F.col("value") >= 50, "big").otherwise("small"))
     return with_types(W.bulk_replay, None, typed).table
+
+
+def _json_ops(spark, sf):
+    # Fixture: index bodies carry value and props, creates add a flag, updates send only value.
+    o = fx.ops(spark, sf)
+    body = (F.when(F.col("op") == "index", F.to_json(F.struct("value", "props")))
+            .when(F.col("op") == "create", F.to_json(F.struct("value", "props", F.lit(True).alias("new_user"))))
+            .when(F.col("op") == "update", F.to_json(F.struct("value"))))
+    return o.select("_index", "_id", "seq", "op", body.alias("_source"))
+
+
+_JSON_OPS = """jops AS (SELECT _index, _id, seq, op,
+    CASE op WHEN 'index' THEN CAST(json_object('value', value, 'props', props) AS VARCHAR)
+            WHEN 'create' THEN CAST(json_object('value', value, 'props', props, 'new_user', TRUE) AS VARCHAR)
+            WHEN 'update' THEN CAST(json_object('value', value) AS VARCHAR) END AS body,
+    CAST(NULL AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS props FROM ops)"""
+
+
+@register("w8_bulk_replay_json", with_(OPS, _JSON_OPS) + replay_sql_ctes(source="jops") + """,
+ent AS (SELECT _index, _id, seq, seg, unnest(json_keys(body)) AS k, body FROM rc WHERE contrib),
+ev AS (SELECT _index, _id, k, arg_max(json_extract(body, '$."' || k || '"'), seg * 1000000000 + seq) AS v,
+              max(seg) AS kseg FROM ent GROUP BY ALL),
+last AS (SELECT _index, _id, max(seg) AS mseg FROM rc GROUP BY ALL),
+bodies AS (SELECT ev._index, ev._id,
+                  '{' || string_agg(CAST(to_json(k) AS VARCHAR) || ':' || CAST(v AS VARCHAR), ',' ORDER BY k) || '}' AS body
+           FROM ev JOIN last USING (_index, _id) WHERE kseg = mseg GROUP BY ALL)
+SELECT f._index, f._id, f._version, f._deleted, f._seq,
+       CASE WHEN NOT f._deleted THEN COALESCE(b.body, '{}') END AS _source
+FROM final f LEFT JOIN bodies b USING (_index, _id)""")
+def w8_bulk_replay_json(spark, sf):
+    first, second = fx.ops_halves(spark, sf)
+    stored = W.bulk_replay_json(None, _json_ops(spark, sf).where(F.col("seq") <= fx.ops_count(spark, sf) // 2)).table
+    return W.bulk_replay_json(stored, _json_ops(spark, sf).where(F.col("seq") > fx.ops_count(spark, sf) // 2)).table

@@ -157,3 +157,19 @@ def test_write_internal_matches_fold(spark, chunk_rows, hot):
     assert sorted((r.seq, r.status, r._version) for r in res.items.collect()) == sorted(want_items)
     got = {r._id: r._version for r in res.table.collect()}
     assert got == {k: v for k, v in want_state.items() if v > 0 or k in stored}
+
+
+def test_json_replay_partial_updates_and_nulls(spark):
+    stored = spark.createDataFrame([("t", "1", 2, False, 0, '{"a": 1, "b": "x"}')],
+                                   "_index string, _id string, _version long, _deleted boolean, _seq long, _source string")
+    ops = spark.createDataFrame([
+        ("t", "1", 10, "update", '{"b": null, "c": [1, 2]}'),
+        ("t", "2", 11, "create", '{"z": {"y": true}}'),
+        ("t", "2", 12, "update", '{"w": 3}'),
+        ("t", "3", 13, "update", '{"q": 1}'),
+        ("t", "2", 14, "index", '{"only": "this"}'),
+    ], "_index string, _id string, seq long, op string, _source string")
+    res = W.bulk_replay_json(stored, ops, chunk_rows=2)
+    got = {r._id: (r._version, r._deleted, r._source) for r in res.table.collect()}
+    assert got == {"1": (3, False, '{"a":1,"b":null,"c":[1,2]}'), "2": (3, False, '{"only":"this"}')}
+    assert sorted((r.seq, r.status) for r in res.items.collect()) == [(10, 200), (11, 201), (12, 200), (13, 404), (14, 200)]
