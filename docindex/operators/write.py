@@ -99,6 +99,30 @@ def _stored_state(table: DataFrame) -> DataFrame:
     return table.select(*KEY, (~F.col("_deleted")).alias("_st_exists"), F.col("_version").alias("_st_version"))
 
 
+def split_touched(table: DataFrame, ops: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(stored rows whose key the log touches, the untouched rest or None).
+
+    With a counted key set within ``REPLAY_BROADCAST_KEYS`` the split is a
+    broadcast semi-join and anti-join: the stored table is not shuffled and
+    untouched rows pass through as they are. Beyond the bound the caller's own
+    key-partitioned joins take the whole table (None for the rest).
+    """
+    keys = ops.select(*KEY).distinct()
+    if keys.count() <= REPLAY_BROADCAST_KEYS:
+        bk = F.broadcast(keys)
+        return table.join(bk, KEY, "left_semi"), table.join(bk, KEY, "left_anti")
+    return table, None
+
+
+def with_untouched(final: DataFrame, untouched: DataFrame | None) -> DataFrame:
+    """``final`` plus the untouched stored rows, projected onto ``final``'s columns."""
+    if untouched is None:
+        return final
+    ucols = set(untouched.columns)
+    return untouched.select(*[F.col(c) if c in ucols else F.lit(None).cast(final.schema[c].dataType).alias(c)
+                              for c in final.columns]).unionByName(final)
+
+
 def _single_chunk(ops: DataFrame, chunk_rows: int) -> bool:
     """True when every op falls in one chunk (one small aggregate over ``seq``)."""
     r = ops.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()[0]
@@ -219,7 +243,10 @@ def _prepare_ops(ops: DataFrame, table: DataFrame | None, default_index: str | N
     if default_index is not None:
         ops = default_index_of(ops, default_index)
     if "seq" not in ops.columns:
-        ops = ops.withColumn("seq", F.monotonically_increasing_id())
+        # Arrival order: ids are fixed once written, so a re-run task cannot renumber ops.
+        from docindex.operators.rank import materialize
+
+        ops = materialize(ops.withColumn("seq", F.monotonically_increasing_id()), "ops-seq")
     return ops
 
 
@@ -243,23 +270,13 @@ def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK
     # counted, bounded key set the split is two broadcast joins (the stored table is
     # not shuffled and untouched rows pass through as they are); beyond the bound
     # the replay's own key-partitioned joins handle the whole table.
-    keys = ops.select(*KEY).distinct()
-    untouched = None
-    if keys.count() <= REPLAY_BROADCAST_KEYS:
-        bk = F.broadcast(keys)
-        untouched = table.join(bk, KEY, "left_anti")
-        table = table.join(bk, KEY, "left_semi")
+    table, untouched = split_touched(table, ops)
     rows = _evaluate(table, ops, chunk_rows)
     if materialize_rows:
         from docindex.operators.rank import materialize
 
         rows = materialize(rows, "replay-rows")
-    final = _final(table, rows, fields)
-    if untouched is not None:
-        ucols = set(untouched.columns)
-        final = untouched.select(*[F.col(c) if c in ucols else F.lit(None).cast(final.schema[c].dataType).alias(c)
-                                   for c in final.columns]).unionByName(final)
-    return ReplayResult(final, _items(rows))
+    return ReplayResult(with_untouched(_final(table, rows, fields), untouched), _items(rows))
 
 
 def bulk_item_results(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -326,6 +343,7 @@ def _update_with_noop(table: DataFrame, ops: DataFrame, chunk_rows: int) -> Repl
     is a window inside ``(key, chunk)`` plus a carried value from earlier chunks.
     """
     fields = [f for f in body_fields(ops, None)]
+    table, untouched = split_touched(table, ops)
     o = ops.withColumn("_chunk", _chunk_of(chunk_rows))
     w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
     before_rows = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -363,12 +381,25 @@ def _update_with_noop(table: DataFrame, ops: DataFrame, chunk_rows: int) -> Repl
         F.when(F.col("_live"), 200).otherwise(404).cast("int").alias("status"),
         F.when(F.col("_noop"), "noop").when(F.col("_live"), "updated").alias("result"),
         F.when(~F.col("_live"), F.lit(ERR_MISSING)).alias("error_type"))
-    # Final table: same merge as the replay (no resets in an update-only log).
-    replay = bulk_replay(table, ops.drop("_chunk"), chunk_rows)
-    changed = rows.groupBy(*KEY).agg(F.max("version").alias("_nv"))
-    new_table = (replay.table.join(changed, KEY, "left")
-                 .withColumn("_version", F.coalesce(F.col("_nv"), F.col("_version"))).drop("_nv"))
-    return ReplayResult(new_table, items)
+    # Final table: an update-only log never resets a document, so each field is its
+    # last non-null update value, else the stored one (noops hold equal values).
+    live = rows.where("_live")
+    changes = live.groupBy(*KEY).agg(
+        F.max("version").alias("_nv"), F.max(F.when(~F.col("_noop"), F.col("seq"))).alias("_nseq"),
+        *[F.max_by(f, F.when(F.col(f).isNotNull(), F.col("seq"))).alias(f"_u_{f}") for f in fields])
+    merged = table.join(changes, KEY, "left")
+    cols = []
+    for c in table.columns:
+        if c == "_version":
+            cols.append(F.coalesce(F.col("_nv"), F.col(c)).alias(c))
+        elif c == "_seq":
+            cols.append(F.coalesce(F.col("_nseq"), F.col(c)).alias(c))
+        elif c in fields:
+            cols.append(F.coalesce(F.col(f"_u_{c}"), F.col(c)).alias(c))
+        else:
+            cols.append(F.col(c))
+    new_table = merged.select(*cols)
+    return ReplayResult(with_untouched(new_table, untouched), items)
 
 
 # ---------------------------------------------------------------- W6 version types
@@ -388,7 +419,8 @@ def write_external(table: DataFrame | None, delta: DataFrame, gte: bool = False,
     o = o.withColumn("_mx_local", F.max("version").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     summ = o.groupBy(*KEY, "_chunk").agg(F.max("version").alias("_cmax"))
     if table is not None:
-        summ = summ.join(table.select(*KEY, F.col("_version").alias("_sv")), KEY, "left")
+        touched, _rest = split_touched(table, delta)
+        summ = summ.join(touched.select(*KEY, F.col("_version").alias("_sv")), KEY, "left")
     else:
         summ = summ.withColumn("_sv", F.lit(None).cast("long"))
     wc = Window.partitionBy(*KEY).orderBy("_chunk")
@@ -427,11 +459,13 @@ def write_force(table: DataFrame | None, delta: DataFrame) -> ReplayResult:
 
 
 def _overlay(table: DataFrame | None, new_rows: DataFrame) -> DataFrame:
-    """Replace stored rows by ``new_rows`` on the key (anti-join + union)."""
+    """Replace stored rows by ``new_rows`` on the key (bounded broadcast anti-join + union)."""
     if table is None:
         return new_rows
-    keep = table.join(new_rows.select(*KEY), KEY, "left_anti")
-    return keep.unionByName(new_rows, allowMissingColumns=True)
+    _touched, untouched = split_touched(table, new_rows)
+    if untouched is None:
+        untouched = table.join(new_rows.select(*KEY), KEY, "left_anti")
+    return untouched.unionByName(new_rows, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- B2
@@ -509,7 +543,8 @@ def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int =
 
     fields = [f for f in body_fields(delta, table) if f in delta.columns]
     d = delta.withColumn("_null", F.col("version").isNull())
-    seed = (table.select(*KEY, F.col("_version").alias("_base")) if table is not None else None)
+    seed = (split_touched(table, delta)[0].select(*KEY, F.col("_version").alias("_base"))
+            if table is not None else None)
     d = _running_count(d, "_null", "_nb", chunk_rows, inclusive=False, seed=None)
     if seed is not None:
         d = d.join(seed, KEY, "left")
@@ -570,16 +605,11 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
     the log never resets the document), and the winners are reassembled into one
     JSON object per document with keys in name order (tier P).
     """
-    keys = ops.select(*KEY).distinct()
     if table is None:
         spark = ops.sparkSession
         table = spark.createDataFrame([], f"_index string, _id string, _version long, _deleted boolean, "
                                           f"_seq long, {body_col} string")
-    untouched = None
-    if keys.count() <= REPLAY_BROADCAST_KEYS:
-        bk = F.broadcast(keys)
-        untouched = table.join(bk, KEY, "left_anti")
-        table = table.join(bk, KEY, "left_semi")
+    table, untouched = split_touched(table, ops)
     rows = _evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows)
     contrib = F.col("succ") & F.col("op").isin("index", "create", "update")
     per_doc = rows.groupBy(*KEY).agg(
@@ -609,6 +639,4 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
         F.coalesce(F.col("_n_seq"), F.col("_s_seq")).cast("long").alias("_seq"),
         F.when(F.col("_n_exists"), F.coalesce(F.col("_body"), F.lit("{}"))).alias(body_col)
     ).where(F.col("_version") > 0)
-    if untouched is not None:
-        final = untouched.select(*final.columns).unionByName(final)
-    return ReplayResult(final, _items(rows))
+    return ReplayResult(with_untouched(final, untouched), _items(rows))

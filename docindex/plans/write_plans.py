@@ -337,3 +337,21 @@ def w8_bulk_replay_json(spark, sf):
     first, second = fx.ops_halves(spark, sf)
     stored = W.bulk_replay_json(None, _json_ops(spark, sf).where(F.col("seq") <= fx.ops_count(spark, sf) // 2)).table
     return W.bulk_replay_json(stored, _json_ops(spark, sf).where(F.col("seq") > fx.ops_count(spark, sf) // 2)).table
+
+
+@register("w4_update_docs_table", with_(OPS) + replay_sql_ctes(f"seq <= {CUT}") + f""",
+u AS (SELECT o.seq, o._index, o._id, o.value, o.props,
+             COALESCE(lag(o.value) OVER w, f.value) AS pv, COALESCE(lag(o.props) OVER w, f.props) AS pp
+      FROM ops o JOIN final f ON f._index = o._index AND f._id = o._id
+      WHERE o.op = 'update' AND o.seq > {CUT} AND NOT f._deleted
+      WINDOW w AS (PARTITION BY o._index, o._id ORDER BY o.seq)),
+c AS (SELECT _index, _id, count(*) FILTER (WHERE NOT (value IS NOT DISTINCT FROM pv AND props IS NOT DISTINCT FROM pp)) AS n,
+             max(seq) FILTER (WHERE NOT (value IS NOT DISTINCT FROM pv AND props IS NOT DISTINCT FROM pp)) AS lastseq,
+             arg_max(value, seq) AS lv, arg_max(props, seq) AS lp FROM u GROUP BY ALL)
+SELECT f._index, f._id, f._version + COALESCE(c.n, 0) AS _version, f._deleted, COALESCE(c.lastseq, f._seq) AS _seq,
+       COALESCE(c.lv, f.value) AS value, COALESCE(c.lp, f.props) AS props
+FROM final f LEFT JOIN c USING (_index, _id)""")
+def w4_update_docs_table(spark, sf):
+    stored, second = _stored(spark, sf)
+    delta = second.where(F.col("op") == "update").drop("op")
+    return W.update_docs(stored, delta, detect_noop=True).table
