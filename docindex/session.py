@@ -70,8 +70,9 @@ def spread(df):
     one task; this only triggers when the input has fewer partitions than the
     default parallelism, so on a cluster reading many files it is a no-op.
     """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the plan alone
+        return df
+    return df.repartition(target) if parts < target else df
