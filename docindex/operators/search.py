@@ -61,10 +61,12 @@ def select_source(df: DataFrame, fields: list[str] | None = None, source: bool =
 
 
 # ---------------------------------------------------------------- R2
-def mget(table: DataFrame, keys: DataFrame, broadcast_limit: int = MGET_BROADCAST_KEYS) -> DataFrame:
+def mget(table: DataFrame, keys: DataFrame, broadcast_limit: int = MGET_BROADCAST_KEYS,
+         default_index: str | None = None) -> DataFrame:
     """R2: one row per requested key, request order (``pos``) and duplicates kept.
 
-    ``keys`` has ``pos, _index, _id``. Missing keys come back with ``found=false``.
+    ``keys`` has ``pos, _index, _id``; a key without ``_index`` asks the request's
+    ``default_index``. Missing keys come back with ``found=false``.
     When the distinct key set is within ``broadcast_limit`` (checked by counting it),
     the table is semi-filtered against a broadcast of the keys, which yields at most
     that many rows, and that small match set is broadcast back to the request list.
@@ -72,6 +74,8 @@ def mget(table: DataFrame, keys: DataFrame, broadcast_limit: int = MGET_BROADCAS
     """
     docs = live(table)
     body = [c for c in docs.columns if c not in KEY]
+    if default_index is not None:
+        keys = keys.withColumn("_index", F.coalesce(F.col("_index"), F.lit(default_index)))
     distinct = keys.select(*KEY).distinct()
     n = distinct.count()
     if n <= broadcast_limit:

@@ -565,7 +565,8 @@ def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int =
         ext = materialize(ext, "cas-path")
         if ext.isEmpty():
             break
-        path = materialize(path.unionByName(ext), "cas-path")
+        # Every round's positions are already written; the path is their union.
+        path = path.unionByName(ext)
         a, b = jump.alias("a"), jump.alias("b")
         jump = materialize(a.join(b, (F.col("a._index") == F.col("b._index")) & (F.col("a._id") == F.col("b._id"))
                                   & (F.col("a.nxt") == F.col("b.id")), "inner")

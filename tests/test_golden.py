@@ -166,3 +166,10 @@ def test_infer_mapping_nested_paths(spark):
     got = sorted(tuple(r) for r in M.infer_mapping(df, "j").collect())
     assert got == [("a", "double", 1), ("a", "long", 1), ("o", "object", 2), ("o.b", "text", 2),
                    ("o.c", "object", 1), ("o.c.d", "double", 1)]
+
+
+def test_mget_default_index(spark):
+    table = _docs(spark, 3, "test")
+    keys = spark.createDataFrame([(0, None, "2"), (1, "other", "2")], "pos long, _index string, _id string")
+    rows = S.mget(table, keys, default_index="test").orderBy("pos").collect()
+    assert [(r._index, r.found) for r in rows] == [("test", True), ("other", False)]
