@@ -18,7 +18,7 @@ g AS (SELECT source AS key, count(*) AS doc_count, sum(n_chars) AS sum_n_chars,
 t AS (SELECT * FROM g ORDER BY doc_count DESC, key ASC LIMIT 5)
 SELECT *, FALSE AS is_other FROM t
 UNION ALL
-SELECT NULL, COALESCE(sum(doc_count), 0), NULL, NULL, TRUE FROM g WHERE key NOT IN (SELECT key FROM t)""")
+SELECT NULL, CAST(COALESCE(sum(doc_count), 0) AS BIGINT), NULL, NULL, TRUE FROM g WHERE key NOT IN (SELECT key FROM t)""")
 def g1_terms_agg(spark, sf):
     out = G.terms_agg(S.match_all(fx.docs(spark, sf)), "source", 5, metric_field="n_chars")
     return out.withColumn("avg_n_chars", F.round("avg_n_chars", 6))
@@ -28,7 +28,7 @@ def g1_terms_agg(spark, sf):
 g AS (SELECT l_returnflag AS key, count(*) AS doc_count FROM lines_ix WHERE NOT _deleted GROUP BY 1),
 t AS (SELECT * FROM g ORDER BY doc_count DESC, key ASC LIMIT 2)
 SELECT *, FALSE AS is_other FROM t
-UNION ALL SELECT NULL, COALESCE(sum(doc_count), 0), TRUE FROM g WHERE key NOT IN (SELECT key FROM t)""")
+UNION ALL SELECT NULL, CAST(COALESCE(sum(doc_count), 0) AS BIGINT), TRUE FROM g WHERE key NOT IN (SELECT key FROM t)""")
 def g1_terms_agg_lines(spark, sf):
     return G.terms_agg(S.match_all(fx.lineitem_children(spark, sf)), "l_returnflag", 2)
 
@@ -45,7 +45,7 @@ def g2_metric_agg(spark, sf):
 g AS (SELECT lang AS key, count(*) AS doc_count FROM docs WHERE NOT _deleted AND n_chars > 2000 GROUP BY 1),
 t AS (SELECT * FROM g ORDER BY doc_count DESC, key ASC LIMIT 3)
 SELECT *, FALSE AS is_other FROM t
-UNION ALL SELECT NULL, COALESCE(sum(doc_count), 0), TRUE FROM g WHERE key NOT IN (SELECT key FROM t)""")
+UNION ALL SELECT NULL, CAST(COALESCE(sum(doc_count), 0) AS BIGINT), TRUE FROM g WHERE key NOT IN (SELECT key FROM t)""")
 def g3_filtered_agg(spark, sf):
     # The page is 5 hits, but the buckets cover every match.
     res = S.search(fx.docs(spark, sf), F.col("n_chars") > 2000, from_=0, size=5)
