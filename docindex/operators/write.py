@@ -99,16 +99,31 @@ def _stored_state(table: DataFrame) -> DataFrame:
     return table.select(*KEY, (~F.col("_deleted")).alias("_st_exists"), F.col("_version").alias("_st_version"))
 
 
-def split_touched(table: DataFrame, ops: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+@dataclass
+class LogStats:
+    rows: int
+    lo: int | None
+    hi: int | None
+
+
+def log_stats(ops: DataFrame) -> LogStats:
+    """Row count and ``seq`` range of a log in one small aggregate."""
+    r = ops.agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()[0]
+    return LogStats(r["n"], r["lo"], r["hi"])
+
+
+def split_touched(table: DataFrame, ops: DataFrame,
+                  n_rows: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(stored rows whose key the log touches, the untouched rest or None).
 
-    With a counted key set within ``REPLAY_BROADCAST_KEYS`` the split is a
-    broadcast semi-join and anti-join: the stored table is not shuffled and
-    untouched rows pass through as they are. Beyond the bound the caller's own
-    key-partitioned joins take the whole table (None for the rest).
+    With a key set within ``REPLAY_BROADCAST_KEYS`` the split is a broadcast
+    semi-join and anti-join: the stored table is not shuffled and untouched rows
+    pass through as they are. The bound is proven by the log's row count when
+    given (distinct keys never exceed rows), else by counting distinct keys.
+    Beyond it the caller's key-partitioned joins take the whole table (None).
     """
     keys = ops.select(*KEY).distinct()
-    if keys.count() <= REPLAY_BROADCAST_KEYS:
+    if (n_rows is not None and n_rows <= REPLAY_BROADCAST_KEYS) or keys.count() <= REPLAY_BROADCAST_KEYS:
         bk = F.broadcast(keys)
         return table.join(bk, KEY, "left_semi"), table.join(bk, KEY, "left_anti")
     return table, None
@@ -123,16 +138,15 @@ def with_untouched(final: DataFrame, untouched: DataFrame | None) -> DataFrame:
                               for c in final.columns]).unionByName(final)
 
 
-def _single_chunk(ops: DataFrame, chunk_rows: int) -> bool:
-    """True when every op falls in one chunk (one small aggregate over ``seq``)."""
-    r = ops.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()[0]
-    return r["lo"] is None or (r["lo"] // chunk_rows) == (r["hi"] // chunk_rows)
+def _single_chunk(stats: LogStats, chunk_rows: int) -> bool:
+    """True when every op falls in one chunk."""
+    return stats.lo is None or (stats.lo // chunk_rows) == (stats.hi // chunk_rows)
 
 
-def _evaluate(table: DataFrame, ops: DataFrame, chunk_rows: int) -> DataFrame:
+def _evaluate(table: DataFrame, ops: DataFrame, chunk_rows: int, stats: LogStats | None = None) -> DataFrame:
     """Per-op rows with exact ``exists_before, succ, version, seg`` (see module doc)."""
     op = F.col("op")
-    single = _single_chunk(ops, chunk_rows)
+    single = _single_chunk(stats or log_stats(ops), chunk_rows)
     o = ops.withColumn("_eff", _eff(op)).withColumn("_chunk", _chunk_of(chunk_rows))
     # One chunk: windows per key, and the stored state is the only carry (no summary fold).
     w = Window.partitionBy(*KEY).orderBy("seq") if single else Window.partitionBy(*KEY, "_chunk").orderBy("seq")
@@ -270,8 +284,9 @@ def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK
     # counted, bounded key set the split is two broadcast joins (the stored table is
     # not shuffled and untouched rows pass through as they are); beyond the bound
     # the replay's own key-partitioned joins handle the whole table.
-    table, untouched = split_touched(table, ops)
-    rows = _evaluate(table, ops, chunk_rows)
+    stats = log_stats(ops)
+    table, untouched = split_touched(table, ops, stats.rows)
+    rows = _evaluate(table, ops, chunk_rows, stats)
     if materialize_rows:
         from docindex.operators.rank import materialize
 
@@ -610,8 +625,9 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
         spark = ops.sparkSession
         table = spark.createDataFrame([], f"_index string, _id string, _version long, _deleted boolean, "
                                           f"_seq long, {body_col} string")
-    table, untouched = split_touched(table, ops)
-    rows = _evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows)
+    stats = log_stats(ops)
+    table, untouched = split_touched(table, ops, stats.rows)
+    rows = _evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows, stats)
     contrib = F.col("succ") & F.col("op").isin("index", "create", "update")
     per_doc = rows.groupBy(*KEY).agg(
         F.max_by(F.coalesce(F.col("_eff"), F.col("exists_before")), F.col("seq")).alias("_n_exists"),
