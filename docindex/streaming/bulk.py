@@ -53,7 +53,7 @@ def bulk_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: s
     ``source`` is a streaming DataFrame of ops (``readStream`` with a size bound
     such as ``maxFilesPerTrigger``). The store at ``root`` may hold a seed version.
     """
-    seed = store.latest_version(spark, root) or 0
+    seed = _stream_seed(spark, root, checkpoint)
     items_path = f"{root.rstrip('/')}/_items"
     summary_path = f"{root.rstrip('/')}/_summary"
     writer = (source.writeStream.foreachBatch(_batch_fn(spark, root, seed, n_shards, items_path, summary_path))
@@ -63,6 +63,20 @@ def bulk_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: s
     return q, BulkStream(root, seed, items_path, summary_path)
 
 
+def _stream_seed(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The store version the stream started from, fixed at its first start.
+
+    Kept beside the checkpoint, so a restarted query keeps mapping batch ``k`` to
+    version ``seed + k + 1`` instead of re-reading the (already advanced) latest.
+    """
+    path = f"{checkpoint.rstrip('/')}-docindex-seed"
+    if store._exists(spark, f"{path}/_SUCCESS"):
+        return int(spark.read.parquet(path).collect()[0]["seed"])
+    seed = store.latest_version(spark, root) or 0
+    spark.createDataFrame([(seed,)], "seed long").coalesce(1).write.mode("overwrite").parquet(path)
+    return seed
+
+
 def read_ops_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1) -> DataFrame:
     """An ops stream from a folder of Parquet files, in file arrival order."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)

@@ -100,3 +100,23 @@ def test_stream_batch_is_idempotent(spark):
     fn(batch, 0)  # a replayed micro-batch rewrites the same version
     assert sorted(tuple(r) for r in store.read_index(spark, root).collect()) == once
     assert store.latest_version(spark, root) == 2
+
+
+def test_bulk_stream_restart_continues_versions(spark):
+    from docindex.streaming import bulk as SB
+
+    schema = "_index string, _id string, seq long, op string, name string"
+    src, root, ck = scratch_path(spark, "src"), scratch_path(spark, "store"), scratch_path(spark, "ck")
+    rows = [("ix", str(i % 7), i, ["index", "update", "delete", "create"][i % 4], f"n{i}") for i in range(1, 61)]
+    parts = [rows[:20], rows[20:40], rows[40:]]
+    for p in parts[:2]:
+        spark.createDataFrame(p, schema).coalesce(1).write.mode("append").parquet(src)
+    q, _ = SB.bulk_stream(spark, SB.read_ops_stream(spark, src, schema), root, ck)
+    q.awaitTermination()
+    spark.createDataFrame(parts[2], schema).coalesce(1).write.mode("append").parquet(src)
+    q, _ = SB.bulk_stream(spark, SB.read_ops_stream(spark, src, schema), root, ck)
+    q.awaitTermination()
+    want = sorted(tuple(r) for r in W.bulk_replay(None, spark.createDataFrame(rows, schema)).table.collect())
+    got = sorted(tuple(r) for r in store.read_index(spark, root).drop("shard").select(
+        "_index", "_id", "_version", "_deleted", "_seq", "name").collect())
+    assert got == want and store.latest_version(spark, root) == 3
