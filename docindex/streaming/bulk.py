@@ -83,7 +83,11 @@ def read_ops_stream(spark: SparkSession, path: str, schema: str, files_per_trigg
 
 
 # ---------------------------------------------------------------- S2
-def _fold_state(key, pdfs, state):
+def _fold_state(key, pdfs, state, ttl_ms: int | None = None):
+    if state.hasTimedOut:
+        # Idle longer than the TTL: forget the key (a later op starts from scratch).
+        state.remove()
+        return
     exists, version = state.get if state.exists else (False, 0)
     frames = list(pdfs)
     if not frames:
@@ -111,18 +115,25 @@ def _fold_state(key, pdfs, state):
                 exists, version = False, version + 1
         out.append((seq, op, key[0], key[1], version if ok else None, status, result, err))
     state.update((exists, version))
+    if ttl_ms:
+        state.setTimeoutDuration(ttl_ms)
     yield pd.DataFrame(out, columns=["seq", "op", "_index", "_id", "_version", "status", "result", "error_type"]) \
         .astype({"_version": "Int64", "status": "int32"})
 
 
-def bulk_stateful(ops_stream: DataFrame) -> DataFrame:
+def bulk_stateful(ops_stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Item results without a table; per-key state ``(exists, version)``.
 
     Keys are hash-partitioned across tasks; each task folds only its keys' ops of
-    the micro-batch, in ``seq`` order. State grows with distinct keys (no TTL).
+    the micro-batch, in ``seq`` order. State grows with distinct keys unless
+    ``ttl_ms`` is given: a key idle for that long (processing time) is dropped.
+    A TTL needs a continuously running query (processing-time trigger): the
+    engine keeps scheduling timeout checks, so an ``availableNow`` run never ends.
     """
+    fn = _fold_state if not ttl_ms else (lambda k, p, st: _fold_state(k, p, st, ttl_ms))
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
     return ops_stream.groupBy("_index", "_id").applyInPandasWithState(
-        _fold_state, ITEM_SCHEMA, "exists boolean, version long", "append", GroupStateTimeout.NoTimeout)
+        fn, ITEM_SCHEMA, "exists boolean, version long", "append", timeout)
 
 
 # ---------------------------------------------------------------- S4

@@ -120,3 +120,31 @@ def test_bulk_stream_restart_continues_versions(spark):
     got = sorted(tuple(r) for r in store.read_index(spark, root).drop("shard").select(
         "_index", "_id", "_version", "_deleted", "_seq", "name").collect())
     assert got == want and store.latest_version(spark, root) == 3
+
+
+def test_bulk_stateful_with_ttl_matches_replay(spark):
+    from docindex.streaming import bulk as SB
+
+    schema = "_index string, _id string, seq long, op string, name string"
+    src, sink, ck = scratch_path(spark, "src"), scratch_path(spark, "sink"), scratch_path(spark, "ck")
+    rows = [("ix", str(i % 5), i, ["index", "update", "delete", "create"][i % 4], f"n{i}") for i in range(1, 41)]
+    for p in (rows[:20], rows[20:]):
+        spark.createDataFrame(p, schema).coalesce(1).write.mode("append").parquet(src)
+    items = SB.bulk_stateful(SB.read_ops_stream(spark, src, schema), ttl_ms=3_600_000)
+    # Timeouts need a continuously running query (an availableNow query would keep
+    # scheduling timeout checks), so this one runs on a processing-time trigger.
+    q = (items.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+         .outputMode("append").trigger(processingTime="1 second").start())
+    import time
+
+    deadline = time.time() + 90
+    try:  # the query keeps running empty timeout checks, so wait for the items, then stop it
+        while time.time() < deadline:
+            time.sleep(1)
+            if q.lastProgress and store._exists(spark, f"{sink}/_spark_metadata") \
+                    and spark.read.parquet(sink).count() >= len(rows):
+                break
+    finally:
+        q.stop()
+    want = sorted((r.seq, r.status, r._version) for r in W.bulk_replay(None, spark.createDataFrame(rows, schema)).items.collect())
+    assert sorted((r.seq, r.status, r._version) for r in spark.read.parquet(sink).collect()) == want
