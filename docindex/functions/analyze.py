@@ -24,6 +24,9 @@ from pyspark.sql import types as T
 
 from docindex.session import spread
 
+# Token types of the analyze response.
+TYPE_ALPHANUM, TYPE_NUM, TYPE_WORD = "<ALPHANUM>", "<NUM>", "word"
+
 # Fixed patterns (kept inside \p{L}\p{N}\s\S so Java and RE2 agree).
 STANDARD_TOKEN = r"[\p{L}\p{N}]+"
 STANDARD_PAIR = r"([^\p{L}\p{N}]*)([\p{L}\p{N}]+)"
@@ -63,8 +66,8 @@ def _pair_tokens(df: DataFrame, key_cols: list[str], field: str, pair_pattern: s
     exploded = staged.select(*key_cols, F.posexplode(F.arrays_zip(F.col("_toks").alias("t"),
                                                                   F.col("_ends").alias("e"))).alias("position", "z"))
     tok = F.col("z.t")
-    ttype = (F.when(tok.rlike(NUMERIC_TOKEN), F.lit("<NUM>")).otherwise(F.lit("<ALPHANUM>"))
-             if typed else F.lit("word"))
+    ttype = (F.when(tok.rlike(NUMERIC_TOKEN), F.lit(TYPE_NUM)).otherwise(F.lit(TYPE_ALPHANUM))
+             if typed else F.lit(TYPE_WORD))
     return exploded.select(
         *key_cols,
         F.lit(field).alias("field"),
@@ -89,7 +92,7 @@ def analyze(df: DataFrame, text_col: str, analyzer: str = "standard",
         return df.where(v.isNotNull()).select(
             *key_cols, F.lit(text_col).alias("field"), v.alias("token"),
             F.lit(0).alias("start_offset"), F.length(v).cast("int").alias("end_offset"),
-            F.lit("word").alias("type"), F.lit(0).alias("position"))
+            F.lit(TYPE_WORD).alias("type"), F.lit(0).alias("position"))
     raise ValueError(f"unknown analyzer {analyzer!r}")
 
 

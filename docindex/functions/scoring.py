@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from docindex.functions.analyze import STANDARD_TOKEN
 from docindex.session import spread
 
+# The usual BM25 parameters.
 K1 = 1.2
 B = 0.75
 

@@ -18,9 +18,12 @@ from docindex.operators.rank import global_rank
 from docindex.session import spread
 
 KEY = ["_index", "_id"]
-DEFAULT_SIZE = 20  # the declared default of the search call (SURVEY Q2)
+# Default page size of the search call, the server's
+# result window, and the only total relation an exact count has.
+DEFAULT_SIZE = 20
 MGET_BROADCAST_KEYS = 1_000_000  # distinct keys allowed on the broadcast path
 MAX_RESULT_WINDOW = 10_000  # from + size limit of a page; deeper reads use scroll()
+RELATION_EQ = "eq"
 
 
 def live(table: DataFrame) -> DataFrame:
@@ -154,7 +157,7 @@ def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFA
     if from_:
         page = page.offset(from_)
     page = page.limit(size)
-    total = matches.agg(F.count(F.lit(1)).alias("value")).withColumn("relation", F.lit("eq"))
+    total = matches.agg(F.count(F.lit(1)).alias("value")).withColumn("relation", F.lit(RELATION_EQ))
     return SearchResult(page, total, matches)
 
 

@@ -47,8 +47,10 @@ REPLAY_BROADCAST_KEYS = 2_000_000  # distinct touched keys that may be broadcast
 META = {"_index", "_id", "seq", "op", "_version", "_deleted", "_seq", "shard", "version",
         "version_type", "routing", "parent", "pos", "batch_no"}
 
+# Fixed values of the item contract: error types and HTTP-style statuses.
 ERR_CONFLICT = "version_conflict_engine_exception"
 ERR_MISSING = "document_missing_exception"
+STATUS_OK, STATUS_CREATED, STATUS_NOT_FOUND, STATUS_CONFLICT = 200, 201, 404, 409
 
 
 @dataclass
@@ -200,9 +202,9 @@ def _evaluate(table: DataFrame, ops: DataFrame, chunk_rows: int, stats: LogStats
 
 def _items(rows: DataFrame) -> DataFrame:
     op, ok, before = F.col("op"), F.col("succ"), F.col("exists_before")
-    status = (F.when(op == "index", F.when(before, 200).otherwise(201))
-              .when(op == "create", F.when(ok, 201).otherwise(409))
-              .otherwise(F.when(ok, 200).otherwise(404)))
+    status = (F.when(op == "index", F.when(before, STATUS_OK).otherwise(STATUS_CREATED))
+              .when(op == "create", F.when(ok, STATUS_CREATED).otherwise(STATUS_CONFLICT))
+              .otherwise(F.when(ok, STATUS_OK).otherwise(STATUS_NOT_FOUND)))
     result = (F.when(op == "index", F.when(before, "updated").otherwise("created"))
               .when(op == "create", F.when(ok, "created"))
               .when(op == "update", F.when(ok, "updated"))
