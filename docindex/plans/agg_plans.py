@@ -13,7 +13,7 @@ from docindex.plans.views import DOCS, LINES, with_
 
 
 @register("g1_terms_agg", with_(DOCS) + """,
-g AS (SELECT source AS key, count(*) AS doc_count, sum(n_chars) AS sum_n_chars,
+g AS (SELECT source AS key, count(*) AS doc_count, CAST(sum(n_chars) AS BIGINT) AS sum_n_chars,
              round(avg(n_chars), 6) AS avg_n_chars FROM docs WHERE NOT _deleted AND source IS NOT NULL GROUP BY source),
 t AS (SELECT * FROM g ORDER BY doc_count DESC, key ASC LIMIT 5)
 SELECT *, FALSE AS is_other FROM t
