@@ -79,3 +79,6 @@ def batch_numbers(df: DataFrame, seq_col: str, batch_size: int,
     ranked = global_rank(df, [seq_col], "_b_rank")
     return (ranked.withColumn(out_col, F.floor((F.col("_b_rank") - 1) / batch_size).cast("long"))
             .drop("_b_rank"))
+
+
+batch_ops = batch_numbers  # SURVEY name (B1)

@@ -245,6 +245,8 @@ def parent_child(parents: DataFrame, children: DataFrame, how: str = "inner",
     return c.join(pp, c["_parent"] == pp[parent_prefix + "id"], how)
 
 
-__all__ = ["live", "get_doc", "select_source", "mget", "match_all", "term", "search",
+children_of = parent_child  # SURVEY name (R12)
+
+__all__ = ["live", "get_doc", "children_of", "iter_pages", "select_source", "mget", "match_all", "term", "search",
            "SearchResult", "multi_index", "with_max_score", "terminate_after", "scroll",
            "parent_child", "STANDARD_TOKEN"]

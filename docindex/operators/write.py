@@ -296,6 +296,15 @@ def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK
     return ReplayResult(with_untouched(_final(table, rows, fields), untouched), _items(rows))
 
 
+def visible_at(ops: DataFrame, refresh_seq: int, table: DataFrame | None = None) -> DataFrame:
+    """Live documents as of the last refresh: the replay of the log up to ``refresh_seq``.
+
+    A search reads this (an as-of replay), while a get reads the full replay.
+    """
+    state = bulk_replay(table, ops.where(F.col("seq") <= refresh_seq)).table
+    return state.where(~F.col("_deleted"))
+
+
 def bulk_item_results(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per-op status rows (input order via ``seq``)."""
     return bulk_replay(table, ops, chunk_rows).items
@@ -340,6 +349,9 @@ def default_index_of(ops: DataFrame, name: str) -> DataFrame:
     return ops.withColumn("_index", F.coalesce(F.col("_index"), F.lit(name)))
 
 
+default_index = default_index_of  # SURVEY name (W10)
+
+
 def with_auto_ids(delta: DataFrame, seq_col: str = "seq") -> DataFrame:
     """Rows without ``_id`` get a deterministic one (tier P for the value).
 

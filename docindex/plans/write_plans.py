@@ -8,7 +8,6 @@ from docindex import fixtures as fx
 from docindex.functions.route import route
 from docindex.operators import write as W
 from docindex.operators.rank import batch_numbers
-from docindex.operators.search import live
 from docindex.plans.registry import register
 from docindex.plans.views import CUT, DOCS, OPS, with_
 
@@ -82,10 +81,7 @@ def r13_visible_at(spark, sf):
     return visible_at(fx.ops(spark, sf), fx.ops_count(spark, sf) // 2).where(F.col("value") > 50)
 
 
-def visible_at(ops, refresh_seq):
-    """The table as of ``refresh_seq`` (an as-of replay of the log prefix)."""
-    state = W.bulk_replay(None, ops.where(F.col("seq") <= refresh_seq)).table
-    return live(state)
+visible_at = W.visible_at
 
 
 @register("w1_index_docs", with_(OPS) + """

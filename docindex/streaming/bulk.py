@@ -77,6 +77,20 @@ def _stream_seed(spark: SparkSession, root: str, checkpoint: str) -> int:
     return seed
 
 
+def stream_batch_summary(items_stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """S3: B2 on a stream of item results, one summary row per micro-batch.
+
+    Each micro-batch's items are aggregated inside ``foreachBatch`` and written to
+    ``path/batch_id=<k>`` (overwritten on a replay of the batch, so idempotent).
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        summary = W.bulk_batch_summary(batch.withColumn("batch_no", F.lit(batch_id).cast("long")))
+        summary.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    w = items_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
 def read_ops_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1) -> DataFrame:
     """An ops stream from a folder of Parquet files, in file arrival order."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)

@@ -148,3 +148,18 @@ def test_bulk_stateful_with_ttl_matches_replay(spark):
         q.stop()
     want = sorted((r.seq, r.status, r._version) for r in W.bulk_replay(None, spark.createDataFrame(rows, schema)).items.collect())
     assert sorted((r.seq, r.status, r._version) for r in spark.read.parquet(sink).collect()) == want
+
+
+def test_stream_batch_summary_per_micro_batch(spark):
+    from docindex.streaming import bulk as SB
+
+    schema = "_index string, _id string, seq long, op string, name string"
+    src, out, ck = scratch_path(spark, "src"), scratch_path(spark, "sum"), scratch_path(spark, "ck")
+    rows = [("ix", str(i % 3), i, ["create", "update"][i % 2], "n") for i in range(1, 13)]
+    items = W.bulk_replay(None, spark.createDataFrame(rows, schema)).items
+    for lo in (0, 6):
+        items.where(f"seq > {lo} and seq <= {lo + 6}").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    SB.stream_batch_summary(stream, out, ck).awaitTermination()
+    got = sorted((r.batch_no, r["items"]) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 6), (1, 6)]

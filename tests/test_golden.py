@@ -75,8 +75,7 @@ def test_global_rank_matches_row_number(spark):
 
 
 def test_search_before_and_after_refresh(spark):
-    from docindex.plans.write_plans import visible_at
-
+    visible_at = W.visible_at
     ops = spark.createDataFrame([("test", "id", 1, "index", "nom"), ("test", "id", 2, "index", "nom")],
                                 "_index string, _id string, seq long, op string, name string")
     before = S.search(visible_at(ops, 0), F.col("name") == "nom").total.collect()[0]
