@@ -351,3 +351,27 @@ def w4_update_docs_table(spark, sf):
     stored, second = _stored(spark, sf)
     delta = second.where(F.col("op") == "update").drop("op")
     return W.update_docs(stored, delta, detect_noop=True).table
+
+
+# Hot key: every view event writes the same document (about a fifth of the log),
+# replayed in chunks of 1000 ops so the hot key's ops span many tasks and the
+# cross-chunk carry is exercised on the driver tables.
+HOT_CHUNK_ROWS = 1000
+
+_HOT_SQL = r"""hot AS (
+  SELECT 'events' AS _index, CASE WHEN event_type = 'view' THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS _id,
+         CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS seq,
+         CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'delete'
+                         WHEN 'click' THEN 'update' ELSE 'index' END AS op,
+         value, props
+  FROM events)"""
+
+
+@register("w8_bulk_replay_hot_key", "WITH " + _HOT_SQL + replay_sql_ctes(source="hot") + "SELECT * FROM final")
+def w8_bulk_replay_hot_key(spark, sf):
+    return W.bulk_replay(None, fx.hot_ops(spark, sf), chunk_rows=HOT_CHUNK_ROWS).table
+
+
+@register("w9_bulk_items_hot_key", "WITH " + _HOT_SQL + replay_sql_ctes(source="hot") + ITEMS_SELECT)
+def w9_bulk_items_hot_key(spark, sf):
+    return W.bulk_replay(None, fx.hot_ops(spark, sf), chunk_rows=HOT_CHUNK_ROWS).items
