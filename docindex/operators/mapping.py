@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docindex.session import spread
+
 # Fixed: field types of a mapping and the Spark type each one is stored as.
 MAPPING_TYPES = {
     "keyword": T.StringType(), "text": T.StringType(), "string": T.StringType(),
@@ -86,7 +88,7 @@ def apply_mapping(df: DataFrame, json_col: str, mapping: dict, keep: list[str] |
     props = mapping.get("properties", {})
     st = mapping_schema(mapping)
     raw = T.StructType([T.StructField(n, T.StringType()) for n in props])
-    parsed = df.select(*keep, F.col(json_col).alias("_source"), F.from_json(F.col(json_col), raw).alias("_r"))
+    parsed = spread(df).select(*keep, F.col(json_col).alias("_source"), F.from_json(F.col(json_col), raw).alias("_r"))
     typed = []
     for name, spec in props.items():
         r = F.col(f"_r.{name}")
@@ -133,25 +135,29 @@ def infer_mapping(df: DataFrame, json_col: str, max_depth: int = 4) -> DataFrame
 
     Rows ``field, type, docs``: how many documents hold the field (a dotted path
     for fields inside objects, up to ``max_depth`` levels) with that observed
-    type. Null values are not counted (dynamic mapping ignores them). Work is
-    per document (parse, explode); the counts are a partial aggregate.
+    type. Null values are not counted (dynamic mapping ignores them). Each
+    document is parsed once; the nested levels are walked with higher-order
+    functions inside one projection, then exploded and counted (partial aggregate).
     """
-    m = df.select(F.parse_json(F.col(json_col)).cast("map<string,variant>").alias("_m"))
-    level = m.select(F.explode("_m").alias("field", "_v")).where(~F.is_variant_null("_v")) \
-        .withColumn("type", _mapping_type(F.schema_of_variant("_v")))
-    levels = [level.select("field", "type")]
-    for _ in range(max_depth - 1):
-        objs = level.where(F.col("type") == "object").select(
-            "field", F.col("_v").cast("map<string,variant>").alias("_m"))
-        level = objs.select(F.col("field").alias("_p"), F.explode("_m").alias("_k", "_v")) \
-            .where(~F.is_variant_null("_v")) \
-            .select(F.concat_ws(".", "_p", "_k").alias("field"), "_v") \
-            .withColumn("type", _mapping_type(F.schema_of_variant("_v")))
-        levels.append(level.select("field", "type"))
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out.groupBy("field", "type").agg(F.count(F.lit(1)).alias("docs"))
+    def entries(arr):
+        return F.transform(arr, lambda e: F.struct(e["key"].alias("f"), e["value"].alias("v")))
+
+    def children(level):
+        objs = F.filter(level, lambda e: F.schema_of_variant(e["v"]).startswith("OBJECT"))
+        return F.flatten(F.transform(objs, lambda e: F.transform(
+            F.map_entries(e["v"].try_cast("map<string,variant>")),
+            lambda c: F.struct(F.concat_ws(".", e["f"], c["key"]).alias("f"), c["value"].alias("v")))))
+
+    top = entries(F.map_entries(F.parse_json(F.col(json_col)).cast("map<string,variant>")))
+    staged = spread(df).select(top.alias("_l1"))
+    levels = ["_l1"]
+    for d in range(2, max_depth + 1):
+        staged = staged.withColumn(f"_l{d}", children(F.col(f"_l{d - 1}")))
+        levels.append(f"_l{d}")
+    fields = staged.select(F.explode(F.concat(*[F.col(c) for c in levels])).alias("_e"))
+    typed = fields.where(~F.is_variant_null("_e.v")).select(
+        F.col("_e.f").alias("field"), _mapping_type(F.schema_of_variant("_e.v")).alias("type"))
+    return typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("docs"))
 
 
 # ---------------------------------------------------------------- M3

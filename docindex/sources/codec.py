@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docindex.session import spread
+
 CORRUPT = "_corrupt_record"
 
 
@@ -37,7 +39,7 @@ def documents_as(df: DataFrame, json_col: str, schema, keep: list[str] | None =
     st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     with_corrupt = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
     keep = keep or []
-    parsed = df.select(*keep, F.col(json_col).alias("_json"),
+    parsed = spread(df).select(*keep, F.col(json_col).alias("_json"),
                        F.from_json(F.col(json_col), with_corrupt,
                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
                                     **JSON_OPTIONS, **(options or {})}).alias("_d"))
