@@ -101,22 +101,20 @@ def _commit_manifest(spark: SparkSession, root: str, version: int, base: int | N
 
 
 def write_index(df: DataFrame, root: str, n_shards: int = DEFAULT_SHARDS, version: int | None = None,
-                base_version: int | None = None, touched: DataFrame | None = None,
-                files_per_shard: int = 1) -> int:
+                base_version: int | None = None, touched: DataFrame | None = None) -> int:
     """I8 (write): commit ``df`` as a new version.
 
     Without ``touched``, ``df`` is the whole table. With ``touched`` (rows of
     ``_index, shard``), ``df`` holds exactly those partitions and every other
     partition keeps pointing at ``base_version``'s data. Re-running a commit
     with the same ``version`` rewrites the same directories (idempotent).
-    ``files_per_shard`` bounds the data one task writes for a large shard.
+    Rows are grouped by (index, shard) with a rebalance, so AQE splits a large
+    (hot) shard over several writer tasks and merges small ones.
     """
     spark = df.sparkSession
     v = version if version is not None else (latest_version(spark, root) or 0) + 1
     data = _ensure_shard(df, n_shards)
-    # Each (index, shard) is written by ``files_per_shard`` tasks: the id hash picks one.
-    bucket = F.pmod(F.xxhash64("_id"), F.lit(max(1, files_per_shard)))
-    (data.repartition("_index", "shard", bucket).write.mode("overwrite")
+    (data.hint("rebalance", "_index", "shard").write.mode("overwrite")
      .partitionBy("_index", "shard").parquet(_vdir(root, v)))
     _commit_manifest(spark, root, v, base_version, touched)
     return v
