@@ -74,6 +74,11 @@ def _ensure_shard(df: DataFrame, n_shards: int) -> DataFrame:
     return df if "shard" in df.columns else route(df, n_shards)
 
 
+def _escape(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it in a folder name (``/``, ``=``, ... escaped)."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def _written_parts(spark: SparkSession, root: str, version: int) -> list[tuple[str, int]]:
     """(index, shard) directories present in a version directory (a listing, no data read)."""
     jvm = spark._jvm
@@ -133,7 +138,7 @@ def read_index(spark: SparkSession, root: str, indices: list[str] | None = None,
     parts = manifest(spark, root, v)
     if indices:
         parts = parts.where(F.col("_index").isin(list(indices)))
-    paths = [f"{_vdir(root, r['version'])}/_index={r['_index']}/shard={r['shard']}"
+    paths = [f"{_vdir(root, r['version'])}/_index={_escape(spark, r['_index'])}/shard={r['shard']}"
              for r in parts.collect()]  # one row per partition: metadata only
     if not paths:
         return spark.read.parquet(_vdir(root, v)).where(F.lit(False)).drop("v")

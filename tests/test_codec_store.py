@@ -163,3 +163,15 @@ def test_stream_batch_summary_per_micro_batch(spark):
     SB.stream_batch_summary(stream, out, ck).awaitTermination()
     got = sorted((r.batch_no, r["items"]) for r in spark.read.parquet(out).collect())
     assert got == [(0, 6), (1, 6)]
+
+
+def test_store_index_names_with_special_characters(spark):
+    from docindex.operators.types import fold_types, unfold_types
+
+    root = scratch_path(spark, "store-esc")
+    ops = spark.createDataFrame([("ix", "a b/c", "1", 1, "index", "x"), ("ix", "t=2", "1", 2, "index", "y")],
+                                "_index string, _type string, _id string, seq long, op string, name string")
+    store.write_index(W.bulk_replay(None, fold_types(ops)).table, root)
+    back = unfold_types(store.read_index(spark, root))
+    assert sorted((r._type, r.name) for r in back.collect()) == [("a b/c", "x"), ("t=2", "y")]
+    assert store.read_index(spark, root, ["ix/t=2"]).count() == 1
