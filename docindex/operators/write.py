@@ -258,6 +258,12 @@ def _final(table: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
 def _prepare_ops(ops: DataFrame, table: DataFrame | None, default_index: str | None) -> DataFrame:
     if default_index is not None:
         ops = default_index_of(ops, default_index)
+    if "seq" in ops.columns:
+        # POST path: index/create ops without an id get their W2 id; an id-less
+        # update or delete stays keyless and fails as a missing document.
+        auto = F.when(F.col("op").isin("index", "create"),
+                      F.sha2(F.concat_ws("|", F.col("_index"), F.col("seq").cast("string")), 256))
+        ops = ops.withColumn("_id", F.coalesce(F.col("_id"), auto))
     if "seq" not in ops.columns:
         # Arrival order: ids are fixed once written, so a re-run task cannot renumber ops.
         from docindex.operators.rank import materialize
@@ -305,6 +311,17 @@ def visible_at(ops: DataFrame, refresh_seq: int, table: DataFrame | None = None)
     return state.where(~F.col("_deleted"))
 
 
+def validate_log(ops: DataFrame) -> DataFrame:
+    """Ops whose ``seq`` repeats within their key (their order is undefined).
+
+    The replay requires ``seq`` unique per key; run this on untrusted input and
+    refuse the log when it returns rows. It is a grouped count (partial
+    aggregation), so it is not run on every replay.
+    """
+    dup = ops.groupBy(*KEY, "seq").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return ops.join(dup.select(*KEY, "seq"), [*KEY, "seq"], "left_semi")
+
+
 def bulk_item_results(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per-op status rows (input order via ``seq``)."""
     return bulk_replay(table, ops, chunk_rows).items

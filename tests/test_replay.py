@@ -173,3 +173,14 @@ def test_json_replay_partial_updates_and_nulls(spark):
     got = {r._id: (r._version, r._deleted, r._source) for r in res.table.collect()}
     assert got == {"1": (3, False, '{"a":1,"b":null,"c":[1,2]}'), "2": (3, False, '{"only":"this"}')}
     assert sorted((r.seq, r.status) for r in res.items.collect()) == [(10, 200), (11, 201), (12, 200), (13, 404), (14, 200)]
+
+
+def test_post_without_id_gets_auto_id_and_validate_log(spark):
+    ops = spark.createDataFrame([("t", None, 1, "index", "a"), ("t", None, 2, "index", "b"),
+                                 ("t", None, 3, "delete", None), ("t", "k", 4, "index", "c"), ("t", "k", 4, "update", "d")],
+                                "_index string, _id string, seq long, op string, name string")
+    res = W.bulk_replay(None, ops.where("seq < 4"))
+    rows = res.table.collect()
+    assert len(rows) == 2 and all(r._id and len(r._id) == 64 for r in rows)
+    assert sorted(r.status for r in res.items.collect()) == [201, 201, 404]
+    assert sorted(r.op for r in W.validate_log(ops).collect()) == ["index", "update"]
