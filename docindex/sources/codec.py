@@ -50,12 +50,13 @@ def documents_as(df: DataFrame, json_col: str, schema, keep: list[str] | None =
 
 
 def read_documents(spark, path: str, schema) -> Decoded:
-    """I1 for files: newline-delimited JSON documents read with a fixed schema."""
-    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    with_corrupt = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return Decoded(df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT))
+    """I1 for files: newline-delimited JSON documents read with a fixed schema.
+
+    Lines are read as text and decoded by ``documents_as``, so a malformed line
+    becomes a reject carrying its raw text (``_corrupt_record``).
+    """
+    res = documents_as(spark.read.text(path), "value", schema)
+    return Decoded(res.rows, res.rejects.withColumnRenamed("value", CORRUPT))
 
 
 # ---------------------------------------------------------------- I2

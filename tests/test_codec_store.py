@@ -175,3 +175,12 @@ def test_store_index_names_with_special_characters(spark):
     back = unfold_types(store.read_index(spark, root))
     assert sorted((r._type, r.name) for r in back.collect()) == [("a b/c", "x"), ("t=2", "y")]
     assert store.read_index(spark, root, ["ix/t=2"]).count() == 1
+
+
+def test_read_documents_files_with_rejects(spark):
+    path = scratch_path(spark, "ndjson")
+    spark.createDataFrame([('{"a": 1, "b": "x"}',), ("not json",), ('{"a": 2}',)], "value string") \
+        .coalesce(1).write.text(path)
+    res = C.read_documents(spark, path, "a long, b string")
+    assert sorted((r.a, r.b) for r in res.rows.collect()) == [(1, "x"), (2, None)]
+    assert [r._corrupt_record for r in res.rejects.collect()] == ["not json"]
