@@ -63,11 +63,22 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return vs[-1] if vs else None
 
 
+_MANIFESTS: dict[tuple[str, int], list[tuple[str, int, int]]] = {}
+
+
+def manifest_rows(spark: SparkSession, root: str, version: int) -> list[tuple[str, int, int]]:
+    """(index, shard, version) rows of a committed manifest; cached (a version never changes)."""
+    key = (root.rstrip("/"), version)
+    if key not in _MANIFESTS:
+        _MANIFESTS[key] = [(r["_index"], r["shard"], r["version"])
+                           for r in spark.read.parquet(_mdir(root, version)).collect()]
+    return _MANIFESTS[key]
+
+
 def manifest(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     v = latest_version(spark, root) if version is None else version
-    if v is None:
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.parquet(_mdir(root, v))
+    rows = [] if v is None else manifest_rows(spark, root, v)
+    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
 def _ensure_shard(df: DataFrame, n_shards: int) -> DataFrame:
@@ -94,15 +105,22 @@ def _written_parts(spark: SparkSession, root: str, version: int) -> list[tuple[s
 
 
 def _commit_manifest(spark: SparkSession, root: str, version: int, base: int | None,
-                     touched: DataFrame | None) -> None:
-    """Manifest of ``version``: partitions written now, plus the base's untouched ones."""
-    written = spark.createDataFrame([(i, s, version) for i, s in _written_parts(spark, root, version)],
-                                    MANIFEST_SCHEMA)
-    if touched is not None and base is not None:
-        old = manifest(spark, root, base).join(F.broadcast(touched.select("_index", "shard")),
-                                               ["_index", "shard"], "left_anti")
-        written = old.unionByName(written)
-    written.coalesce(1).write.mode("overwrite").parquet(_mdir(root, version))
+                     replaced: set | None = None) -> None:
+    """Manifest of ``version``: partitions written now, plus the base's other ones.
+
+    ``replaced`` lists base partitions that this version drops even if it wrote
+    nothing for them (compaction of shards that held only tombstones). The
+    manifest is metadata (one row per partition), assembled on the driver.
+    """
+    written = {(i, s): version for i, s in _written_parts(spark, root, version)}
+    rows = dict(written)
+    if base is not None and replaced is not None:
+        for i, s, v in manifest_rows(spark, root, base):
+            if (i, s) not in written and (i, s) not in replaced:
+                rows[(i, s)] = v
+    out = [(i, s, v) for (i, s), v in sorted(rows.items())]
+    spark.createDataFrame(out, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(_mdir(root, version))
+    _MANIFESTS[(root.rstrip("/"), version)] = out
 
 
 def write_index(df: DataFrame, root: str, n_shards: int = DEFAULT_SHARDS, version: int | None = None,
@@ -121,7 +139,9 @@ def write_index(df: DataFrame, root: str, n_shards: int = DEFAULT_SHARDS, versio
     data = _ensure_shard(df, n_shards)
     (data.hint("rebalance", "_index", "shard").write.mode("overwrite")
      .partitionBy("_index", "shard").parquet(_vdir(root, v)))
-    _commit_manifest(spark, root, v, base_version, touched)
+    # Partial write: every touched partition with data was rewritten (stored rows
+    # are kept), so the base's other partitions carry over unchanged.
+    _commit_manifest(spark, root, v, base_version, set() if touched is not None else None)
     return v
 
 
@@ -135,11 +155,10 @@ def read_index(spark: SparkSession, root: str, indices: list[str] | None = None,
     v = latest_version(spark, root) if version is None else version
     if v is None:
         raise FileNotFoundError(f"no committed version under {root}")
-    parts = manifest(spark, root, v)
-    if indices:
-        parts = parts.where(F.col("_index").isin(list(indices)))
-    paths = [f"{_vdir(root, r['version'])}/_index={_escape(spark, r['_index'])}/shard={r['shard']}"
-             for r in parts.collect()]  # one row per partition: metadata only
+    wanted = set(indices) if indices else None
+    paths = [f"{_vdir(root, ver)}/_index={_escape(spark, idx)}/shard={shard}"
+             for idx, shard, ver in manifest_rows(spark, root, v)  # one row per partition: metadata
+             if wanted is None or idx in wanted]
     if not paths:
         return spark.read.parquet(_vdir(root, v)).where(F.lit(False)).drop("v")
     return spark.read.option("basePath", root.rstrip("/")).parquet(*paths).drop("v")
@@ -192,17 +211,19 @@ def compact(spark: SparkSession, root: str, max_files: int = 1, expunge_only: bo
     """
     base = latest_version(spark, root)
     cur = read_index(spark, root, version=base)
+    replaced = None
     if expunge_only:
-        dirty = cur.where(F.col("_deleted")).select("_index", "shard").distinct()
-        cur = cur.join(F.broadcast(dirty), ["_index", "shard"], "left_semi")
-        touched = dirty
-    else:
-        touched = None
+        # Partitions holding tombstones: one row per partition, collected as metadata.
+        dirty = [(r["_index"], r["shard"]) for r in
+                 cur.where(F.col("_deleted")).select("_index", "shard").distinct().collect()]
+        replaced = set(dirty)
+        cur = cur.join(F.broadcast(spark.createDataFrame(dirty, "_index string, shard int")),
+                       ["_index", "shard"], "left_semi")
     live = cur.where(~F.col("_deleted"))
     # At most max_files tasks write each partition: hash the id into max_files buckets.
     salt = F.pmod(F.xxhash64("_id"), F.lit(max_files))
     v = (base or 0) + 1
     (live.repartition("_index", "shard", salt).write.mode("overwrite")
      .partitionBy("_index", "shard").parquet(_vdir(root, v)))
-    _commit_manifest(spark, root, v, base, touched if expunge_only else None)
+    _commit_manifest(spark, root, v, base, replaced)
     return v
