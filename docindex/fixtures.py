@@ -93,6 +93,23 @@ def ops_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return o.where(F.col("seq") <= cut), o.where(F.col("seq") > cut)
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FIXTURES ``stored``: the first half of the ops log replayed, written once.
+
+    The replay is the library's own (``write.bulk_replay``); the result is
+    materialised under the checkpoint folder and reused as the stored table of
+    the write, bulk and stats plans.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "stored")
+    if key not in _memo:
+        from docindex.operators.rank import materialize
+        from docindex.operators.write import bulk_replay
+
+        first, _second = ops_halves(spark, sf_dir)
+        _memo[key] = materialize(bulk_replay(None, first).table, "stored")
+    return _memo[key]
+
+
 def versioned_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops(spark, sf_dir).withColumn("version", F.col("value").cast("long"))
 

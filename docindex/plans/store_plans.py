@@ -62,8 +62,8 @@ SELECT _index, count(*) FILTER (WHERE NOT _deleted) AS live_docs, count(*) FILTE
        max(_version) AS max_version
 FROM final GROUP BY _index""")
 def x1_index_stats(spark, sf):
-    first, second = fx.ops_halves(spark, sf)
-    table = W.bulk_replay(W.bulk_replay(None, first).table, second).table
+    _first, second = fx.ops_halves(spark, sf)
+    table = W.bulk_replay(fx.stored(spark, sf), second).table
     return store.index_stats(table, ["value", "props"])
 
 

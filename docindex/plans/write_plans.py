@@ -52,8 +52,9 @@ FROM rc"""
 
 
 def _stored(spark, sf):
-    first, second = fx.ops_halves(spark, sf)
-    return W.bulk_replay(None, first).table, second
+    """(stored table = first half replayed, second half of the log)."""
+    _first, second = fx.ops_halves(spark, sf)
+    return fx.stored(spark, sf), second
 
 
 @register("w8_bulk_replay", with_(OPS) + replay_sql_ctes() + "SELECT * FROM final")
