@@ -33,3 +33,16 @@ def test_bulk_105_in_batches_of_10(spark):
     assert res.responses.count() == 11 and not res.responses.where("errors").count()
     assert ix.search().total.collect()[0].value == 105
     assert ix.scroll(size=10).count() == 105
+
+
+def test_index_handle_stats_merge_analyze(spark):
+    ix = Index(spark, scratch_path(spark, "api"), "test")
+    ops = spark.createDataFrame([("1", 1, "index", "a b"), ("2", 2, "index", "c"), ("2", 3, "delete", None)],
+                                "_id string, seq long, op string, name string")
+    ix.bulk(ops, refresh=True)
+    st = ix.stats().collect()[0]
+    assert (st.live_docs, st.deleted_docs, st.max_version) == (1, 1, 2)
+    ix.force_merge(max_files=1, only_expunge_deletes=True)
+    st2 = ix.stats().collect()[0]
+    assert (st2.live_docs, st2.deleted_docs) == (1, 0)
+    assert [r.token for r in ix.analyze("name").orderBy("position").collect()] == ["a", "b"]
