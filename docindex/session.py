@@ -51,7 +51,6 @@ def checkpoint_root(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             root = tempfile.mkdtemp(prefix="docindex-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-            spark.conf.set("spark.checkpoint.dir", root)
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return root
