@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docindex.llm import quality_divergence, setsketch_dedup
+from docindex.llm import decontaminate, pii_crf, quality_divergence, setsketch_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,5 +20,13 @@ def op2_setsketch_dedup(spark, sf_dir):
     return setsketch_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup)}
+def op3_pii_crf(spark, sf_dir):
+    return pii_crf.report(_table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op8_decontaminate)}
 ORACLE_SQL: dict[str, str] = {}
