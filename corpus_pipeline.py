@@ -7,9 +7,9 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docindex.llm import quality_divergence, setsketch_dedup
+from docindex.llm import decontaminate, packing, pii_crf, quality_divergence, setsketch_dedup
 from docindex.llm.scratch import stored
 
 
@@ -23,7 +23,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return setsketch_dedup.keep_one(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("near-duplicates", near_dedup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth of the words stand in windows of test items go."""
+    return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; n_chars follows the new text."""
+    return pii_crf.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2,048 tokens: one row a piece, with its ids."""
+    return packing.pieces(docs)
+
+
+STAGES = [("quality rules", quality_rules), ("near-duplicates", near_dedup), ("decontamination", benchmark_decontamination),
+          ("personal data", personal_data), ("packing", pack)]
 ORACLE_SQL = None  # estimates, a fitted model and tokenisation are beyond SQL; tests hold run() against brute force
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docindex.llm import decontaminate, pii_crf, quality_divergence, setsketch_dedup
+from docindex.llm import decontaminate, packing, pii_crf, quality_divergence, setsketch_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,5 +28,9 @@ def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op8_decontaminate)}
+def op9_packing(spark, sf_dir):
+    return packing.pieces(_table(spark, sf_dir, "documents")).drop("ids")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op8_decontaminate, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}
