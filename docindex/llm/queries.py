@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docindex.llm import chat_format, decontaminate, packing, pii_crf, quality_divergence, setsketch_dedup, url_cascade
+from docindex.llm import chat_format, decontaminate, packing, pii_crf, quality_divergence, setsketch_dedup, token_files, url_cascade
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_chat_format(spark, sf_dir):
     return chat_format.report(given.union(probe))
 
 
+def op7_token_files(spark, sf_dir):
+    return token_files.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -45,7 +49,7 @@ def op10_url_cascade(spark, sf_dir):
     return url_cascade.judge(pages, url_cascade.insecure_hosts(pages))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op6_chat_format, op8_decontaminate,
+QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op6_chat_format, op7_token_files, op8_decontaminate,
                                    op9_packing, op10_url_cascade)}
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
