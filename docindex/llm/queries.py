@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docindex.llm import chat_format, decontaminate, html_crf, packing, pii_crf, quality_divergence, setsketch_dedup, token_files, url_cascade
+from docindex.llm import chat_format, decontaminate, html_crf, kneser_ney, packing, pii_crf, quality_divergence, setsketch_dedup, token_files, url_cascade
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_pii_crf(spark, sf_dir):
     return pii_crf.report(_table(spark, sf_dir, "documents"))
 
 
+def op4_kneser_ney(spark, sf_dir):
+    return kneser_ney.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_html_crf(spark, sf_dir):
     return html_crf.extract(_table(spark, sf_dir, "pages"), keep=("url",))
 
@@ -53,7 +57,7 @@ def op10_url_cascade(spark, sf_dir):
     return url_cascade.judge(pages, url_cascade.insecure_hosts(pages))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op5_html_crf, op6_chat_format, op7_token_files, op8_decontaminate,
+QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op4_kneser_ney, op5_html_crf, op6_chat_format, op7_token_files, op8_decontaminate,
                                    op9_packing, op10_url_cascade)}
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
