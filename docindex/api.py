@@ -34,10 +34,16 @@ def bulk_batches(items: DataFrame, batch_size: int) -> BulkResponses:
 class Index:
     """One index of a store: ``root`` is a folder every executor can reach."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str, n_shards: int = store.DEFAULT_SHARDS):
-        self.spark, self.root, self.name, self.n_shards = spark, root, name, n_shards
+    def __init__(self, spark: SparkSession, root: str, name: str, n_shards: int | None = None):
+        self.spark, self.root, self.name = spark, root, name
+        self._given_shards = n_shards or store.DEFAULT_SHARDS
         self._refreshed: int | None = store.latest_version(spark, root)
 
+    @property
+    def n_shards(self) -> int:
+        """The store's own shard count; the given one counts for a new store only."""
+        return store.shard_count(self.spark, self.root, self._given_shards)
+
     # -- reads ---------------------------------------------------------------
     def _table(self, version: int | None = None) -> DataFrame:
         v = version if version is not None else store.latest_version(self.spark, self.root)
@@ -96,4 +102,4 @@ class Index:
         return store.index_stats(self._table())
 
     def force_merge(self, max_files: int = 1, only_expunge_deletes: bool = False) -> int:
-        return store.compact(self.spark, self.root, max_files, only_expunge_deletes, self.n_shards)
+        return store.compact(self.spark, self.root, max_files, only_expunge_deletes)

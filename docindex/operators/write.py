@@ -47,6 +47,8 @@ REPLAY_BROADCAST_KEYS = 2_000_000  # distinct touched keys that may be broadcast
 META = {"_index", "_id", "seq", "op", "_version", "_deleted", "_seq", "shard", "version",
         "version_type", "routing", "parent", "pos", "batch_no"}
 
+PLACE = ("_routing", "_parent")  # what a document is routed by, before its id
+
 # Fixed values of the item contract: error types and HTTP-style statuses.
 ERR_CONFLICT = "version_conflict_engine_exception"
 ERR_MISSING = "document_missing_exception"
@@ -62,7 +64,8 @@ class ReplayResult:
 def body_fields(ops: DataFrame, table: DataFrame | None = None) -> list[str]:
     fields = [c for c in ops.columns if c not in META]
     if table is not None:
-        fields += [c for c in table.columns if c not in META and c not in fields and not c.startswith("_")]
+        # A stored document's own columns come along, routing and parent included.
+        fields += [c for c in table.columns if c not in META and c not in fields]
     return fields
 
 
@@ -231,6 +234,8 @@ def _final(table: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
         pick = F.max_by(F.struct(has.alias("h"), F.col(f).alias("v")),
                         F.struct(F.col("seg"), has, F.col("seq")))
         aggs.append(pick.alias(f"_p_{f}"))
+        if f in PLACE:
+            aggs.append(F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col("seq"))).alias(f"_q_{f}"))
     final = rows.groupBy(*KEY).agg(*aggs)
 
     t_cols = set(table.columns)
@@ -249,6 +254,9 @@ def _final(table: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
             val = F.when(touched, F.when(F.col("_n_exists"), new_val)).otherwise(F.col(f"_s{f}"))
         else:
             val = F.when(touched & F.col("_n_exists"), chosen)
+        if f in PLACE:  # a tombstone stays in the shard of its document
+            last = F.coalesce(F.col(f"_q_{f}"), F.col(f"_s{f}")) if f in t_cols else F.col(f"_q_{f}")
+            val = F.when(touched & ~F.col("_n_exists"), last).otherwise(val)
         out.append(val.alias(f))
     res = j.select(*out)
     # A key that never existed (only failed ops) leaves no row.
@@ -256,20 +264,28 @@ def _final(table: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def _prepare_ops(ops: DataFrame, table: DataFrame | None, default_index: str | None) -> DataFrame:
+    """Every op with an index, a log position and, where it may have one, an id.
+
+    ``routing`` and ``parent`` arguments become the document's ``_routing`` and ``_parent``.
+    """
     if default_index is not None:
         ops = default_index_of(ops, default_index)
-    if "seq" in ops.columns:
-        # POST path: index/create ops without an id get their W2 id; an id-less
-        # update or delete stays keyless and fails as a missing document.
-        auto = F.when(F.col("op").isin("index", "create"),
-                      F.sha2(F.concat_ws("|", F.col("_index"), F.col("seq").cast("string")), 256))
-        ops = ops.withColumn("_id", F.coalesce(F.col("_id"), auto))
+    for name in ("routing", "parent"):
+        if name in ops.columns:
+            given = F.col(name).cast("string")
+            ops = ops.withColumn(f"_{name}", F.coalesce(F.col(f"_{name}"), given) if f"_{name}" in ops.columns else given).drop(name)
+    if "_id" not in ops.columns:
+        ops = ops.withColumn("_id", F.lit(None).cast("string"))
     if "seq" not in ops.columns:
-        # Arrival order: ids are fixed once written, so a re-run task cannot renumber ops.
+        # Arrival order: positions are fixed once written, so a re-run task cannot renumber ops.
         from docindex.operators.rank import materialize
 
         ops = materialize(ops.withColumn("seq", F.monotonically_increasing_id()), "ops-seq")
-    return ops
+    # POST path: index/create ops without an id get their W2 id; an id-less update or delete stays keyless and
+    # fails as a missing document.
+    auto = F.when(F.col("op").isin("index", "create"),
+                  F.sha2(F.concat_ws("|", F.col("_index"), F.col("seq").cast("string")), 256))
+    return ops.withColumn("_id", F.coalesce(F.col("_id"), auto))
 
 
 def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK_ROWS,
@@ -444,6 +460,7 @@ def _update_with_noop(table: DataFrame, ops: DataFrame, chunk_rows: int) -> Repl
             cols.append(F.coalesce(F.col(f"_u_{c}"), F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
+    cols += [F.col(f"_u_{f}").alias(f) for f in fields if f not in table.columns]
     new_table = merged.select(*cols)
     return ReplayResult(with_untouched(new_table, untouched), items)
 

@@ -20,7 +20,7 @@ from docindex.session import scratch_path
 from docindex.sources import store
 from docindex.streaming import bulk as SB
 
-OPS_STREAM_SCHEMA = "_index string, _id string, seq long, op string, value double, props string, part int"
+OPS_STREAM_SCHEMA = "_index string, _id string, seq long, op string, value double, props string"
 N_PARTS = 4
 
 
@@ -86,7 +86,7 @@ def _write_parts(ops, path, n_parts, lo, n):
     """Fixture: the log as ``n_parts`` files written one after another, in seq order."""
     parted = ops.withColumn("part", F.floor((F.col("seq") - lo - 1) * n_parts / n).cast("int"))
     for p in range(n_parts):
-        parted.where(F.col("part") == p).coalesce(1).write.mode("overwrite").parquet(f"{path}/part={p}")
+        parted.where(F.col("part") == p).drop("part").coalesce(1).write.mode("overwrite").parquet(f"{path}/{p:02d}")
 
 
 def _stream_second_half(spark, sf):
@@ -96,7 +96,7 @@ def _stream_second_half(spark, sf):
     _write_parts(second, src, N_PARTS, cut, n - cut)
     root = scratch_path(spark, "store")
     store.write_index(W.bulk_replay(None, first).table, root)
-    q, paths = SB.bulk_stream(spark, SB.read_ops_stream(spark, src, OPS_STREAM_SCHEMA), root,
+    q, paths = SB.bulk_stream(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA), root,
                               checkpoint=scratch_path(spark, "ckpt"))
     q.awaitTermination()
     return paths
@@ -130,12 +130,10 @@ def s2_bulk_stateful(spark, sf):
     ops = fx.ops(spark, sf)
     src = scratch_path(spark, "ops-stream")
     _write_parts(ops, src, 2 * N_PARTS, 0, fx.ops_count(spark, sf))
-    sink, ck = scratch_path(spark, "items"), scratch_path(spark, "ckpt")
-    items = SB.bulk_stateful(SB.read_ops_stream(spark, src, OPS_STREAM_SCHEMA))
-    q = (items.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
+    q, paths = SB.bulk_stateful(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA), scratch_path(spark, "state"),
+                                scratch_path(spark, "ckpt"))
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.parquet(paths.items_path).drop("batch_id")
 
 
 @register("s4_search_stream", with_(DOCS) + """

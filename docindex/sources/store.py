@@ -2,32 +2,38 @@
 
 Layout under ``root``::
 
-    root/v=3/_index=<name>/shard=<n>/part-*.parquet   data of version 3
-    root/_manifest/v00000003/part-*.parquet           (_index, shard, version)
-
-Each version writes only the (index, shard) partitions it changed; its manifest
-maps every partition to the version directory that holds its current data, so
-a commit never rewrites untouched shards and never overwrites a path that a
-reader may be using. The manifest has one row per partition (bounded by
-indices x shards), so reading it on the driver is metadata, not data. Version
-folders are named ``v=<n>`` so one read over the current partition folders of
-any number of versions is a single scan with partition discovery under ``root``.
+    root/data/c=<commit>/_index=<name>/shard=<n>/part-*.parquet   what one commit wrote
+    root/_manifest/v00000003.json                                 the whole state of version 3
+
+A manifest holds the shard count, the merged schema, for every (index, shard) partition the commit folder with its
+current data, and the last batch of each stream. It is metadata, bounded by indices x shards. A commit writes a new
+data folder and then its manifest, by a rename that fails if that version exists already; a writer that loses the race
+reads the winner's version and applies its ops again on top, so no commit is lost. Readers open only committed
+manifests, so a crash leaves at most an unused folder, which ``vacuum`` removes.
+
+Reads use the manifest's schema: a field that a later commit added is null in older files, and index names stay
+strings. A partition is written only if it was read by the same commit, which is checked before committing.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docindex.functions.route import route
+from docindex.functions.route import route, shard_of
 
 DEFAULT_SHARDS = 4
-MANIFEST_SCHEMA = "_index string, shard int, version long"
+MANIFEST_SCHEMA = "_index string, shard int, commit string, version long"
+PARTS = ("_index", "shard")
 
 
+# ---------------------------------------------------------------- files
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
@@ -36,157 +42,250 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _vdir(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v={version}"
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
-def _mdir(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/_manifest/v{version:08d}"
+def _create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write ``text`` to ``path`` in one step; False if the file exists already."""
+    jvm = spark._jvm
+    fs, p = _fs(spark, path)
+    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(temp, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    no_overwrite = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    no_overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context.rename(fs.makeQualified(temp), fs.makeQualified(p), no_overwrite)
+    except Exception as e:  # noqa: BLE001 - py4j wraps the file system's own error
+        fs.delete(temp, False)
+        if "FileAlreadyExists" in str(e):
+            return False
+        raise
+    return True
+
+
+def _data_dir(root: str, commit: str) -> str:
+    return f"{root.rstrip('/')}/data/c={commit}"
+
+
+def _manifest_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/_manifest/v{version:08d}.json"
+
+
+# ---------------------------------------------------------------- manifests
+def _manifest_files(spark: SparkSession, root: str) -> dict:
+    """{version: modification time} by one listing."""
+    folder = f"{root.rstrip('/')}/_manifest"
+    if not _exists(spark, folder):
+        return {}
+    fs, p = _fs(spark, folder)
+    out = {}
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v") and name.endswith(".json"):
+            out[int(name[1:-5])] = st.getModificationTime()
+    return out
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions (a version counts once its manifest is written)."""
-    mroot = f"{root.rstrip('/')}/_manifest"
-    if not _exists(spark, mroot):
-        return []
-    fs, p = _fs(spark, mroot)
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v") and _exists(spark, f"{mroot}/{name}/_SUCCESS"):
-            out.append(int(name[1:]))
-    return sorted(out)
+    """Committed versions, ascending."""
+    return sorted(_manifest_files(spark, root))
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    vs = versions(spark, root)
-    return vs[-1] if vs else None
+    return max(_manifest_files(spark, root), default=None)
 
 
-_MANIFESTS: dict[tuple[str, int], list[tuple[str, int, int]]] = {}
+def read_manifest(spark: SparkSession, root: str, version: int | None = None) -> dict | None:
+    """The manifest of a version (default latest) or None for an empty root. A committed file never changes."""
+    v = latest_version(spark, root) if version is None else version
+    return None if v is None else json.loads(_read_text(spark, _manifest_path(root, v)))
 
 
-def manifest_rows(spark: SparkSession, root: str, version: int) -> list[tuple[str, int, int]]:
-    """(index, shard, version) rows of a committed manifest; cached (a version never changes)."""
-    key = (root.rstrip("/"), version)
-    if key not in _MANIFESTS:
-        _MANIFESTS[key] = [(r["_index"], r["shard"], r["version"])
-                           for r in spark.read.parquet(_mdir(root, version)).collect()]
-    return _MANIFESTS[key]
+def manifest_rows(spark: SparkSession, root: str, version: int) -> list[tuple[str, int, str, int]]:
+    """(index, shard, commit, version that wrote it) of every partition of a version."""
+    return [tuple(p) for p in read_manifest(spark, root, version)["parts"]]
 
 
 def manifest(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    v = latest_version(spark, root) if version is None else version
-    rows = [] if v is None else manifest_rows(spark, root, v)
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
-
+    found = read_manifest(spark, root, version)
+    return spark.createDataFrame([tuple(p) for p in found["parts"]] if found else [], MANIFEST_SCHEMA)
 
-def _ensure_shard(df: DataFrame, n_shards: int) -> DataFrame:
-    return df if "shard" in df.columns else route(df, n_shards)
 
+def shard_count(spark: SparkSession, root: str, default: int = DEFAULT_SHARDS) -> int:
+    """The shard count that the store was created with; ``default`` for a store without a version."""
+    found = read_manifest(spark, root)
+    return found["n_shards"] if found else default
 
-def _escape(spark: SparkSession, value: str) -> str:
-    """A partition value as Spark writes it in a folder name (``/``, ``=``, ... escaped)."""
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
-
-def _written_parts(spark: SparkSession, root: str, version: int) -> list[tuple[str, int]]:
-    """(index, shard) directories present in a version directory (a listing, no data read)."""
+def _written_parts(spark: SparkSession, root: str, commit: str) -> list[tuple[str, int]]:
+    """(index, shard) folders of a commit (a listing, no data read)."""
     jvm = spark._jvm
     fs, _p = _fs(spark, root)
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{_vdir(root, version)}/_index=*/shard=*")
     out = []
-    for st in fs.globStatus(pattern) or []:
-        shard_dir = st.getPath()
-        idx = jvm.org.apache.hadoop.fs.Path.getPathWithoutSchemeAndAuthority(shard_dir.getParent()).getName()
-        out.append((jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(idx.split("=", 1)[1]),
-                    int(shard_dir.getName().split("=", 1)[1])))
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{_data_dir(root, commit)}/_index=*/shard=*")) or []:
+        names = [st.getPath().getParent().getName(), st.getPath().getName()]
+        index = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(names[0].split("=", 1)[1])
+        out.append((index, int(names[1].split("=", 1)[1])))
     return out
 
 
-def _commit_manifest(spark: SparkSession, root: str, version: int, base: int | None,
-                     replaced: set | None = None) -> None:
-    """Manifest of ``version``: partitions written now, plus the base's other ones.
+def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Fields of both; a field that both have must have one type (evolve the mapping first otherwise)."""
+    out = {f.name: f for f in (old.fields if old else [])}
+    for f in new.fields:
+        if f.name in out and out[f.name].dataType != f.dataType and not isinstance(f.dataType, T.NullType):
+            raise ValueError(f"field {f.name} is stored as {out[f.name].dataType.simpleString()}, written as {f.dataType.simpleString()}")
+        out.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+    return T.StructType([f for f in out.values() if f.name not in PARTS])
 
-    ``replaced`` lists base partitions that this version drops even if it wrote
-    nothing for them (compaction of shards that held only tombstones). The
-    manifest is metadata (one row per partition), assembled on the driver.
-    """
-    written = {(i, s): version for i, s in _written_parts(spark, root, version)}
-    rows = dict(written)
-    if base is not None and replaced is not None:
-        for i, s, v in manifest_rows(spark, root, base):
-            if (i, s) not in written and (i, s) not in replaced:
-                rows[(i, s)] = v
-    out = [(i, s, v) for (i, s), v in sorted(rows.items())]
-    spark.createDataFrame(out, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(_mdir(root, version))
-    _MANIFESTS[(root.rstrip("/"), version)] = out
-
-
-def write_index(df: DataFrame, root: str, n_shards: int = DEFAULT_SHARDS, version: int | None = None,
-                base_version: int | None = None, touched: DataFrame | None = None) -> int:
-    """I8 (write): commit ``df`` as a new version.
-
-    Without ``touched``, ``df`` is the whole table. With ``touched`` (rows of
-    ``_index, shard``), ``df`` holds exactly those partitions and every other
-    partition keeps pointing at ``base_version``'s data. Re-running a commit
-    with the same ``version`` rewrites the same directories (idempotent).
-    Rows are grouped by (index, shard) with a rebalance, so AQE splits a large
-    (hot) shard over several writer tasks and merges small ones.
+
+def _write_parts(spark: SparkSession, root: str, data: DataFrame) -> str:
+    commit = uuid.uuid4().hex
+    data.write.partitionBy(*PARTS).parquet(_data_dir(root, commit))
+    return commit
+
+
+def _commit(spark: SparkSession, root: str, base: int | None, new: dict) -> int | None:
+    """Commit ``new`` as the version after ``base``; None if another writer was first."""
+    fs, folder = _fs(spark, f"{root.rstrip('/')}/_manifest")
+    fs.mkdirs(folder)
+    version = (base or 0) + 1
+    return version if _create_once(spark, _manifest_path(root, version), json.dumps(new)) else None
+
+
+def write_index(df: DataFrame, root: str, n_shards: int | None = None) -> int:
+    """I8 (write): commit ``df`` as the whole table; returns the new version.
+
+    Rows are grouped by (index, shard) with a rebalance, so AQE splits a large (hot) shard over several writers and
+    merges small ones. ``n_shards`` defaults to the store's own count.
     """
     spark = df.sparkSession
-    v = version if version is not None else (latest_version(spark, root) or 0) + 1
-    data = _ensure_shard(df, n_shards)
-    (data.hint("rebalance", "_index", "shard").write.mode("overwrite")
-     .partitionBy("_index", "shard").parquet(_vdir(root, v)))
-    # Partial write: every touched partition with data was rewritten (stored rows
-    # are kept), so the base's other partitions carry over unchanged.
-    _commit_manifest(spark, root, v, base_version, set() if touched is not None else None)
-    return v
-
-
-def read_index(spark: SparkSession, root: str, indices: list[str] | None = None,
-               version: int | None = None) -> DataFrame:
-    """I8 (read): the table at ``version`` (default latest); empty list or None = all indices.
-
-    Partitions are read from the version directory the manifest names; the
-    ``_index`` filter prunes directories before any file is opened.
+    while True:
+        base = latest_version(spark, root)
+        old = read_manifest(spark, root, base) if base else None
+        shards = n_shards or (old["n_shards"] if old else DEFAULT_SHARDS)
+        data = route(df.drop("shard"), shards).hint("rebalance", *PARTS)
+        commit = _write_parts(spark, root, data)
+        parts = [[i, s, commit, (base or 0) + 1] for i, s in sorted(_written_parts(spark, root, commit))]
+        new = {"n_shards": shards, "schema": merged_schema(None, df.drop("shard").schema).jsonValue(), "parts": parts,
+               "streams": old["streams"] if old else {}}
+        version = _commit(spark, root, base, new)
+        if version is not None:
+            return version
+
+
+def read_index(spark: SparkSession, root: str, indices: list[str] | None = None, version: int | None = None,
+               pairs: set | None = None) -> DataFrame:
+    """I8 (read): the table at ``version`` (default latest); an empty list or None means all indices.
+
+    Only the folders of the asked indices (or of the (index, shard) ``pairs``) are listed and read.
     """
-    v = latest_version(spark, root) if version is None else version
-    if v is None:
+    found = read_manifest(spark, root, version)
+    if found is None:
         raise FileNotFoundError(f"no committed version under {root}")
     wanted = set(indices) if indices else None
-    paths = [f"{_vdir(root, ver)}/_index={_escape(spark, idx)}/shard={shard}"
-             for idx, shard, ver in manifest_rows(spark, root, v)  # one row per partition: metadata
-             if wanted is None or idx in wanted]
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    paths = [f"{_data_dir(root, commit)}/_index={escape(index)}/shard={shard}" for index, shard, commit, _ in found["parts"]
+             if (wanted is None or index in wanted) and (pairs is None or (index, shard) in pairs)]
+    body = T.StructType.fromJson(found["schema"])
+    schema = T.StructType([*body.fields, T.StructField("_index", T.StringType()), T.StructField("shard", T.IntegerType())])
     if not paths:
-        return spark.read.parquet(_vdir(root, v)).where(F.lit(False)).drop("v")
-    return spark.read.option("basePath", root.rstrip("/")).parquet(*paths).drop("v")
+        return spark.createDataFrame([], schema)
+    return (spark.read.schema(T.StructType([*schema.fields, T.StructField("c", T.StringType())]))
+            .option("basePath", f"{root.rstrip('/')}/data").parquet(*paths).drop("c"))
 
 
-def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int = DEFAULT_SHARDS,
-                  version: int | None = None, chunk_rows: int | None = None,
-                  base_version: int | None = -1):
-    """Apply an ops log to the stored table, rewriting only the shards it touches.
+def touched_pairs(spark: SparkSession, root: str, ops: DataFrame, version: int | None, n_shards: int) -> set:
+    """(index, shard) pairs that a log can change: where its ops are routed, and where its keys are stored now.
 
-    Returns (new version, item results). The touched (index, shard) set is a lazy
-    frame whose size is bounded by the partition count; the stored side is
-    semi-joined against its broadcast, so untouched shards are neither read nor
-    written. The replay is evaluated once (materialised) for table and items.
+    The second part is needed as an op may lack the routing that its document was stored with. It reads the
+    key columns of the log's indices only, and only if the store has routed documents. Bounded by indices x shards.
+    """
+    own = ops.select("_index", shard_of(_routing(ops), n_shards).alias("shard")).distinct()
+    found = {(r["_index"], r["shard"]) for r in own.collect() if r["shard"] is not None}  # an op without id or routing fails
+    if version is None:
+        return found
+    stored = read_index(spark, root, sorted({i for i, _ in found}), version)
+    if {"_routing", "_parent"} & set(stored.columns):
+        keys = ops.select("_index", "_id").distinct()
+        at = stored.select("_index", "_id", "shard").join(keys, ["_index", "_id"], "left_semi").select("_index", "shard").distinct()
+        found |= {(r["_index"], r["shard"]) for r in at.collect()}
+    return found
+
+
+def _routing(df: DataFrame):
+    return F.coalesce(*[F.col(c) for c in ("_routing", "_parent", "_id") if c in df.columns])
+
+
+def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int | None = None, chunk_rows: int | None = None,
+                  default_index: str | None = None, stream: tuple[str, int] | None = None, on_items=None):
+    """Apply an ops log to the stored table, reading and rewriting only the partitions it touches.
+
+    Returns (new version, item results). Auto ids and arrival order are fixed first; then the touched partitions are
+    listed, read, replayed once (the evaluated rows are written to the checkpoint folder and used for the items and
+    for the table) and committed. If another writer commits first, the replay is done again on its version.
+    ``stream`` = (name, batch) makes the commit of a batch happen once: a batch that the manifest has is not applied
+    again (None is returned for its items). ``on_items`` gets the items before the commit.
     """
     from docindex.operators import write as W
+    from docindex.operators.rank import materialize
 
-    base = latest_version(spark, root) if base_version == -1 else base_version
-    touched = route(ops, n_shards).select("_index", "shard").distinct()
-    stored = None
-    if base is not None:
-        stored = read_index(spark, root, version=base).join(F.broadcast(touched), ["_index", "shard"], "left_semi")
-        stored = stored.drop("shard")
+    ops = W._prepare_ops(ops, None, default_index)
     kwargs = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
-    res = W.bulk_replay(stored, ops, materialize_rows=True, **kwargs)
-    v = version if version is not None else (base or 0) + 1
-    write_index(route(res.table, n_shards), root, n_shards, version=v, base_version=base, touched=touched)
-    return v, res.items
+    while True:
+        base = latest_version(spark, root)
+        old = read_manifest(spark, root, base) if base else None
+        if stream and old and old["streams"].get(stream[0], -1) >= stream[1]:
+            return base, None
+        shards = old["n_shards"] if old else (n_shards or DEFAULT_SHARDS)
+        pairs = touched_pairs(spark, root, ops, base, shards)
+        table = read_index(spark, root, version=base, pairs=pairs).drop("shard") if old else None
+        res = W.bulk_replay(table, ops, materialize_rows=True, **kwargs)
+        items = materialize(res.items, "items") if on_items is None else res.items
+        if on_items is not None:
+            on_items(items)
+        new_table = route(res.table, shards)
+        schema = merged_schema(T.StructType.fromJson(old["schema"]) if old else None, new_table.schema)
+        commit = _write_parts(spark, root, new_table.hint("rebalance", *PARTS))
+        written = set(_written_parts(spark, root, commit))
+        if not written <= pairs:  # cannot happen while every routing value comes from an op or a stored row
+            raise RuntimeError(f"partitions written without having been read: {sorted(written - pairs)}")
+        parts = [p for p in (old["parts"] if old else []) if (p[0], p[1]) not in pairs] + [[i, s, commit, (base or 0) + 1] for i, s in written]
+        streams = dict(old["streams"]) if old else {}
+        if stream:
+            streams[stream[0]] = stream[1]
+        version = _commit(spark, root, base, {"n_shards": shards, "schema": schema.jsonValue(), "parts": sorted(parts), "streams": streams})
+        if version is not None:
+            return version, items
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove data folders that none of the last ``keep`` versions uses, and the older manifests. Returns their names.
+
+    Run it when no writer is at work: a commit in progress has a folder that no manifest names yet.
+    """
+    kept = versions(spark, root)[-keep:]
+    used = {p[2] for v in kept for p in read_manifest(spark, root, v)["parts"]}
+    fs, data = _fs(spark, f"{root.rstrip('/')}/data")
+    gone = []
+    for st in fs.listStatus(data) if fs.exists(data) else []:
+        name = st.getPath().getName()
+        if name.startswith("c=") and name[2:] not in used:
+            fs.delete(st.getPath(), True)
+            gone.append(name[2:])
+    for v in versions(spark, root):
+        if v not in kept:
+            fs.delete(_fs(spark, _manifest_path(root, v))[1], False)
+    return gone
 
 
 # ---------------------------------------------------------------- X1 / X2
@@ -201,29 +300,28 @@ def index_stats(table: DataFrame, body: list[str] | None = None) -> DataFrame:
         F.max("_version").alias("max_version"))
 
 
-def compact(spark: SparkSession, root: str, max_files: int = 1, expunge_only: bool = False,
-            n_shards: int = DEFAULT_SHARDS) -> int:
-    """Rewrite the table as a new version: tombstones dropped, at most
-    ``max_files`` files per (index, shard). With ``expunge_only`` only partitions
-    that hold tombstones are rewritten. Live rows are unchanged.
+def compact(spark: SparkSession, root: str, max_files: int = 1, expunge_only: bool = False, n_shards: int | None = None) -> int:
+    """Rewrite the table as a new version: tombstones dropped, at most ``max_files`` files per (index, shard).
 
-    Dropping a tombstone forgets its version: a later write of that id starts at 1.
+    With ``expunge_only`` only partitions that hold tombstones are rewritten. Live rows are unchanged. Dropping a
+    tombstone forgets its version: a later write of that id starts at 1. A store without live rows reads as empty.
     """
-    base = latest_version(spark, root)
-    cur = read_index(spark, root, version=base)
-    replaced = None
-    if expunge_only:
-        # Partitions holding tombstones: one row per partition, collected as metadata.
-        dirty = [(r["_index"], r["shard"]) for r in
-                 cur.where(F.col("_deleted")).select("_index", "shard").distinct().collect()]
-        replaced = set(dirty)
-        cur = cur.join(F.broadcast(spark.createDataFrame(dirty, "_index string, shard int")),
-                       ["_index", "shard"], "left_semi")
-    live = cur.where(~F.col("_deleted"))
-    # At most max_files tasks write each partition: hash the id into max_files buckets.
-    salt = F.pmod(F.xxhash64("_id"), F.lit(max_files))
-    v = (base or 0) + 1
-    (live.repartition("_index", "shard", salt).write.mode("overwrite")
-     .partitionBy("_index", "shard").parquet(_vdir(root, v)))
-    _commit_manifest(spark, root, v, base, replaced)
-    return v
+    while True:
+        base = latest_version(spark, root)
+        if base is None:
+            raise FileNotFoundError(f"no committed version under {root}")
+        old = read_manifest(spark, root, base)
+        if n_shards not in (None, old["n_shards"]):
+            raise ValueError(f"the store has {old['n_shards']} shards")
+        pairs = {(p[0], p[1]) for p in old["parts"]}
+        if expunge_only:  # one row per partition, collected as metadata
+            dirty = read_index(spark, root, version=base).where(F.col("_deleted")).select(*PARTS).distinct()
+            pairs = {(r["_index"], r["shard"]) for r in dirty.collect()}
+        live = read_index(spark, root, version=base, pairs=pairs).where(~F.col("_deleted"))
+        # At most max_files tasks write each partition: hash the id into max_files buckets.
+        salt = F.pmod(F.xxhash64("_id"), F.lit(max_files))
+        commit = _write_parts(spark, root, live.repartition(*PARTS, salt))
+        parts = [p for p in old["parts"] if (p[0], p[1]) not in pairs] + [[i, s, commit, base + 1] for i, s in _written_parts(spark, root, commit)]
+        version = _commit(spark, root, base, {**old, "parts": sorted(parts)})
+        if version is not None:
+            return version

@@ -2,79 +2,64 @@
 
 S1 applies an ordered ops stream to the store one micro-batch at a time
 (``foreachBatch`` runs batches strictly in order, like the reference's
-one-request-in-flight flow). Batch ``k`` always starts from version
-``seed + k`` and writes version ``seed + k + 1`` plus its item results, so a
-batch replayed after a failure rewrites the same directories with the same
-content: the sink is idempotent and needs no state store.
+one-request-in-flight flow). A commit's manifest names the stream and the batch
+it holds, so a batch replayed after a failure is committed once; its items are
+written before the commit, into a folder of their own that a replay rewrites.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from docindex.operators import write as W
+from docindex.operators.rank import batch_numbers
 from docindex.sources import store
 
-ITEM_SCHEMA = ("seq long, op string, _index string, _id string, _version long, status int, "
-               "result string, error_type string")
-
 
 @dataclass
 class BulkStream:
     root: str
-    seed_version: int
     items_path: str
     summary_path: str
 
 
-def _batch_fn(spark: SparkSession, root: str, seed: int, n_shards: int, items_path: str, summary_path: str):
+def _batch_fn(spark: SparkSession, root: str, seed: int, n_shards: int, items_path: str, summary_path: str,
+              batch_size: int | None = None, default_index: str | None = None):
+    """Apply one micro-batch. The stream's name in the manifests is its items folder."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        base = seed + batch_id
-        ops = batch.drop("part") if "part" in batch.columns else batch
-        v, items = store.commit_replay(spark, root, ops, n_shards, version=base + 1,
-                                       base_version=base if base > 0 else None)
         items_dir = f"{items_path}/batch_id={batch_id}"
-        items.write.mode("overwrite").parquet(items_dir)
-        # S3: the bulk response summary of this micro-batch, from the written items.
-        written = spark.read.parquet(items_dir).withColumn("batch_no", F.lit(batch_id).cast("long"))
-        W.bulk_batch_summary(written).write.mode("overwrite").parquet(f"{summary_path}/batch_id={batch_id}")
+        store.commit_replay(spark, root, batch, n_shards, default_index=default_index, stream=(items_path, batch_id),
+                            on_items=lambda items: items.write.mode("overwrite").parquet(items_dir))
+        # S3: bulk responses of this micro-batch, from the written items: one, or one per ``batch_size`` ops.
+        written = spark.read.schema(ITEM_SCHEMA).parquet(items_dir)
+        numbered = batch_numbers(written, "seq", batch_size) if batch_size else written.withColumn("batch_no", F.lit(batch_id).cast("long"))
+        W.bulk_batch_summary(numbered).write.mode("overwrite").parquet(f"{summary_path}/batch_id={batch_id}")
     return apply
 
 
-def bulk_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
-                n_shards: int = store.DEFAULT_SHARDS, available_now: bool = True):
-    """S1 (+S3): start the stream; returns (query, BulkStream paths).
-
-    ``source`` is a streaming DataFrame of ops (``readStream`` with a size bound
-    such as ``maxFilesPerTrigger``). The store at ``root`` may hold a seed version.
-    """
-    seed = _stream_seed(spark, root, checkpoint)
-    items_path = f"{root.rstrip('/')}/_items"
-    summary_path = f"{root.rstrip('/')}/_summary"
-    writer = (source.writeStream.foreachBatch(_batch_fn(spark, root, seed, n_shards, items_path, summary_path))
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    q = writer.start()
-    return q, BulkStream(root, seed, items_path, summary_path)
+ITEM_SCHEMA = ("seq long, op string, _index string, _id string, _version long, status int, "
+               "result string, error_type string")
 
 
-def _stream_seed(spark: SparkSession, root: str, checkpoint: str) -> int:
-    """The store version the stream started from, fixed at its first start.
+def bulk_stream(spark: SparkSession, source: DataFrame, root: str, checkpoint: str,
+                n_shards: int = store.DEFAULT_SHARDS, available_now: bool = True, batch_size: int | None = None,
+                default_index: str | None = None):
+    """S1 (+S3): start the stream; returns (query, BulkStream paths).
 
-    Kept beside the checkpoint, so a restarted query keeps mapping batch ``k`` to
-    version ``seed + k + 1`` instead of re-reading the (already advanced) latest.
+    ``source`` is a streaming DataFrame of ops (``readStream`` with a size bound such as ``maxFilesPerTrigger``); all
+    its columns but the op's own are body fields. The store at ``root`` may hold documents already, and other
+    writers may commit between batches. With ``batch_size`` each micro-batch answers one response per that many ops.
     """
-    path = f"{checkpoint.rstrip('/')}-docindex-seed"
-    if store._exists(spark, f"{path}/_SUCCESS"):
-        return int(spark.read.parquet(path).collect()[0]["seed"])
-    seed = store.latest_version(spark, root) or 0
-    spark.createDataFrame([(seed,)], "seed long").coalesce(1).write.mode("overwrite").parquet(path)
-    return seed
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+    items_path = f"{root.rstrip('/')}/_items/{name}"
+    summary_path = f"{root.rstrip('/')}/_summary/{name}"
+    apply = _batch_fn(spark, root, 0, n_shards, items_path, summary_path, batch_size, default_index)
+    writer = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    q = (writer.trigger(availableNow=True) if available_now else writer).start()
+    return q, BulkStream(root, items_path, summary_path)
 
 
 def stream_batch_summary(items_stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
@@ -97,63 +82,24 @@ def read_ops_stream(spark: SparkSession, path: str, schema: str, files_per_trigg
 
 
 # ---------------------------------------------------------------- S2
-def _fold_state(key, pdfs, state, ttl_ms: int | None = None):
-    if state.hasTimedOut:
-        # Idle longer than the TTL: forget the key (a later op starts from scratch).
-        state.remove()
-        return
-    exists, version = state.get if state.exists else (False, 0)
-    frames = list(pdfs)
-    if not frames:
-        return
-    pdf = pd.concat(frames).sort_values("seq")
-    out = []
-    for seq, op in zip(pdf["seq"].tolist(), pdf["op"].tolist()):
-        if op == "index":
-            status, result, err = (200, "updated", None) if exists else (201, "created", None)
-            exists, version, ok = True, version + 1, True
-        elif op == "create":
-            ok = not exists
-            status, result, err = (201, "created", None) if ok else (409, None, W.ERR_CONFLICT)
-            if ok:
-                exists, version = True, version + 1
-        elif op == "update":
-            ok = exists
-            status, result, err = (200, "updated", None) if ok else (404, None, W.ERR_MISSING)
-            if ok:
-                version += 1
-        else:
-            ok = exists
-            status, result, err = (200, "deleted", None) if ok else (404, "not_found", None)
-            if ok:
-                exists, version = False, version + 1
-        out.append((seq, op, key[0], key[1], version if ok else None, status, result, err))
-    state.update((exists, version))
-    if ttl_ms:
-        state.setTimeoutDuration(ttl_ms)
-    yield pd.DataFrame(out, columns=["seq", "op", "_index", "_id", "_version", "status", "result", "error_type"]) \
-        .astype({"_version": "Int64", "status": "int32"})
-
-
-def bulk_stateful(ops_stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Item results without a table; per-key state ``(exists, version)``.
-
-    Keys are hash-partitioned across tasks; each task folds only its keys' ops of
-    the micro-batch, in ``seq`` order. State grows with distinct keys unless
-    ``ttl_ms`` is given: a key idle for that long (processing time) is dropped.
-    A TTL needs a continuously running query (processing-time trigger): the
-    engine keeps scheduling timeout checks, so an ``availableNow`` run never ends.
+def bulk_stateful(spark: SparkSession, ops_stream: DataFrame, root: str, checkpoint: str,
+                  n_shards: int = store.DEFAULT_SHARDS, available_now: bool = True):
+    """Item results without a document table; the state is one (exists, version) row per key.
+
+    The state is a store without bodies, so every micro-batch is evaluated by the replay's chunked closed form
+    (windows in the JVM, a hot key's ops split over tasks) against the state rows of the shards it touches.
+    Returns (query, BulkStream paths); the item results are under ``items_path``. State grows with distinct keys.
     """
-    fn = _fold_state if not ttl_ms else (lambda k, p, st: _fold_state(k, p, st, ttl_ms))
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
-    return ops_stream.groupBy("_index", "_id").applyInPandasWithState(
-        fn, ITEM_SCHEMA, "exists boolean, version long", "append", timeout)
+    keys = [c for c in ("_index", "_id", "seq", "op", "_routing", "_parent") if c in ops_stream.columns]
+    return bulk_stream(spark, ops_stream.select(*keys), root, checkpoint, n_shards, available_now)
 
 
 # ---------------------------------------------------------------- S4
 def search_stream(docs_stream: DataFrame, predicate, sinks: list[str], checkpoints: list[str],
                   available_now: bool = True):
     """Continuous hits of a predicate, delivered to several consumers (one query each)."""
+    if len(sinks) != len(checkpoints):
+        raise ValueError("one checkpoint per sink")
     hits = docs_stream.where(~F.col("_deleted")).where(predicate)
     queries = []
     for path, ck in zip(sinks, checkpoints):

@@ -4,6 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from docindex.operators import write as W
 from docindex.session import scratch_path
 from docindex.sources import codec as C
@@ -122,32 +124,104 @@ def test_bulk_stream_restart_continues_versions(spark):
     assert got == want and store.latest_version(spark, root) == 3
 
 
-def test_bulk_stateful_with_ttl_matches_replay(spark):
+def test_bulk_stateful_matches_replay(spark):
     from docindex.streaming import bulk as SB
 
     schema = "_index string, _id string, seq long, op string, name string"
-    src, sink, ck = scratch_path(spark, "src"), scratch_path(spark, "sink"), scratch_path(spark, "ck")
+    src, root, ck = scratch_path(spark, "src"), scratch_path(spark, "state"), scratch_path(spark, "ck")
     rows = [("ix", str(i % 5), i, ["index", "update", "delete", "create"][i % 4], f"n{i}") for i in range(1, 41)]
     for p in (rows[:20], rows[20:]):
         spark.createDataFrame(p, schema).coalesce(1).write.mode("append").parquet(src)
-    items = SB.bulk_stateful(SB.read_ops_stream(spark, src, schema), ttl_ms=3_600_000)
-    # Timeouts need a continuously running query (an availableNow query would keep
-    # scheduling timeout checks), so this one runs on a processing-time trigger.
-    q = (items.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
-         .outputMode("append").trigger(processingTime="1 second").start())
-    import time
-
-    deadline = time.time() + 90
-    try:  # the query keeps running empty timeout checks, so wait for the items, then stop it
-        while time.time() < deadline:
-            time.sleep(1)
-            if q.lastProgress and store._exists(spark, f"{sink}/_spark_metadata") \
-                    and spark.read.parquet(sink).count() >= len(rows):
-                break
-    finally:
-        q.stop()
+    q, paths = SB.bulk_stateful(spark, SB.read_ops_stream(spark, src, schema), root, ck)
+    q.awaitTermination()
     want = sorted((r.seq, r.status, r._version) for r in W.bulk_replay(None, spark.createDataFrame(rows, schema)).items.collect())
-    assert sorted((r.seq, r.status, r._version) for r in spark.read.parquet(sink).collect()) == want
+    assert sorted((r.seq, r.status, r._version) for r in spark.read.parquet(paths.items_path).collect()) == want
+    assert "name" not in store.read_index(spark, root).columns
+
+
+def _docs(spark, n, **more):
+    rows = [("ix", str(i), f"src{i % 7}", None, 1, False, i, f"n{i}") for i in range(n)]
+    return spark.createDataFrame(rows, "_index string, _id string, _routing string, _parent string, _version long, _deleted boolean, _seq long, name string")
+
+
+def test_routed_store_keeps_every_document(spark):
+    root = scratch_path(spark, "routed")
+    store.write_index(_docs(spark, 100), root)
+    for i in (3, 4, 5, 6):
+        _, items = store.commit_replay(spark, root, _ops(spark, [("ix", str(i), 1000 + i, "update", "new")]))
+        assert [r.status for r in items.collect()] == [200]
+    store.commit_replay(spark, root, _ops(spark, [("ix", "9", 2000, "delete", None), ("ix", "new", 2001, "index", "x"), ("ix", "8", 2002, "index", "moved")]))
+    got = {r._id: r for r in store.read_index(spark, root).collect()}
+    assert len(got) == 101 and got["4"].name == "new" and got["4"]._routing == "src4" and got["50"].name == "n50"
+    assert got["9"]._deleted and got["9"]._routing == "src2" and got["8"]._routing is None and got["8"].name == "moved"
+
+
+def test_routing_argument_reaches_the_store(spark):
+    root = scratch_path(spark, "routed")
+    ops = spark.createDataFrame([("ix", "1", 1, "index", "a", "k1", None), ("ix", "2", 2, "index", "b", None, "p"), ("ix", "1", 3, "delete", None, "k1", None)],
+                                "_index string, _id string, seq long, op string, name string, routing string, parent string")
+    store.commit_replay(spark, root, ops)
+    assert sorted((r._id, r._routing, r._parent, r._deleted) for r in store.read_index(spark, root).collect()) == [("1", "k1", None, True), ("2", None, "p", False)]
+
+
+def test_post_into_a_store(spark):
+    root = scratch_path(spark, "post")
+    store.write_index(_docs(spark, 100), root)
+    store.commit_replay(spark, root, spark.createDataFrame([("ix", None, 1000, "index", "posted")], "_index string, _id string, seq long, op string, name string"))
+    store.commit_replay(spark, root, spark.createDataFrame([("ix", "index", "again")], "_index string, op string, name string"))
+    got = store.read_index(spark, root)
+    assert got.count() == 102 and got.where("name in ('posted', 'again')").count() == 2
+
+
+def test_store_schema_grows_and_index_names_stay_strings(spark):
+    root = scratch_path(spark, "schema")
+    store.commit_replay(spark, root, _ops(spark, [("2024.1", "1", 1, "index", "a"), ("2024.10", "1", 2, "index", "b")]))
+    more = spark.createDataFrame([("2024.10", "2", 3, "index", "c", "Rome")], "_index string, _id string, seq long, op string, name string, city string")
+    store.commit_replay(spark, root, more)
+    got = {(r._index, r._id): (r.name, r.city) for r in store.read_index(spark, root).collect()}
+    assert got == {("2024.1", "1"): ("a", None), ("2024.10", "1"): ("b", None), ("2024.10", "2"): ("c", "Rome")}
+    with pytest.raises(ValueError):
+        store.commit_replay(spark, root, spark.createDataFrame([("x", "2", 4, "index", 5)], "_index string, _id string, seq long, op string, city long"))
+
+
+def test_two_writers_from_one_base_keep_both(spark, monkeypatch):
+    root = scratch_path(spark, "race")
+    store.commit_replay(spark, root, _ops(spark, [("ix", "1", 1, "index", "a"), ("ix", "2", 2, "index", "b")]))
+    commit, raced = store._commit, []
+
+    def late(spark_, root_, base, new):
+        if not raced:  # another writer commits between this one's read and its commit
+            raced.append(1)
+            store.commit_replay(spark, root, _ops(spark, [("ix", "1", 10, "update", "other")]))
+        return commit(spark_, root_, base, new)
+
+    monkeypatch.setattr(store, "_commit", late)
+    store.commit_replay(spark, root, _ops(spark, [("ix", "1", 11, "update", "mine"), ("ix", "2", 12, "update", "mine")]))
+    got = {r._id: (r.name, r._version) for r in store.read_index(spark, root).collect()}
+    assert got == {"1": ("mine", 3), "2": ("mine", 2)} and store.versions(spark, root) == [1, 2, 3]
+
+
+def test_compact_of_tombstones_only_and_vacuum(spark):
+    root = scratch_path(spark, "empty")
+    store.commit_replay(spark, root, _ops(spark, [("ix", "1", 1, "index", "a")]))
+    store.commit_replay(spark, root, _ops(spark, [("ix", "1", 2, "delete", None)]))
+    store.compact(spark, root)
+    assert store.read_index(spark, root).count() == 0 and "name" in store.read_index(spark, root).columns
+    assert len(store.vacuum(spark, root, keep=1)) >= 2 and store.versions(spark, root) == [3]
+
+
+def test_another_shard_count_still_finds_documents(spark):
+    from docindex.api import Index
+
+    root = scratch_path(spark, "shards")
+    Index(spark, root, "ix", 8).index(spark.createDataFrame([(str(i), i, "a") for i in range(20)], "_id string, seq long, name string"))
+    assert all(Index(spark, root, "ix", 3).get(str(i)).count() == 1 for i in range(20))
+
+
+def test_noop_update_keeps_new_fields(spark):
+    table = W.bulk_replay(None, _ops(spark, [("ix", "1", 1, "index", "a")])).table
+    delta = spark.createDataFrame([("ix", "1", 5, "a", "Rome")], "_index string, _id string, seq long, name string, city string")
+    assert [(r.name, r.city, r._version) for r in W.update_docs(table, delta, detect_noop=True).table.collect()] == [("a", "Rome", 2)]
 
 
 def test_stream_batch_summary_per_micro_batch(spark):
