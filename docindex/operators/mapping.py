@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docindex.session import spread
 
 # Fixed: field types of a mapping and the Spark type each one is stored as.
 MAPPING_TYPES = {
@@ -44,28 +43,31 @@ def mapping_schema(mapping: dict) -> T.StructType:
     return T.StructType([T.StructField(name, _field_type(spec)) for name, spec in props.items()])
 
 
-def spark_date_pattern(es_format: str) -> tuple[str, bool]:
-    """A Spark datetime pattern for a mapping's date ``format``.
+def spark_date_patterns(formats: str) -> list[tuple[str, bool]]:
+    """Spark datetime patterns for a mapping's date ``format``, one for each of its ``||`` alternatives.
 
     Spark cannot parse a weekday (``EEE``) or a week-based year (``YYYY``): the
     weekday prefix is dropped (and stripped from values), ``YYYY`` becomes ``yyyy``.
-    Returns (pattern, strip_leading_weekday).
+    Returns (pattern, strip_leading_weekday) pairs.
     """
-    fmt = es_format.split("||")[0].strip()
-    strip = False
-    if fmt.startswith("EEE "):
-        fmt, strip = fmt[4:], True
-    fmt = fmt.replace("YYYY", "yyyy")
-    return fmt, strip
+    out = []
+    for fmt in (f.strip() for f in formats.split("||")):
+        strip = fmt.startswith("EEE ")
+        out.append(((fmt[4:] if strip else fmt).replace("YYYY", "yyyy"), strip))
+    return out
 
 
 def _date_col(c: Column, spec: dict) -> Column:
-    fmt = spec.get("format")
-    if not fmt:
-        return F.try_to_timestamp(c, F.lit(DEFAULT_DATE_FORMAT))
-    pattern, strip = spark_date_pattern(fmt)
-    v = F.regexp_replace(c, r"^\S+\s+", "") if strip else c
-    return F.try_to_timestamp(v, F.lit(pattern))
+    """The value under the first format that fits."""
+    fits = []
+    for pattern, strip in spark_date_patterns(spec.get("format") or DEFAULT_DATE_FORMAT):
+        v = F.regexp_replace(c, r"^\S+\s+", "") if strip else c
+        if pattern in ("epoch_millis", "epoch_second"):
+            number = v.try_cast("long")
+            fits.append(F.timestamp_millis(number) if pattern == "epoch_millis" else F.timestamp_seconds(number))
+        else:
+            fits.append(F.try_to_timestamp(v, F.lit(pattern)))
+    return F.coalesce(*fits)
 
 
 @dataclass
@@ -81,14 +83,17 @@ def apply_mapping(df: DataFrame, json_col: str, mapping: dict, keep: list[str] |
     The body is parsed once, every top-level field as its raw JSON text; each
     field is then cast to its declared type (``try_cast``; objects and nested
     fields through ``from_json``; dates through the mapping's format). A raw
-    value that is present but whose typed value is null did not fit. With
+    value that is present but whose typed value is null did not fit; a body that
+    is not a JSON object is a reject of field ``_source``, with the whole text. With
     ``drop_source`` (``_source.enabled: false``, M7) the JSON body is not kept.
     """
     keep = keep or []
     props = mapping.get("properties", {})
     st = mapping_schema(mapping)
     raw = T.StructType([T.StructField(n, T.StringType()) for n in props])
-    parsed = spread(df).select(*keep, F.col(json_col).alias("_source"), F.from_json(F.col(json_col), raw).alias("_r"))
+    body = F.try_parse_json(json_col)
+    whole = F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
+    parsed = df.select(*keep, F.col(json_col).alias("_source"), whole.alias("_whole"), F.from_json(F.col(json_col), raw).alias("_r"))
     typed = []
     for name, spec in props.items():
         r = F.col(f"_r.{name}")
@@ -100,12 +105,13 @@ def apply_mapping(df: DataFrame, json_col: str, mapping: dict, keep: list[str] |
         else:
             c = r.try_cast(dt)
         typed.append(c.alias(name))
-    staged = parsed.select(*keep, "_source", *typed, *[F.col(f"_r.{n}").alias(f"_raw_{n}") for n in props])
+    staged = parsed.select(*keep, "_source", "_whole", *typed, *[F.col(f"_r.{n}").alias(f"_raw_{n}") for n in props])
     fields_out = list(props)
     rows = staged.select(*keep, *([] if drop_source else ["_source"]), *fields_out)
     bad = F.array_compact(F.array(*[
         F.when(F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull(),
-               F.struct(F.lit(n).alias("field"), F.col(f"_raw_{n}").alias("value"))) for n in props]))
+               F.struct(F.lit(n).alias("field"), F.col(f"_raw_{n}").alias("value"))) for n in props],
+        F.when(F.col("_source").isNotNull() & ~F.col("_whole"), F.struct(F.lit("_source").alias("field"), F.col("_source").alias("value")))))
     rejects = staged.select(*keep, F.explode(bad).alias("_b")).select(*keep, "_b.field", "_b.value")
     return Mapped(rows, rejects)
 
@@ -130,34 +136,46 @@ def _mapping_type(variant_type: Column) -> Column:
     return e
 
 
-def infer_mapping(df: DataFrame, json_col: str, max_depth: int = 4) -> DataFrame:
+def infer_mapping(df: DataFrame, json_col: str) -> DataFrame:
     """M2: field inventory of schema-less JSON documents.
 
-    Rows ``field, type, docs``: how many documents hold the field (a dotted path
-    for fields inside objects, up to ``max_depth`` levels) with that observed
-    type. Null values are not counted (dynamic mapping ignores them). Each
-    document is parsed once; the nested levels are walked with higher-order
-    functions inside one projection, then exploded and counted (partial aggregate).
+    Rows ``field, type, docs``: how many documents hold the field (a dotted path for fields inside objects, ``path[]``
+    for the elements of an array) with that observed type, at any depth. Null values are not counted (dynamic
+    mapping ignores them); texts that are not JSON objects are left to ``infer_rejects``.
+
+    Walked level by level: a level's objects and arrays are exploded once, counted by (field, type) with partial
+    aggregation, and only the objects and arrays among them are written for the next level, until none is left.
     """
-    def entries(arr):
-        return F.transform(arr, lambda e: F.struct(e["key"].alias("f"), e["value"].alias("v")))
-
-    def children(level):
-        objs = F.filter(level, lambda e: F.schema_of_variant(e["v"]).startswith("OBJECT"))
-        return F.flatten(F.transform(objs, lambda e: F.transform(
-            F.map_entries(e["v"].try_cast("map<string,variant>")),
-            lambda c: F.struct(F.concat_ws(".", e["f"], c["key"]).alias("f"), c["value"].alias("v")))))
-
-    top = entries(F.map_entries(F.parse_json(F.col(json_col)).cast("map<string,variant>")))
-    staged = spread(df).select(top.alias("_l1"))
-    levels = ["_l1"]
-    for d in range(2, max_depth + 1):
-        staged = staged.withColumn(f"_l{d}", children(F.col(f"_l{d - 1}")))
-        levels.append(f"_l{d}")
-    fields = staged.select(F.explode(F.concat(*[F.col(c) for c in levels])).alias("_e"))
-    typed = fields.where(~F.is_variant_null("_e.v")).select(
-        F.col("_e.f").alias("field"), _mapping_type(F.schema_of_variant("_e.v")).alias("type"))
-    return typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("docs"))
+    from docindex.operators.rank import materialize
+
+    body = F.try_parse_json(json_col)
+    level = df.select(F.monotonically_increasing_id().alias("doc"), F.lit("").alias("path"), F.lit(False).alias("many"), body.alias("v"))
+    level = level.where(F.schema_of_variant("v").startswith("OBJECT"))
+    level = materialize(level, "infer")  # documents are numbered once
+    counts = None
+    while not level.isEmpty():
+        kind = F.schema_of_variant("v")
+        objects = (level.where(kind.startswith("OBJECT"))
+                   .select("doc", "path", "many", F.explode(F.col("v").cast("map<string,variant>")).alias("key", "v"))
+                   .select("doc", F.when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key")).alias("path"), "many", "v"))
+        arrays = (level.where(kind.startswith("ARRAY"))
+                  .select("doc", F.concat("path", F.lit("[]")).alias("path"), F.lit(True).alias("many"), F.explode(F.col("v").cast("array<variant>")).alias("v")))
+        found = objects.unionByName(arrays).where(F.col("v").isNotNull() & ~F.is_variant_null("v"))
+        typed = found.select("doc", "many", F.col("path").alias("field"), _mapping_type(kind).alias("type"))
+        # Below an array a document can hold a field several times; elsewhere once.
+        once = typed.where(~F.col("many")).select("field", "type").unionAll(typed.where("many").select("doc", "field", "type").distinct().select("field", "type"))
+        here = materialize(once.groupBy("field", "type").agg(F.count(F.lit(1)).alias("docs")), "infer-counts")
+        counts = here if counts is None else counts.unionByName(here)
+        level = materialize(found.where(kind.startswith("OBJECT") | kind.startswith("ARRAY")), "infer")
+    if counts is None:
+        return df.sparkSession.createDataFrame([], "field string, type string, docs long")
+    return counts
+
+
+def infer_rejects(df: DataFrame, json_col: str, keep: list[str] | None = None) -> DataFrame:
+    """M2: the texts that are not JSON objects, with the ``keep`` columns."""
+    whole = F.coalesce(F.schema_of_variant(F.try_parse_json(json_col)).startswith("OBJECT"), F.lit(False))
+    return df.where(F.col(json_col).isNotNull() & ~whole).select(*(keep or []), F.col(json_col).alias("value"))
 
 
 # ---------------------------------------------------------------- M3
@@ -171,48 +189,86 @@ class MappingChange:
         return spark.createDataFrame(self.report, "field string, old_type string, new_type string, status string")
 
 
+def _merge(old: T.StructType, new: T.StructType, take_new: bool, path: str, report: list) -> T.StructType:
+    """Fields of both; objects are merged field by field. Appends (path, old type, new type, status) rows."""
+    new_f = {f.name: f.dataType for f in new.fields}
+    fields = []
+    for f in old.fields:
+        name, kind = path + f.name, new_f.get(f.name)
+        if isinstance(f.dataType, T.StructType) and isinstance(kind, T.StructType) and kind != f.dataType:
+            fields.append(T.StructField(f.name, _merge(f.dataType, kind, take_new, name + ".", report)))
+        elif kind is not None and kind != f.dataType:
+            report.append((name, f.dataType.simpleString(), kind.simpleString(), "conflict"))
+            fields.append(T.StructField(f.name, kind if take_new else f.dataType))
+        else:
+            report.append((name, f.dataType.simpleString(), kind.simpleString() if kind is not None else None, "kept"))
+            fields.append(T.StructField(f.name, f.dataType))
+    known = {f.name for f in old.fields}
+    for f in new.fields:
+        if f.name not in known:
+            report.append((path + f.name, None, f.dataType.simpleString(), "added"))
+            fields.append(T.StructField(f.name, f.dataType))
+    return T.StructType(fields)
+
+
 def evolve_mapping(old: T.StructType, new: T.StructType, update_all_types: bool = False) -> MappingChange:
     """M3: add new fields, keep old ones; a changed type is a conflict.
 
-    Without ``update_all_types`` a conflict refuses the change (the old schema
-    stays, as a refused put-mapping call); with it the new type is taken.
-    This compares two schemas (metadata), not data.
+    Fields of objects are merged one by one (``u.b`` is added to ``u``; ``u.a`` stays). Without ``update_all_types`` a
+    conflict refuses the change (the old schema stays, as a refused put-mapping call); with it the new type is
+    taken. This compares two schemas (metadata), not data.
     """
-    old_f = {f.name: f.dataType for f in old.fields}
-    new_f = {f.name: f.dataType for f in new.fields}
-    report, fields, conflict = [], [], False
-    for name, dt in old_f.items():
-        if name in new_f and new_f[name] != dt:
-            conflict = True
-            report.append((name, dt.simpleString(), new_f[name].simpleString(), "conflict"))
-        else:
-            report.append((name, dt.simpleString(), new_f.get(name, dt).simpleString() if name in new_f else None, "kept"))
-    added = [(n, dt) for n, dt in new_f.items() if n not in old_f]
-    accepted = (not conflict) or update_all_types
+    report: list = []
+    schema = _merge(old, new, update_all_types, "", report)
+    accepted = update_all_types or not any(r[3] == "conflict" for r in report)
     if accepted:
-        for name, dt in old_f.items():
-            fields.append(T.StructField(name, new_f.get(name, dt)))
-        fields += [T.StructField(n, dt) for n, dt in added]
-        report += [(n, None, dt.simpleString(), "added") for n, dt in added]
         report = [(f, o, n, "changed" if s == "conflict" else s) for f, o, n, s in report]
     else:
-        fields = [T.StructField(n, dt) for n, dt in old_f.items()]
-        report += [(n, None, dt.simpleString(), "refused") for n, dt in added]
-    return MappingChange(report, T.StructType(fields), accepted)
+        report = [(f, o, n, "refused" if s == "added" else s) for f, o, n, s in report]
+    # Added fields come last, as they did not exist before.
+    report = [r for r in report if r[1] is not None] + [r for r in report if r[1] is None]
+    return MappingChange(report, schema if accepted else T.StructType([T.StructField(f.name, f.dataType) for f in old.fields]), accepted)
+
+
+def _fitted(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``c`` as the wanted type: objects field by field, missing fields null, others ``try_cast``."""
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        kinds = {f.name: f.dataType for f in have.fields}
+        inner = [(_fitted(c.getField(f.name), kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*inner))
+    return c if have == want else c.try_cast(want)
 
 
 def rewrite_to(df: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
-    """Project a frame onto ``schema``: missing fields null, others ``try_cast``."""
+    """Project a frame onto ``schema``: missing fields null, others ``try_cast`` (misfits: ``rewrite_rejects``)."""
     keep = keep or []
-    cols = set(df.columns)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     out = [F.col(k) for k in keep]
     for f in schema.fields:
-        if f.name in keep:
-            continue
-        out.append((F.col(f.name).try_cast(f.dataType) if f.name in cols else F.lit(None).cast(f.dataType)).alias(f.name))
+        if f.name not in keep:
+            out.append((_fitted(F.col(f.name), kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name))
     return df.select(*out)
 
 
+def rewrite_rejects(df: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
+    """Values that ``rewrite_to`` makes null as they do not cast: ``keep`` columns, dotted field, value as text."""
+    keep = keep or []
+
+    def misfits(c, have, want, path):
+        if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+            kinds = {f.name: f.dataType for f in have.fields}
+            return [m for f in want.fields if f.name in kinds for m in misfits(c.getField(f.name), kinds[f.name], f.dataType, path + f.name + ".")]
+        if have == want:
+            return []
+        return [F.when(c.isNotNull() & c.try_cast(want).isNull(), F.struct(F.lit(path[:-1]).alias("field"), c.cast("string").alias("value")))]
+
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    found = [m for f in schema.fields if f.name in kinds and f.name not in keep for m in misfits(F.col(f.name), kinds[f.name], f.dataType, f.name + ".")]
+    if not found:
+        return df.where(F.lit(False)).select(*keep, F.lit("").alias("field"), F.lit("").alias("value"))
+    return df.select(*keep, F.explode(F.array_compact(F.array(*found))).alias("_b")).select(*keep, "_b.field", "_b.value")
+
+
 def evolve_data(old_df: DataFrame, new_df: DataFrame, change: MappingChange, keep: list[str]) -> DataFrame:
     """Both generations of documents under the resulting schema (``unionByName``)."""
     return rewrite_to(old_df, change.schema, keep).unionByName(rewrite_to(new_df, change.schema, keep))
@@ -229,8 +285,8 @@ def field_inventory(table: DataFrame, index_col: str = "_index") -> DataFrame:
     body = [f for f in live.schema.fields if not f.name.startswith("_") and f.name != "shard"]
     wide = live.groupBy(index_col).agg(F.count(F.lit(1)).alias("_docs"),
                                        *[F.count(F.col(f.name)).alias(f"_nn{i}") for i, f in enumerate(body)])
-    pieces = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', _nn{i}" for i, f in enumerate(body))
-    return wide.select(index_col, "_docs", F.expr(f"stack({len(body)}, {pieces}) AS (field, type, non_null)")) \
+    pieces = [x for i, f in enumerate(body) for x in (F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f"_nn{i}"))]
+    return wide.select(index_col, "_docs", F.stack(F.lit(len(body)), *pieces).alias("field", "type", "non_null")) \
         .select(F.col(index_col).alias("_index"), "field", "type", F.col("_docs").alias("docs"), "non_null")
 
 

@@ -9,7 +9,8 @@ from docindex.operators import mapping as M
 from docindex.plans.registry import register
 from docindex.plans.views import DOCS, with_
 
-# The reference's date format (template test): weekday, month, day, time, zone, week-year.
+# The date format (weekday, month, day, time, zone, week-year) and the ``te*`` pattern below are the ones
+# that a template test pins.
 EVENT_MAPPING = {"properties": {
     "event_id": {"type": "long"}, "user_id": {"type": "long"}, "event_type": {"type": "keyword"},
     "value": {"type": "double"}, "props": {"type": "text"},
@@ -60,6 +61,55 @@ def _inv_sql():
     return sql + " UNION ALL SELECT 'k', 'long', count(*) FROM events"
 
 
+@register("m1_date_formats", """
+SELECT o_orderkey AS key, CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) AS at FROM orders""")
+def m1_date_formats(spark, sf):
+    """Each order's date in one of three formats that the mapping lists."""
+    o = fx.table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("timestamp")
+    text = (F.when(F.col("o_orderkey") % 3 == 0, F.date_format(day, "dd/MM/yyyy")).when(F.col("o_orderkey") % 3 == 1, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"))
+            .otherwise((F.unix_timestamp(day) * 1000).cast("string")))
+    docs = o.select(F.col("o_orderkey").alias("key"), F.to_json(F.struct(text.alias("at"))).alias("json"))
+    mapping = {"properties": {"at": {"type": "date", "format": "dd/MM/yyyy||yyyy-MM-dd'T'HH:mm:ss||epoch_millis"}}}
+    return M.apply_mapping(docs, "json", mapping, keep=["key"]).rows.select("key", F.unix_timestamp("at").alias("at"))
+
+
+def _mixed_json(spark, sf):
+    """Event documents and, between them, conversation texts, which are no JSON."""
+    talk = fx.table(spark, sf, "conversations").select((-F.col("conv_id") * 100_000 - F.col("turn") - 1).alias("key"), F.col("text").alias("json"))
+    return _event_json(spark, sf).unionByName(talk)
+
+
+@register("m1_rejects_malformed", """
+SELECT event_id AS key, 'created_at' AS field, 'not a date' AS value FROM events WHERE event_type = 'error'
+UNION ALL SELECT event_id, 'k', 'n' || CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'view'
+UNION ALL SELECT -conv_id * 100000 - turn - 1, '_source', text FROM conversations WHERE text IS NOT NULL""")
+def m1_rejects_malformed(spark, sf):
+    return M.apply_mapping(_mixed_json(spark, sf), "json", EVENT_MAPPING, keep=["key"]).rejects
+
+
+@register("m2_rejects", "SELECT -conv_id * 100000 - turn - 1 AS key, text AS value FROM conversations WHERE text IS NOT NULL")
+def m2_rejects(spark, sf):
+    return M.infer_rejects(_mixed_json(spark, sf), "json", ["key"])
+
+
+def _deep_sql():
+    levels = [("a", "object"), ("a.b", "object"), ("a.b.c", "object"), ("a.b.c.d", "object"), ("a.b.c.d.e", "object"), ("a.b.c.d.e.f", "long"),
+              ("lines", "array"), ("lines[]", "object"), ("lines[].nr", "long"), ("lines[].tags", "array"), ("lines[].tags[]", "text")]
+    return " UNION ALL ".join(f"SELECT '{f}' AS field, '{t}' AS type, count(*) AS docs FROM orders" for f, t in levels)
+
+
+@register("m2_infer_mapping_deep", _deep_sql())
+def m2_infer_mapping_deep(spark, sf):
+    """Orders as documents of six levels, with arrays of objects that hold arrays."""
+    o = fx.table(spark, sf, "orders")
+    deep = F.col("o_orderkey").alias("f")
+    for name in "edcba":
+        deep = F.struct(deep).alias(name)
+    line = lambda nr: F.struct(F.lit(nr).alias("nr"), F.array(F.col("o_orderpriority"), F.lit("x")).alias("tags"))
+    return M.infer_mapping(o.select(F.to_json(F.struct(deep, F.array(line(1), line(2)).alias("lines"))).alias("j")), "j")
+
+
 @register("m2_infer_mapping", _inv_sql())
 def m2_infer_mapping(spark, sf):
     ev = fx.table(spark, sf, "events")
@@ -93,6 +143,27 @@ def m3_evolve_refused(spark, sf):
     return M.evolve_data(old, new, ch, keep=["_index", "_id"])
 
 
+def _nested_generations(spark, sf):
+    d = fx.docs(spark, sf)
+    old = d.where(F.col("lang").isin("en", "fr")).select("_id", F.struct("lang", F.col("source").alias("size")).alias("u"))
+    new = d.where(F.col("lang").isin("de", "es")).select("_id", F.struct(F.col("n_chars").alias("size"), F.col("source").alias("from")).alias("u"))
+    return old, new, M.evolve_mapping(old.schema, new.schema, update_all_types=True)
+
+
+@register("m3_evolve_nested", with_(DOCS) + """
+SELECT _id, lang, CAST(NULL AS BIGINT) AS size, CAST(NULL AS VARCHAR) AS origin FROM docs WHERE lang IN ('en', 'fr')
+UNION ALL SELECT _id, NULL, n_chars, source FROM docs WHERE lang IN ('de', 'es')""")
+def m3_evolve_nested(spark, sf):
+    old, new, change = _nested_generations(spark, sf)
+    return M.evolve_data(old, new, change, ["_id"]).select("_id", "u.lang", "u.size", F.col("u.from").alias("origin"))
+
+
+@register("m3_rejects", with_(DOCS) + "SELECT _id, 'u.size' AS field, source AS value FROM docs WHERE lang IN ('en', 'fr') AND source IS NOT NULL")
+def m3_rejects(spark, sf):
+    old, _new, change = _nested_generations(spark, sf)
+    return M.rewrite_rejects(old, change.schema, ["_id"])
+
+
 @register("m4_field_inventory", with_(DOCS) + """
 SELECT _index, 'text' AS field, 'string' AS type, count(*) AS docs, count(text) AS non_null FROM docs WHERE NOT _deleted GROUP BY _index
 UNION ALL SELECT _index, 'lang', 'string', count(*), count(lang) FROM docs WHERE NOT _deleted GROUP BY _index
