@@ -8,12 +8,13 @@ sets agree in a register about as often as their Jaccard similarity.
 1. One pass over the texts leaves (id, set size, 128-bit set signature, registers). Equal sets are one class from
    here on, so exact copies never meet in pairs.
 2. Classes that agree in all registers of a band share a bucket. In each bucket the class with most copies is the
-   pivot, and every class is paired with the pivot that it meets most often: at most one pair a class and round.
-3. A pair is estimated from both sketches and the two known set sizes by maximum likelihood; pairs whose estimate is
-   ``MARGIN`` (over four standard errors) under the threshold go. The rest is confirmed on the full sets.
-4. After two such rounds, buckets that still hold several components are searched in full: members are cut into
-   blocks, block pairs are compared with numpy, and only pairs of different components that pass the estimate are
-   handed on to be confirmed. Nothing is capped; links between members of one component add nothing and are skipped.
+   pivot, and every class is paired with the pivot that it meets most often: at most one pair a class.
+   These pairs are confirmed on the full sets.
+3. Buckets that still hold several components are searched in full: members are cut into blocks, and in every pair of
+   blocks each pair of members in different components is estimated from both sketches and the two known set sizes by
+   maximum likelihood. Pairs whose estimate is ``MARGIN`` (over four standard errors) under the threshold go, the rest is
+   confirmed on the full sets. Nothing is capped; pairs that links found before already connect are skipped, since
+   they add nothing, so a block pair returns at most a spanning forest.
 
 Recall of banding at the threshold itself: 1 - (1 - 0.8**7)**48 = 0.99999, higher above it.
 
@@ -36,7 +37,7 @@ BANDS, ROWS = 48, 7
 M = BANDS * ROWS
 BASE, RATE, TOP = 1.1, 20.0, 255
 THRESHOLD, SHINGLE, MARGIN = 80, 5, 0.1
-BLOCK, SALTS = 256, 64
+BLOCK, ELEMENTS, SALTS = 512, 1 << 21, 64
 _G = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.arange(1, 65, dtype=np.uint64) * _G  # up to 64 words a shingle
 _BAND_MIX = tv.mix(np.arange(1, ROWS + 1, dtype=np.uint64) * _G) | np.uint64(1)
@@ -151,21 +152,6 @@ def set_table(docs: DataFrame, key: str, text: str, shingle: int, wanted: DataFr
     return stored(texts.select("node", "text").mapInArrow(run, "node long, set binary"), "sets")
 
 
-def estimated(pairs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose estimated similarity is within the margin of the threshold."""
-    def run(batches):
-        for batch in batches:
-            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, M) for c in (2, 3))
-            greater, less = (ra > rb).sum(axis=1), (ra < rb).sum(axis=1)
-            j = estimate(greater, less, batch.column(4).to_numpy().astype(float), batch.column(5).to_numpy().astype(float))
-            yield batch.select(["a", "b"]).filter(pa.array(j * 100 >= threshold - 100 * MARGIN))
-
-    side = lambda x: reps.select(F.col("node").alias(x), F.col("regs").alias(f"r{x}"), F.col("n").alias(f"n{x}"))
-    both = (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")))
-    return both.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a long, b long")
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) with 100 * |A and B| >= threshold * |A or B| on full sets.
 
@@ -181,9 +167,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
                     now, mine = (a, salt), np.frombuffer(raw, dtype=np.uint64)
                 elif now == (a, salt):
                     other = np.frombuffer(raw, dtype=np.uint64)
-                    small, large = (mine, other) if len(mine) <= len(other) else (other, mine)
-                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                    shared = int((large[at] == small).sum())
+                    shared = _shared(mine, other)
                     if 100 * shared >= threshold * (len(mine) + len(other) - shared):
                         out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
@@ -192,7 +176,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     partners = salted.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", F.lit(True).alias("is_b"), "b", "set")
     own = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", F.lit(False).alias("is_b"), F.col("a").alias("b"), "set")
     dealt = own.union(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", "is_b")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -200,45 +184,99 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def searched(members: DataFrame, reps: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
-    """All pairs of different components within a bucket that pass the estimate, block by block."""
-    def pairs(crossed, group, out):
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two ascending sets."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int((large[at] == small).sum())
+
+
+def _cross_pairs(bucket: int, crossed: bool, root, size, side, regs, threshold: int):
+    """(i, j, estimate) of the pairs of one group that lie in different components and pass the estimate.
+
+    i runs over the members outside the group's largest component: every pair of two components has one there.
+    A pair that also agrees in an earlier band is left to that band's bucket, which holds both members too.
+    """
+    keys = band_keys(regs)
+    keys = keys[:, : int(np.argmax(keys[0] == bucket))]
+    _, number = np.unique(root, return_inverse=True)
+    left, right, greater, less = [], [], [], []
+    count = lambda flags: np.bitwise_count(np.packbits(flags, axis=1)).sum(axis=1, dtype=np.int64)
+    for i in np.flatnonzero(number != np.bincount(number).argmax()):
+        other = np.flatnonzero((root != root[i]) & (100 * np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i]))
+                               & ((side != side[i]) if crossed else True))
+        other = other[~(keys[other] == keys[i]).any(axis=1)]
+        if not len(other):
+            continue
+        # Registers agree at least as often as sets do, so most pairs go by that count alone.
+        other = other[count(regs[other] == regs[i]) >= M * (threshold / 100 - MARGIN - 0.04)]
+        left.append(np.full(len(other), i))
+        right.append(other)
+        greater.append(count(regs[i] > regs[other]))
+        less.append(count(regs[i] < regs[other]))
+    if not sum(map(len, left)):
+        return np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
+    left, right, greater, less = (np.concatenate(x) for x in (left, right, greater, less))
+    j = estimate(greater, less, size[left].astype(float), size[right].astype(float))
+    good = j * 100 >= threshold - 100 * MARGIN
+    return left[good], right[good], j[good]
+
+
+def searched(members: DataFrame, reps: DataFrame, sets: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between different components within a bucket, found block pair by block pair.
+
+    Every pair of members in different components whose estimate is within the margin is confirmed on the full sets,
+    best estimate first, unless links found before in the same group already connect it: a group returns at most a
+    spanning forest. A block holds at most ``BLOCK`` members and about ``ELEMENTS`` set elements.
+    """
+    def close(place, group, out):
         side, node, root, size = (np.array([row[k] for row in group]) for k in range(4))
-        regs = np.frombuffer(b"".join(r for *_, r in group), dtype=np.uint8).reshape(-1, M)
-        for i in np.flatnonzero(side == 0):
-            other = np.flatnonzero(side == 1) if crossed else np.arange(i + 1, len(node))
-            other = other[(root[other] != root[i]) & (100 * np.minimum(size[other], size[i]) >= threshold * np.maximum(size[other], size[i]))]
-            if len(other):
-                greater, less = (regs[i] > regs[other]).sum(axis=1), (regs[i] < regs[other]).sum(axis=1)
-                j = estimate(greater, less, np.full(len(other), float(size[i])), size[other].astype(float))
-                out += [(min(node[i], x), max(node[i], x)) for x in node[other[j * 100 >= threshold - 100 * MARGIN]]]
+        regs = np.frombuffer(b"".join(row[4] for row in group), dtype=np.uint8).reshape(-1, M)
+        left, right, j = _cross_pairs(place[0], place[1] != place[2], root, size, side, regs, threshold)
+        parent: dict = {}
+
+        def top(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        for k in np.argsort(-j, kind="stable"):
+            x, y = left[k], right[k]
+            rx, ry = top(root[x]), top(root[y])
+            if rx != ry:
+                a, b = (np.frombuffer(group[i][5], dtype=np.uint64) for i in (x, y))
+                both = _shared(a, b)
+                if 100 * both >= threshold * (len(a) + len(b) - both):
+                    parent[rx] = ry
+                    out.append((min(node[x], node[y]), max(node[x], node[y])))
 
     def run(batches):
-        now, group = None, []
+        now, group, out = None, [], []
+        as_batch = lambda found: pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
         for batch in batches:
-            out: list = []
-            for row in zip(*(batch.column(c).to_pylist() for c in range(8))):
+            for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
                 if row[:3] != now:
                     if group:
-                        pairs(now[1] != now[2], group, out)
+                        close(now, group, out)
                     now, group = row[:3], []
                 group.append(row[3:])
-            yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
-        out = []
+            yield as_batch(out)
+            out = []
         if group:
-            pairs(now[1] != now[2], group, out)
-        yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    labelled = _labelled(members.select("bucket", "node"), roots)
-    mixed = (labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"))
-             .where("r0 <> r1").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = (labelled.join(mixed, "bucket").join(reps.select("node", "n", "regs"), "node")
+            close(now, group, out)
+        yield as_batch(out)
+
+    labelled = _labelled(members.select("bucket", "node", "n"), roots)
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("elements") / ELEMENTS)).cast("int")
+    mixed = (labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements"))
+             .where("r0 <> r1").select("bucket", blocks.alias("blocks")))
+    rows = (labelled.join(mixed, "bucket").join(reps.select("node", "regs"), "node").join(sets, "node")
             .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                    (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "root", "n", "regs"))
+                    (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "root", "n", "regs", "set"))
     dealt = rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -250,34 +288,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     def bands(batches):
         for batch in batches:
-            regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(-1, M)
+            regs = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, M)
             for lo in range(0, len(regs), 2000):
                 keys = band_keys(regs[lo: lo + 2000])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy()[lo: lo + 2000], BANDS)) for c in (0, 1))], ["bucket", "node", "copies"])
+                    [pa.array(keys.ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy()[lo: lo + 2000], BANDS)) for c in range(3))],
+                    ["bucket", "node", "n", "copies"])
 
-    banded = reps.select("node", "copies", "regs").mapInArrow(bands, "bucket long, node long, copies long")
+    banded = reps.select("node", "n", "copies", "regs").mapInArrow(bands, "bucket long, node long, n long, copies long")
     buckets = (banded.groupBy("bucket").agg(F.min(F.struct((-F.col("copies")).alias("c"), F.col("node").alias("p"))).alias("top"), F.count(F.lit(1)).alias("size"))
                .where("size > 1").select("bucket", F.col("top.p").alias("pivot")))
-    members = stored(banded.select("bucket", "node").join(buckets, "bucket"), "buckets")
+    members = stored(banded.select("bucket", "node", "n").join(buckets, "bucket"), "buckets")
     sets = set_table(docs, key, text, shingle, reps.join(members.select("node").distinct(), "node", "left_semi"))
+    # The pivot that a class meets most often.
+    votes = members.where("node <> pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).alias("m")).select(F.col("m.pivot").alias("a"), F.col("node").alias("b"))
+    links = stored(confirmed(best, sets, threshold), "links")
     # Ids that stand in several classes link those classes.
-    ids = sketch.where("id is not null and n > 0").select("id", "node").distinct()
+    ids = sketch.where("id is not null and n > 0").select("id", "node")
     several = ids.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("x")).where("b <> x").select("id", "b")
-    links = stored(ids.join(several, "id").select(F.col("node").alias("a"), "b").where("a <> b"), "links")
-    roots = components(links)
-    for turn in range(2):
-        labelled = _labelled(members, roots).join(
-            roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root")), "pivot", "left")
-        open_ = labelled.where(F.col("root") != F.coalesce("pivot_root", "pivot"))
-        votes = open_.groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("votes"))
-        best = votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).alias("m")).select(F.col("m.pivot").alias("a"), F.col("node").alias("b"))
-        new = confirmed(stored(estimated(best, reps, threshold), "pairs"), sets, threshold)
-        links = stored(links.union(new), "links")
-        roots = components(links)
-    rest = searched(members, reps, roots, threshold)
-    links = stored(links.union(confirmed(stored(rest, "pairs"), sets, threshold)), "links")
+    if not several.isEmpty():
+        links = links.union(ids.join(several, "id").select(F.col("node").alias("a"), "b").where("a <> b").distinct())
     roots = components(links)
+    rest = stored(searched(members, reps, sets, roots, threshold), "links")
+    if not rest.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest))
     named = _labelled(reps.select("node", "sig", "n", "rep"), roots)
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = named.join(least, "root").select("node", "sig", "n", "component_id")
