@@ -160,3 +160,16 @@ def mget_keys_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = global_rank(li, ["l_orderkey", "l_linenumber"], "pos")
     return ranked.select("pos", F.lit("orders").alias("_index"),
                          F.col("l_orderkey").cast("string").alias("_id"))
+
+
+def bulk_replies(items: DataFrame, took: int = 1) -> DataFrame:
+    """Stand-in bulk reply texts (``batch_no, reply``) from item rows with ``batch_no``."""
+    item = F.to_json(F.create_map(F.col("op"), F.struct(
+        "_index", "_id", "_version", "result", F.col("status").alias("status"),
+        F.when(F.col("error_type").isNotNull(), F.struct(F.col("error_type").alias("type"))).alias("error"))))
+    g = items.groupBy("batch_no").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("seq"), item.alias("it")))).alias("_its"),
+        F.bool_or(F.col("status") >= 300).alias("errors"))
+    reply = F.concat(F.lit(f'{{"took":{int(took)},"errors":'), F.col("errors").cast("string"), F.lit(',"items":['),
+                     F.array_join(F.transform("_its", lambda x: x["it"]), ","), F.lit("]}"))
+    return g.select("batch_no", reply.alias("reply"))

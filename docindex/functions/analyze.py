@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docindex.session import spread
 
 # Token types of the analyze response.
 TYPE_ALPHANUM, TYPE_NUM, TYPE_WORD = "<ALPHANUM>", "<NUM>", "word"
@@ -48,16 +47,27 @@ def standard_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(STANDARD_TOKEN), 0)
 
 
+def is_token(value: str) -> bool:
+    """Whether ``value`` is one standard token: a run of letters and digits. Nothing else can equal a token."""
+    import regex
+
+    return bool(regex.fullmatch(r"[\p{L}\p{N}]+", value))
+
+
+def quoted(value: str) -> str:
+    """``value`` as a literal inside a JVM regular expression."""
+    return r"\Q" + value.replace(r"\E", r"\E\\E\Q") + r"\E"
+
+
 def term_in_text(text: Column, value: str) -> Column:
-    """True when some standard token of ``text`` equals ``value`` (already a term)."""
-    v = value.replace("\\E", "")
-    pattern = r"(^|[^\p{L}\p{N}])\Q" + v + r"\E([^\p{L}\p{N}]|$)"
-    return F.lower(text).rlike(pattern)
+    """True when some standard token of ``text`` equals ``value``; a value that is not one token matches nothing."""
+    if not is_token(value):
+        return F.lit(False)
+    return F.lower(text).rlike(r"(^|[^\p{L}\p{N}])" + quoted(value) + r"([^\p{L}\p{N}]|$)")
 
 
 def _pair_tokens(df: DataFrame, key_cols: list[str], field: str, pair_pattern: str,
                  lowercase: bool, typed: bool) -> DataFrame:
-    df = spread(df)
     text = F.col(field)
     seps = F.regexp_extract_all(text, F.lit(pair_pattern), 1)
     toks = F.regexp_extract_all(text, F.lit(pair_pattern), 2)

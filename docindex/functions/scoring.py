@@ -8,8 +8,8 @@ exact token counts, not a lossy byte encoding.
 ``dfs_query_then_fetch``: statistics over the whole corpus, gathered in one
 aggregate (a few numbers: N, total length, one df per query term) and shipped
 to the executors as literals, as a coordinator would.
-``query_then_fetch``: statistics per shard, one row per shard, joined back with
-a broadcast whose size is bounded by the shard count.
+``query_then_fetch``: statistics per (index, shard), one row each, joined back with
+a broadcast whose size is bounded by indices x shards.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docindex.functions.analyze import STANDARD_TOKEN
-from docindex.session import spread
+from docindex.functions.analyze import STANDARD_TOKEN, is_token, quoted
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -27,8 +26,9 @@ B = 0.75
 
 def _term_count(lower_text, term: str):
     """Occurrences of ``term`` as a whole standard token in lower-cased text (JVM regex count)."""
-    quoted = term.replace("\\E", "")
-    return F.regexp_count(lower_text, F.lit(r"(?<![\p{L}\p{N}])\Q" + quoted + r"\E(?![\p{L}\p{N}])"))
+    if not is_token(term):
+        return F.lit(0)
+    return F.regexp_count(lower_text, F.lit(r"(?<![\p{L}\p{N}])" + quoted(term) + r"(?![\p{L}\p{N}])"))
 
 
 def bm25(df: DataFrame, field: str, terms: list[str], search_type: str = "dfs_query_then_fetch",
@@ -41,7 +41,7 @@ def bm25(df: DataFrame, field: str, terms: list[str], search_type: str = "dfs_qu
     terms = list(dict.fromkeys(t for t in terms if t))
     if not terms:
         raise ValueError("no query terms")
-    base = spread(df.where(F.col(field).isNotNull())).withColumn("_lt", F.lower(F.col(field)))
+    base = df.where(F.col(field).isNotNull()).withColumn("_lt", F.lower(F.col(field)))
     staged = base.select(
         *df.columns, F.regexp_count(F.col(field), F.lit(STANDARD_TOKEN)).alias("_dl"),
         *[_term_count(F.col("_lt"), t).alias(f"_tf{i}") for i, t in enumerate(terms)])
@@ -61,8 +61,8 @@ def bm25(df: DataFrame, field: str, terms: list[str], search_type: str = "dfs_qu
     # Match test: one boundary-anchored alternation with rlike, which stops at the first
     # hit. Catalyst pushes this filter into the scan, so it must stay cheap; the
     # per-term counts are computed only for matching documents.
-    alternation = "|".join(r"\Q" + t.replace("\\E", "") + r"\E" for t in terms)
-    any_tf = F.lower(F.col(field)).rlike(r"(?<![\p{L}\p{N}])(?:" + alternation + r")(?![\p{L}\p{N}])")
+    alternation = "|".join(quoted(t) for t in terms if is_token(t))
+    any_tf = F.lower(F.col(field)).rlike(r"(?<![\p{L}\p{N}])(?:" + alternation + r")(?![\p{L}\p{N}])") if alternation else F.lit(False)
     if search_type == "dfs_query_then_fetch":
         st = staged.agg(*stat_aggs).collect()[0]
         if not st["_n"]:
@@ -72,8 +72,8 @@ def bm25(df: DataFrame, field: str, terms: list[str], search_type: str = "dfs_qu
         dfs = [F.lit(float(st[f"_df{i}"])) for i in range(len(terms))]
         out = staged.where(any_tf).withColumn("_score", score(n, length, dfs))
     elif search_type == "query_then_fetch":
-        stats = staged.groupBy("shard").agg(*stat_aggs)
-        joined = staged.where(any_tf).join(F.broadcast(stats), "shard")
+        stats = staged.groupBy("_index", "shard").agg(*stat_aggs)
+        joined = staged.where(any_tf).join(F.broadcast(stats), ["_index", "shard"])
         out = joined.withColumn("_score", score(F.col("_n").cast("double"), F.col("_len").cast("double"),
                                                 [F.col(f"_df{i}").cast("double") for i in range(len(terms))]))
     else:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docindex.operators.rank import materialize
+
 METRICS = ("count", "sum", "min", "max", "avg")
 
 
@@ -31,8 +33,8 @@ def terms_agg(df: DataFrame, field: str, size: int = 10, metric_field: str | Non
     Rows: ``key, doc_count, is_other`` (+ ``<metric>_<field>``). A last row with
     ``is_other = true`` and a null key carries the count of every document in the
     remaining buckets (``sum_other_doc_count``). Documents without the field are
-    not bucketed. The rest is counted with an anti-join against the broadcast top
-    keys, whose size is bounded by ``size``.
+    not bucketed. The top buckets (at most ``size`` rows) are written once; the rest is
+    the count of all bucketed documents less theirs.
     """
     keyed = df.where(F.col(field).isNotNull())
     aggs = [F.count(F.lit(1)).alias("doc_count")]
@@ -41,9 +43,9 @@ def terms_agg(df: DataFrame, field: str, size: int = 10, metric_field: str | Non
         fns = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}
         aggs += [fns[m](c).alias(f"{m}_{metric_field}") for m in metrics]
     grouped = keyed.groupBy(F.col(field).alias("key")).agg(*aggs)
-    top = grouped.orderBy(F.col("doc_count").desc(), F.col("key").asc()).limit(size)
-    rest = grouped.join(F.broadcast(top.select("key")), "key", "left_anti")
-    other = rest.agg(F.coalesce(F.sum("doc_count"), F.lit(0)).alias("doc_count"))
+    top = materialize(grouped.orderBy(F.col("doc_count").desc(), F.col("key").asc()).limit(size), "top-buckets")
+    counts = keyed.agg(F.count(F.lit(1)).alias("doc_count")).unionAll(top.select(-F.col("doc_count")))
+    other = counts.agg(F.sum("doc_count").alias("doc_count"))
     other = other.select(F.lit(None).cast(grouped.schema["key"].dataType).alias("key"), "doc_count",
                          *[F.lit(None).cast(grouped.schema[c].dataType).alias(c)
                            for c in grouped.columns if c not in ("key", "doc_count")])

@@ -321,8 +321,6 @@ def apply_templates(docs: DataFrame, templates: list[dict], index_col: str = "_i
 
 
 # ---------------------------------------------------------------- M6
-ALIAS_BROADCAST_ROWS = 100_000
-
 
 def alias_table(actions: DataFrame) -> DataFrame:
     """Live (index, alias) pairs: the last action per pair (by ``seq``) is an add."""
@@ -335,12 +333,7 @@ def expand_aliases(docs: DataFrame, actions: DataFrame, index_col: str = "_index
     """M6: documents reachable through alias names, tagged ``_alias``.
 
     ``actions``: ``seq, action (add|remove), index, alias``. The alias table has
-    at most one row per (index, alias); it is broadcast only after its size is
-    checked, else joined by shuffle.
+    at most one row per (index, alias); Spark broadcasts it if it is small.
     """
-    aliases = alias_table(actions)
-    n = aliases.count()
-    right = aliases.withColumnRenamed("index", index_col).withColumnRenamed("alias", "_alias")
-    if n <= ALIAS_BROADCAST_ROWS:
-        right = F.broadcast(right)
+    right = alias_table(actions).withColumnRenamed("index", index_col).withColumnRenamed("alias", "_alias")
     return docs.join(right, index_col, "inner")

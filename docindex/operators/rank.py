@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from docindex.session import scratch_path
 
-# Offsets table has one row per range partition; above this we let AQE plan the join.
-_MAX_BROADCAST_PARTITIONS = 2_000_000
+PARTITION_BYTES = 256 << 20  # input bytes that one range partition takes, about
 
 
 def _order_cols(order: list) -> list[Column]:
@@ -34,6 +33,14 @@ def materialize(df: DataFrame, kind: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _range_partitions(df: DataFrame) -> int:
+    """Range partitions for ``df``: by the bytes of its inputs, and no fewer than the session's shuffle partitions."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(s for s in sizes if s < 1 << 60)  # an input without statistics reports the largest long
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // PARTITION_BYTES)
+
+
 def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row in ``order``.
@@ -43,7 +50,7 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
     """
     spark = df.sparkSession
     cols = _order_cols(order)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or _range_partitions(df)
     ranged = (df.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_rk_pid", F.spark_partition_id())
@@ -58,8 +65,6 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
         offsets.append((pid, acc))
         acc += cnt
     off_df = spark.createDataFrame(offsets or [(0, 0)], "_rk_pid int, _rk_off long")
-    if len(offsets) <= _MAX_BROADCAST_PARTITIONS:
-        off_df = F.broadcast(off_df)
     out = (written.join(off_df, "_rk_pid")
            .withColumn(rank_col, F.col("_rk_off") + F.col("_rk_local") + F.lit(1))
            .drop("_rk_pid", "_rk_local", "_rk_off"))

@@ -12,17 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docindex.functions.analyze import STANDARD_TOKEN, term_in_text
+from docindex.functions.analyze import STANDARD_TOKEN, is_token, term_in_text
 from docindex.functions.route import shard_of_value
 from docindex.operators.rank import global_rank
-from docindex.session import spread
 
 KEY = ["_index", "_id"]
-# Default page size of the search call, the server's
-# result window, and the only total relation an exact count has.
+# Default page size of the search call, and the only total relation an exact count has.
 DEFAULT_SIZE = 20
-MGET_BROADCAST_KEYS = 1_000_000  # distinct keys allowed on the broadcast path
-MAX_RESULT_WINDOW = 10_000  # from + size limit of a page; deeper reads use scroll()
+TOP_K = 10_000  # pages that end within it are a per-task top-k; deeper ones go by global rank
 RELATION_EQ = "eq"
 
 
@@ -64,28 +61,22 @@ def select_source(df: DataFrame, fields: list[str] | None = None, source: bool =
 
 
 # ---------------------------------------------------------------- R2
-def mget(table: DataFrame, keys: DataFrame, broadcast_limit: int = MGET_BROADCAST_KEYS,
-         default_index: str | None = None) -> DataFrame:
+def mget(table: DataFrame, keys: DataFrame, default_index: str | None = None) -> DataFrame:
     """R2: one row per requested key, request order (``pos``) and duplicates kept.
 
     ``keys`` has ``pos, _index, _id``; a key without ``_index`` asks the request's
     ``default_index``. Missing keys come back with ``found=false``.
-    When the distinct key set is within ``broadcast_limit`` (checked by counting it),
-    the table is semi-filtered against a broadcast of the keys, which yields at most
-    that many rows, and that small match set is broadcast back to the request list.
-    Otherwise both sides are shuffled on the key (AQE may still pick a broadcast).
+    The table is first reduced to the asked keys (a semi-join: Spark broadcasts the
+    key list if it is small), then the matches are joined to the request list by
+    key. Document bodies are only ever shuffled, and a key that is asked for many
+    times is a skewed join key that AQE splits.
     """
     docs = live(table)
     body = [c for c in docs.columns if c not in KEY]
     if default_index is not None:
         keys = keys.withColumn("_index", F.coalesce(F.col("_index"), F.lit(default_index)))
-    distinct = keys.select(*KEY).distinct()
-    n = distinct.count()
-    if n <= broadcast_limit:
-        matches = docs.join(F.broadcast(distinct), KEY, "inner")
-        joined = keys.join(F.broadcast(matches.withColumn("_found", F.lit(True))), KEY, "left")
-    else:
-        joined = keys.join(docs.withColumn("_found", F.lit(True)), KEY, "left")
+    matches = docs.join(keys.select(*KEY), KEY, "left_semi")
+    joined = keys.join(matches.withColumn("_found", F.lit(True)), KEY, "left")
     return joined.select("pos", *KEY, F.coalesce(F.col("_found"), F.lit(False)).alias("found"),
                          *[F.col(c) for c in body])
 
@@ -101,7 +92,8 @@ def term(table: DataFrame, field: str, value, text_fields: tuple[str, ...] = (),
     """Exact term. Keyword fields compare whole; text fields match a token.
 
     For a text field the standard analyzer's tokens are lower-cased letter/digit
-    runs, so a document matches when such a run equals ``value``. With a
+    runs, so a document matches when such a run equals ``value``; a value that is
+    not exactly one token matches nothing, on either path. With a
     prepared ``tokens`` table (T1 output) this is a semi-join on the token; without
     one it is the equivalent boundary-anchored pattern on the lower-cased text,
     which stays a pushed-down-friendly filter and needs no shuffle.
@@ -109,10 +101,12 @@ def term(table: DataFrame, field: str, value, text_fields: tuple[str, ...] = (),
     docs = live(table)
     if field not in text_fields:
         return docs.where(F.col(field) == F.lit(value))
+    if not is_token(str(value)):
+        return docs.where(F.lit(False))
     if tokens is not None:
         hits = tokens.where((F.col("field") == field) & (F.col("token") == F.lit(value))).select(*KEY).distinct()
         return docs.join(hits, KEY, "left_semi")
-    return spread(docs).where(term_in_text(F.col(field), str(value)))
+    return docs.where(term_in_text(F.col(field), str(value)))
 
 
 # ---------------------------------------------------------------- R5 / R6 / R11
@@ -140,11 +134,13 @@ def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFA
 
     ``from_``/``size`` page through a total order (default: score, index, id), which
     Spark plans as ``TakeOrderedAndProject`` (a per-partition top-k, then a merge of
-    at most ``from_+size`` rows per partition), never a full sort.
+    at most ``from_+size`` rows per partition), never a full sort. A page that ends
+    beyond ``TOP_K`` is cut by global rank instead: the same rows, without a large
+    top-k in every task. There is no limit on ``from_ + size``.
     ``max_per_shard`` is the ``terminate_after`` argument (R8).
     """
-    if from_ < 0 or size < 0 or from_ + size > MAX_RESULT_WINDOW:
-        raise ValueError(f"from + size must be within [0, {MAX_RESULT_WINDOW}]; use scroll() for deep reads")
+    if from_ < 0 or size < 0:
+        raise ValueError("from and size must not be negative")
     df = multi_index(tables) if isinstance(tables, (list, tuple)) else tables
     matches = live(df) if query is None else live(df).where(query)
     if max_per_shard is not None:
@@ -153,10 +149,12 @@ def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFA
         matches = matches.withColumn("_score", F.lit(None).cast("double"))
     cols = order if order is not None else default_order(matches)
     cols = [F.col(c) if isinstance(c, str) else c for c in cols]
-    page = matches.orderBy(*cols)
-    if from_:
-        page = page.offset(from_)
-    page = page.limit(size)
+    if from_ + size > TOP_K:
+        ranked = global_rank(matches, cols, "_page_rank")
+        page = ranked.where((F.col("_page_rank") > from_) & (F.col("_page_rank") <= from_ + size)).drop("_page_rank")
+    else:
+        page = matches.orderBy(*cols)
+        page = (page.offset(from_) if from_ else page).limit(size)
     total = matches.agg(F.count(F.lit(1)).alias("value")).withColumn("relation", F.lit(RELATION_EQ))
     return SearchResult(page, total, matches)
 
@@ -223,9 +221,11 @@ def iter_pages(pages: DataFrame):
 
 # ---------------------------------------------------------------- R12
 def parent_child(parents: DataFrame, children: DataFrame, how: str = "inner",
-                 parent_prefix: str = "parent_") -> DataFrame:
+                 parent_prefix: str = "parent_", parent_index: str | None = None) -> DataFrame:
     """Children with their parent's fields (``children._parent = parents._id``).
 
+    A parent is known by index and id: ``parent_index``, or the child's own index.
+
     ``how``: ``inner`` (children with parent fields), ``has_child`` (parents with at
     least one child, a semi-join) or ``has_no_child`` (anti-join). When both sides
     are routed by the parent id they share shard numbers, so a join on
@@ -235,14 +235,16 @@ def parent_child(parents: DataFrame, children: DataFrame, how: str = "inner",
     """
     p = live(parents)
     c = live(children)
-    if how == "has_child":
-        return p.join(c.select(F.col("_index").alias("_c_index"), F.col("_parent").alias("_id")), "_id", "left_semi")
-    if how == "has_no_child":
-        return p.join(c.select(F.col("_parent").alias("_id")), "_id", "left_anti")
+    of = F.lit(parent_index) if parent_index is not None else F.col("_index")
+    if how in ("has_child", "has_no_child"):
+        asked = c.where(F.col("_parent").isNotNull()).select(of.alias("_index"), F.col("_parent").alias("_id"))
+        return p.join(asked, KEY, "left_semi" if how == "has_child" else "left_anti")
+    c = c.withColumn("_p_index", of)
     pcols = [F.col(x).alias(parent_prefix + x.lstrip("_")) for x in p.columns
              if x not in ("_routing", "_parent", "_deleted", "_seq", "shard")]
     pp = p.select(*pcols)
-    return c.join(pp, c["_parent"] == pp[parent_prefix + "id"], how)
+    on = (c["_parent"] == pp[parent_prefix + "id"]) & (c["_p_index"] == pp[parent_prefix + "index"])
+    return c.join(pp, on, how).drop("_p_index")
 
 
 children_of = parent_child  # SURVEY name (R12)

@@ -52,7 +52,8 @@ PLACE = ("_routing", "_parent")  # what a document is routed by, before its id
 # Fixed values of the item contract: error types and HTTP-style statuses.
 ERR_CONFLICT = "version_conflict_engine_exception"
 ERR_MISSING = "document_missing_exception"
-STATUS_OK, STATUS_CREATED, STATUS_NOT_FOUND, STATUS_CONFLICT = 200, 201, 404, 409
+ERR_PARSING = "mapper_parsing_exception"
+STATUS_OK, STATUS_CREATED, STATUS_BAD, STATUS_NOT_FOUND, STATUS_CONFLICT = 200, 201, 400, 404, 409
 
 
 @dataclass
@@ -522,12 +523,13 @@ def write_force(table: DataFrame | None, delta: DataFrame) -> ReplayResult:
 
 
 def _overlay(table: DataFrame | None, new_rows: DataFrame) -> DataFrame:
-    """Replace stored rows by ``new_rows`` on the key (bounded broadcast anti-join + union)."""
+    """Replace stored rows by ``new_rows`` on the key; the new rows are written once for both uses."""
     if table is None:
         return new_rows
-    _touched, untouched = split_touched(table, new_rows)
-    if untouched is None:
-        untouched = table.join(new_rows.select(*KEY), KEY, "left_anti")
+    from docindex.operators.rank import materialize
+
+    new_rows = materialize(new_rows, "overlay")
+    untouched = table.join(new_rows.select(*KEY), KEY, "left_anti")
     return untouched.unionByName(new_rows, allowMissingColumns=True)
 
 
@@ -586,8 +588,7 @@ def _next_occurrence(nodes: DataFrame, chunk_rows: int) -> DataFrame:
     return srcs.select(*KEY, F.col("_s").alias("id"), F.coalesce("_nl", "_later").alias("nxt"))
 
 
-def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int = CHUNK_ROWS,
-                   max_rounds: int = 64) -> ReplayResult:
+def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int = CHUNK_ROWS) -> ReplayResult:
     """Internal versions as compare-and-set (tier P).
 
     An index op with a ``version`` is accepted iff it equals the current version
@@ -622,7 +623,7 @@ def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int =
     path = materialize(nodes.where(F.col("_u") == 0).groupBy(*KEY).agg(F.min("seq").alias("id"))
                        .withColumn("_w", F.lit(0).cast("long")), "cas-path")
     step = 1
-    for _ in range(max_rounds):
+    while True:
         ext = (path.join(jump, [*KEY, "id"], "inner")
                .select(*KEY, F.col("nxt").alias("id"), (F.col("_w") + step).alias("_w")))
         ext = materialize(ext, "cas-path")
@@ -635,8 +636,6 @@ def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int =
                                   & (F.col("a.nxt") == F.col("b.id")), "inner")
                            .select(F.col("a._index"), F.col("a._id"), F.col("a.id"), F.col("b.nxt")), "cas-jump")
         step *= 2
-    else:
-        raise RuntimeError("compare-and-set chain longer than 2^max_rounds")
 
     accepted = path.select(*KEY, F.col("id").alias("seq"), F.lit(True).alias("_hit"))
     rows = d.join(accepted, [*KEY, "seq"], "left").withColumn(
@@ -669,13 +668,21 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
     the log never resets the document), and the winners are reassembled into one
     JSON object per document with keys in name order (tier P).
     """
+    from docindex.operators.rank import materialize
+
+    ops = _prepare_ops(ops, None, None)
     if table is None:
         spark = ops.sparkSession
         table = spark.createDataFrame([], f"_index string, _id string, _version long, _deleted boolean, "
                                           f"_seq long, {body_col} string")
+    # A body that is not a JSON object cannot be stored: its op is refused and changes nothing.
+    whole = F.coalesce(F.schema_of_variant(F.try_parse_json(body_col)).startswith("OBJECT"), F.lit(False))
+    ops = ops.withColumn("_refused", (F.col("op") != "delete") & F.col(body_col).isNotNull() & ~whole)
+    refused, ops = ops.where("_refused"), ops.where("NOT _refused")
     stats = log_stats(ops)
     table, untouched = split_touched(table, ops, stats.rows)
-    rows = _evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows, stats)
+    # Written once: the per-document state, the entries and the items all read it.
+    rows = materialize(_evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows, stats), "replay-rows")
     contrib = F.col("succ") & F.col("op").isin("index", "create", "update")
     per_doc = rows.groupBy(*KEY).agg(
         F.max_by(F.coalesce(F.col("_eff"), F.col("exists_before")), F.col("seq")).alias("_n_exists"),
@@ -683,7 +690,7 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
         F.max(F.when(F.col("succ"), F.col("seq"))).alias("_n_seq"))
 
     def entries(df, seq, seg):
-        m = F.parse_json(F.col(body_col)).cast("map<string,variant>")
+        m = F.try_parse_json(body_col).cast("map<string,variant>")
         return df.select(*KEY, seq.alias("_e_seq"), seg.alias("_e_seg"), F.explode(m).alias("_f", "_v"))
 
     log_entries = entries(rows.where(contrib), F.col("seq"), F.col("seg"))
@@ -704,4 +711,11 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
         F.coalesce(F.col("_n_seq"), F.col("_s_seq")).cast("long").alias("_seq"),
         F.when(F.col("_n_exists"), F.coalesce(F.col("_body"), F.lit("{}"))).alias(body_col)
     ).where(F.col("_version") > 0)
-    return ReplayResult(with_untouched(final, untouched), _items(rows))
+    return _json_result(final, untouched, rows, refused)
+
+
+def _json_result(final: DataFrame, untouched: DataFrame | None, rows: DataFrame, refused: DataFrame) -> ReplayResult:
+    items = _items(rows)
+    bad = refused.select("seq", "op", *KEY, F.lit(None).cast("long").alias("_version"), F.lit(STATUS_BAD).cast("int").alias("status"),
+                         F.lit(None).cast("string").alias("result"), F.lit(ERR_PARSING).alias("error_type"))
+    return ReplayResult(with_untouched(final, untouched), items.unionByName(bad))

@@ -58,9 +58,9 @@ _TERMS = ["und", "the", "les", "que"]
 def _bm25_sql(per_shard: bool) -> str:
     tf = ",\n".join(f"len(list_filter(toks, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(_TERMS))
     dfs = ", ".join(f"count(*) FILTER (WHERE tf{i} > 0) AS df{i}" for i in range(len(_TERMS)))
-    grp = "GROUP BY shard" if per_shard else ""
-    key = "shard, " if per_shard else ""
-    join = "JOIN st USING (shard)" if per_shard else "CROSS JOIN st"
+    grp = "GROUP BY _index, shard" if per_shard else ""
+    key = "_index, shard, " if per_shard else ""
+    join = "JOIN st USING (_index, shard)" if per_shard else "CROSS JOIN st"
     terms = " + ".join(
         f"CASE WHEN tf{i} > 0 THEN ln(1.0 + (n - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} / "
         f"(tf{i} + 1.2 * (0.25 + 0.75 * dl / (len_ / n))) ELSE 0.0 END" for i in range(len(_TERMS)))

@@ -12,8 +12,8 @@ from docindex.operators import search as S
 from docindex.operators import write as W
 from docindex.operators.rank import batch_numbers
 from docindex.plans.registry import register
-from docindex.plans.views import CUT, DOCS, OPS, with_
-from docindex.plans.write_plans import ITEMS_SELECT, _stored, replay_sql_ctes
+from docindex.plans.views import DOCS, OPS, with_
+from docindex.plans.write_plans import ITEMS_SELECT, replay_sql_ctes
 from docindex.sources import codec as C
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -58,28 +58,69 @@ def i1_rejects(spark, sf):
 
 
 @register("i2_bulk_encode", with_(OPS) + f""",
-o AS (SELECT *, CAST((row_number() OVER (ORDER BY seq) - 1) // 10 AS BIGINT) AS batch_no FROM ops WHERE seq > {CUT}),
+o AS (SELECT *, CAST((row_number() OVER (ORDER BY seq) - 1) // 10 AS BIGINT) AS batch_no FROM ops),
 l AS (SELECT batch_no, seq, CAST(json_object(op, json_object('_index', _index, '_id', _id)) AS VARCHAR) AS a,
              CASE WHEN op <> 'delete' THEN CAST(json_object('value', value, 'props', props) AS VARCHAR) END AS b FROM o)
 SELECT batch_no, count(*) AS ops,
        string_agg(CASE WHEN b IS NULL THEN a ELSE a || chr(10) || b END, chr(10) ORDER BY seq) || chr(10) AS payload
 FROM l GROUP BY batch_no""")
 def i2_bulk_encode(spark, sf):
-    _first, second = fx.ops_halves(spark, sf)
-    return C.bulk_encode(second, 10, ["value", "props"])
+    return C.bulk_encode(fx.ops(spark, sf), 10, ["value", "props"])
 
 
 @register("i3_decode_bulk", with_(OPS) + replay_sql_ctes() + f""",
-it AS ({ITEMS_SELECT} WHERE seq > {CUT}),
+it AS ({ITEMS_SELECT}),
 bt AS (SELECT *, CAST((row_number() OVER (ORDER BY seq) - 1) // 10 AS BIGINT) AS batch_no FROM it)
 SELECT batch_no, 1 AS took, bool_or(status >= 300) OVER (PARTITION BY batch_no) AS errors,
        CAST(row_number() OVER (PARTITION BY batch_no ORDER BY seq) - 1 AS INTEGER) AS pos,
-       op, _index, _id, _version, status, error_type FROM bt""")
+       op, _index, _id, _version, status, error_type, result FROM bt""")
 def i3_decode_bulk(spark, sf):
-    stored, second = _stored(spark, sf)
-    items = batch_numbers(W.bulk_replay(stored, second).items, "seq", 10)
-    replies = C.encode_bulk_replies(items)
-    return C.decode_bulk_responses(replies, "reply", keep=["batch_no"])
+    out = C.decode_bulk_responses(_bulk_replies(spark, sf), "reply", keep=["batch_no"])
+    return out.drop("error_reason", "shards_total", "shards_successful", "shards_failed")
+
+
+def _bulk_replies(spark, sf):
+    """Replies to the whole log, ten ops each."""
+    return fx.bulk_replies(batch_numbers(W.bulk_replay(None, fx.ops(spark, sf)).items, "seq", 10))
+
+
+_TALK_SQL = "SELECT -conv_id * 100000 - turn - 1 AS key, text AS value FROM conversations WHERE text IS NOT NULL"
+
+
+def _with_talk(spark, sf, replies, key):
+    """Replies and, between them, conversation texts, which are none."""
+    talk = fx.table(spark, sf, "conversations").select((-F.col("conv_id") * 100_000 - F.col("turn") - 1).alias("key"), F.col("text").alias("reply"))
+    return replies.select(F.col(key).cast("long").alias("key"), "reply").unionByName(talk)
+
+
+@register("i3_rejects", _TALK_SQL)
+def i3_rejects(spark, sf):
+    return C.reply_rejects(_with_talk(spark, sf, _bulk_replies(spark, sf), "batch_no"), "reply", "bulk", ["key"])
+
+
+@register("i4_rejects", _TALK_SQL)
+def i4_rejects(spark, sf):
+    return C.reply_rejects(_with_talk(spark, sf, _search_replies(spark, sf), "page"), "reply", "search", ["key"])
+
+
+@register("i6_rejects", _TALK_SQL)
+def i6_rejects(spark, sf):
+    return C.reply_rejects(_with_talk(spark, sf, _mget_replies(spark, sf), "reply_no"), "reply", "get", ["key"])
+
+
+@register("i4_aggregations", with_(DOCS) + """
+SELECT _index, CAST(row_number() OVER (PARTITION BY _index ORDER BY count(*) DESC, source) - 1 AS INTEGER) AS pos,
+       source AS key, count(*) AS doc_count, 2 AS shards_total FROM docs WHERE NOT _deleted GROUP BY _index, source""")
+def i4_aggregations(spark, sf):
+    """Aggregations and shard counts of one search reply per index."""
+    counts = S.match_all(fx.docs(spark, sf)).groupBy("_index", F.col("source").alias("key")).agg(F.count(F.lit(1)).alias("doc_count"))
+    listed = counts.groupBy("_index").agg(F.array_sort(F.collect_list(F.struct((-F.col("doc_count")).alias("o"), "key", "doc_count"))).alias("b"))
+    buckets = F.transform("b", lambda x: F.struct(x["key"].alias("key"), x["doc_count"].alias("doc_count")))
+    reply = F.to_json(F.struct(F.struct(F.lit(2).alias("total"), F.lit(2).alias("successful")).alias("_shards"),
+                               F.struct(F.struct(buckets.alias("buckets")).alias("sources")).alias("aggregations"),
+                               F.struct(F.expr("CAST(array() AS array<struct<_id:string>>)").alias("hits")).alias("hits")))
+    decoded = C.decode_search_responses(listed.select("_index", reply.alias("reply")).withColumnRenamed("_index", "ix"), "reply", keep=["ix"])
+    return C.aggregation_buckets(decoded, "sources", keep=["ix", "shards_total"]).withColumnRenamed("ix", "_index")
 
 
 def _search_replies(spark, sf):
@@ -113,6 +154,7 @@ SELECT CAST((rn - 1) // 10 AS BIGINT) AS page, 1 AS took, FALSE AS timed_out,
 @register("i4_decode_search", _I4_SQL.format(cols="lang, source, n_chars"))
 def i4_decode_search(spark, sf):
     hits = C.decode_search_responses(_search_replies(spark, sf), "reply", keep=["page"])
+    hits = hits.drop("_type", "aggregations", "shards_total", "shards_successful", "shards_failed")
     return C.hits_as(hits, "lang string, source string, n_chars bigint")
 
 

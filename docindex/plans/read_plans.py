@@ -91,6 +91,12 @@ def r5_search_default_page(spark, sf):
     return S.search(fx.docs(spark, sf), F.col("source") == "src3").hits
 
 
+@register("r5_deep_page", with_(LINES) + """
+SELECT *, CAST(NULL AS DOUBLE) AS _score FROM lines_ix WHERE NOT _deleted ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity LIMIT 500 OFFSET 12000""")
+def r5_deep_page(spark, sf):
+    return S.search(fx.lineitem_children(spark, sf), from_=12_000, size=500, order=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]).hits
+
+
 @register("r5_search_total", with_(DOCS) + """
 SELECT count(*) AS value, 'eq' AS relation FROM docs WHERE NOT _deleted AND lang = 'en'""")
 def r5_search_total(spark, sf):
@@ -153,7 +159,7 @@ SELECT c.*, p._index AS parent_index, p._id AS parent_id, p._version AS parent_v
        p.o_orderdate AS parent_o_orderdate, p.o_orderpriority AS parent_o_orderpriority
 FROM lines_ix c JOIN orders_ix p ON c._parent = p._id WHERE NOT c._deleted AND NOT p._deleted""")
 def r12_parent_child(spark, sf):
-    return S.parent_child(fx.orders_index(spark, sf), fx.lineitem_children(spark, sf))
+    return S.parent_child(fx.orders_index(spark, sf), fx.lineitem_children(spark, sf), parent_index="orders")
 
 
 @register("r12_has_child", with_(ORDERS, LINES) + """
@@ -162,7 +168,7 @@ SELECT * FROM orders_ix p WHERE NOT _deleted AND o_orderstatus = 'F'
 def r12_has_child(spark, sf):
     parents = fx.orders_index(spark, sf).where(F.col("o_orderstatus") == "F")
     kids = fx.lineitem_children(spark, sf).where(F.col("l_returnflag") == "R")
-    return S.parent_child(parents, kids, how="has_child")
+    return S.parent_child(parents, kids, how="has_child", parent_index="orders")
 
 
 @register("r12_has_no_child", with_(ORDERS, LINES) + """
@@ -170,7 +176,7 @@ SELECT * FROM orders_ix p WHERE NOT _deleted
   AND NOT EXISTS (SELECT 1 FROM lines_ix c WHERE c._parent = p._id AND NOT c._deleted AND c.l_quantity > 45)""")
 def r12_has_no_child(spark, sf):
     kids = fx.lineitem_children(spark, sf).where(F.col("l_quantity") > 45)
-    return S.parent_child(fx.orders_index(spark, sf), kids, how="has_no_child")
+    return S.parent_child(fx.orders_index(spark, sf), kids, how="has_no_child", parent_index="orders")
 
 
 # ------------------------------------------------------------------ analysis

@@ -56,6 +56,55 @@ def i8_store_commit_replay(spark, sf):
     return store.read_index(spark, root).drop("shard")
 
 
+@register("i8_commit_routed", with_(DOCS, OPS) + """,
+u AS (SELECT _id, count(*) AS n, max(seq) AS s, arg_max(value, seq) AS value FROM ops GROUP BY _id)
+SELECT d._index, d._id, d._version + COALESCE(u.n, 0) AS _version, d._routing, d._parent, d._deleted,
+       COALESCE(u.s, d._seq) AS _seq, d.text, d.lang, d.source, d.n_chars, u.value
+FROM docs d LEFT JOIN u ON d._id = u._id AND d._index = 'docs_en'""")
+def i8_commit_routed(spark, sf):
+    """Documents routed by source; then every event updates the English document of its user's number, without routing."""
+    root = scratch_path(spark, "store")
+    store.write_index(fx.docs(spark, sf), root, n_shards=fx.DOC_SHARDS)
+    store.commit_replay(spark, root, fx.ops(spark, sf).select(F.lit("docs_en").alias("_index"), "_id", "seq", F.lit("update").alias("op"), "value"))
+    return store.read_index(spark, root).drop("shard")
+
+
+@register("i8_commit_post", with_(DOCS, OPS) + """
+SELECT _index, _id, _version, _routing, _parent, _deleted, _seq, text, lang, source, n_chars FROM docs
+UNION ALL SELECT 'docs_en', sha256('docs_en|' || CAST(seq AS VARCHAR)), 1, NULL, NULL, FALSE, seq, props, NULL, NULL, NULL FROM ops""")
+def i8_commit_post(spark, sf):
+    """Every event posted without an id into the documents."""
+    root = scratch_path(spark, "store")
+    store.write_index(fx.docs(spark, sf), root, n_shards=fx.DOC_SHARDS)
+    store.commit_replay(spark, root, fx.ops(spark, sf).select(F.lit("docs_en").alias("_index"), "seq", F.lit("index").alias("op"), F.col("props").alias("text")))
+    return store.read_index(spark, root).drop("shard")
+
+
+@register("i8_commit_new_field", with_(OPS) + replay_sql_ctes() + """
+SELECT f._index, f._id, f._version + COALESCE(l.n, 0) AS _version, f._deleted, CASE WHEN l.n > 0 THEN l.s ELSE f._seq END AS _seq, f.value, f.props, l.city
+FROM final f LEFT JOIN (SELECT _id, count(*) AS n, max(seq) + 1000000000 AS s, 'c' || _id AS city FROM ops GROUP BY _id) l ON l._id = f._id AND NOT f._deleted""")
+def i8_commit_new_field(spark, sf):
+    """The log committed, then an update per event that brings a new field."""
+    root, ops = scratch_path(spark, "store"), fx.ops(spark, sf)
+    store.commit_replay(spark, root, ops)
+    store.commit_replay(spark, root, ops.select("_index", "_id", (F.col("seq") + 1_000_000_000).alias("seq"), F.lit("update").alias("op"),
+                                                F.concat(F.lit("c"), "_id").alias("city")))
+    return store.read_index(spark, root).drop("shard")
+
+
+@register("i8_numeric_index", """
+SELECT CASE WHEN event_id % 2 = 0 THEN '2024.1' ELSE '2024.10' END AS _index, CAST(event_id AS VARCHAR) AS _id, CAST(1 AS BIGINT) AS _version,
+       FALSE AS _deleted, event_id AS _seq, value FROM events""")
+def i8_numeric_index(spark, sf):
+    """Index names that look like equal numbers stay apart."""
+    root = scratch_path(spark, "store")
+    ev = fx.table(spark, sf, "events")
+    name = F.when(F.col("event_id") % 2 == 0, "2024.1").otherwise("2024.10")
+    store.commit_replay(spark, root, ev.select(name.alias("_index"), F.col("event_id").cast("string").alias("_id"), F.col("event_id").cast("long").alias("seq"),
+                                               F.lit("index").alias("op"), "value"))
+    return store.read_index(spark, root).drop("shard")
+
+
 @register("x1_index_stats", with_(OPS) + replay_sql_ctes() + """
 SELECT _index, count(*) FILTER (WHERE NOT _deleted) AS live_docs, count(*) FILTER (WHERE _deleted) AS deleted_docs,
        CAST(COALESCE(sum(CASE WHEN NOT _deleted THEN strlen(CAST(json_object('value', value, 'props', props) AS VARCHAR)) END), 0) AS BIGINT) AS body_bytes,

@@ -88,43 +88,43 @@ visible_at = W.visible_at
 @register("w1_index_docs", with_(OPS) + """
 SELECT _index, _id, CAST(count(*) AS BIGINT) AS _version, FALSE AS _deleted, max(seq) AS _seq,
        arg_max(value, seq) AS value, arg_max(props, seq) AS props
-FROM ops WHERE op = 'index' GROUP BY _index, _id""")
+FROM ops GROUP BY _index, _id""")
 def w1_index_docs(spark, sf):
-    delta = fx.ops(spark, sf).where(F.col("op") == "index").drop("op")
+    delta = fx.ops(spark, sf).drop("op")
     return W.index_docs(None, delta).table
 
 
-_FIRST_INDEXED = f"""idx AS (SELECT DISTINCT _index, _id FROM ops WHERE op = 'index' AND seq <= {CUT})"""
+_FIRST_INDEXED = f"""idx AS (SELECT DISTINCT _index, _id FROM ops WHERE seq <= {CUT})"""
 
 
 @register("w3_create_docs", with_(OPS, _FIRST_INDEXED) + f""",
-c AS (SELECT *, row_number() OVER (PARTITION BY _index, _id ORDER BY seq) AS rn FROM ops
-      WHERE op = 'create' AND seq > {CUT}),
+c AS (SELECT *, row_number() OVER (PARTITION BY _index, _id ORDER BY seq) AS rn FROM ops),
 d AS (SELECT c.*, (rn = 1 AND NOT EXISTS (SELECT 1 FROM idx WHERE idx._index = c._index AND idx._id = c._id)) AS ok FROM c)
 SELECT seq, 'create' AS op, _index, _id, CASE WHEN ok THEN CAST(1 AS BIGINT) END AS _version,
        CAST(CASE WHEN ok THEN 201 ELSE 409 END AS INTEGER) AS status,
        CASE WHEN ok THEN 'created' END AS result,
        CASE WHEN NOT ok THEN 'version_conflict_engine_exception' END AS error_type FROM d""")
 def w3_create_docs(spark, sf):
-    first, second = fx.ops_halves(spark, sf)
-    stored = W.index_docs(None, first.where(F.col("op") == "index").drop("op")).table
-    delta = second.where(F.col("op") == "create").drop("op")
+    # The first half indexed, then the whole log as create calls.
+    first, _second = fx.ops_halves(spark, sf)
+    stored = W.index_docs(None, first.drop("op")).table
+    delta = fx.ops(spark, sf).drop("op")
     return W.create_docs(stored, delta).items
 
 
 @register("w3_create_docs_table", with_(OPS, _FIRST_INDEXED) + f""",
-c AS (SELECT *, row_number() OVER (PARTITION BY _index, _id ORDER BY seq) AS rn FROM ops
-      WHERE op = 'create' AND seq > {CUT}),
+c AS (SELECT *, row_number() OVER (PARTITION BY _index, _id ORDER BY seq) AS rn FROM ops),
 newrows AS (SELECT _index, _id, CAST(1 AS BIGINT) AS _version, FALSE AS _deleted, seq AS _seq, value, props
             FROM c WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM idx WHERE idx._index = c._index AND idx._id = c._id)),
 old AS (SELECT _index, _id, CAST(count(*) AS BIGINT) AS _version, FALSE AS _deleted, max(seq) AS _seq,
                arg_max(value, seq) AS value, arg_max(props, seq) AS props
-        FROM ops WHERE op = 'index' AND seq <= {CUT} GROUP BY _index, _id)
+        FROM ops WHERE seq <= {CUT} GROUP BY _index, _id)
 SELECT * FROM old UNION ALL SELECT * FROM newrows""")
 def w3_create_docs_table(spark, sf):
-    first, second = fx.ops_halves(spark, sf)
-    stored = W.index_docs(None, first.where(F.col("op") == "index").drop("op")).table
-    delta = second.where(F.col("op") == "create").drop("op")
+    # The first half indexed, then the whole log as create calls.
+    first, _second = fx.ops_halves(spark, sf)
+    stored = W.index_docs(None, first.drop("op")).table
+    delta = fx.ops(spark, sf).drop("op")
     return W.create_docs(stored, delta).table
 
 
@@ -133,7 +133,6 @@ u AS (SELECT o.seq, o._index, o._id, o.value, o.props, f._version AS v0,
              COALESCE(NOT f._deleted, FALSE) AS live,
              COALESCE(lag(o.value) OVER w, f.value) AS pv, COALESCE(lag(o.props) OVER w, f.props) AS pp
       FROM ops o LEFT JOIN final f ON f._index = o._index AND f._id = o._id
-      WHERE o.op = 'update' AND o.seq > {CUT}
       WINDOW w AS (PARTITION BY o._index, o._id ORDER BY o.seq)),
 n AS (SELECT *, live AND value IS NOT DISTINCT FROM pv AND props IS NOT DISTINCT FROM pp AS noop FROM u),
 m AS (SELECT *, v0 + sum(CASE WHEN live AND NOT noop THEN 1 ELSE 0 END)
@@ -143,24 +142,21 @@ SELECT seq, 'update' AS op, _index, _id, CASE WHEN live THEN CAST(ver AS BIGINT)
        CASE WHEN noop THEN 'noop' WHEN live THEN 'updated' END AS result,
        CASE WHEN NOT live THEN 'document_missing_exception' END AS error_type FROM m""")
 def w4_update_docs(spark, sf):
-    stored, second = _stored(spark, sf)
-    delta = second.where(F.col("op") == "update").drop("op")
+    # The first half replayed, then the whole log as update calls.
+    stored, delta = fx.stored(spark, sf), fx.ops(spark, sf).drop("op")
     return W.update_docs(stored, delta, detect_noop=True).items
 
 
 @register("w5_delete_docs", with_(OPS) + replay_sql_ctes(f"seq <= {CUT}") + f""",
 d AS (SELECT o.seq, o._index, o._id, f._version AS v0, COALESCE(NOT f._deleted, FALSE) AS live,
              row_number() OVER (PARTITION BY o._index, o._id ORDER BY o.seq) AS rn
-      FROM ops o LEFT JOIN final f ON f._index = o._index AND f._id = o._id
-      WHERE o.op = 'delete' AND o.seq > {CUT})
+      FROM ops o LEFT JOIN final f ON f._index = o._index AND f._id = o._id)
 SELECT seq, 'delete' AS op, _index, _id, CASE WHEN live AND rn = 1 THEN CAST(v0 + 1 AS BIGINT) END AS _version,
        CAST(CASE WHEN live AND rn = 1 THEN 200 ELSE 404 END AS INTEGER) AS status,
        CASE WHEN live AND rn = 1 THEN 'deleted' ELSE 'not_found' END AS result,
        CAST(NULL AS VARCHAR) AS error_type FROM d""")
 def w5_delete_docs(spark, sf):
-    stored, second = _stored(spark, sf)
-    ids = second.where(F.col("op") == "delete").select("_index", "_id", "seq")
-    return W.delete_docs(stored, ids).items
+    return W.delete_docs(fx.stored(spark, sf), fx.ops(spark, sf).select("_index", "_id", "seq")).items
 
 
 @register("w2_auto_ids", with_(OPS) + """
@@ -241,10 +237,9 @@ def w10_default_index(spark, sf):
 
 
 @register("b1_batch_ops", with_(OPS) + f"""
-SELECT seq, CAST((row_number() OVER (ORDER BY seq) - 1) // 10 AS BIGINT) AS batch_no FROM ops WHERE seq > {CUT}""")
+SELECT seq, CAST((row_number() OVER (ORDER BY seq) - 1) // 10 AS BIGINT) AS batch_no FROM ops""")
 def b1_batch_ops(spark, sf):
-    _first, second = fx.ops_halves(spark, sf)
-    return batch_numbers(second.select("seq"), "seq", 10)
+    return batch_numbers(fx.ops(spark, sf).select("seq"), "seq", 10)
 
 
 @register("b2_batch_summary", with_(OPS) + replay_sql_ctes() + f""",
@@ -340,7 +335,7 @@ def w8_bulk_replay_json(spark, sf):
 u AS (SELECT o.seq, o._index, o._id, o.value, o.props,
              COALESCE(lag(o.value) OVER w, f.value) AS pv, COALESCE(lag(o.props) OVER w, f.props) AS pp
       FROM ops o JOIN final f ON f._index = o._index AND f._id = o._id
-      WHERE o.op = 'update' AND o.seq > {CUT} AND NOT f._deleted
+      WHERE NOT f._deleted
       WINDOW w AS (PARTITION BY o._index, o._id ORDER BY o.seq)),
 c AS (SELECT _index, _id, count(*) FILTER (WHERE NOT (value IS NOT DISTINCT FROM pv AND props IS NOT DISTINCT FROM pp)) AS n,
              max(seq) FILTER (WHERE NOT (value IS NOT DISTINCT FROM pv AND props IS NOT DISTINCT FROM pp)) AS lastseq,
@@ -349,8 +344,8 @@ SELECT f._index, f._id, f._version + COALESCE(c.n, 0) AS _version, f._deleted, C
        COALESCE(c.lv, f.value) AS value, COALESCE(c.lp, f.props) AS props
 FROM final f LEFT JOIN c USING (_index, _id)""")
 def w4_update_docs_table(spark, sf):
-    stored, second = _stored(spark, sf)
-    delta = second.where(F.col("op") == "update").drop("op")
+    # The first half replayed, then the whole log as update calls.
+    stored, delta = fx.stored(spark, sf), fx.ops(spark, sf).drop("op")
     return W.update_docs(stored, delta, detect_noop=True).table
 
 

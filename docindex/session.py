@@ -60,18 +60,3 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     """A new, unique path under the checkpoint root for one materialised table."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{kind}-{uuid.uuid4().hex}"
-
-
-def spread(df):
-    """Round-robin a frame whose scan produced fewer tasks than the session can run.
-
-    Heavy per-row work (regex over long texts) on a single-file input would run in
-    one task; this only triggers when the input has fewer partitions than the
-    default parallelism, so on a cluster reading many files it is a no-op.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the plan alone
-        return df
-    return df.repartition(target) if parts < target else df

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docindex.session import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -39,7 +38,7 @@ def documents_as(df: DataFrame, json_col: str, schema, keep: list[str] | None =
     st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     with_corrupt = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
     keep = keep or []
-    parsed = spread(df).select(*keep, F.col(json_col).alias("_json"),
+    parsed = df.select(*keep, F.col(json_col).alias("_json"),
                        F.from_json(F.col(json_col), with_corrupt,
                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
                                     **JSON_OPTIONS, **(options or {})}).alias("_d"))
@@ -104,10 +103,31 @@ BULK_REPLY = T.StructType([
         T.StructField(op, _BULK_RESULT) for op in ("index", "create", "update", "delete")])))])
 
 
+#: What each kind of reply must hold to be one, as JSON paths of which one must be there.
+REPLY_SHAPES = {"bulk": ("$.items",), "search": ("$.hits",), "get": ("$.docs", "$._id"), "shards": ("$._shards",)}
+
+
+def is_reply(json_text: Column, kind: str) -> Column:
+    """Whether a text is a JSON object of the given reply kind; never null."""
+    body = F.try_parse_json(json_text)
+    held = F.lit(False)
+    for path in REPLY_SHAPES[kind]:
+        held = held | F.try_variant_get(body, path, "variant").isNotNull()
+    return F.coalesce(F.schema_of_variant(body).startswith("OBJECT") & held, F.lit(False))
+
+
+def reply_rejects(df: DataFrame, json_col: str, kind: str, keep: list[str] | None = None) -> DataFrame:
+    """Texts that the decoder of ``kind`` (bulk, search, get, shards) cannot read: ``keep`` columns and the raw text."""
+    return df.where(F.col(json_col).isNotNull() & ~is_reply(F.col(json_col), kind)).select(*(keep or []), F.col(json_col).alias("value"))
+
+
 def decode_bulk_responses(df: DataFrame, json_col: str, keep: list[str] | None = None) -> DataFrame:
-    """Bulk reply texts -> one row per item, in reply order (``pos``)."""
+    """Bulk reply texts -> one row per item, in reply order (``pos``).
+
+    Other texts give no row here; ``reply_rejects(df, json_col, "bulk")`` returns them.
+    """
     keep = keep or []
-    r = df.select(*keep, F.from_json(F.col(json_col), BULK_REPLY).alias("_r"))
+    r = df.where(is_reply(F.col(json_col), "bulk")).select(*keep, F.from_json(F.col(json_col), BULK_REPLY).alias("_r"))
     ex = r.select(*keep, F.col("_r.took").alias("took"), F.col("_r.errors").alias("errors"),
                   F.posexplode(F.col("_r.items")).alias("pos", "_it"))
     ops = ("index", "create", "update", "delete")
@@ -117,20 +137,9 @@ def decode_bulk_responses(df: DataFrame, json_col: str, keep: list[str] | None =
     res = F.coalesce(*[F.col(f"_it.{o}") for o in ops])
     return ex.select(*keep, "took", "errors", F.col("pos").cast("int").alias("pos"), op.alias("op"),
                      res["_index"].alias("_index"), res["_id"].alias("_id"), res["_version"].alias("_version"),
-                     res["status"].alias("status"), res["error"]["type"].alias("error_type"))
-
-
-def encode_bulk_replies(items: DataFrame, took: int = 1) -> DataFrame:
-    """Bulk reply texts per ``batch_no`` from item rows (the server side of I3)."""
-    item = F.to_json(F.create_map(F.col("op"), F.struct(
-        "_index", "_id", "_version", "result", F.col("status").alias("status"),
-        F.when(F.col("error_type").isNotNull(), F.struct(F.col("error_type").alias("type"))).alias("error"))))
-    g = items.groupBy("batch_no").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("seq"), item.alias("it")))).alias("_its"),
-        F.bool_or(F.col("status") >= 300).alias("errors"))
-    reply = F.concat(F.lit(f'{{"took":{int(took)},"errors":'), F.col("errors").cast("string"), F.lit(',"items":['),
-                     F.array_join(F.transform("_its", lambda x: x["it"]), ","), F.lit("]}"))
-    return g.select("batch_no", reply.alias("reply"))
+                     res["status"].alias("status"), res["error"]["type"].alias("error_type"),
+                     res["result"].alias("result"), res["error"]["reason"].alias("error_reason"),
+                     *[res["_shards"][c].alias(f"shards_{c}") for c in ("total", "successful", "failed")])
 
 
 # ---------------------------------------------------------------- I4 / I5
@@ -140,7 +149,8 @@ _HIT = T.StructType([
     T.StructField("_source", T.StringType())])
 SEARCH_REPLY = T.StructType([
     T.StructField("took", T.IntegerType()), T.StructField("timed_out", T.BooleanType()),
-    T.StructField("_scroll_id", T.StringType()),
+    T.StructField("_scroll_id", T.StringType()), T.StructField("aggregations", T.StringType()),
+    T.StructField("_shards", _SHARDS),
     T.StructField("hits", T.StructType([
         T.StructField("max_score", T.DoubleType()),
         T.StructField("hits", T.ArrayType(_HIT))]))])
@@ -149,21 +159,33 @@ SEARCH_REPLY = T.StructType([
 def decode_search_responses(df: DataFrame, json_col: str, keep: list[str] | None = None) -> DataFrame:
     """I4: search reply texts -> hit rows; ``total`` read as a generation-7 object or a generation-5/6 integer.
 
-    A reply with no hits still yields one row (null ``pos``) so its envelope is kept.
+    A reply with no hits still yields one row (null ``pos``) so its envelope is kept. ``aggregations`` is the JSON text
+    of that part (see ``aggregation_buckets``). Other texts give no row; ``reply_rejects`` returns them.
     """
     keep = keep or []
     j = F.col(json_col)
     total = F.coalesce(F.get_json_object(j, "$.hits.total.value"), F.get_json_object(j, "$.hits.total")).cast("long")
     relation = F.coalesce(F.get_json_object(j, "$.hits.total.relation"), F.lit("eq"))
+    df = df.where(is_reply(j, "search"))
     r = df.select(*keep, F.from_json(j, SEARCH_REPLY).alias("_r"), total.alias("total"), relation.alias("relation"))
     ex = r.select(*keep, F.col("_r.took").alias("took"), F.col("_r.timed_out").alias("timed_out"),
                   "total", "relation", F.col("_r.hits.max_score").alias("max_score"),
-                  F.col("_r._scroll_id").alias("scroll_id"),
+                  F.col("_r._scroll_id").alias("scroll_id"), F.col("_r.aggregations").alias("aggregations"),
+                  *[F.col(f"_r._shards.{c}").alias(f"shards_{c}") for c in ("total", "successful", "failed")],
                   F.posexplode_outer(F.col("_r.hits.hits")).alias("pos", "_h"))
     return ex.select(*keep, "took", "timed_out", "total", "relation", "max_score", "scroll_id",
                      F.col("pos").cast("int").alias("pos"),
                      F.col("_h._index").alias("_index"), F.col("_h._id").alias("_id"),
-                     F.col("_h._score").alias("_score"), F.col("_h._source").alias("_source"))
+                     F.col("_h._score").alias("_score"), F.col("_h._source").alias("_source"),
+                     F.col("_h._type").alias("_type"), "aggregations", "shards_total", "shards_successful", "shards_failed")
+
+
+def aggregation_buckets(df: DataFrame, name: str, json_col: str = "aggregations", keep: list[str] | None = None) -> DataFrame:
+    """Buckets (``key, doc_count``) of the terms aggregation ``name`` in the decoded aggregations text."""
+    shape = "struct<buckets:array<struct<key:string,doc_count:bigint>>>"
+    part = F.from_json(F.col(json_col), f"map<string,{shape}>")[name]
+    return df.where(F.col(json_col).isNotNull()).select(*(keep or []), F.posexplode(part["buckets"]).alias("pos", "_b")).select(
+        *(keep or []), "pos", "_b.key", "_b.doc_count")
 
 
 def hits_as(hits: DataFrame, schema, source_col: str = "_source") -> DataFrame:
@@ -187,10 +209,12 @@ def decode_get_responses(df: DataFrame, json_col: str, source_schema=None,
     """Get and mget reply texts -> rows; missing docs kept with ``found = false``.
 
     A single-get reply (an object with ``_id`` at the top) is treated as a
-    one-document mget reply, so both shapes decode through the same plan.
+    one-document mget reply, so both shapes decode through the same plan. Other
+    texts give no row; ``reply_rejects`` returns them.
     """
     keep = keep or []
     j = F.col(json_col)
+    df = df.where(is_reply(j, "get"))
     as_list = F.when(F.get_json_object(j, "$.docs").isNotNull(), j).otherwise(
         F.concat(F.lit('{"docs":['), j, F.lit("]}")))
     r = df.select(*keep, F.from_json(as_list, MGET_REPLY).alias("_r"))
@@ -218,7 +242,7 @@ def shard_summary(df: DataFrame, json_col: str) -> tuple[DataFrame, DataFrame]:
 
     An absent ``failures`` list counts as empty.
     """
-    r = df.select(F.from_json(F.col(json_col), SHARDS_REPLY).alias("_r"))
+    r = df.where(is_reply(F.col(json_col), "shards")).select(F.from_json(F.col(json_col), SHARDS_REPLY).alias("_r"))
     flat = r.select(F.col("_r._index").alias("_index"), F.col("_r._shards.total").alias("total"),
                     F.col("_r._shards.successful").alias("successful"), F.col("_r._shards.failed").alias("failed"),
                     F.coalesce(F.col("_r._shards.failures"), F.array()).alias("failures"))

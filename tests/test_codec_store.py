@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import pytest
 
+from docindex import fixtures as fx
 from docindex.operators import write as W
 from docindex.session import scratch_path
 from docindex.sources import codec as C
@@ -28,7 +29,7 @@ def test_bulk_encode_payload_shape(spark):
 def test_bulk_reply_round_trip(spark):
     ops = _ops(spark, [("ix", "1", 1, "create", "a"), ("ix", "1", 2, "create", "b"), ("ix", "2", 3, "update", "x")])
     items = W.bulk_replay(None, ops).items.withColumn("batch_no", F.lit(0).cast("long"))
-    back = C.decode_bulk_responses(C.encode_bulk_replies(items), "reply").orderBy("pos").collect()
+    back = C.decode_bulk_responses(fx.bulk_replies(items), "reply").orderBy("pos").collect()
     assert [(r.op, r._id, r.status, r.error_type) for r in back] == [
         ("create", "1", 201, None), ("create", "1", 409, "version_conflict_engine_exception"),
         ("update", "2", 404, "document_missing_exception")]

@@ -49,7 +49,7 @@ def test_mget_shuffle_path_matches_broadcast_path(spark):
     table = _docs(spark, 50, "test")
     keys = spark.createDataFrame([(i, "test", str(i % 60)) for i in range(200)], "pos long, _index string, _id string")
     a = sorted(tuple(r) for r in S.mget(table, keys).collect())
-    b = sorted(tuple(r) for r in S.mget(table, keys, broadcast_limit=0).collect())
+    b = sorted(tuple(r) for r in S.mget(table, keys.repartition(3)).collect())
     assert a == b and len(a) == 200
 
 
