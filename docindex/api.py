@@ -1,10 +1,13 @@
 """An index handle over the store: the per-index calls of the reference, as Spark jobs.
 
-``Index(spark, root, name)`` names one index inside a store folder. Every call
-is a composition of the library's operators over the store's current version;
-writes commit a new version that rewrites only the shards they touch. Search
-sees the last refreshed version (``refresh`` moves it), while ``get`` reads the
+``Index(spark, root, name)`` names one index inside a store folder, an alias, or (for reads) a list of both. Every call
+is a composition of the library's operators over the store's current version; writes commit a new version that rewrites
+only the shards they touch. Search sees the last refreshed version (``refresh`` moves it), while ``get`` reads the
 latest commit, matching the reference's refresh semantics (R13).
+
+Write frames may carry ``routing``, ``parent`` and, with ``version_type``, ``version`` columns. Mappings, templates and
+aliases live in the store's manifest: an index without a mapping of its own takes the merged mappings of the templates
+that match its name, lowest ``order`` first.
 """
 
 from __future__ import annotations
@@ -15,9 +18,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docindex.functions.analyze import analyze
-from docindex.operators import rank, search, write
+from docindex.functions.scoring import match_query
+from docindex.operators import aggs, mapping, rank, search, write
 from docindex.sources import store
 
+VERSION_TYPES = {
+    "internal": lambda table, ops: write.write_internal(table, ops),
+    "external": lambda table, ops: write.write_external(table, ops),
+    "external_gte": lambda table, ops: write.write_external(table, ops, gte=True),
+    "force": lambda table, ops: write.write_force(table, ops),
+}
+
 
 @dataclass
 class BulkResponses:
@@ -31,10 +42,26 @@ def bulk_batches(items: DataFrame, batch_size: int) -> BulkResponses:
     return BulkResponses(numbered, write.bulk_batch_summary(numbered))
 
 
+def merge_mappings(old: dict | None, new: dict) -> dict:
+    """Fields of both mappings; an object's fields one by one; a field with another type is refused."""
+    out = {**(old or {}), **{k: v for k, v in new.items() if k != "properties"}}
+    props = dict((old or {}).get("properties", {}))
+    for name, spec in new.get("properties", {}).items():
+        have = props.get(name)
+        if have and "properties" in have and "properties" in spec:
+            props[name] = merge_mappings(have, spec)
+        elif have and have.get("type", "object") != spec.get("type", "object"):
+            raise ValueError(f"field {name} is mapped as {have.get('type', 'object')}")
+        else:
+            props[name] = {**(have or {}), **spec}
+    out["properties"] = props
+    return out
+
+
 class Index:
-    """One index of a store: ``root`` is a folder every executor can reach."""
+    """One index of a store (or several, for reads): ``root`` is a folder every executor can reach."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str, n_shards: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, name: str | list[str], n_shards: int | None = None):
         self.spark, self.root, self.name = spark, root, name
         self._given_shards = n_shards or store.DEFAULT_SHARDS
         self._refreshed: int | None = store.latest_version(spark, root)
@@ -44,25 +71,55 @@ class Index:
         """The store's own shard count; the given one counts for a new store only."""
         return store.shard_count(self.spark, self.root, self._given_shards)
 
+    def indices(self) -> list[str]:
+        """The named indices, aliases resolved."""
+        aliases = store.settings(self.spark, self.root, "aliases")
+        out: dict = {}
+        for name in [self.name] if isinstance(self.name, str) else self.name:
+            out.update(dict.fromkeys(aliases.get(name, [name])))
+        return list(out)
+
+    def _one(self) -> str:
+        found = self.indices()
+        if len(found) != 1:
+            raise ValueError(f"a write names one index, not {found}")
+        return found[0]
+
     # -- reads ---------------------------------------------------------------
     def _table(self, version: int | None = None) -> DataFrame:
         v = version if version is not None else store.latest_version(self.spark, self.root)
         if v is None:
             raise FileNotFoundError(f"index {self.name} has no data under {self.root}")
-        return store.read_index(self.spark, self.root, [self.name], version=v)
+        return store.read_index(self.spark, self.root, self.indices(), version=v)
 
     def get(self, doc_id: str, routing: str | None = None, fields: list[str] | None = None,
             source: bool = True) -> DataFrame:
-        return search.get_doc(self._table(), self.name, doc_id, routing, self.n_shards, fields, source)
+        """The live document; only its shard's folder is read when routing or the id tells it."""
+        index, v = self._one(), store.latest_version(self.spark, self.root)
+        table = self._table(v)
+        routed = {"_routing", "_parent"} & set(table.columns)
+        shards = self.n_shards if routing is not None or not routed else None
+        if shards:
+            pair = {(index, search.shard_of_value(routing or doc_id, shards))}
+            table = store.read_index(self.spark, self.root, version=v, pairs=pair)
+        return search.get_doc(table, index, doc_id, routing, shards, fields, source)
 
     def mget(self, keys: DataFrame) -> DataFrame:
-        return search.mget(self._table(), keys, default_index=self.name)
+        found = self.indices()
+        return search.mget(self._table(), keys, default_index=found[0] if len(found) == 1 else None)
 
     def search(self, query: Column | None = None, from_: int = 0, size: int = search.DEFAULT_SIZE,
-               order: list | None = None) -> search.SearchResult:
+               order: list | None = None, match: tuple[str, str] | None = None, search_type: str = "query_then_fetch",
+               terminate_after: int | None = None, aggregations: dict | None = None) -> search.SearchResult:
+        """``match`` = (field, text) scores by BM25; ``aggregations`` = {name: terms_agg arguments} over all matches."""
+        table = self._table(self._refreshed)
         if self._refreshed is None:  # nothing refreshed yet: the index is visible but empty
-            return search.search(self._table().where(F.lit(False)), query, from_, size, order)
-        return search.search(self._table(self._refreshed), query, from_, size, order)
+            table = table.where(F.lit(False))
+        if match:
+            table = match_query(search.live(table), *match, search_type=search_type)
+        out = search.search(table, query, from_, size, order, terminate_after)
+        out.aggregations = {name: aggs.terms_agg(out.matches, **args) for name, args in (aggregations or {}).items()}
+        return out
 
     def scroll(self, query: Column | None = None, size: int = 10) -> DataFrame:
         t = search.live(self._table(self._refreshed))
@@ -73,18 +130,20 @@ class Index:
 
     # -- writes --------------------------------------------------------------
     def _ops(self, df: DataFrame, op: str | None) -> DataFrame:
-        out = write.default_index_of(df, self.name)
+        out = write.default_index_of(df, self._one())
         return out.withColumn("op", F.lit(op)) if op else out
 
-    def bulk(self, ops: DataFrame, batch_size: int | None = None, refresh: bool = False):
+    def bulk(self, ops: DataFrame, batch_size: int | None = None, refresh: bool = False, version_type: str | None = None):
         """Apply an ops log; returns item results (and per-batch responses with ``batch_size``)."""
-        _v, items = store.commit_replay(self.spark, self.root, self._ops(ops, None), self.n_shards)
+        _v, items = store.commit_replay(self.spark, self.root, self._ops(ops, None), self._given_shards,
+                                        apply=VERSION_TYPES[version_type] if version_type else None)
         if refresh:
             self.refresh()
         return bulk_batches(items, batch_size) if batch_size else items
 
-    def index(self, docs: DataFrame, create: bool = False, refresh: bool = False) -> DataFrame:
-        return self.bulk(self._ops(docs, "create" if create else "index"), refresh=refresh)
+    def index(self, docs: DataFrame, create: bool = False, refresh: bool = False, version_type: str | None = None) -> DataFrame:
+        """Index (or create) documents; with ``version_type`` their ``version`` decides."""
+        return self.bulk(self._ops(docs, "create" if create else "index"), refresh=refresh, version_type=version_type)
 
     def update(self, docs: DataFrame, refresh: bool = False) -> DataFrame:
         return self.bulk(self._ops(docs, "update"), refresh=refresh)
@@ -92,11 +151,49 @@ class Index:
     def delete(self, ids: DataFrame, refresh: bool = False) -> DataFrame:
         return self.bulk(self._ops(ids, "delete"), refresh=refresh)
 
+    def index_json(self, docs: DataFrame, json_col: str, refresh: bool = False):
+        """Index JSON bodies under the index's mapping; returns (items, rejects of values that do not fit)."""
+        found = self.mapping()
+        keep = [c for c in docs.columns if c != json_col]
+        enabled = found.get("_source", {}).get("enabled", True)
+        mapped = mapping.apply_mapping(docs, json_col, found, keep, drop_source=not enabled)
+        rows = mapped.rows.withColumnRenamed("_source", "_body") if enabled else mapped.rows
+        return self.index(rows, refresh=refresh), mapped.rejects
+
     def refresh(self) -> int | None:
         """Make every committed write visible to search."""
         self._refreshed = store.latest_version(self.spark, self.root)
         return self._refreshed
 
+    # -- mappings, templates, aliases -------------------------------------------
+    def mapping(self) -> dict:
+        """The index's own mapping, else the templates' that match its name, merged by ascending order."""
+        own = store.settings(self.spark, self.root, "mappings").get(self._one())
+        if own is not None:
+            return own
+        out: dict = {"properties": {}}
+        templates = sorted(store.settings(self.spark, self.root, "templates").items(), key=lambda t: (int(t[1].get("order", 0)), t[0]))
+        for _, t in templates:
+            if any(mapping.index_matches(p, self._one()) for p in t.get("index_patterns") or [t["template"]]):
+                out = merge_mappings(out, t.get("mappings", {}))
+        return out
+
+    def put_mapping(self, new: dict) -> dict:
+        """Add fields to the index's mapping; a changed type is refused."""
+        name, base = self._one(), self.mapping()
+        store.put_setting(self.spark, self.root, "mappings", name, lambda old: merge_mappings(old or base, new), self._given_shards)
+        return self.mapping()
+
+    def put_template(self, name: str, template: dict | None) -> None:
+        """Store a template (``index_patterns`` or ``template``, ``order``, ``mappings``); None removes it."""
+        store.put_setting(self.spark, self.root, "templates", name, lambda _old: template, self._given_shards)
+
+    def put_alias(self, alias: str, remove: bool = False) -> None:
+        """Add this index to an alias, or take it out."""
+        name = self._one()
+        store.put_setting(self.spark, self.root, "aliases", alias, lambda old: (
+            [x for x in old or [] if x != name] + ([] if remove else [name])) or None, self._given_shards)
+
     # -- maintenance -----------------------------------------------------------
     def stats(self) -> DataFrame:
         return store.index_stats(self._table())

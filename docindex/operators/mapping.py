@@ -296,6 +296,11 @@ def glob_regex(pattern: str) -> str:
     return "^" + ".*".join(re.escape(p) for p in pattern.split("*")) + "$"
 
 
+def index_matches(pattern: str, index: str) -> bool:
+    """Whether an index name fits a template's pattern."""
+    return bool(re.match(glob_regex(pattern), index))
+
+
 def apply_templates(docs: DataFrame, templates: list[dict], index_col: str = "_index") -> DataFrame:
     """M5: tag each document with the template whose pattern matches its index.
 

@@ -7,7 +7,7 @@ a double for BM25 (see ``docindex.functions.scoring``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field as _field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,6 +115,7 @@ class SearchResult:
     hits: DataFrame       # the page
     total: DataFrame      # one row: value, relation
     matches: DataFrame    # every match, unpaged (for aggregations)
+    aggregations: dict = _field(default_factory=dict)  # name -> buckets, over all matches
 
     def max_score(self) -> DataFrame:
         return with_max_score(self.matches)

@@ -177,7 +177,7 @@ def write_index(df: DataFrame, root: str, n_shards: int | None = None) -> int:
         commit = _write_parts(spark, root, data)
         parts = [[i, s, commit, (base or 0) + 1] for i, s in sorted(_written_parts(spark, root, commit))]
         new = {"n_shards": shards, "schema": merged_schema(None, df.drop("shard").schema).jsonValue(), "parts": parts,
-               "streams": old["streams"] if old else {}}
+               "streams": old["streams"] if old else {}, "settings": old["settings"] if old else {}}
         version = _commit(spark, root, base, new)
         if version is not None:
             return version
@@ -227,14 +227,15 @@ def _routing(df: DataFrame):
 
 
 def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int | None = None, chunk_rows: int | None = None,
-                  default_index: str | None = None, stream: tuple[str, int] | None = None, on_items=None):
+                  default_index: str | None = None, stream: tuple[str, int] | None = None, on_items=None, apply=None):
     """Apply an ops log to the stored table, reading and rewriting only the partitions it touches.
 
     Returns (new version, item results). Auto ids and arrival order are fixed first; then the touched partitions are
     listed, read, replayed once (the evaluated rows are written to the checkpoint folder and used for the items and
     for the table) and committed. If another writer commits first, the replay is done again on its version.
     ``stream`` = (name, batch) makes the commit of a batch happen once: a batch that the manifest has is not applied
-    again (None is returned for its items). ``on_items`` gets the items before the commit.
+    again (None is returned for its items). ``on_items`` gets the items before the commit. ``apply(table, ops)``
+    replaces the replay, for writes with their own versions (``write_external`` and its kin).
     """
     from docindex.operators import write as W
     from docindex.operators.rank import materialize
@@ -247,9 +248,10 @@ def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int
         if stream and old and old["streams"].get(stream[0], -1) >= stream[1]:
             return base, None
         shards = old["n_shards"] if old else (n_shards or DEFAULT_SHARDS)
-        pairs = touched_pairs(spark, root, ops, base, shards)
-        table = read_index(spark, root, version=base, pairs=pairs).drop("shard") if old else None
-        res = W.bulk_replay(table, ops, materialize_rows=True, **kwargs)
+        has_data = bool(old and old["schema"]["fields"])  # a store may hold settings only
+        pairs = touched_pairs(spark, root, ops, base if has_data else None, shards)
+        table = read_index(spark, root, version=base, pairs=pairs).drop("shard") if has_data else None
+        res = apply(table, ops) if apply else W.bulk_replay(table, ops, materialize_rows=True, **kwargs)
         items = materialize(res.items, "items") if on_items is None else res.items
         if on_items is not None:
             on_items(items)
@@ -263,11 +265,34 @@ def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int
         streams = dict(old["streams"]) if old else {}
         if stream:
             streams[stream[0]] = stream[1]
-        version = _commit(spark, root, base, {"n_shards": shards, "schema": schema.jsonValue(), "parts": sorted(parts), "streams": streams})
+        version = _commit(spark, root, base, {"n_shards": shards, "schema": schema.jsonValue(), "parts": sorted(parts), "streams": streams,
+                                              "settings": old["settings"] if old else {}})
         if version is not None:
             return version, items
 
 
+def settings(spark: SparkSession, root: str, kind: str) -> dict:
+    """Named settings of a store: kind is mappings, templates or aliases."""
+    found = read_manifest(spark, root)
+    return found["settings"].get(kind, {}) if found else {}
+
+
+def put_setting(spark: SparkSession, root: str, kind: str, name: str, change, n_shards: int = DEFAULT_SHARDS) -> int:
+    """Commit ``change(current value or None)`` as the setting ``name``; None removes it. The data stays as it is."""
+    while True:
+        base = latest_version(spark, root)
+        old = read_manifest(spark, root, base) if base else {"n_shards": n_shards, "schema": T.StructType([]).jsonValue(), "parts": [], "streams": {}, "settings": {}}
+        group = dict(old["settings"].get(kind, {}))
+        value = change(group.get(name))
+        if value is None:
+            group.pop(name, None)
+        else:
+            group[name] = value
+        version = _commit(spark, root, base, {**old, "settings": {**old["settings"], kind: group}})
+        if version is not None:
+            return version
+
+
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Remove data folders that none of the last ``keep`` versions uses, and the older manifests. Returns their names.
 

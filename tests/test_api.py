@@ -1,5 +1,6 @@
 """The index handle: the reference's per-index flow end to end on a store."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from docindex.api import Index
@@ -35,6 +36,55 @@ def test_bulk_105_in_batches_of_10(spark):
     assert ix.scroll(size=10).count() == 105
 
 
+def test_versions_routing_and_parent_reach_the_store(spark):
+    ix = Index(spark, scratch_path(spark, "api"), "v")
+    docs = lambda rows: spark.createDataFrame(rows, "_id string, seq long, name string, version long")
+    assert [r.status for r in ix.index(docs([("1", 1, "a", 5)]), version_type="external").collect()] == [201]
+    assert [r.status for r in ix.index(docs([("1", 2, "b", 5)]), version_type="external").collect()] == [409]
+    assert [r.status for r in ix.index(docs([("1", 3, "c", 5)]), version_type="external_gte").collect()] == [200]
+    assert [r.status for r in ix.index(docs([("1", 4, "d", 4)]), version_type="internal").collect()] == [409]
+    assert [r.status for r in ix.index(docs([("1", 5, "e", 2)]), version_type="force").collect()] == [200]
+    assert [(r._version, r.name) for r in ix.get("1").collect()] == [(2, "e")]
+    child = spark.createDataFrame([("c", 6, "kid", "1", None), ("r", 7, "routed", None, "k")], "_id string, seq long, name string, parent string, routing string")
+    ix.index(child)
+    assert ix.get("c", routing="1").count() == 1 and ix.get("r", routing="k").count() == 1 and ix.get("1").count() == 1
+
+
+def test_search_arguments_index_lists_and_aliases(spark):
+    root = scratch_path(spark, "api")
+    a, b = Index(spark, root, "a"), Index(spark, root, "b")
+    docs = lambda n: spark.createDataFrame([(str(i), i, f"word{i % 3} text", f"k{i % 2}") for i in range(n)], "_id string, seq long, body string, kind string")
+    a.index(docs(9))
+    b.index(docs(6))
+    both = Index(spark, root, ["a", "b"])
+    out = both.search(size=5, aggregations={"kinds": {"field": "kind", "size": 5}})
+    assert out.total.first().value == 15 and {r.key: r.doc_count for r in out.aggregations["kinds"].collect() if not r.is_other} == {"k0": 8, "k1": 7}
+    assert both.scroll(size=4).count() == 15
+    hits = both.search(match=("body", "word1"), search_type="dfs_query_then_fetch")
+    assert hits.total.first().value == 5 and hits.hits.first()._score > 0
+    assert both.search(terminate_after=1).total.first().value <= 2 * both.n_shards
+    a.put_alias("all")
+    b.put_alias("all")
+    assert Index(spark, root, "all").search().total.first().value == 15
+    b.put_alias("all", remove=True)
+    assert Index(spark, root, "all").search().total.first().value == 9
+
+
+def test_mappings_and_templates_live_with_the_store(spark):
+    root = scratch_path(spark, "api")
+    ix = Index(spark, root, "test_index")
+    ix.put_template("low", {"index_patterns": ["te*"], "order": 0, "mappings": {"_source": {"enabled": True}, "properties": {"name": {"type": "keyword"}}}})
+    ix.put_template("high", {"index_patterns": ["test_*"], "order": 1, "mappings": {"_source": {"enabled": False}, "properties": {"age": {"type": "long"}}}})
+    assert set(ix.mapping()["properties"]) == {"name", "age"} and Index(spark, root, "other").mapping()["properties"] == {}
+    docs = spark.createDataFrame([("1", 1, '{"name": "a", "age": 3}'), ("2", 2, '{"name": "b", "age": "x"}'), ("3", 3, "no json")], "_id string, seq long, j string")
+    _, rejects = ix.index_json(docs, "j", refresh=True)
+    assert sorted((r._id, r.field) for r in rejects.collect()) == [("2", "age"), ("3", "_source")]
+    assert [(r._id, r.age) for r in ix.search(F.col("name") == "a").hits.collect()] == [("1", 3)] and "_body" not in ix.search().hits.columns
+    assert set(ix.put_mapping({"properties": {"city": {"type": "keyword"}}})["properties"]) == {"name", "age", "city"}
+    with pytest.raises(ValueError):
+        ix.put_mapping({"properties": {"age": {"type": "keyword"}}})
+
+
 def test_index_handle_stats_merge_analyze(spark):
     ix = Index(spark, scratch_path(spark, "api"), "test")
     ops = spark.createDataFrame([("1", 1, "index", "a b"), ("2", 2, "index", "c"), ("2", 3, "delete", None)],
