@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm import tokens
+from docindex.llm import textvec as tv, tokens
 from docindex.llm.scratch import stored
 
 SIZE, END, WINDOWS, MIN_PIECE, FAN_IN = 2048, 1, 32, 16, 64
@@ -110,10 +110,12 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
         for batch in batches:
             coder, field = tokens.encoder(path), batch.schema.field(0)
             keys = batch.column(0).to_pylist()
-            for first, texts in tokens.text_groups(batch.column(1)):
-                for i, raw in enumerate(coder.ids(texts)):
-                    ids = np.append(np.frombuffer(raw, dtype=coder.dtype), np.array([end], dtype=coder.dtype))
-                    for window in packer.add(keys[first + i], ids):
+            for lo, hi, buf, offsets in tv.chunks(batch.column(1), tokens.CHUNK_BYTES):
+                all_ids, bounds = coder.ids(buf, offsets)
+                bounds = bounds.tolist()
+                for i in range(hi - lo):
+                    ids = np.append(all_ids[bounds[i]: bounds[i + 1]], np.array([end], dtype=coder.dtype))
+                    for window in packer.add(keys[lo + i], ids):
                         rows += _rows(window, own + made, False)
                         made += 1
                 if len(rows) >= 500:

@@ -153,22 +153,22 @@ def write(docs: DataFrame, root: str | None = None, key: str = "doc_id", text: s
             if not batch.num_rows:
                 continue
             coder = tokens.encoder(path)
-            width, last = coder.width, np.array([end], dtype=coder.dtype).tobytes()
+            width = coder.width
             if out is None:
                 files.create_dir(folder, recursive=True)
                 out = files.open_output_stream(f"{temp}.ids")
             keys.append(batch.column(0))
-            for _, texts in tokens.text_groups(batch.column(1)):
-                raw = [x + last for x in coder.ids(texts)]
-                out.write(b"".join(raw))
-                counts += [len(x) // width for x in raw]
+            for _, _, buf, offsets in tv.chunks(batch.column(1), tokens.CHUNK_BYTES):
+                ids, bounds = coder.ids(buf, offsets)
+                out.write(np.insert(ids, bounds[1:], end).tobytes())
+                counts.append(np.diff(bounds) + 1)
         schema = pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("width", pa.int32()),
                             ("least", pa.string()), ("greatest", pa.string())])
         if out is None:
             return
         out.close()
         keys = pa.chunked_array(keys).combine_chunks()
-        counts = np.array(counts, dtype=np.int64)
+        counts = np.concatenate(counts)
         starts = np.cumsum(counts) - counts
         table = pa.table({"key": keys, "start": starts, "length": counts})
         with files.open_output_stream(f"{temp}.docs") as sink, pa.ipc.new_file(sink, table.schema) as ipc:

@@ -1,10 +1,12 @@
 """Token ids of whole texts with a byte-level BPE of the tokenizers library, inside tasks.
 
-A byte-level BPE encodes each of its pre-tokens (a word with the space before it, a number, a run of marks) by itself.
-Texts are cut into pre-tokens with the tokenizer's own published pattern, each distinct pre-token is encoded once by
-the library, and its ids are kept in a bounded table of the worker. Texts with a character outside the plain ranges of
-``_PLAIN`` (where character classes could differ between regex engines) or with the string of an added token go to the
-library whole, so the ids always equal ``encode(text, add_special_tokens=False)``.
+A byte-level BPE encodes each of its pre-tokens (a word with the space before it, a number, a run of marks) by itself,
+and where white space stands alone a pre-token starts at every space, around every line feed, and at a sentence mark
+after a letter or digit. So a text is cut there into units, the distinct units of a chunk of texts are encoded by the library once, their ids are kept in a bounded
+table of the worker, and numpy lays the ids out in text order. Units are told apart by a 64-bit hash within a chunk
+and by their bytes in the table. Texts with white space side by side, with a character outside the plain ranges (where
+character classes could differ) or with the string of an added token go to the library whole. Either way the ids equal
+``encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -13,67 +15,133 @@ import re
 
 import numpy as np
 
-TABLE = 400_000  # pre-tokens kept by a worker, about 100 MB; a full table starts anew
-_WORD = "A-Za-zÀ-ÖØ-öø-ɏ"
-_NUMBER = "0-9²³¹¼-¾"
-_PLAIN = re.compile(r"[^\t\n\r -~¡-©«-´¶-¹»-ɏ]")
-# Fixed value: the pre-token pattern of this kind of tokenizer, for the plain ranges.
-_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_WORD}]+| ?[{_NUMBER}]+| ?[^\s{_WORD}{_NUMBER}]+|\s+(?!\S)|\s+")
-_SPACED_WORD = re.compile(rf" [{_WORD}]+").fullmatch
+from docindex.llm import textvec as tv
+
+TABLE = 800_000  # units kept by a worker, about 200 MB; a full table starts anew
+TOGETHER = 256  # unseen units encoded in one string
+CHUNK_BYTES = 4 << 20  # text taken at once; more text holds relatively fewer distinct units
+_STRUNG = re.compile(rb" [^\t\r\n ]+").fullmatch
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 13, 32]] = True
+#: Bytes that never stand in a plain text: controls, and lead bytes above U+024F.
+_STRANGE = np.zeros(256, dtype=bool)
+_STRANGE[[*range(9), 11, 12, *range(14, 32), 127, *range(0xCA, 256)]] = True
+#: After the lead byte C2: U+0080 to U+00A0, and the letters and marks among U+00AA, U+00AD, U+00B5, U+00BA.
+_STRANGE_C2 = np.zeros(256, dtype=bool)
+_STRANGE_C2[[*range(0x80, 0xA1), 0xAA, 0xAD, 0xB5, 0xBA]] = True
+
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b",.;:!?")] = True
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 _loaded: dict = {}
 
 
 class Encoder:
-    """ids(texts) -> one little-endian byte string of ids a text."""
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         pre = type(self.tokenizer.pre_tokenizer).__name__
         self.cuttable = (pre == "ByteLevel" and type(self.tokenizer.model).__name__ == "BPE" and self.tokenizer.normalizer is None
                          and not self.tokenizer.pre_tokenizer.add_prefix_space)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that start with a space
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.table: dict = {}
 
-    def _pack(self, ids) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
-
-    def _learn(self, pieces: list) -> None:
-        """Encode unseen pre-tokens. Words with a space before them stay apart when strung together: one call for all."""
-        words = [p for p in pieces if _SPACED_WORD(p)]
-        if words:
-            got = self.tokenizer.encode("".join(words), add_special_tokens=False)
-            owner = np.array(got.word_ids, dtype=np.int64)
-            if len(owner) and owner[-1] == len(words) - 1 and (np.diff(owner) <= 1).all():
-                ids, bounds = np.array(got.ids, dtype=self.dtype), np.searchsorted(owner, np.arange(len(words) + 1)) * self.width
-                raw = ids.tobytes()
-                self.table.update((w, raw[a:b]) for w, a, b in zip(words, bounds[:-1].tolist(), bounds[1:].tolist()))
-                pieces = [p for p in pieces if p not in self.table]
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.table[p] = self._pack(e.ids)
-
-    def ids(self, texts: list) -> list:
-        out = [b""] * len(texts)
+    def _whole(self, texts: list) -> list:
+        return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: list) -> None:
+        """Encode unseen units. Those that open with a space stay apart when strung together: many in one call.
+
+        The first token of such a unit, and no other of its tokens, starts with a space; that finds the unit's ids.
+        """
+        strung = [u for u in units if _STRUNG(u)]
+        if strung:
+            ids = np.concatenate(self._whole([b"".join(strung[k: k + TOGETHER]).decode("utf-8") for k in range(0, len(strung), TOGETHER)]))
+            bounds = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.width
+            if len(bounds) == len(strung) + 1 and bounds[0] == 0:
+                raw, bounds = ids.tobytes(), bounds.tolist()
+                self.table.update(zip(strung, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
+                units = [u for u in units if not _STRUNG(u)]
+        for u, ids in zip(units, self._whole([u.decode("utf-8") for u in units])):
+            self.table[u] = ids.tobytes()
+
+    def _uncut(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Flags of the texts that go to the library whole."""
+        if not self.cuttable:
+            return np.ones(len(offsets) - 1, dtype=bool)
+        bad = _STRANGE[buf]
+        bad[1:] |= (buf[:-1] == 0xC2) & _STRANGE_C2[buf[1:]] | (buf[:-1] == 0xC9) & (buf[1:] > 0x8F)
+        space = _SPACE[buf]
+        side = np.zeros(len(buf), dtype=bool)
+        side[1:] = space[1:] & space[:-1]
+        first = offsets[:-1][offsets[:-1] < len(buf)]
+        side[first] = False  # the space before belongs to another text
+        out = tv.sums(bad | side, offsets) > 0
+        raw = buf.tobytes()
+        for a in self.added:
+            at = raw.find(a)
+            while at >= 0:
+                out[np.searchsorted(offsets, at, side="right") - 1] = True
+                at = raw.find(a, at + 1)
+        return out
+
+    def ids(self, buf: np.ndarray, offsets: np.ndarray):
+        """Ids of one chunk of UTF-8 texts end to end, and the first id of each text (texts + 1)."""
+        n = len(offsets) - 1
+        uncut = self._uncut(buf, offsets)
         if len(self.table) > TABLE:
             self.table = {}
-        cut, whole = [], []
-        for i, t in enumerate(texts):
-            if t:
-                (cut if self.cuttable and not _PLAIN.search(t) and not any(a in t for a in self.added) else whole).append(i)
-        pieces = [_PIECES.findall(texts[i]) for i in cut]
-        new = set().union(*pieces).difference(self.table) if pieces else set()
-        if new:
-            self._learn(list(new))
-        for i, p in zip(cut, pieces):
-            out[i] = b"".join(map(self.table.__getitem__, p))
-        if whole:
-            for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
-                out[i] = self._pack(e.ids)
-        return out
+        head = (buf == 32) | (buf == 10)
+        head[1:] |= buf[:-1] == 10
+        marks = np.flatnonzero(_MARK[buf])
+        marks = marks[marks > 1]
+        before, second = buf[marks - 1], buf[marks - 2]
+        letter = _ALNUM[before] | (before & 0xC0 == 0x80) & (second >= 0xC3) & ~((second == 0xC3) & ((before == 0x97) | (before == 0xB7)))
+        head[marks[letter]] = True
+        head[offsets[:-1][offsets[:-1] < len(buf)]] = True
+        starts = np.flatnonzero(head)
+        ends = np.append(starts[1:], len(buf))
+        doc = np.searchsorted(offsets, starts, side="right") - 1
+        if uncut.any():
+            cut = ~uncut[doc]
+            starts, ends, doc = starts[cut], ends[cut], doc[cut]
+        hashes = tv.span_hashes(buf, starts, ends)
+        order = np.argsort(hashes)
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = hashes[order][1:] != hashes[order][:-1]
+        which = np.empty(len(order), dtype=np.int64)
+        which[order] = np.cumsum(new) - 1
+        raw, first = buf.tobytes(), order[new]
+        units = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        packed = list(map(self.table.get, units))
+        unseen = [k for k, p in enumerate(packed) if p is None]
+        if unseen:
+            self._learn([units[k] for k in unseen])
+            for k in unseen:
+                packed[k] = self.table[units[k]]
+        sizes = np.array([len(p) for p in packed], dtype=np.int64) // self.width
+        known = np.frombuffer(b"".join(packed), dtype=self.dtype)
+        at = np.cumsum(sizes) - sizes
+        lengths = sizes[which]
+        total = int(lengths.sum())
+        begins = np.cumsum(lengths) - lengths
+        out = known[np.repeat(at[which] - begins, lengths) + np.arange(total)]
+        counts = np.bincount(doc, weights=lengths, minlength=n).astype(np.int64)
+        if uncut.any():
+            rows = np.flatnonzero(uncut)
+            whole = dict(zip(rows.tolist(), self._whole([raw[offsets[i]: offsets[i + 1]].decode("utf-8") for i in rows])))
+            bounds = np.concatenate([[0], np.cumsum(counts)])
+            parts = [whole.get(i, out[bounds[i]: bounds[i + 1]]) for i in range(n)]
+            out, counts = np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+        return out, np.concatenate([[0], np.cumsum(counts)])
 
 
 def encoder(path: str) -> Encoder:
@@ -87,16 +155,3 @@ def default_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
-
-
-def text_groups(column, max_chars: int = 1 << 20):
-    """(first row, texts) pieces of a string column, about ``max_chars`` of text each; null is an empty text."""
-    group, first, size = [], 0, 0
-    for i, t in enumerate(column.to_pylist()):
-        group.append(t or "")
-        size += len(group[-1])
-        if size >= max_chars:
-            yield first, group
-            group, first, size = [], i + 1, 0
-    if group:
-        yield first, group
