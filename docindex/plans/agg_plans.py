@@ -9,6 +9,8 @@ from docindex.functions.scoring import bm25
 from docindex.operators import aggs as G
 from docindex.operators import search as S
 from docindex.plans.registry import register
+from docindex.session import scratch_path
+from docindex.sources.postings import bm25_postings, read_postings, write_postings
 from docindex.plans.views import DOCS, LINES, with_
 
 
@@ -88,6 +90,30 @@ def r10_bm25_per_shard(spark, sf):
     return hits.select("_index", "_id", "shard", F.round("_score", 6).alias("_score"))
 
 
+def _postings(spark, sf):
+    root = scratch_path(spark, "postings")
+    write_postings(fx.docs(spark, sf), "text", root)
+    return root
+
+
+@register("r10_bm25_postings", _bm25_sql(False) + """
+SELECT _index, _id, shard, round(score, 6) AS _score FROM sc""")
+def r10_bm25_postings(spark, sf):
+    return bm25_postings(spark, _postings(spark, sf), _TERMS).withColumn("_score", F.round("_score", 6))
+
+
+@register("r10_bm25_postings_per_shard", _bm25_sql(True) + """
+SELECT _index, _id, shard, round(score, 6) AS _score FROM sc""")
+def r10_bm25_postings_per_shard(spark, sf):
+    return bm25_postings(spark, _postings(spark, sf), _TERMS, "query_then_fetch").withColumn("_score", F.round("_score", 6))
+
+
+@register("r4_term_postings", with_(DOCS) + r"""
+SELECT _index, _id FROM docs WHERE NOT _deleted AND list_contains(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), 'les')""")
+def r4_term_postings(spark, sf):
+    return read_postings(spark, _postings(spark, sf), ["les"]).select("_index", "_id")
+
+
 @register("r11_max_score", _bm25_sql(False) + """
 SELECT round(max(score), 6) AS max_score, count(*) AS total FROM sc""")
 def r11_max_score(spark, sf):

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 
 SAMPLE = ["r2_mget_labels", "r4_term_text", "r5_search_page", "r9_scroll_pages", "r10_bm25_dfs",
           "t1_analyze_standard", "w8_bulk_replay", "w9_bulk_items", "w6b_internal", "g1_terms_agg",
-          "i3_decode_bulk", "m2_infer_mapping", "m5_apply_templates", "x1_index_stats"]
+          "i3_decode_bulk", "i8_commit_routed", "i8_numeric_index", "m2_infer_mapping", "m2_infer_mapping_deep", "r10_bm25_postings", "m5_apply_templates", "x1_index_stats"]
 
 
 def test_entry_runs(spark):
