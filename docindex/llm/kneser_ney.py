@@ -71,50 +71,53 @@ def _keys(found: np.ndarray, salts: np.ndarray) -> np.ndarray:
     return tv.mix(found ^ salts)
 
 
+def _distinct(found: np.ndarray):
+    """Ascending distinct values and their counts."""
+    found = np.sort(found)
+    first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, dtype=np.int64)
+    return found[first], np.diff(np.r_[first, len(found)])
+
+
 def count_table(flagged: DataFrame) -> DataFrame:
     """(lang, key, gram, n, seen) from (text, lang, trusted): n counts trusted occurrences, seen all."""
     def run(batches):
-        held: list = []
+        held: dict = {}  # (language, trusted) -> pieces of distinct n-grams and counts
+
+        def merged(pieces):
+            gram, n = (np.concatenate(x) for x in zip(*pieces))
+            order = np.argsort(gram)
+            first = np.flatnonzero(np.r_[True, gram[order][1:] != gram[order][:-1]])
+            return gram[order][first], np.add.reduceat(n[order], first)
 
-        def merged():
-            key, gram, code, n, seen = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(key, kind="stable")
-            first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
-            return [key[order][first], gram[order][first], code[order][first], np.add.reduceat(n[order], first), np.add.reduceat(seen[order], first)]
+        def out(which):
+            for lang, trusted in which:
+                gram, n = merged(held.pop((lang, trusted)))
+                key = _keys(gram, _language_salts([lang])[0]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(key), pa.array(gram.view(np.int64)),
+                                                  pa.array(n if trusted else np.zeros_like(n)), pa.array(n)], ["lang", "key", "gram", "n", "seen"])
 
-        names: dict = {}
         for batch in batches:
-            langs, trusted = batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            langs, trusted = batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
             for lo, hi, buf, offsets in tv.chunks(batch.column(0)):
                 found, sizes = grams(buf, offsets)
-                if not len(found):
-                    continue
-                code = np.array([names.setdefault(x, len(names)) for x in langs[lo:hi]])
-                key = _keys(found, np.repeat(_language_salts(langs[lo:hi]), sizes))
-                order = np.argsort(key, kind="stable")
-                first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
-                good = np.repeat(trusted[lo:hi], sizes)[order]
-                held.append([key[order][first], found[order][first], np.repeat(code, sizes)[order][first],
-                             np.add.reduceat(good, first), np.diff(np.r_[first, len(order)])])
-                if sum(len(x[0]) for x in held) > MERGE:
-                    held = [merged()]
-                    if len(held[0][0]) > MERGE // 2:
-                        yield _count_batch(held.pop(), names)
-        if held:
-            yield _count_batch(merged(), names)
+                groups = [(lang, bool(t)) for lang, t in zip(langs[lo:hi], trusted[lo:hi])]
+                names = {g: k for k, g in enumerate(dict.fromkeys(groups))}
+                code = np.repeat(np.array([names[g] for g in groups]), sizes)
+                for g, k in names.items():
+                    own = found[code == k]
+                    if len(own):
+                        held.setdefault(g, []).append(_distinct(own))
+                for g in [g for g, pieces in held.items() if sum(len(x[0]) for x in pieces) > MERGE]:
+                    held[g] = [merged(held[g])]
+                    if len(held[g][0][0]) > MERGE // 2:
+                        yield from out([g])
+        yield from out(list(held))
 
     parts = flagged.mapInArrow(run, "lang string, key long, gram long, n long, seen long")
     sums = parts.groupBy("lang", "key", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
     return stored(sums.withColumn("lang", F.coalesce("lang", F.lit(_NO_LANGUAGE))), "grams")
 
 
-def _count_batch(columns, names) -> pa.RecordBatch:
-    key, gram, code, n, seen = columns
-    listed = pa.array(list(names), pa.string())
-    return pa.RecordBatch.from_arrays([listed.take(pa.array(code)), pa.array(key.view(np.int64)), pa.array(gram.view(np.int64)),
-                                       pa.array(n), pa.array(seen)], ["lang", "key", "gram", "n", "seen"])
-
-
 def _order_tables(counts: DataFrame) -> list:
     """For n = ORDER .. 1: (grams (lang, g, c), contexts (lang, h, total, gamma)), with modified Kneser-Ney discounts."""
     out = []
@@ -161,19 +164,17 @@ def document_likelihoods(docs: DataFrame, scores: DataFrame) -> DataFrame:
             langs = batch.column(2).to_pylist()
             for lo, hi, buf, offsets in tv.chunks(batch.column(1)):
                 found, sizes = grams(buf, offsets)
-                key = _keys(found, np.repeat(_language_salts(langs[lo:hi]), sizes))
-                doc = np.repeat(np.arange(hi - lo), sizes)
-                order = np.argsort(key, kind="stable")
-                order = order[np.argsort(doc[order].astype(np.uint16 if hi - lo < 65536 else np.int64), kind="stable")]
-                key, doc = key[order], doc[order]
-                first = np.flatnonzero(np.r_[True, (np.diff(key) != 0) | (np.diff(doc) != 0)]) if len(key) else np.zeros(0, dtype=int)
-                n = np.diff(np.r_[first, len(key)])
+                ends = np.cumsum(sizes)
+                own = [_distinct(found[e - n: e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+                rows = np.array([len(g) for g, _ in own])
+                key = _keys(np.concatenate([g for g, _ in own]), np.repeat(_language_salts(langs[lo:hi]), rows))
+                n = np.concatenate([c for _, c in own])
                 bare = np.flatnonzero(sizes == 0)  # texts without characters still give a row
-                which = np.concatenate([doc[first], bare])
+                which = np.concatenate([np.repeat(np.arange(hi - lo), rows), bare])
                 taken = pa.array(which)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(which + made), batch.column(0).slice(lo, hi - lo).take(taken), batch.column(2).slice(lo, hi - lo).take(taken),
-                     pa.array(np.concatenate([key[first].view(np.int64), np.zeros(len(bare), dtype=np.int64)])),
+                     pa.array(np.concatenate([key.view(np.int64), np.zeros(len(bare), dtype=np.int64)])),
                      pa.array(np.concatenate([n, np.zeros(len(bare), dtype=np.int64)]))], ["row", "id", "lang", "key", "n"])
                 made += hi - lo
 
