@@ -29,10 +29,10 @@ def shard_of_value(key: str, n_shards: int) -> int:
 
 
 def route(df: DataFrame, n_shards: int, repartition: bool = False) -> DataFrame:
-    """Add ``shard``; optionally hash-partition rows by it so a shard is one task's input."""
+    """Add ``shard``; optionally bring the rows of a shard together (AQE splits a hot shard over several tasks)."""
     cols = set(df.columns)
     key = F.coalesce(*[F.col(c) for c in ("_routing", "_parent", "_id") if c in cols])
     out = df.withColumn("shard", shard_of(key, n_shards))
     if repartition:
-        out = out.repartition(n_shards, "shard")
+        out = out.hint("rebalance", "shard")
     return out
