@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm import crf
+from docindex.llm import crf, textvec as tv
 
 # ---------------------------------------------------------------- parser
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
@@ -258,4 +258,4 @@ def extract(pages: DataFrame, key: str = "page_id", html: str = "html", keep=(),
                 lo = hi
 
     kinds = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in columns)
-    return pages.select(*columns, F.col(html)).mapInArrow(run, f"{kinds}, text string, n_chars long")
+    return pages.select(*columns, F.col(html)).mapInArrow(tv.returning(run), f"{kinds}, text string, n_chars long")

@@ -113,7 +113,7 @@ def count_table(flagged: DataFrame) -> DataFrame:
                         yield from out([g])
         yield from out(list(held))
 
-    parts = flagged.mapInArrow(run, "lang string, key long, gram long, n long, seen long")
+    parts = flagged.mapInArrow(tv.returning(run), "lang string, key long, gram long, n long, seen long")
     sums = parts.groupBy("lang", "key", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
     return stored(sums.withColumn("lang", F.coalesce("lang", F.lit(_NO_LANGUAGE))), "grams")
 
@@ -179,7 +179,7 @@ def document_likelihoods(docs: DataFrame, scores: DataFrame) -> DataFrame:
                 made += hi - lo
 
     kind = docs.schema["id"].dataType.simpleString()
-    rows = docs.select("id", "text", "lang").mapInArrow(run, f"row long, id {kind}, lang string, key long, n long")
+    rows = docs.select("id", "text", "lang").mapInArrow(tv.returning(run), f"row long, id {kind}, lang string, key long, n long")
     small = scores.limit(MAX_TABLE + 1).count() <= MAX_TABLE
     scored = rows.join(F.broadcast(scores) if small else scores, "key", "left")
     return scored.groupBy("row", "id", "lang").agg(F.sum("n").alias("n_chars"), F.sum(F.col("n") * F.col("logp")).alias("loglik"))

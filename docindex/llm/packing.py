@@ -121,6 +121,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
                 if len(rows) >= 500:
                     yield _batch(rows, field)
                     rows = []
+        tokens.encoder(path).forget()
         for window in strung(packer.rest(), size):
             total = sum(len(p[2]) for p in window)
             rows += _rows(window, own + made, total < size)
@@ -130,7 +131,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, {_FIELDS}"
-    done = stored(docs.select(F.col(key), F.col(text)).mapInArrow(pack, schema), "pieces")
+    done = stored(docs.select(F.col(key), F.col(text)).mapInArrow(tv.returning(pack), schema), "pieces")
     out, left = done.where(~F.col("left_over")), done.where("left_over").withColumn("place", F.shiftright("place", 32))
     width = 0
     turn = 1
@@ -170,7 +171,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
         dealt = (left.select(F.expr(f"place div {FAN_IN}").alias("number"), key, "start", "doc_tokens", "ids", "place", "sequence_id", "offset")
                  .repartition("number").sortWithinPartitions("number", "place", "sequence_id", "offset")
                  .select("number", key, "start", "doc_tokens", "ids"))
-        merged = stored(dealt.mapInArrow(merge, schema), "merged")
+        merged = stored(dealt.mapInArrow(tv.returning(merge), schema), "merged")
         out = out.unionByName(merged.where(~F.col("left_over")))
         if last:
             break

@@ -331,7 +331,7 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     kind = docs.schema[key].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in BASE_KINDS)
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, {counts}, base_sha256 string, spans string")
+    return docs.select(F.col(key), F.col(text)).mapInArrow(tv.returning(run), f"`{key}` {kind}, {counts}, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -358,4 +358,4 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
                 piece = batch.slice(lo, hi - lo)
                 yield piece.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tv.returning(run), docs.schema)

@@ -177,7 +177,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", min_shar
                     [pa.array([x] * len(at), pa.string()), pa.array(at // LEVELS, pa.int64()),
                      pa.array(at % LEVELS, pa.int64()), pa.array(counts[at], pa.int64())], ["l", "bin", "level", "n"])
 
-    parts = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).mapInArrow(partial, "l string, bin long, level long, n long")
+    parts = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).mapInArrow(tv.returning(partial), "l string, bin long, level long, n long")
     counts = parts.groupBy("l", "bin", "level").agg(F.sum("n").alias("n"))
     medians = counts.groupBy("l", "bin").agg(F.expr("percentile(level, 0.5D, n)").alias("m"), F.sum("n").alias("n"))
     whole = Window.partitionBy("bin")
@@ -228,7 +228,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     source = docs.select(F.col(key), F.col(text), F.col(lang))
     fields = ", ".join(f"{c} long" for c in counts)
     kind = docs.schema[key].dataType.simpleString()
-    return source.mapInArrow(run, f"`{key}` {kind}, {fields}, base_failed boolean, kept boolean, "
+    return source.mapInArrow(tv.returning(run), f"`{key}` {kind}, {fields}, base_failed boolean, kept boolean, "
                                   "char_distance double, word_distance double")
 
 
@@ -245,4 +245,4 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", **limits)
                 kept = judge(buf, offsets, langs[lo:hi], refs, common, **limits)["kept"]
                 yield batch.slice(lo, hi - lo).filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tv.returning(run), docs.schema)

@@ -133,7 +133,7 @@ def sketch_table(docs: DataFrame, key: str, text: str, shingle: int) -> DataFram
                     [batch.column(0).slice(lo, hi - lo).cast(pa.int64()), pa.array(sizes, pa.int64()), *(pa.array(s) for s in sig),
                      pa.array([r.tobytes() for r in regs], pa.binary())], ["id", "n", "node", "sig", "regs"])
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, "id long, n long, node long, sig long, regs binary")
+    return docs.select(F.col(key), F.col(text)).mapInArrow(tv.returning(run), "id long, n long, node long, sig long, regs binary")
 
 
 def set_table(docs: DataFrame, key: str, text: str, shingle: int, wanted: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def set_table(docs: DataFrame, key: str, text: str, shingle: int, wanted: DataFr
                     [pa.array(nodes[lo:hi][mine], pa.int64()), pa.array([keys[first[i]: first[i + 1]].tobytes() for i in mine], pa.binary())], ["node", "set"])
 
     texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(wanted.select("node", "rep"), "rep")
-    return stored(texts.select("node", "text").mapInArrow(run, "node long, set binary"), "sets")
+    return stored(texts.select("node", "text").mapInArrow(tv.returning(run), "node long, set binary"), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -176,7 +176,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     partners = salted.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", F.lit(True).alias("is_b"), "b", "set")
     own = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", F.lit(False).alias("is_b"), F.col("a").alias("b"), "set")
     dealt = own.union(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", "is_b")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tv.returning(run), "a long, b long")
 
 
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def searched(members: DataFrame, reps: DataFrame, sets: DataFrame, roots: DataFr
             .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                     (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "root", "n", "regs", "set"))
     dealt = rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tv.returning(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                     [pa.array(keys.ravel()), *(pa.array(np.repeat(batch.column(c).to_numpy()[lo: lo + 2000], BANDS)) for c in range(3))],
                     ["bucket", "node", "n", "copies"])
 
-    banded = reps.select("node", "n", "copies", "regs").mapInArrow(bands, "bucket long, node long, n long, copies long")
+    banded = reps.select("node", "n", "copies", "regs").mapInArrow(tv.returning(bands), "bucket long, node long, n long, copies long")
     buckets = (banded.groupBy("bucket").agg(F.min(F.struct((-F.col("copies")).alias("c"), F.col("node").alias("p"))).alias("top"), F.count(F.lit(1)).alias("size"))
                .where("size > 1").select("bucket", F.col("top.p").alias("pivot")))
     members = stored(banded.select("bucket", "node", "n").join(buckets, "bucket"), "buckets")

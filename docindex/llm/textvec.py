@@ -7,6 +7,8 @@ split), so a worker's memory follows the longest text, not the batch.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,6 +48,24 @@ def _power_tables(n: int):
     return _powers[0][:n], _powers[1]
 
 
+def returning(run):
+    """``run`` (a generator over Arrow batches) that gives its freed memory back to the system at its end.
+
+    A Python worker lives on after its task, and the C library keeps what large arrays leave behind; without this, the
+    workers of an executor hold on to the peak of every operator that they ever ran.
+    """
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def string_buffers(column: pa.Array):
     """(bytes, offsets) of a string array; a null is an empty text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -167,6 +167,7 @@ def write(docs: DataFrame, root: str | None = None, key: str = "doc_id", text: s
         if out is None:
             return
         out.close()
+        tokens.encoder(path).forget()
         keys = pa.chunked_array(keys).combine_chunks()
         counts = np.concatenate(counts)
         starts = np.cumsum(counts) - counts
@@ -187,7 +188,7 @@ def write(docs: DataFrame, root: str | None = None, key: str = "doc_id", text: s
 
     order = [F.col(key).asc_nulls_first(), F.xxhash64(F.col(text))]
     dealt = docs.select(F.col(key), F.col(text)).repartitionByRange(n, *order).sortWithinPartitions(*order)
-    rows = dealt.mapInArrow(put, "shard int, n_docs long, n_ids long, width int, least string, greatest string").collect()
+    rows = dealt.mapInArrow(tv.returning(put), "shard int, n_docs long, n_ids long, width int, least string, greatest string").collect()
     return root, sorted(rows, key=lambda r: r["shard"])  # one row a shard
 
 
@@ -222,7 +223,7 @@ def read(spark: SparkSession, root: str, manifest: list, key: str = "doc_id", ki
     if not manifest:
         return spark.createDataFrame([], schema)
     listed = spark.createDataFrame([(r["shard"],) for r in manifest], "shard int").repartition(len(manifest), "shard")
-    return listed.mapInArrow(get, schema)
+    return listed.mapInArrow(tv.returning(get), schema)
 
 
 def lookup(root: str, manifest: list, key) -> list:

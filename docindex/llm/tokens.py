@@ -2,24 +2,25 @@
 
 A byte-level BPE encodes each of its pre-tokens (a word with the space before it, a number, a run of marks) by itself,
 and where white space stands alone a pre-token starts at every space, around every line feed, and at a sentence mark
-after a letter or digit. So a text is cut there into units, the distinct units of a chunk of texts are encoded by the library once, their ids are kept in a bounded
-table of the worker, and numpy lays the ids out in text order. Units are told apart by a 64-bit hash within a chunk
-and by their bytes in the table. Texts with white space side by side, with a character outside the plain ranges (where
+after a letter or digit. So a text is cut there into units, the distinct units of a chunk of texts are encoded by the
+library once, their ids are kept in a bounded table of the task, and numpy lays the ids out in text order. Units are
+told apart by a 64-bit hash within a chunk and by their bytes in the table. Texts with white space side by side, with a character outside the plain ranges (where
 character classes could differ) or with the string of an added token go to the library whole. Either way the ids equal
 ``encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
 from docindex.llm import textvec as tv
 
-TABLE = 800_000  # units kept by a worker, about 200 MB; a full table starts anew
+TABLE = 400_000  # units kept during a task, about 100 MB; a full table starts anew
 TOGETHER = 256  # unseen units encoded in one string
-CHUNK_BYTES = 4 << 20  # text taken at once; more text holds relatively fewer distinct units
+CHUNK_BYTES = 2 << 20  # text taken at once
 _STRUNG = re.compile(rb" [^\t\r\n ]+").fullmatch
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 13, 32]] = True
@@ -40,6 +41,7 @@ _loaded: dict = {}
 
 class Encoder:
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,6 +56,10 @@ class Encoder:
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.table: dict = {}
 
+    def forget(self) -> None:
+        """Drop the table, at the end of a task."""
+        self.table = {}
+
     def _whole(self, texts: list) -> list:
         return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
