@@ -121,7 +121,6 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
                 if len(rows) >= 500:
                     yield _batch(rows, field)
                     rows = []
-        tokens.encoder(path).forget()
         for window in strung(packer.rest(), size):
             total = sum(len(p[2]) for p in window)
             rows += _rows(window, own + made, total < size)

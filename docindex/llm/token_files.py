@@ -167,7 +167,6 @@ def write(docs: DataFrame, root: str | None = None, key: str = "doc_id", text: s
         if out is None:
             return
         out.close()
-        tokens.encoder(path).forget()
         keys = pa.chunked_array(keys).combine_chunks()
         counts = np.concatenate(counts)
         starts = np.cumsum(counts) - counts
