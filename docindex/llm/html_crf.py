@@ -6,7 +6,9 @@ its text (length, share of link text, end, cue words). The field labels the bloc
 text or not; it is trained on the labelled pages below on the driver (a fixed, small table) and decoded by Viterbi for
 all pages of a chunk at once.
 
-Scripts, styles, comments, templates and the like never become blocks. Character references are decoded, white space
+Scripts, styles, comments and templates never become blocks, nor do titles, descriptions and definitions of drawings and
+annotations of formulas. Text inside formulas, drawings, objects, media, frames and noscript is text of the line around it;
+such a part ends at its end tag, or with its parent. Character references are decoded, white space
 inside a block becomes one space, blocks are trimmed and joined by one line feed; nothing else is dropped or capped.
 The parser is a single scan, closes what HTML closes by itself (p, li, td, ...) and ignores stray end tags.
 
@@ -26,10 +28,19 @@ from pyspark.sql import DataFrame, functions as F
 from docindex.llm import crf, textvec as tv
 
 # ---------------------------------------------------------------- parser
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
-# Fixed values of HTML: tags without content, tags whose content is no text, tags inside a line of text.
+# A quote opens a value only after "="; elsewhere it is an ordinary character.
+_TAG = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=(?:\s*(?:"[^"]*"|'[^']*'))?)*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+# Fixed values of HTML: tags without content, tags whose content is no text, embedded content, tags inside a line of text.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe svg math object canvas audio video".split())
+_RAW = frozenset("script style template".split())
+_EMBED = frozenset("noscript iframe svg math object canvas audio video".split())
+_FOREIGN = ("svg", "math")
+#: Parts of foreign content that nobody sees, those that hold HTML again, and tags that end foreign content.
+_UNSEEN = {"svg": frozenset("title desc metadata defs symbol".split()), "math": frozenset(["annotation", "annotation-xml"])}
+_HOSTS = frozenset("foreignobject mtext mi mo mn ms".split())
+_BREAKOUT = frozenset("""article aside b big blockquote body br center code dd div dl dt em embed figure footer form h1 h2 h3 h4 h5 h6 head header hr i img
+li listing main menu meta nav nobr ol p pre ruby s section small span strong strike sub sup table tt u ul var""".split())
+_UNQUOTED = re.compile(r"""=\s*[^\s"'>]+$""")  # a slash at the end of such a value closes nothing
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: A start tag closes open tags of these names, up to the nearest of the barriers.
 _CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "tbody": "tr td th thead"}
@@ -74,6 +85,23 @@ def _groups(tag: str, attributes: str) -> list:
     return out
 
 
+_ENDS = {t: re.compile(rf"<(/?){t}(?![^\s/>])[^>]*>", re.I) for t in {*_RAW, *_UNSEEN["svg"], *_UNSEEN["math"]}}
+_ENDS_AT_ONCE = {t: re.compile(rf"[^<]*</{t}\s*>", re.I) for t in _RAW}
+
+
+def _end_of(tag: str, page: str, at: int, nested: bool):
+    """Place after the end tag that belongs to a start tag before ``at``, or None."""
+    depth = 1
+    for m in _ENDS[tag].finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif nested and not m[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return m.end()
+    return None
+
+
 def blocks(page: str) -> list:
     """Leaf blocks of a page in order: (text, ancestor bits, innermost group, leaf tag, link characters)."""
     out: list = []
@@ -99,6 +127,15 @@ def blocks(page: str) -> list:
             if in_link:
                 links += len(text)
 
+    def close(name):
+        nonlocal in_link
+        while True:
+            last = stack.pop()[0]
+            open_tags[last] -= 1
+            in_link -= last == "a"
+            if last == name:
+                break
+
     at, end = 0, len(page)
     open_tags: dict = {}
     while at < end:
@@ -112,32 +149,41 @@ def blocks(page: str) -> list:
         if not tag:
             continue
         closing, attributes = m[1] or m[4], m[3] or m[6] or ""
-        if tag not in _INLINE and tag not in _RAW:
+        empty = attributes.endswith("/") and not _UNQUOTED.search(attributes)
+        foreign = next((t for t in _FOREIGN if open_tags.get(t)), None)
+        if foreign and not closing and tag in _BREAKOUT and not any(open_tags.get(t) for t in _HOSTS):
+            for t in _FOREIGN:  # never closed: HTML goes on
+                while open_tags.get(t):
+                    close(t)
+            foreign = None
+        if foreign and tag == "foreignobject":
+            flush()
+        inside = foreign and not open_tags.get("foreignobject") and tag not in _BREAKOUT and not (closing and open_tags.get(tag) and tag in _LEAF)
+        inline = tag in _INLINE or tag in _EMBED or inside
+        if not inline and tag not in _RAW:
             flush()
-        elif tag == "br":
+        elif tag == "br" or foreign == "svg" and tag == "text":
             parts.append(" ")
         if closing:
             if open_tags.get(tag):
-                while True:
-                    name = stack.pop()[0]
-                    open_tags[name] -= 1
-                    in_link -= name == "a"
-                    if name == tag:
-                        break
+                close(tag)
             continue
         if tag in _RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            if empty:  # as in XHTML; an end tag may stand right behind it all the same
+                after = _ENDS_AT_ONCE[tag].match(page, at)
+                at = after.end() if after else at
+            else:
+                at = _end_of(tag, page, at, tag == "template") or end
+            continue
+        if foreign and not empty and tag in _UNSEEN[foreign]:
+            at = _end_of(tag, page, at, True) or at
+            continue
+        if empty and (inside or tag in _EMBED):
             continue
         if tag in _VOID or attributes.endswith("/") and tag not in _INLINE and tag not in _LEAF:
             continue
-        if tag not in _INLINE and open_tags.get("p"):  # a block-level tag ends an open paragraph
-            while stack[-1][0] != "p":
-                name = stack.pop()[0]
-                open_tags[name] -= 1
-                in_link -= name == "a"
-            open_tags["p"] -= 1
-            stack.pop()
+        if not inline and open_tags.get("p"):  # a block-level tag ends an open paragraph
+            close("p")
         if tag in _CLOSES:
             names = _CLOSES[tag].split()
             k = len(stack) - 1
@@ -151,12 +197,7 @@ def blocks(page: str) -> list:
                 open_tags[name] -= 1
                 in_link -= name == "a"
         if tag == "a" and in_link:  # links do not nest
-            while True:
-                name = stack.pop()[0]
-                open_tags[name] -= 1
-                in_link -= name == "a"
-                if name == "a":
-                    break
+            close("a")
         _, bits, inner = stack[-1]
         for g in _groups(tag, attributes):
             bits |= _BITS[g]
