@@ -11,12 +11,18 @@ are one symbol, white space is one symbol, and each text starts after ``ORDER -
    which are sharded by n-gram: one row for each distinct n-gram of the corpus.
 3. A second pass leaves, for each document, its distinct n-grams with counts; they are joined with the probabilities
    (broadcast up to ``MAX_TABLE`` counted rows, else sharded by n-gram) and summed to log-likelihoods.
-4. A document is kept if its perplexity is at most its language's limit: median + ``SPREADS`` * (``HIGH`` quantile -
-   median) over the trusted documents of that language with ``MIN_CHARS`` characters or more, times 1 + ``SHORT`` /
-   characters, as the perplexity of a short text is noisier.
+4. Trusted documents fall into ``FOLDS`` folds by their text, and beside the full model there is one without each fold.
+   A trusted document is measured by the model without its own fold: ``unseen`` is that perplexity, and the perplexity
+   itself for all other documents. (Models are languages of their own inside the count tables, so there is no further pass.)
+5. A document is kept if its ``unseen`` perplexity is at most its language's limit times 1 + ``SHORT`` / characters, as the
+   perplexity of a short text is noisier. The limit is median + ``SPREADS`` * (``HIGH`` quantile - median) of ``unseen``
+   over the trusted documents of that language with ``MIN_CHARS`` characters or more. A language with fewer than
+   ``MIN_TRUSTED`` of them takes the median over all its documents, trusted or not, and the spread of the other languages
+   (pooled, relative to their medians; ``SPREAD`` if there are none).
 
 Cases: null and empty texts have no perplexity and are not kept; a null language is a language of its own; a language
-without trusted documents has no model: perplexity and limit are null and its documents are kept; documents without a
+without trusted documents has no model: perplexity and limit are null and its documents are kept; so are trusted
+documents that no other text of their language can judge; documents without a
 label are scored but not trusted; an id with several labels is trusted if every label is good; repeated rows are scored
 alike; an empty table gives an empty result; other columns are left out.
 """
@@ -34,6 +40,7 @@ from docindex.llm.scratch import stored
 ORDER = 4
 MAX_TRUSTED, MAX_TABLE, MERGE = 4_000_000, 1_000_000, 1 << 20
 HIGH, SPREADS, MIN_CHARS, SHORT = 0.95, 4.0, 400, 20.0
+FOLDS, MIN_TRUSTED, SPREAD = 3, 20, 0.15
 _NO_LANGUAGE = "\x00"  # stands for a null language inside the model's tables
 _BOUNDARY, _DIGIT, _OTHER = 2, 48, 0xFFFF
 
@@ -79,9 +86,12 @@ def _distinct(found: np.ndarray):
 
 
 def count_table(flagged: DataFrame) -> DataFrame:
-    """(lang, key, gram, n, seen) from (text, lang, trusted): n counts trusted occurrences, seen all."""
+    """(lang, key, gram, n, n0, n1, ..., seen) from (text, lang, fold): n counts trusted occurrences, nK those of a fold, seen all.
+
+    The fold of a text that is not trusted is -1.
+    """
     def run(batches):
-        held: dict = {}  # (language, trusted) -> pieces of distinct n-grams and counts
+        held: dict = {}  # (language, fold) -> pieces of distinct n-grams and counts
 
         def merged(pieces):
             gram, n = (np.concatenate(x) for x in zip(*pieces))
@@ -90,17 +100,17 @@ def count_table(flagged: DataFrame) -> DataFrame:
             return gram[order][first], np.add.reduceat(n[order], first)
 
         def out(which):
-            for lang, trusted in which:
-                gram, n = merged(held.pop((lang, trusted)))
+            for lang, fold in which:
+                gram, n = merged(held.pop((lang, fold)))
                 key = _keys(gram, _language_salts([lang])[0]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(key), pa.array(gram.view(np.int64)),
-                                                  pa.array(n if trusted else np.zeros_like(n)), pa.array(n)], ["lang", "key", "gram", "n", "seen"])
+                                                  pa.array(np.full(len(gram), fold, dtype=np.int64)), pa.array(n)], ["lang", "key", "gram", "fold", "n"])
 
         for batch in batches:
-            langs, trusted = batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
+            langs, folds = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for lo, hi, buf, offsets in tv.chunks(batch.column(0)):
                 found, sizes = grams(buf, offsets)
-                groups = [(lang, bool(t)) for lang, t in zip(langs[lo:hi], trusted[lo:hi])]
+                groups = list(zip(langs[lo:hi], folds[lo:hi]))
                 names = {g: k for k, g in enumerate(dict.fromkeys(groups))}
                 code = np.repeat(np.array([names[g] for g in groups]), sizes)
                 for g, k in names.items():
@@ -113,15 +123,24 @@ def count_table(flagged: DataFrame) -> DataFrame:
                         yield from out([g])
         yield from out(list(held))
 
-    parts = flagged.mapInArrow(tv.returning(run), "lang string, key long, gram long, n long, seen long")
-    sums = parts.groupBy("lang", "key", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+    parts = flagged.mapInArrow(tv.returning(run), "lang string, key long, gram long, fold long, n long")
+    sums = parts.groupBy("lang", "key", "gram").agg(
+        F.sum(F.when(F.col("fold") >= 0, F.col("n")).otherwise(0)).alias("n"),
+        *(F.sum(F.when(F.col("fold") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(FOLDS)), F.sum("n").alias("seen"))
     return stored(sums.withColumn("lang", F.coalesce("lang", F.lit(_NO_LANGUAGE))), "grams")
 
 
+def _models(counts: DataFrame, rows: list) -> DataFrame:
+    """``counts`` once for each model whose number in ``rows`` (full model first, then without each fold) is over 0."""
+    each = F.array(*(F.struct(F.lit(k).alias("model"), c.cast("long").alias("c")) for k, c in enumerate(rows)))
+    found = counts.select("lang", "key", "gram", F.explode(F.filter(each, lambda x: x["c"] > 0)).alias("x"))
+    return found.select(F.concat("lang", F.lit("\x01"), F.col("x.model").cast("string")).alias("lang"), "key", "gram", "x.model", "x.c")
+
+
 def _order_tables(counts: DataFrame) -> list:
-    """For n = ORDER .. 1: (grams (lang, g, c), contexts (lang, h, total, gamma)), with modified Kneser-Ney discounts."""
+    """For every model and n = ORDER .. 1: (grams (lang, g, c), contexts (lang, h, total, gamma)), with modified Kneser-Ney discounts."""
     out = []
-    now = counts.where("n > 0").select("lang", F.col("gram").alias("g"), F.col("n").alias("c"))
+    now = _models(counts.where("n > 0"), [F.col("n"), *(F.col("n") - F.col(f"n{k}") for k in range(FOLDS))]).select("lang", F.col("gram").alias("g"), "c")
     for n in range(ORDER, 0, -1):
         if n < ORDER:  # continuation counts: distinct symbols before the n-gram
             mask = (1 << (16 * n)) - 1
@@ -142,22 +161,27 @@ def _order_tables(counts: DataFrame) -> list:
 
 
 def gram_scores(counts: DataFrame) -> DataFrame:
-    """(key, logp) for every distinct n-gram of the corpus whose language has a model."""
+    """(key, logp, without0, ...) for every distinct n-gram of the corpus whose language has a model."""
     tables = _order_tables(counts)
     unigrams = tables[-1][1]
     sizes = unigrams.groupBy("lang").agg((1.0 / (F.count(F.lit(1)) + 1)).alias("p"))  # uniform, with one place for the unseen
-    out = counts.select("lang", "key", "gram").join(sizes, "lang")
+    asked = _models(counts, [F.lit(1), *(F.col(f"n{k}") for k in range(FOLDS))])  # a fold's documents hold n-grams of that fold only
+    out = asked.select("lang", "key", "gram", "model").join(sizes, "lang")
     for n, own, contexts in reversed(tables):
         part = F.col("gram") if n == ORDER else F.col("gram").bitwiseAND(F.lit((1 << (16 * n)) - 1))
         out = out.withColumn("g", part).withColumn("h", F.shiftrightunsigned(part, 16))
         out = out.join(own, ["lang", "g"], "left").join(contexts, ["lang", "h"], "left")
         mixed = F.coalesce(F.col("rest"), F.lit(0.0)) / F.col("total") + F.col("gamma") * F.col("p")
         out = out.withColumn("p", F.when(F.col("total").isNull(), F.col("p")).otherwise(mixed)).drop("rest", "total", "gamma", "g", "h")
-    return stored(out.select("key", F.log("p").alias("logp")), "scores")
+    names = ["logp", *(f"without{k}" for k in range(FOLDS))]
+    return stored(out.groupBy("key").agg(*(F.max(F.when(F.col("model") == k, F.log("p"))).alias(x) for k, x in enumerate(names))), "scores")
 
 
 def document_likelihoods(docs: DataFrame, scores: DataFrame) -> DataFrame:
-    """(row, key columns, n_chars, loglik) from (id, text, lang): one row a document, loglik null without a model."""
+    """(row, id, lang, fold, n_chars, loglik, unseen) from (id, text, lang, fold): one row a document.
+
+    loglik is that of the full model, unseen that of the model without the document's fold; null without a model.
+    """
     def run(batches):
         made = TaskContext.get().partitionId() << 36
         for batch in batches:
@@ -173,16 +197,35 @@ def document_likelihoods(docs: DataFrame, scores: DataFrame) -> DataFrame:
                 which = np.concatenate([np.repeat(np.arange(hi - lo), rows), bare])
                 taken = pa.array(which)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(which + made), batch.column(0).slice(lo, hi - lo).take(taken), batch.column(2).slice(lo, hi - lo).take(taken),
+                    [pa.array(which + made), batch.column(0).slice(lo, hi - lo).take(taken), batch.column(2).slice(lo, hi - lo).take(taken), batch.column(3).slice(lo, hi - lo).take(taken),
                      pa.array(np.concatenate([key.view(np.int64), np.zeros(len(bare), dtype=np.int64)])),
-                     pa.array(np.concatenate([n, np.zeros(len(bare), dtype=np.int64)]))], ["row", "id", "lang", "key", "n"])
+                     pa.array(np.concatenate([n, np.zeros(len(bare), dtype=np.int64)]))], ["row", "id", "lang", "fold", "key", "n"])
                 made += hi - lo
 
     kind = docs.schema["id"].dataType.simpleString()
-    rows = docs.select("id", "text", "lang").mapInArrow(tv.returning(run), f"row long, id {kind}, lang string, key long, n long")
+    rows = docs.select("id", "text", "lang", "fold").mapInArrow(tv.returning(run), f"row long, id {kind}, lang string, fold int, key long, n long")
     small = scores.limit(MAX_TABLE + 1).count() <= MAX_TABLE
     scored = rows.join(F.broadcast(scores) if small else scores, "key", "left")
-    return scored.groupBy("row", "id", "lang").agg(F.sum("n").alias("n_chars"), F.sum(F.col("n") * F.col("logp")).alias("loglik"))
+    unseen = F.col("logp")
+    for k in range(FOLDS):
+        unseen = F.when(F.col("fold") == k, F.col(f"without{k}")).otherwise(unseen)
+    return scored.groupBy("row", "id", "lang", "fold").agg(F.sum("n").alias("n_chars"), F.sum(F.col("n") * F.col("logp")).alias("loglik"),
+                                                           F.sum(F.col("n") * unseen).alias("unseen"))
+
+
+def _limits(scored: DataFrame) -> DataFrame:
+    """(limit_lang, limit) from (lang, n_chars, trusted, unseen)."""
+    told = scored.where(F.col("trusted") & (F.col("n_chars") >= MIN_CHARS) & F.col("unseen").isNotNull())
+    q = told.groupBy("lang").agg(F.percentile("unseen", F.array(F.lit(0.5), F.lit(HIGH))).alias("q"), F.count(F.lit(1)).alias("n"))
+    q = stored(q.where(F.col("n") >= MIN_TRUSTED).select(F.col("lang").alias("l"), F.col("q")[0].alias("middle"), F.col("q")[1].alias("high")), "quantiles")
+    own = q.select(F.col("l").alias("limit_lang"), (F.col("middle") + SPREADS * (F.col("high") - F.col("middle"))).alias("limit"))
+    same = F.col("lang").eqNullSafe(F.col("l"))
+    pooled = (told.join(F.broadcast(q), same).agg(F.percentile_approx(F.col("unseen") / F.col("middle"), HIGH, 10_000).alias("r"))
+              .select((1 + SPREADS * F.coalesce(F.col("r") - 1, F.lit(SPREAD))).alias("ratio")))
+    few = scored.where(F.col("unseen").isNotNull()).join(F.broadcast(q), same, "left_anti")
+    level = F.col("unseen") / (1 + F.lit(SHORT) / F.col("n_chars"))
+    middles = few.groupBy(F.col("lang").alias("limit_lang")).agg(F.percentile_approx(level, 0.5, 10_000).alias("middle"))
+    return own.union(middles.crossJoin(F.broadcast(pooled)).select("limit_lang", F.col("middle") * F.col("ratio")))
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -193,15 +236,14 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     few = good.limit(MAX_TRUSTED + 1).count() <= MAX_TRUSTED
     side = F.broadcast(good) if few else good
     named = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    flagged = named.join(side, F.col("id") == F.col("good_id"), "left").select("text", "lang", F.col("good_id").isNotNull().alias("trusted"))
-    scores = gram_scores(count_table(flagged))
-    scored = document_likelihoods(named, scores)
-    scored = scored.withColumn("perplexity", F.when(F.col("n_chars") > 0, F.exp(-F.col("loglik") / F.col("n_chars"))))
-    scored = stored(scored.join(side, F.col("id") == F.col("good_id"), "left").withColumn("trusted", F.col("good_id").isNotNull()).drop("good_id", "row", "loglik"), "scored")
-    at = F.percentile("perplexity", F.array(F.lit(0.5), F.lit(HIGH)))
-    limits = (scored.where(F.col("trusted") & (F.col("n_chars") >= MIN_CHARS)).groupBy(F.col("lang").alias("limit_lang")).agg(at.alias("q"))
-              .select("limit_lang", (F.col("q")[0] + SPREADS * (F.col("q")[1] - F.col("q")[0])).alias("limit")))
-    out = scored.join(limits, F.col("lang").eqNullSafe(F.col("limit_lang")), "left")
+    fold = F.when(F.col("good_id").isNotNull(), F.pmod(F.xxhash64("text"), F.lit(FOLDS))).otherwise(F.lit(-1)).cast("int")
+    flagged = named.join(side, F.col("id") == F.col("good_id"), "left").withColumn("fold", fold).drop("good_id")
+    scores = gram_scores(count_table(flagged.select("text", "lang", "fold")))
+    scored = document_likelihoods(flagged, scores).withColumn("trusted", F.col("fold") >= 0)
+    for at, loglik in (("perplexity", "loglik"), ("unseen", "unseen")):
+        scored = scored.withColumn(at, F.when(F.col("n_chars") > 0, F.exp(-F.col(loglik) / F.col("n_chars"))))
+    scored = stored(scored.drop("row", "loglik", "fold"), "scored")
+    out = scored.join(F.broadcast(_limits(scored)), F.col("lang").eqNullSafe(F.col("limit_lang")), "left")
     bound = F.col("limit") * (1 + F.lit(SHORT) / F.nullif(F.col("n_chars"), F.lit(0)))
-    kept = (F.col("n_chars") > 0) & F.coalesce(F.col("perplexity") <= bound, F.lit(True))
+    kept = (F.col("n_chars") > 0) & F.coalesce(F.col("unseen") <= bound, F.lit(True))
     return out.select(F.col("id").alias(key), "lang", "n_chars", "trusted", "perplexity", "limit", kept.alias("kept"))
