@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docindex.llm import chat_format, decontaminate, html_crf, kneser_ney, packing, pii_crf, quality_divergence, setsketch_dedup, token_files, url_cascade
+from docindex.llm import (chat_format, decontaminate, hard_negatives, html_crf, kneser_ney, packing, pii_crf, quality_divergence, rank_queue_bpe,
+                          setsketch_dedup, token_align, token_files, url_cascade)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +58,23 @@ def op10_url_cascade(spark, sf_dir):
     return url_cascade.judge(pages, url_cascade.insecure_hosts(pages))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Anchors are the rows whose id is divisible by 100; rows whose id is divisible by 7 are relabelled first."""
+    given = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    moved = F.when(F.col("vec_id") % 7 == 0, F.expr("pmod(label + 1, 10)")).otherwise(F.col("label"))
+    return hard_negatives.mine(given.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_token_align(spark, sf_dir):
+    return token_align.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_rank_queue_bpe(spark, sf_dir):
+    return rank_queue_bpe.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_setsketch_dedup, op3_pii_crf, op4_kneser_ney, op5_html_crf, op6_chat_format, op7_token_files, op8_decontaminate,
-                                   op9_packing, op10_url_cascade)}
+                                   op9_packing, op10_url_cascade, op11_hard_negatives, op12_token_align, op13_rank_queue_bpe)}
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -103,4 +119,15 @@ r AS (SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AN
   WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM p)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END AS verdict FROM r""",
+    "op11_hard_negatives": """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5""",
 }

@@ -40,6 +40,8 @@ _loaded: dict = {}
 
 
 class Encoder:
+    limit = TABLE
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
@@ -99,7 +101,7 @@ class Encoder:
         """Ids of one chunk of UTF-8 texts end to end, and the first id of each text (texts + 1)."""
         n = len(offsets) - 1
         uncut = self._uncut(buf, offsets)
-        if len(self.table) > TABLE:
+        if len(self.table) > self.limit:
             self.table = {}
         head = (buf == 32) | (buf == 10)
         head[1:] |= buf[:-1] == 10
