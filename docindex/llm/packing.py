@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, {_FIELDS}"
-    done = stored(docs.select(F.col(key), F.col(text)).mapInArrow(tv.returning(pack), schema), "pieces")
+    done = stored(docs.select(F.col(key), F.col(text)).mapInArrow(tokens.returning(pack), schema), "pieces")
     out, left = done.where(~F.col("left_over")), done.where("left_over").withColumn("place", F.shiftright("place", 32))
     width = 0
     turn = 1

@@ -3,9 +3,11 @@
 The patterns (email, ip, card, phone) are matched leftmost without overlap; a match that fails its check is dropped.
 The field labels every word of a line with "none" or one of ``LABELS`` from word-shape features (counts of character
 kinds, first and last character, length, cue words before it). It is trained on the small labelled table below by
-maximum likelihood with an L2 prior, on the driver (a few hundred words, fixed size), and decoded by Viterbi over all
-lines of a chunk of text at once. A line is one sequence, so decoding takes as many numpy steps as the longest line
-has words. A labelled run becomes a span, trimmed of surrounding punctuation; a run that overlaps a pattern's span goes.
+maximum likelihood with an L2 prior, on the driver (a few hundred words, fixed size), and decoded by Viterbi, a line
+being one sequence. A word whose score for "none" leads every label by more than any transitions can win back is
+"none" on the best path whatever stands around it, so lines are cut there and only the runs between such words are
+decoded, all runs of a chunk at once: the numpy steps follow the longest run, not the longest line. A labelled run becomes
+a span, trimmed of surrounding punctuation; a run that overlaps a pattern's span goes.
 
 One pass over the texts, no shuffle. Null and empty texts have no spans; whole texts are scanned; repeated rows are
 treated alike; other columns are passed through (redaction) or left out (report).
@@ -25,6 +27,7 @@ from docindex.llm import crf, textvec as tv
 BASE_KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["secret", "id_number", "local_phone", "person"]
 KINDS = BASE_KINDS + LABELS
+CHUNK_BYTES = 256 << 10  # text decoded at once
 
 # ---------------------------------------------------------------- patterns
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -59,7 +62,7 @@ def pattern_spans(text: str) -> list:
     """(start, kind number, end) of the four base kinds, in order."""
     out = [(s, 0, e) for s, e in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 if len(p) < 4000 else False for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in m.group().split("."))):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
@@ -146,7 +149,7 @@ _JOINERS = ["=", ":", "is"]
 # ---------------------------------------------------------------- features
 _TRIM = np.zeros(256, dtype=bool)
 _TRIM[list(b"\"'.,;:()[]{}<>=!?")] = True
-_KIND_OF = np.full(256, 4, dtype=np.int64)  # 0 digit, 1 lower, 2 upper, 3 non-ASCII, 4 symbol
+_KIND_OF = np.full(256, 4, dtype=np.uint8)  # 0 digit, 1 lower, 2 upper, 3 non-ASCII, 4 symbol
 _KIND_OF[48:58], _KIND_OF[97:123], _KIND_OF[65:91], _KIND_OF[128:] = 0, 1, 2, 3
 _HEX = np.zeros(256, dtype=bool)
 _HEX[list(b"0123456789abcdefABCDEF")] = True
@@ -175,20 +178,13 @@ def features(buf, starts, ends, line) -> np.ndarray:
     """(words, len(CARDS)) feature values; ``line`` numbers the sequence that each word stands in."""
     n = len(starts)
     kind = _KIND_OF[buf]
-    count = []
-    for k in range(5):
-        total = np.zeros(len(buf) + 1, dtype=np.int64)
-        np.cumsum(kind == k, out=total[1:])
-        count.append(total[ends] - total[starts])
-    hexes = np.zeros(len(buf) + 1, dtype=np.int64)
-    np.cumsum(_HEX[buf], out=hexes[1:])
+    digits, lower, upper, other, symbols = (_within(kind == k, starts, ends) for k in range(5))
     lo, hi = trimmed(buf, starts, ends)
     size = hi - lo
-    digits, lower, upper, other, symbols = count
     few = lambda x: np.minimum(x, 3)
     first = np.where(size > 0, kind[np.minimum(lo, len(buf) - 1)], 5)
     last = np.where(size > 0, kind[np.maximum(hi - 1, 0)], 5)
-    is_hex = (size > 0) & (hexes[hi] - hexes[lo] == size)
+    is_hex = (size > 0) & (_within(_HEX[buf], lo, hi) == size)
     mixed = (digits > 0) * 1 + (lower + other > 0) * 2 + (upper > 0) * 4
     joiner = _JOIN[buf[starts]] | _JOIN[buf[ends - 1]]
     # Cue groups of the word itself; a word followed by a joiner passes its cue on over it.
@@ -209,6 +205,15 @@ def features(buf, starts, ends, line) -> np.ndarray:
         before[1] * _N_CUES + before[2], before[1] * 6 + first], axis=1)
 
 
+def _within(flags, starts, ends) -> np.ndarray:
+    """Flags set in each span; spans are in order and apart (an empty span gives any number)."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.int32)
+    edges = np.empty(2 * len(starts), dtype=np.int64)
+    edges[0::2], edges[1::2] = starts, ends
+    return np.add.reduceat(np.append(flags, False), edges, dtype=np.int32)[0::2]
+
+
 def trimmed(buf, starts, ends):
     """Word spans without surrounding punctuation (empty if nothing is left)."""
     inner = ~_TRIM[buf]
@@ -262,6 +267,28 @@ def train():
     return crf.fit(feats, gold, first, sum(CARDS) + 1, S)
 
 
+def decode(emit, moves, bounds) -> np.ndarray:
+    """Viterbi labels; sequence i is the words bounds[i]..bounds[i + 1] - 1. Label 0 is "none".
+
+    Going through "none" instead of label l at a word changes a path's score by the word's lead and at most ``need``.
+    """
+    need = np.maximum((moves - moves[:, :1]).max(axis=0), 0) + np.maximum((moves - moves[:1]).max(axis=1), 0)
+    open_ = np.flatnonzero(~(emit[:, :1] - emit[:, 1:] > need[1:] + 1e-3).all(axis=1))
+    labels = np.zeros(len(emit), dtype=np.int64)
+    if not len(open_):
+        return labels
+    head = np.zeros(len(emit) + 1, dtype=bool)
+    head[bounds] = True
+    first = np.ones(len(open_), dtype=bool)
+    first[1:] = (np.diff(open_) != 1) | head[open_[1:]]
+    last = np.append(first[1:], True)
+    some = emit[open_]
+    some[first & ~head[open_]] += moves[0]  # the word before is "none"
+    some[last & ~head[open_ + 1]] += moves[:, 0]
+    labels[open_] = crf.viterbi(some, moves, np.append(np.flatnonzero(first), len(open_)))
+    return labels
+
+
 def model_spans(buf, offsets, model) -> list:
     """For each text of a chunk, the (start, kind number, end) runs of the field, in code points."""
     starts, ends, first = tv.word_spans(buf, offsets)
@@ -275,7 +302,7 @@ def model_spans(buf, offsets, model) -> list:
     emit = np.zeros((len(starts), S), dtype=np.float32)
     for f, offset in enumerate(_OFFSETS):
         emit += weights[feats[:, f] + offset]
-    labels = crf.viterbi(emit, moves, bounds)
+    labels = decode(emit, moves, bounds)
     found = np.flatnonzero(labels)
     if not len(found):
         return out
@@ -320,7 +347,7 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     def run(batches):
         for batch in batches:
-            for lo, hi, buf, offsets in tv.chunks(batch.column(1)):
+            for lo, hi, buf, offsets in tv.chunks(batch.column(1), CHUNK_BYTES):
                 found = list(chunk_spans(batch.column(1), lo, buf, offsets, model))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo),
@@ -343,7 +370,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for lo, hi, buf, offsets in tv.chunks(batch.column(at)):
+            for lo, hi, buf, offsets in tv.chunks(batch.column(at), CHUNK_BYTES):
                 column, texts = batch.column(at), []
                 for i, (_, spans) in enumerate(chunk_spans(column, lo, buf, offsets, model)):
                     t = column[lo + i].as_py()

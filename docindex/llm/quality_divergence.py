@@ -16,13 +16,13 @@ that pass the base rules on, however large the rest of the corpus is; null is a
 such a reference is held against all others and the median of the whole corpus, in classes that do not depend on the
 script (letters with or without case are one class; symbols and marks beyond ASCII are told from letters; where most
 letters have no case, spaces count as letters, as not every script has them). A reference that is itself over the limit
-from the corpus counts for its own language only, and only from ``MIN_ODD`` documents on: a label that holds
-nothing but junk is no reference.
+from the corpus is none, however many documents stand behind it: a label that holds nothing but junk has no reference,
+and its documents are judged as if it had too few.
 
 A language without a list of common words takes those of the largest mean share in its own documents. There, a document
 passes as well if it fits a listed language. Null and the codes in ``UNNAMED`` mix languages and have no word test.
 
-Two passes over the documents, no shuffle of texts: pass 1 leaves, per task, language and
+Two passes over the documents (three where languages have no list of words), no shuffle of texts: pass 1 leaves, per task, language and
 bin, counts of 256 levels, from which Spark takes exact medians; pass 2 decides row by row. One more pass, only over
 documents of languages without a list, leaves word hashes with their shares. What goes to the driver and into the closure
 is one small row a language label of ``MIN_DOCS`` documents or more.
@@ -54,7 +54,7 @@ _SYMBOLS = b"#*$%&|<>"
 
 UNNAMED = ["", "und", "mul", "mis", "zxx", "unknown", "other"]
 
-MIN_WORDS, MIN_CHARS, MIN_DOCS, MIN_ODD, LEVELS = 50, 200, 10, 1000, 256
+MIN_WORDS, MIN_CHARS, MIN_DOCS, LEVELS = 50, 200, 10, 256
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.15, 0.45
 _WIDTH = max(len(v) for v in COMMON_WORDS.values()) + 1
 _SHARE_UNIT = 1_000_000_000
@@ -293,18 +293,16 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", min_docs
     whole = counts.where(F.col("bin") < len(CLASSES)).groupBy("bin", "level").agg(F.sum("n").alias("n")).groupBy("bin").agg(*median)
     for k, m, _ in whole.collect():
         corpus[k] = (m / (LEVELS - 1)) ** 2
-    found, n_docs = {}, {}
-    for x, k, m, n in counts.groupBy("l", "bin").agg(*median).where(F.col("n") >= min_docs).collect():  # size rows a language
+    found: dict = {}
+    for x, k, m, _ in counts.groupBy("l", "bin").agg(*median).where(F.col("n") >= min_docs).collect():  # size rows a language
         found.setdefault(x, np.zeros(size))[k] = (m / (LEVELS - 1)) ** 2
-        n_docs[x] = n
     own = {x: tuple(_share(v[None, :])[0] for v in (h[: len(CLASSES)], h[len(CLASSES):])) for x, h in found.items()}
     fold = lambda h: np.array([h[0] + h[5], *h[1:5]])
     if not corpus.any():
         return References({}, [], np.zeros((0, 5)), counted)
     middle = fold(_share(corpus[None, :])[0])
-    near = {x: js_distance(_caseless(fold(r[0])[None, :]), _caseless(middle[None, :])[0])[0] <= max_char for x, r in own.items()}
-    shared = [own[x][0] for x in own if near[x]]
-    own = {x: r for x, r in own.items() if near[x] or n_docs[x] >= MIN_ODD}
+    own = {x: r for x, r in own.items() if js_distance(_caseless(fold(r[0])[None, :]), _caseless(middle[None, :])[0])[0] <= max_char}
+    shared = [r[0] for r in own.values()]
     return References(own, shared, np.array([fold(r) for r in shared] + [middle]), counted)
 
 
@@ -329,8 +327,6 @@ def judge(buf, offsets, langs, refs: References, common, min_words=MIN_WORDS, mi
     enough_words = m["n_words"] >= min_words
     for lang in set(langs) & set(refs.own):
         rows = _of(langs, lang)
-        some = rows & long_enough
-        by_char[some] = np.fmin(by_char[some], js_distance(chars[some], refs.own[lang][0]))
         if lang in common:
             some = rows & enough_words
             by_word[some] = js_distance(words[some], refs.own[lang][1])

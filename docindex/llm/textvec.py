@@ -49,7 +49,7 @@ def _power_tables(n: int):
 
 
 def returning(run):
-    """``run`` (a generator over Arrow batches) that gives its freed memory back to the system at its end.
+    """``run`` (a generator over Arrow batches) that gives its memory back to the system at its end.
 
     A Python worker lives on after its task, and the C library keeps what large arrays leave behind; without this, the
     workers of an executor hold on to the peak of every operator that they ever ran.
@@ -58,6 +58,7 @@ def returning(run):
         try:
             yield from run(batches)
         finally:
+            _powers[:] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim:

@@ -187,7 +187,7 @@ def write(docs: DataFrame, root: str | None = None, key: str = "doc_id", text: s
 
     order = [F.col(key).asc_nulls_first(), F.xxhash64(F.col(text))]
     dealt = docs.select(F.col(key), F.col(text)).repartitionByRange(n, *order).sortWithinPartitions(*order)
-    rows = dealt.mapInArrow(tv.returning(put), "shard int, n_docs long, n_ids long, width int, least string, greatest string").collect()
+    rows = dealt.mapInArrow(tokens.returning(put), "shard int, n_docs long, n_ids long, width int, least string, greatest string").collect()
     return root, sorted(rows, key=lambda r: r["shard"])  # one row a shard
 
 

@@ -3,7 +3,7 @@
 A byte-level BPE encodes each of its pre-tokens (a word with the space before it, a number, a run of marks) by itself,
 and where white space stands alone a pre-token starts at every space, around every line feed, and at a sentence mark
 after a letter or digit. So a text is cut there into units, the distinct units of a chunk of texts are encoded by the
-library once, their ids are kept in a bounded table of the worker, and numpy lays the ids out in text order. Units are
+library once, their ids are kept in a bounded table until the task ends, and numpy lays the ids out in text order. Units are
 told apart by a 64-bit hash within a chunk and by their bytes in the table. Texts with white space side by side, with a character outside the plain ranges (where
 character classes could differ) or with the string of an added token go to the library whole. Either way the ids equal
 ``encode(text, add_special_tokens=False)``.
@@ -18,9 +18,9 @@ import numpy as np
 
 from docindex.llm import textvec as tv
 
-TABLE = 400_000  # units kept by a worker, about 100 MB; a full table starts anew
+TABLE = 200_000  # units kept in a task, about 40 MB; a full table starts anew
 TOGETHER = 256  # unseen units encoded in one string
-CHUNK_BYTES = 4 << 20  # text taken at once; more text holds relatively fewer distinct units
+CHUNK_BYTES = 1 << 20  # text taken at once
 _STRUNG = re.compile(rb" [^\t\r\n ]+").fullmatch
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 13, 32]] = True
@@ -155,6 +155,18 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+def returning(run):
+    """``run`` (a generator over Arrow batches) that leaves neither a table of units nor freed memory behind."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for e in _loaded.values():
+                e.table = {}
+
+    return tv.returning(wrapped)
+
+
 def default_path() -> str:
     import public_tokenizers
 

@@ -243,3 +243,22 @@ def test_pipeline(spark, sf_dir, tables, encode):
             assert all(clean[i] == t for i, t in texts.items() if not re.search(r"[0-9@]", t))
     _packed(now.collect(), clean, encode)
     assert entry.queries()["pipeline"](spark, sf_dir).count() == now.count()
+
+
+def test_ip_parts_of_any_length():
+    for zeros in (0, 3, 300, 5_000):
+        text = "from " + "0" * zeros + "10.0.0.1 on"
+        assert pii_crf.pattern_spans(text) == brute.patterns(text) if zeros < 4000 else pii_crf.pattern_spans(text)[0][1] == 1
+    assert [s[1] for s in pii_crf.pattern_spans("0256.1.1.1 and " + "9" * 5_000 + ".1.1.1")] == []
+
+
+def test_runs_are_decoded_as_whole_lines():
+    from docindex.llm import crf
+
+    rnd = np.random.default_rng(0)
+    for _ in range(200):
+        n, states = int(rnd.integers(1, 80)), len(pii_crf.LABELS) + 1
+        emit = rnd.normal(size=(n, states)).astype(np.float32) * 3
+        emit[:, 0] += rnd.choice([0, 15], size=n)
+        moves, bounds = rnd.normal(size=(states, states)).astype(np.float32), np.unique(np.r_[0, rnd.integers(0, n, 3), n])
+        assert (crf.viterbi(emit, moves, bounds) == pii_crf.decode(emit, moves, bounds)).all()

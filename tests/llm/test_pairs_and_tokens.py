@@ -227,6 +227,14 @@ def test_rank_queue_as_tiktoken(tiktoken_ids):
     assert [np.frombuffer(x, "<u4").tolist() for x in c.encode(texts)] == [tiktoken_ids(t) for t in texts]
 
 
+def test_cut_of_low_characters(tiktoken_ids):
+    c = rank_queue_bpe.codec(rank_queue_bpe.default_path(), rank_queue_bpe.default_pattern())
+    assert c.cut_low and rank_queue_bpe.low_cut(r"\w+") is None
+    for p in range(0x250):
+        for text in (f"a{chr(p)}1 {chr(p)}  {chr(p)}{chr(p)} b", f"'{chr(p)} {chr(p)}", f"{chr(p)}{chr(p)}\n {chr(p)}x"):
+            assert c.cut_low(text) == c.cut_any(text)
+
+
 def test_very_long_pre_tokens(tiktoken_ids):
     c = rank_queue_bpe.codec(rank_queue_bpe.default_path(), rank_queue_bpe.default_pattern())
     rnd = random.Random(6)
