@@ -53,6 +53,7 @@ PLACE = ("_routing", "_parent")  # what a document is routed by, before its id
 ERR_CONFLICT = "version_conflict_engine_exception"
 ERR_MISSING = "document_missing_exception"
 ERR_PARSING = "mapper_parsing_exception"
+ERR_REQUEST = "action_request_validation_exception"
 STATUS_OK, STATUS_CREATED, STATUS_BAD, STATUS_NOT_FOUND, STATUS_CONFLICT = 200, 201, 400, 404, 409
 
 
@@ -110,12 +111,39 @@ class LogStats:
     rows: int
     lo: int | None
     hi: int | None
+    keyless: int = 0
+
+
+def _no_key() -> Column:
+    return F.col("_index").isNull() | F.col("_id").isNull()
 
 
 def log_stats(ops: DataFrame) -> LogStats:
-    """Row count and ``seq`` range of a log in one small aggregate."""
-    r = ops.agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).collect()[0]
-    return LogStats(r["n"], r["lo"], r["hi"])
+    """Row count, ``seq`` range and number of ops without a key of a log in one small aggregate."""
+    r = ops.agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"), F.count_if(_no_key()).alias("k")).collect()[0]
+    return LogStats(r["n"], r["lo"], r["hi"], r["k"])
+
+
+def split_keyless(ops: DataFrame, stats: LogStats) -> tuple[DataFrame, DataFrame | None]:
+    """(ops that name a document, items of the others or None).
+
+    An op without a key touches nothing, so it needs no evaluation and takes no part in a join on the key: without an
+    index it is refused (400); an update or delete without an id finds no document (404). Index and create ops have
+    their id by now.
+    """
+    if not stats.keyless:
+        return ops, None
+    op, placed = F.col("op"), F.col("_index").isNotNull()
+    items = ops.where(_no_key()).select(
+        "seq", "op", *KEY, F.lit(None).cast("long").alias("_version"),
+        F.when(placed, STATUS_NOT_FOUND).otherwise(STATUS_BAD).cast("int").alias("status"),
+        F.when(placed & (op == "delete"), F.lit("not_found")).alias("result"),
+        F.when(~placed, F.lit(ERR_REQUEST)).when(op == "update", F.lit(ERR_MISSING)).alias("error_type"))
+    return ops.where(~_no_key()), items
+
+
+def _with_items(items: DataFrame, more: DataFrame | None) -> DataFrame:
+    return items if more is None else items.unionByName(more.select(*items.columns))
 
 
 def split_touched(table: DataFrame, ops: DataFrame,
@@ -221,12 +249,13 @@ def _items(rows: DataFrame) -> DataFrame:
                        err.alias("error_type"))
 
 
-def _final(table: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
+def _final(table: DataFrame, rows: DataFrame, fields: list[str], given: bool = False) -> DataFrame:
+    """The touched documents after the log. With ``given`` versions the last op's counts, else the greatest."""
     op, ok = F.col("op"), F.col("succ")
     contrib = ok & op.isin("index", "create", "update")
     aggs = [
         F.max_by(F.coalesce(F.col("_eff"), F.col("exists_before")), F.col("seq")).alias("_n_exists"),
-        F.max("version").alias("_n_version"),
+        (F.max_by("version", "seq") if given else F.max("version")).alias("_n_version"),
         F.max("seg").alias("_n_seg"),
         F.max(F.when(ok, F.col("seq"))).alias("_n_seq"),
     ]
@@ -261,7 +290,7 @@ def _final(table: DataFrame, rows: DataFrame, fields: list[str]) -> DataFrame:
         out.append(val.alias(f))
     res = j.select(*out)
     # A key that never existed (only failed ops) leaves no row.
-    return res.where(F.col("_version") > 0)
+    return res if given else res.where(F.col("_version") > 0)
 
 
 def _prepare_ops(ops: DataFrame, table: DataFrame | None, default_index: str | None) -> DataFrame:
@@ -298,25 +327,31 @@ def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK
     ``materialize_rows`` the evaluated op rows are written once to the checkpoint
     folder, so writing both the table and the items does not evaluate them twice.
     """
-    ops = _prepare_ops(ops, table, default_index)
-    fields = body_fields(ops, table)
-    if table is None:
-        table = empty_table(ops, [f for f in fields if f in ops.columns])
-    for f in fields:
-        if f not in ops.columns:
-            ops = ops.withColumn(f, F.lit(None).cast(table.schema[f].dataType))
+    table, ops, fields = _aligned(table, _prepare_ops(ops, table, default_index))
     # Only stored rows whose key the log touches take part in the replay. With a
     # counted, bounded key set the split is two broadcast joins (the stored table is
     # not shuffled and untouched rows pass through as they are); beyond the bound
     # the replay's own key-partitioned joins handle the whole table.
     stats = log_stats(ops)
+    ops, keyless = split_keyless(ops, stats)
     table, untouched = split_touched(table, ops, stats.rows)
     rows = _evaluate(table, ops, chunk_rows, stats)
     if materialize_rows:
         from docindex.operators.rank import materialize
 
         rows = materialize(rows, "replay-rows")
-    return ReplayResult(with_untouched(_final(table, rows, fields), untouched), _items(rows))
+    return ReplayResult(with_untouched(_final(table, rows, fields), untouched), _with_items(_items(rows), keyless))
+
+
+def _aligned(table: DataFrame | None, ops: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(table, ops, body fields), every field a column of the ops."""
+    fields = body_fields(ops, table)
+    if table is None:
+        table = empty_table(ops, [f for f in fields if f in ops.columns])
+    for f in fields:
+        if f not in ops.columns:
+            ops = ops.withColumn(f, F.lit(None).cast(table.schema[f].dataType))
+    return table, ops, fields
 
 
 def visible_at(ops: DataFrame, refresh_seq: int, table: DataFrame | None = None) -> DataFrame:
@@ -406,7 +441,9 @@ def _update_with_noop(table: DataFrame, ops: DataFrame, chunk_rows: int) -> Repl
     is a window inside ``(key, chunk)`` plus a carried value from earlier chunks.
     """
     fields = [f for f in body_fields(ops, None)]
-    table, untouched = split_touched(table, ops)
+    stats = log_stats(ops)
+    ops, keyless = split_keyless(ops, stats)
+    table, untouched = split_touched(table, ops, stats.rows)
     o = ops.withColumn("_chunk", _chunk_of(chunk_rows))
     w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
     before_rows = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -463,74 +500,81 @@ def _update_with_noop(table: DataFrame, ops: DataFrame, chunk_rows: int) -> Repl
             cols.append(F.col(c))
     cols += [F.col(f"_u_{f}").alias(f) for f in fields if f not in table.columns]
     new_table = merged.select(*cols)
-    return ReplayResult(with_untouched(new_table, untouched), items)
+    return ReplayResult(with_untouched(new_table, untouched), _with_items(items, keyless))
 
 
 # ---------------------------------------------------------------- W6 version types
+def _versioned(table: DataFrame | None, ops: DataFrame, accept, allowed: tuple, chunk_rows: int) -> ReplayResult:
+    """Writes with their own versions, in two steps.
+
+    ``accept(stored, ops)`` says by the versions alone which ops take effect (``_acc``), the version that each leaves
+    (``_ver``) and whether the key had a version before (``_known``). The accepted ops then go through the chunked
+    replay, which knows what an index, update or delete does to a document; their versions stay the accepted ones. An
+    accepted update or delete of a document that is not live is a 404, and its version is recorded all the same (tier
+    P). Ops that a version type does not know are refused (400). Without ``op`` every row is an index op.
+    """
+    if "op" not in ops.columns:
+        ops = ops.withColumn("op", F.lit("index"))
+    ops = _prepare_ops(ops, table, None).withColumn("version", F.col("version").cast("long"))
+    table, ops, fields = _aligned(table, ops)
+    stats = log_stats(ops)
+    ops, keyless = split_keyless(ops, stats)
+    table, untouched = split_touched(table, ops, stats.rows)
+    no_version = F.lit(None).cast("long").alias("_version")
+
+    def refused(rows: DataFrame, status: int, error: str) -> DataFrame:
+        return rows.select("seq", "op", *KEY, no_version, F.lit(status).cast("int").alias("status"), F.lit(error).alias("error_type"))
+
+    judged = accept(table.select(*KEY, F.col("_version").alias("_sv")), ops.where(F.col("op").isin(*allowed)))
+    taken = judged.where("_acc").select(*KEY, "seq", "op", *fields, "_ver", "_known")
+    rows = _evaluate(table, taken, chunk_rows, stats).withColumn("version", F.col("_ver"))
+    status = (F.when(F.col("op") == "index", F.when(F.col("_known"), STATUS_OK).otherwise(STATUS_CREATED))
+              .otherwise(F.when(F.col("succ"), STATUS_OK).otherwise(STATUS_NOT_FOUND)))
+    items = rows.select("seq", "op", *KEY, F.col("version").alias("_version"), status.cast("int").alias("status"),
+                        F.when((F.col("op") == "update") & ~F.col("succ"), F.lit(ERR_MISSING)).alias("error_type"))
+    items = items.unionByName(refused(judged.where(~F.col("_acc")), STATUS_CONFLICT, ERR_CONFLICT))
+    items = items.unionByName(refused(ops.where(~F.col("op").isin(*allowed)), STATUS_BAD, ERR_REQUEST))
+    return ReplayResult(with_untouched(_final(table, rows, fields, given=True), untouched), _with_items(items, keyless))
+
+
 def write_external(table: DataFrame | None, delta: DataFrame, gte: bool = False,
                    chunk_rows: int = CHUNK_ROWS) -> ReplayResult:
-    """External versions. Accept an index op iff its ``version`` is greater than
+    """External versions. Accept an index or delete op iff its ``version`` is greater than
     (``external``) or at least (``external_gte``) every version seen before it for
-    the key, stored version included; the stored version becomes the given one.
+    the key, stored version included; the stored version becomes the given one. An op
+    without a version is a conflict (409); creates and updates are refused (400).
 
     Closed form: a refused row can never raise the running maximum, so the running
     max over all earlier rows equals the max over earlier accepted rows. The max is
     carried across chunks like the replay's counters.
     """
-    o = delta.withColumn("_chunk", _chunk_of(chunk_rows))
-    fields = body_fields(o.drop("_chunk"), table)
-    w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
-    o = o.withColumn("_mx_local", F.max("version").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    summ = o.groupBy(*KEY, "_chunk").agg(F.max("version").alias("_cmax"))
-    if table is not None:
-        touched, _rest = split_touched(table, delta)
-        summ = summ.join(touched.select(*KEY, F.col("_version").alias("_sv")), KEY, "left")
-    else:
-        summ = summ.withColumn("_sv", F.lit(None).cast("long"))
-    wc = Window.partitionBy(*KEY).orderBy("_chunk")
-    summ = summ.withColumn("_mx_carry", F.greatest(
-        F.max("_cmax").over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.col("_sv")))
-    rows = o.join(summ.select(*KEY, "_chunk", "_mx_carry", "_sv"), [*KEY, "_chunk"], "inner")
-    prior = F.greatest(F.col("_mx_local"), F.col("_mx_carry"))
-    acc = F.col("version") >= prior if gte else F.col("version") > prior
-    rows = rows.withColumn("succ", prior.isNull() | acc)
-    items = rows.select("seq", F.lit("index").alias("op"), *KEY,
-                        F.when(F.col("succ"), F.col("version")).alias("_version"),
-                        F.when(F.col("succ"), F.when(F.col("_sv").isNull() & F.col("_mx_local").isNull()
-                                                     & F.col("_mx_carry").isNull(), 201).otherwise(200))
-                        .otherwise(409).cast("int").alias("status"),
-                        F.when(~F.col("succ"), F.lit(ERR_CONFLICT)).alias("error_type"))
-    # Final: the last accepted row is the one with the greatest (version, seq) when accepted.
-    last = rows.where("succ").groupBy(*KEY).agg(
-        F.max_by(F.struct(F.col("version"), F.col("seq"), *[F.col(f) for f in fields if f in rows.columns]),
-                 F.struct(F.col("version"), F.col("seq"))).alias("_w"))
-    new_rows = last.select(*KEY, F.col("_w.version").alias("_version"), F.lit(False).alias("_deleted"),
-                           F.col("_w.seq").alias("_seq"), *[F.col(f"_w.{f}").alias(f) for f in fields if f in rows.columns])
-    return ReplayResult(_overlay(table, new_rows), items)
-
-
-def write_force(table: DataFrame | None, delta: DataFrame) -> ReplayResult:
-    """Always accept and set the given version; the last row per key wins."""
-    fields = body_fields(delta, table)
-    last = delta.groupBy(*KEY).agg(
-        F.max_by(F.struct(F.col("version"), F.col("seq"), *[F.col(f) for f in fields if f in delta.columns]),
-                 F.col("seq")).alias("_w"))
-    new_rows = last.select(*KEY, F.col("_w.version").alias("_version"), F.lit(False).alias("_deleted"),
-                           F.col("_w.seq").alias("_seq"), *[F.col(f"_w.{f}").alias(f) for f in fields if f in delta.columns])
-    items = delta.select("seq", F.lit("index").alias("op"), *KEY, F.col("version").alias("_version"),
-                         F.lit(200).cast("int").alias("status"), F.lit(None).cast("string").alias("error_type"))
-    return ReplayResult(_overlay(table, new_rows), items)
-
-
-def _overlay(table: DataFrame | None, new_rows: DataFrame) -> DataFrame:
-    """Replace stored rows by ``new_rows`` on the key; the new rows are written once for both uses."""
-    if table is None:
-        return new_rows
-    from docindex.operators.rank import materialize
+    def accept(stored: DataFrame, ops: DataFrame) -> DataFrame:
+        o = ops.withColumn("_chunk", _chunk_of(chunk_rows))
+        w = Window.partitionBy(*KEY, "_chunk").orderBy("seq")
+        o = o.withColumn("_mx_local", F.max("version").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        summ = o.groupBy(*KEY, "_chunk").agg(F.max("version").alias("_cmax")).join(stored, KEY, "left")
+        wc = Window.partitionBy(*KEY).orderBy("_chunk")
+        summ = summ.withColumn("_mx_carry", F.greatest(F.max("_cmax").over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.col("_sv")))
+        rows = o.join(summ.select(*KEY, "_chunk", "_mx_carry"), [*KEY, "_chunk"], "inner")
+        prior = F.greatest(F.col("_mx_local"), F.col("_mx_carry"))
+        higher = F.col("version") >= prior if gte else F.col("version") > prior
+        return (rows.withColumn("_known", prior.isNotNull()).withColumn("_ver", F.col("version"))
+                .withColumn("_acc", F.col("version").isNotNull() & F.coalesce(higher, F.lit(True))))
+
+    return _versioned(table, delta, accept, ("index", "delete"), chunk_rows)
+
+
+def write_force(table: DataFrame | None, delta: DataFrame, chunk_rows: int = CHUNK_ROWS) -> ReplayResult:
+    """Always accept an index or delete op and set the given version; the last op per key wins.
+
+    The first write of a key is 201. An op without a version is a conflict (409); creates and updates are refused (400).
+    """
+    def accept(stored: DataFrame, ops: DataFrame) -> DataFrame:
+        first = ops.where(F.col("version").isNotNull()).groupBy(*KEY).agg(F.min("seq").alias("_first")).join(stored, KEY, "left")
+        return (ops.join(first, KEY, "left").withColumn("_acc", F.col("version").isNotNull()).withColumn("_ver", F.col("version"))
+                .withColumn("_known", F.col("_sv").isNotNull() | (F.col("seq") > F.col("_first"))))
 
-    new_rows = materialize(new_rows, "overlay")
-    untouched = table.join(new_rows.select(*KEY), KEY, "left_anti")
-    return untouched.unionByName(new_rows, allowMissingColumns=True)
+    return _versioned(table, delta, accept, ("index", "delete"), chunk_rows)
 
 
 # ---------------------------------------------------------------- B2
@@ -591,9 +635,9 @@ def _next_occurrence(nodes: DataFrame, chunk_rows: int) -> DataFrame:
 def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int = CHUNK_ROWS) -> ReplayResult:
     """Internal versions as compare-and-set (tier P).
 
-    An index op with a ``version`` is accepted iff it equals the current version
+    An index, update or delete op with a ``version`` is accepted iff it equals the current version
     (absent document = 0); one without a version is always accepted; each
-    acceptance adds 1. Exact and parallel: with ``nb`` = null-version ops before
+    acceptance adds 1. Creates are refused (400): they have no version. Exact and parallel: with ``nb`` = null-version ops before
     an op and ``v0`` the stored version, let ``u = version - nb - v0``. The
     accepted versioned ops are exactly the greedy chain of ``u = 0, 1, 2, ...``
     in ``seq`` order: the first op with ``u = 0``, then the first later op with
@@ -603,18 +647,15 @@ def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int =
     rounds is logarithmic in the chain length and every round is a
     hash-partitioned join on ``(key, seq)``, materialised to cut lineage.
     """
+    return _versioned(table, delta, lambda stored, ops: _compare_and_set(stored, ops, chunk_rows), ("index", "update", "delete"), chunk_rows)
+
+
+def _compare_and_set(stored: DataFrame, ops: DataFrame, chunk_rows: int) -> DataFrame:
     from docindex.operators.rank import materialize
 
-    fields = [f for f in body_fields(delta, table) if f in delta.columns]
-    d = delta.withColumn("_null", F.col("version").isNull())
-    seed = (split_touched(table, delta)[0].select(*KEY, F.col("_version").alias("_base"))
-            if table is not None else None)
-    d = _running_count(d, "_null", "_nb", chunk_rows, inclusive=False, seed=None)
-    if seed is not None:
-        d = d.join(seed, KEY, "left")
-    else:
-        d = d.withColumn("_base", F.lit(None).cast("long"))
-    d = d.withColumn("_v0", F.coalesce(F.col("_base"), F.lit(0).cast("long"))).drop("_base")
+    d = ops.withColumn("_null", F.col("version").isNull())
+    d = _running_count(d, "_null", "_nb", chunk_rows, inclusive=False, seed=None).join(stored, KEY, "left")
+    d = d.withColumn("_v0", F.coalesce(F.col("_sv"), F.lit(0).cast("long"))).drop("_sv")
     d = d.withColumn("_u", F.when(~F.col("_null"), F.col("version") - F.col("_nb") - F.col("_v0")))
     d = materialize(d, "cas-ops")
     nodes = d.where(~F.col("_null")).select(*KEY, "seq", "_u")
@@ -638,20 +679,9 @@ def write_internal(table: DataFrame | None, delta: DataFrame, chunk_rows: int =
         step *= 2
 
     accepted = path.select(*KEY, F.col("id").alias("seq"), F.lit(True).alias("_hit"))
-    rows = d.join(accepted, [*KEY, "seq"], "left").withColumn(
-        "succ", F.col("_null") | F.coalesce(F.col("_hit"), F.lit(False)))
-    rows = _running_count(rows, "succ", "_acc", chunk_rows, inclusive=True)
-    rows = rows.withColumn("_ver", F.col("_v0") + F.col("_acc"))
-    items = rows.select("seq", F.lit("index").alias("op"), *KEY,
-                        F.when(F.col("succ"), F.col("_ver")).alias("_version"),
-                        F.when(F.col("succ"), F.when(F.col("_ver") == 1, 201).otherwise(200)).otherwise(409)
-                        .cast("int").alias("status"),
-                        F.when(~F.col("succ"), F.lit(ERR_CONFLICT)).alias("error_type"))
-    last = rows.where("succ").groupBy(*KEY).agg(
-        F.max_by(F.struct(F.col("_ver"), F.col("seq"), *[F.col(f) for f in fields]), F.col("seq")).alias("_w"))
-    new_rows = last.select(*KEY, F.col("_w._ver").alias("_version"), F.lit(False).alias("_deleted"),
-                           F.col("_w.seq").alias("_seq"), *[F.col(f"_w.{f}").alias(f) for f in fields])
-    return ReplayResult(_overlay(table, new_rows), items)
+    rows = d.join(accepted, [*KEY, "seq"], "left").withColumn("_acc", F.col("_null") | F.coalesce(F.col("_hit"), F.lit(False)))
+    rows = _running_count(rows, "_acc", "_n", chunk_rows, inclusive=True).withColumn("_ver", F.col("_v0") + F.col("_n"))
+    return materialize(rows.withColumn("_known", F.col("_ver") > 1), "cas-judged")
 
 
 # ---------------------------------------------------------------- JSON bodies
@@ -680,6 +710,7 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
     ops = ops.withColumn("_refused", (F.col("op") != "delete") & F.col(body_col).isNotNull() & ~whole)
     refused, ops = ops.where("_refused"), ops.where("NOT _refused")
     stats = log_stats(ops)
+    ops, keyless = split_keyless(ops, stats)
     table, untouched = split_touched(table, ops, stats.rows)
     # Written once: the per-document state, the entries and the items all read it.
     rows = materialize(_evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows, stats), "replay-rows")
@@ -711,11 +742,11 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
         F.coalesce(F.col("_n_seq"), F.col("_s_seq")).cast("long").alias("_seq"),
         F.when(F.col("_n_exists"), F.coalesce(F.col("_body"), F.lit("{}"))).alias(body_col)
     ).where(F.col("_version") > 0)
-    return _json_result(final, untouched, rows, refused)
+    return _json_result(final, untouched, rows, refused, keyless)
 
 
-def _json_result(final: DataFrame, untouched: DataFrame | None, rows: DataFrame, refused: DataFrame) -> ReplayResult:
-    items = _items(rows)
+def _json_result(final: DataFrame, untouched: DataFrame | None, rows: DataFrame, refused: DataFrame, keyless: DataFrame | None) -> ReplayResult:
+    items = _with_items(_items(rows), keyless)
     bad = refused.select("seq", "op", *KEY, F.lit(None).cast("long").alias("_version"), F.lit(STATUS_BAD).cast("int").alias("status"),
                          F.lit(None).cast("string").alias("result"), F.lit(ERR_PARSING).alias("error_type"))
     return ReplayResult(with_untouched(final, untouched), items.unionByName(bad))

@@ -371,3 +371,112 @@ def w8_bulk_replay_hot_key(spark, sf):
 @register("w9_bulk_items_hot_key", "WITH " + _HOT_SQL + replay_sql_ctes(source="hot") + ITEMS_SELECT)
 def w9_bulk_items_hot_key(spark, sf):
     return W.bulk_replay(None, fx.hot_ops(spark, sf), chunk_rows=HOT_CHUNK_ROWS).items
+
+
+# Ops without a key: every tenth op comes without an id, every thirtieth without an index as well; the log spans many chunks.
+KEYLESS_CHUNK_ROWS = 500
+
+_KEYLESS_SQL = r"""kops AS (
+  SELECT CASE WHEN seq % 30 = 0 THEN NULL ELSE _index END AS _index, seq, op, value, props,
+         CASE WHEN seq % 10 <> 0 THEN _id WHEN op IN ('index', 'create')
+              THEN sha256(CASE WHEN seq % 30 = 0 THEN '' ELSE _index || '|' END || CAST(seq AS VARCHAR)) END AS _id
+  FROM ops),
+keyed AS (SELECT * FROM kops WHERE _index IS NOT NULL AND _id IS NOT NULL)"""
+
+_KEYLESS_ITEMS = """
+UNION ALL SELECT seq, op, _index, _id, CAST(NULL AS BIGINT), CAST(CASE WHEN _index IS NULL THEN 400 ELSE 404 END AS INTEGER),
+       CASE WHEN _index IS NOT NULL AND op = 'delete' THEN 'not_found' END,
+       CASE WHEN _index IS NULL THEN 'action_request_validation_exception' WHEN op = 'update' THEN 'document_missing_exception' END
+FROM kops WHERE _index IS NULL OR _id IS NULL"""
+
+
+def _keyless_ops(spark, sf):
+    return (fx.ops(spark, sf).withColumn("_id", F.when(F.col("seq") % 10 != 0, F.col("_id")))
+            .withColumn("_index", F.when(F.col("seq") % 30 != 0, F.col("_index"))))
+
+
+@register("w9_bulk_items_keyless", with_(OPS, _KEYLESS_SQL) + replay_sql_ctes(source="keyed") + ITEMS_SELECT + _KEYLESS_ITEMS)
+def w9_bulk_items_keyless(spark, sf):
+    return W.bulk_replay(None, _keyless_ops(spark, sf), chunk_rows=KEYLESS_CHUNK_ROWS).items
+
+
+@register("w8_bulk_replay_keyless", with_(OPS, _KEYLESS_SQL) + replay_sql_ctes(source="keyed") + "SELECT * FROM final")
+def w8_bulk_replay_keyless(spark, sf):
+    return W.bulk_replay(None, _keyless_ops(spark, sf), chunk_rows=KEYLESS_CHUNK_ROWS).table
+
+
+@register("w4_update_noop_keyless", with_(OPS) + replay_sql_ctes(f"seq <= {CUT}") + """
+SELECT seq, CAST(CASE WHEN _index IS NULL THEN 400 WHEN _id IS NULL OR COALESCE(_deleted, TRUE) THEN 404 ELSE 200 END AS INTEGER) AS status,
+       CASE WHEN _index IS NULL THEN 'action_request_validation_exception' WHEN _id IS NULL OR COALESCE(_deleted, TRUE) THEN 'document_missing_exception' END AS error_type
+FROM (SELECT o.seq, CASE WHEN seq % 30 = 0 THEN NULL ELSE o._index END AS _index, CASE WHEN seq % 10 <> 0 THEN o._id END AS _id, f._deleted
+      FROM ops o LEFT JOIN final f ON f._index = o._index AND f._id = o._id)""")
+def w4_update_noop_keyless(spark, sf):
+    delta = _keyless_ops(spark, sf).drop("op")
+    return W.update_docs(fx.stored(spark, sf), delta, detect_noop=True, chunk_rows=KEYLESS_CHUNK_ROWS).items.select("seq", "status", "error_type")
+
+
+# Versioned logs of several op types. Every seventh op has no key, every eleventh no version.
+_VMIXED = """vm AS (SELECT seq, op, _index, CASE WHEN seq % 7 <> 0 THEN _id WHEN op IN ('index', 'create') THEN sha256(_index || '|' || CAST(seq AS VARCHAR)) END AS _id,
+    value, props, CASE WHEN seq % 11 <> 0 THEN CAST(trunc(value) AS BIGINT) END AS version FROM ops),
+judged AS (SELECT *, max(version) FILTER (op IN ('index', 'delete')) OVER (PARTITION BY _index, _id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx
+  FROM vm WHERE _id IS NOT NULL),
+acc AS (SELECT *, op IN ('index', 'delete') AND version IS NOT NULL AND (mx IS NULL OR version > mx) AS ok FROM judged),
+lived AS (SELECT *, last_value(CASE WHEN ok THEN op = 'index' END IGNORE NULLS) OVER (PARTITION BY _index, _id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS live FROM acc)"""
+
+
+def _mixed_versions(spark, sf):
+    o = fx.ops(spark, sf).withColumn("version", F.when(F.col("seq") % 11 != 0, F.col("value").cast("long")))
+    return o.withColumn("_id", F.when(F.col("seq") % 7 != 0, F.col("_id")))
+
+
+@register("w6a_external_mixed", with_(OPS, _VMIXED) + """
+SELECT seq, op, _index, _id, CASE WHEN ok THEN version END AS _version,
+       CAST(CASE WHEN op IN ('create', 'update') THEN 400 WHEN NOT ok THEN 409 WHEN op = 'index' THEN CASE WHEN mx IS NULL THEN 201 ELSE 200 END
+                 WHEN COALESCE(live, FALSE) THEN 200 ELSE 404 END AS INTEGER) AS status,
+       CASE WHEN op IN ('create', 'update') THEN 'action_request_validation_exception' WHEN NOT ok THEN 'version_conflict_engine_exception' END AS error_type
+FROM lived
+UNION ALL SELECT seq, op, _index, _id, CAST(NULL AS BIGINT), CAST(404 AS INTEGER), CASE WHEN op = 'update' THEN 'document_missing_exception' END FROM vm WHERE _id IS NULL""")
+def w6a_external_mixed(spark, sf):
+    """Deletes take part in external versions; what cannot have them is refused; an op without a key still has its item."""
+    return W.write_external(None, _mixed_versions(spark, sf), chunk_rows=KEYLESS_CHUNK_ROWS).items
+
+
+@register("w6a_external_mixed_table", with_(OPS, _VMIXED) + """
+SELECT _index, _id, max(version) AS _version, arg_max(op, nr) = 'delete' AS _deleted, max(seq) AS _seq,
+       CASE WHEN arg_max(op, nr) = 'index' THEN arg_max(value, nr) END AS value, CASE WHEN arg_max(op, nr) = 'index' THEN arg_max(props, nr) END AS props
+FROM (SELECT *, CASE WHEN op = 'delete' AND NOT COALESCE(live, FALSE) THEN NULL ELSE nr END AS seq FROM (SELECT * RENAME (seq AS nr) FROM lived WHERE ok))
+GROUP BY _index, _id""")
+def w6a_external_mixed_table(spark, sf):
+    return W.write_external(None, _mixed_versions(spark, sf), chunk_rows=KEYLESS_CHUNK_ROWS).table
+
+
+@register("w6c_force_items", with_(OPS) + """
+SELECT seq, 'index' AS op, _index, _id, version AS _version,
+       CAST(CASE WHEN version IS NULL THEN 409 WHEN seq > first THEN 200 ELSE 201 END AS INTEGER) AS status,
+       CASE WHEN version IS NULL THEN 'version_conflict_engine_exception' END AS error_type
+FROM (SELECT *, min(CASE WHEN version IS NOT NULL THEN seq END) OVER (PARTITION BY _index, _id) AS first
+      FROM (SELECT *, CASE WHEN seq % 11 <> 0 THEN CAST(trunc(value) AS BIGINT) END AS version FROM ops))""")
+def w6c_force_items(spark, sf):
+    """The first write of a key is 201; an op without a version is refused."""
+    o = fx.ops(spark, sf).withColumn("version", F.when(F.col("seq") % 11 != 0, F.col("value").cast("long")))
+    return W.write_force(None, o.drop("op")).items
+
+
+@register("w6b_internal_mixed", "WITH RECURSIVE " + OPS + ",\n" + _CAS_OPS.replace("props,\n", "props, op,\n") + """,
+r AS (SELECT *, row_number() OVER (PARTITION BY _index, _id ORDER BY seq) AS rn FROM cops WHERE op <> 'create'),
+rec(_index, _id, rn, seq, op, ver, ok, live, was) AS (
+  SELECT DISTINCT _index, _id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), CAST(NULL AS BOOLEAN), FALSE, FALSE FROM r
+  UNION ALL
+  SELECT r._index, r._id, r.rn, r.seq, r.op, CASE WHEN r.version IS NULL OR r.version = rec.ver THEN rec.ver + 1 ELSE rec.ver END,
+         r.version IS NULL OR r.version = rec.ver,
+         CASE WHEN r.version IS NULL OR r.version = rec.ver THEN CASE r.op WHEN 'index' THEN TRUE WHEN 'delete' THEN FALSE ELSE rec.live END ELSE rec.live END, rec.live
+  FROM rec JOIN r ON r._index = rec._index AND r._id = rec._id AND r.rn = rec.rn + 1)
+SELECT seq, op, _index, _id, CASE WHEN ok THEN ver END AS _version,
+       CAST(CASE WHEN NOT ok THEN 409 WHEN op = 'index' THEN CASE WHEN ver = 1 THEN 201 ELSE 200 END WHEN was THEN 200 ELSE 404 END AS INTEGER) AS status,
+       CASE WHEN NOT ok THEN 'version_conflict_engine_exception' WHEN op = 'update' AND NOT was THEN 'document_missing_exception' END AS error_type
+FROM rec WHERE rn > 0
+UNION ALL SELECT seq, op, _index, _id, CAST(NULL AS BIGINT), CAST(400 AS INTEGER), 'action_request_validation_exception' FROM cops WHERE op = 'create'""")
+def w6b_internal_mixed(spark, sf):
+    """Compare-and-set updates and deletes beside index ops; creates have no version."""
+    ops = _cas_ops(spark, sf).join(fx.ops(spark, sf).select("seq", "op"), "seq")
+    return W.write_internal(None, ops, chunk_rows=KEYLESS_CHUNK_ROWS).items
