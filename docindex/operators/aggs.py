@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from docindex.operators.rank import materialize
 
+_FOLD_ROWS = 500_000  # rows of a task that are grouped together
+
 METRICS = ("count", "sum", "min", "max", "avg")
 
 
@@ -53,6 +55,48 @@ def terms_agg(df: DataFrame, field: str, size: int = 10, metric_field: str | Non
             .unionByName(other.withColumn("is_other", F.lit(True))))
 
 
+def _counted():
+    """Per task: every key with its count (``mapInArrow``; Arrow's own grouping, batch by batch)."""
+    def run(batches):
+        import pyarrow as pa
+
+        held = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch]).append_column("n", pa.array([1] * batch.num_rows, pa.int64()))
+            held = new if held is None else pa.concat_tables([held, new])
+            if held.num_rows > _FOLD_ROWS:
+                held = held.group_by("key").aggregate([("n", "sum")]).rename_columns(["key", "n"])
+        if held is not None and held.num_rows:
+            yield from held.group_by("key").aggregate([("n", "sum")]).rename_columns(["key", "n"]).to_batches()
+    return run
+
+
+def terms_topk(df: DataFrame, field: str, size: int = 10) -> DataFrame:
+    """G1 for fields of very many values: the exact top ``size`` buckets (``key, doc_count``), by a threshold algorithm.
+
+    Each task counts its own rows and writes the counts; they are not shuffled. Three looks at them follow. (1) The sum of
+    every task's own ``size`` best gives lower bounds; their ``size``-th largest is T. (2) A value that reaches T in all has
+    T / tasks in some task: those are the candidates. (3) Only the candidates are summed over all tasks. What is shuffled is
+    a few rows a task and the candidates' counts, not a row a value.
+    """
+    from pyspark.sql import Window
+
+    kind = df.schema[field].dataType
+    keyed = df.where(F.col(field).isNotNull()).select(F.col(field).alias("key"))
+    own = keyed.mapInArrow(_counted(), f"key {kind.simpleString()}, n long").withColumn("task", F.spark_partition_id())
+    counts = materialize(own, "term-counts")
+    tasks = counts.agg(F.count_distinct("task")).first()[0]
+    if not tasks:
+        return counts.select("key", F.col("n").alias("doc_count")).limit(0)
+    best = F.row_number().over(Window.partitionBy("task").orderBy(F.desc("n"), "key"))  # a WindowGroupLimit below the exchange
+    local = counts.withColumn("rank", best).where(F.col("rank") <= size).groupBy("key").agg(F.sum("n").alias("low"))
+    low = local.orderBy(F.desc("low")).offset(size - 1).limit(1).first()
+    share = 1 if low is None else -(-low["low"] // tasks)
+    candidates = counts.where(F.col("n") >= share).select("key").distinct()
+    exact = counts.join(candidates, "key", "left_semi").groupBy("key").agg(F.sum("n").alias("doc_count"))
+    return exact.orderBy(F.desc("doc_count"), "key").limit(size)
+
+
 def filtered_agg(matches: DataFrame, field: str, size: int = 10, metric_field: str | None = None) -> DataFrame:
     """Buckets over every match of a query, independent of the page (from/size)."""
     return terms_agg(matches, field, size, metric_field)

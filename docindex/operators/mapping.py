@@ -70,6 +70,59 @@ def _date_col(c: Column, spec: dict) -> Column:
     return F.coalesce(*fits)
 
 
+# ---------------------------------------------------------------- objects and nested fields
+def _child(v: Column, name: str) -> Column:
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get(v, f"$[{quote}{name}{quote}]", "variant")
+
+
+def _is_kind(v: Column, kind: str) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith(kind), F.lit(False))
+
+
+def _present(v: Column) -> Column:
+    return F.coalesce(v.isNotNull() & ~F.is_variant_null(v), F.lit(False))
+
+
+def _is_object(spec: dict) -> bool:
+    return "properties" in spec and spec.get("type", "object") in ("object", "nested")
+
+
+def _typed(v: Column, spec: dict) -> Column:
+    """A variant as its declared type; what does not fit is null, objects are fitted field by field."""
+    if not _is_object(spec):
+        text = F.try_variant_get(v, "$", "string")
+        return _date_col(text, spec) if spec.get("type") == "date" else text.try_cast(_field_type(spec))
+
+    def whole(x):
+        return F.when(_is_kind(x, "OBJECT"), F.struct(*[_typed(_child(x, n), s).alias(n) for n, s in spec["properties"].items()]))
+
+    if spec.get("type") == "nested":
+        return F.when(_is_kind(v, "ARRAY"), F.transform(v.try_cast("array<variant>"), whole)).when(_is_kind(v, "OBJECT"), F.array(whole(v)))
+    return whole(v)
+
+
+def _misfits(v: Column, spec: dict, path: str) -> Column:
+    """Array of (field, value) of every value in a variant that is present but does not fit, at any depth.
+
+    A field inside the elements of a nested array has the path without positions."""
+    own = F.array(F.struct(F.lit(path).alias("field"), F.try_variant_get(v, "$", "string").alias("value")))
+    none = own.cast("array<struct<field:string,value:string>>")
+    empty = F.slice(none, 1, 0)
+    if not _is_object(spec):
+        return F.when(_present(v) & _typed(v, spec).isNull(), none).otherwise(empty)
+
+    def inside(x):
+        return F.concat(empty, *[_misfits(_child(x, n), s, f"{path}.{n}") for n, s in spec["properties"].items()])
+
+    out = F.when(_is_kind(v, "OBJECT"), inside(v))
+    if spec.get("type") == "nested":
+        element = F.array(F.struct(F.lit(path).alias("field"), F.lit(None).cast("string").alias("value")))
+        out = out.when(_is_kind(v, "ARRAY"), F.flatten(F.transform(v.try_cast("array<variant>"), lambda x: F.when(_is_kind(x, "OBJECT"), inside(x)).when(
+            _present(x), F.transform(element, lambda e: e.withField("value", F.try_variant_get(x, "$", "string")))).otherwise(empty))))
+    return out.when(_present(v), none).otherwise(empty)
+
+
 @dataclass
 class Mapped:
     rows: DataFrame      # typed documents (all rows; failed values are null)
@@ -80,9 +133,10 @@ def apply_mapping(df: DataFrame, json_col: str, mapping: dict, keep: list[str] |
                   drop_source: bool = False) -> Mapped:
     """M1: cast JSON documents to the declared fields; misfits become rejects.
 
-    The body is parsed once, every top-level field as its raw JSON text; each
-    field is then cast to its declared type (``try_cast``; objects and nested
-    fields through ``from_json``; dates through the mapping's format). A raw
+    Every top-level scalar field is read as its raw JSON text and cast to its declared
+    type (``try_cast``; dates through the mapping's format). Objects and nested fields are
+    walked as variants: their values are cast the same way, dates included, and
+    every misfit is a reject under its dotted path, elements of arrays included. A
     value that is present but whose typed value is null did not fit; a body that
     is not a JSON object is a reject of field ``_source``, with the whole text. With
     ``drop_source`` (``_source.enabled: false``, M7) the JSON body is not kept.
@@ -93,25 +147,27 @@ def apply_mapping(df: DataFrame, json_col: str, mapping: dict, keep: list[str] |
     raw = T.StructType([T.StructField(n, T.StringType()) for n in props])
     body = F.try_parse_json(json_col)
     whole = F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
-    parsed = df.select(*keep, F.col(json_col).alias("_source"), whole.alias("_whole"), F.from_json(F.col(json_col), raw).alias("_r"))
+    parsed = df.select(*keep, F.col(json_col).alias("_source"), whole.alias("_whole"), F.from_json(F.col(json_col), raw).alias("_r"), body.alias("_v"))
+    objects = [n for n, spec in props.items() if _is_object(spec)]
     typed = []
     for name, spec in props.items():
-        r = F.col(f"_r.{name}")
-        dt = st[name].dataType
-        if spec.get("type") == "date":
+        r = F.col(f"_r.`{name}`")
+        if name in objects:
+            c = _typed(_child(F.col("_v"), name), spec)
+        elif spec.get("type") == "date":
             c = _date_col(r, spec)
-        elif isinstance(dt, (T.StructType, T.ArrayType)):
-            c = F.from_json(r, dt)
         else:
-            c = r.try_cast(dt)
+            c = r.try_cast(st[name].dataType)
         typed.append(c.alias(name))
-    staged = parsed.select(*keep, "_source", "_whole", *typed, *[F.col(f"_r.{n}").alias(f"_raw_{n}") for n in props])
-    fields_out = list(props)
+    staged = parsed.select(*keep, "_source", "_whole", "_v", *typed, *[F.col(f"_r.`{n}`").alias(f"_raw_{n}") for n in props if n not in objects])
+    fields_out = [F.col(f"`{n}`") for n in props]
     rows = staged.select(*keep, *([] if drop_source else ["_source"]), *fields_out)
     bad = F.array_compact(F.array(*[
-        F.when(F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull(),
-               F.struct(F.lit(n).alias("field"), F.col(f"_raw_{n}").alias("value"))) for n in props],
+        F.when(F.col(f"`_raw_{n}`").isNotNull() & F.col(f"`{n}`").isNull(),
+               F.struct(F.lit(n).alias("field"), F.col(f"`_raw_{n}`").alias("value"))) for n in props if n not in objects],
         F.when(F.col("_source").isNotNull() & ~F.col("_whole"), F.struct(F.lit("_source").alias("field"), F.col("_source").alias("value")))))
+    if objects:
+        bad = F.concat(bad, *[_misfits(_child(F.col("_v"), n), props[n], n) for n in objects])
     rejects = staged.select(*keep, F.explode(bad).alias("_b")).select(*keep, "_b.field", "_b.value")
     return Mapped(rows, rejects)
 
@@ -325,6 +381,63 @@ def apply_templates(docs: DataFrame, templates: list[dict], index_col: str = "_i
         .withColumn("_template_order", F.col("_tpl.order")).drop("_tpl")
 
 
+def merge_mappings(old: dict | None, new: dict, update_all_types: bool = False) -> dict:
+    """Fields of both mappings; an object's fields one by one; a field with another type is refused, or taken over
+    with ``update_all_types``."""
+    out = {**(old or {}), **{k: v for k, v in new.items() if k != "properties"}}
+    props = dict((old or {}).get("properties", {}))
+    for name, spec in new.get("properties", {}).items():
+        have = props.get(name)
+        if have and "properties" in have and "properties" in spec:
+            props[name] = merge_mappings(have, spec, update_all_types)
+        elif have and have.get("type", "object") != spec.get("type", "object") and not update_all_types:
+            raise ValueError(f"field {name} is mapped as {have.get('type', 'object')}")
+        else:
+            props[name] = {**(have or {}), **spec}
+    out["properties"] = props
+    return out
+
+
+def template_mapping(templates: list[dict], index: str) -> dict:
+    """The mapping of an index by the templates whose pattern fits its name: merged from the lowest ``order`` on, then by
+    name, so that a field of a higher order wins."""
+    out: dict = {"properties": {}}
+    for t in sorted(templates, key=lambda t: (int(t.get("order", 0)), t.get("name", ""))):
+        if any(index_matches(p, index) for p in t.get("index_patterns") or [t["template"]]):
+            out = merge_mappings(out, t.get("mappings", {}), update_all_types=True)
+    return out
+
+
+def apply_template_mappings(docs: DataFrame, json_col: str, templates: list[dict], keep: list[str] | None = None, index_col: str = "_index") -> Mapped:
+    """M5: each document cast by the merged mapping of its index (``template_mapping``), misfits as in M1.
+
+    The index names (a catalog, one row each) are read first; indices of one mapping are one branch, a filter on the
+    index, and the branches' columns are brought together by name. Where two mappings type a field differently, its
+    column is text.
+    """
+    keep = keep or []
+    names = [r[0] for r in docs.select(index_col).distinct().collect() if r[0] is not None]
+    groups: dict = {}
+    for name in sorted(names):
+        mapping = template_mapping(templates, name)
+        groups.setdefault(repr(mapping), (mapping, []))[1].append(name)
+    mapped = [(m, apply_mapping(docs.where(F.col(index_col).isin(own)), json_col, m, [*keep, index_col], drop_source=not m.get("_source", {}).get("enabled", True)))
+              for m, own in groups.values()]
+    if not mapped:
+        empty = apply_mapping(docs, json_col, {"properties": {}}, [*keep, index_col])
+        return Mapped(empty.rows, empty.rejects)
+    kinds: dict = {}
+    for _, x in mapped:
+        for f in x.rows.schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType)
+    as_text = {n for n, k in kinds.items() if len(k) > 1}
+    rows = [x.rows.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in as_text else F.col(f"`{c}`") for c in x.rows.columns]) for _, x in mapped]
+    out, rejects = rows[0], mapped[0][1].rejects
+    for r, (_, x) in zip(rows[1:], mapped[1:]):
+        out, rejects = out.unionByName(r, allowMissingColumns=True), rejects.unionByName(x.rejects)
+    return Mapped(out, rejects)
+
+
 # ---------------------------------------------------------------- M6
 
 def alias_table(actions: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def materialize(df: DataFrame, kind: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _range_partitions(df: DataFrame) -> int:
+def range_partitions(df: DataFrame) -> int:
     """Range partitions for ``df``: by the bytes of its inputs, and no fewer than the session's shuffle partitions."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
@@ -50,7 +50,7 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
     """
     spark = df.sparkSession
     cols = _order_cols(order)
-    n = num_partitions or _range_partitions(df)
+    n = num_partitions or range_partitions(df)
     ranged = (df.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_rk_pid", F.spark_partition_id())

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from docindex.functions.analyze import STANDARD_TOKEN, is_token, term_in_text
 from docindex.functions.route import shard_of_value
+from docindex.operators import pages
 from docindex.operators.rank import global_rank
 
 KEY = ["_index", "_id"]
 # Default page size of the search call, and the only total relation an exact count has.
 DEFAULT_SIZE = 20
-TOP_K = 10_000  # pages that end within it are a per-task top-k; deeper ones go by global rank
+TOP_K = 10_000  # pages that end within it are a per-task top-k; deeper ones are selected by key ranges
+PUSHED_KEYS = 2_000  # ids of a request list that are pushed into the scan
 RELATION_EQ = "eq"
 
 
@@ -61,7 +63,7 @@ def select_source(df: DataFrame, fields: list[str] | None = None, source: bool =
 
 
 # ---------------------------------------------------------------- R2
-def mget(table: DataFrame, keys: DataFrame, default_index: str | None = None) -> DataFrame:
+def mget(table: DataFrame, keys: DataFrame, default_index: str | None = None, push: bool = False) -> DataFrame:
     """R2: one row per requested key, request order (``pos``) and duplicates kept.
 
     ``keys`` has ``pos, _index, _id``; a key without ``_index`` asks the request's
@@ -69,9 +71,9 @@ def mget(table: DataFrame, keys: DataFrame, default_index: str | None = None) ->
     The table is first reduced to the asked keys (a semi-join: Spark broadcasts the
     key list if it is small), then the matches are joined to the request list by
     key. Document bodies are only ever shuffled, and a key that is asked for many
-    times is a skewed join key that AQE splits.
+    times is a skewed join key that AQE splits. With ``push`` the ids of a short list are filters of the scan as well.
     """
-    docs = live(table)
+    docs = live(pushed(table, keys) if push else table)
     body = [c for c in docs.columns if c not in KEY]
     if default_index is not None:
         keys = keys.withColumn("_index", F.coalesce(F.col("_index"), F.lit(default_index)))
@@ -81,6 +83,23 @@ def mget(table: DataFrame, keys: DataFrame, default_index: str | None = None) ->
                          *[F.col(c) for c in body])
 
 
+def pushed(table: DataFrame, keys: DataFrame, limit: int = PUSHED_KEYS) -> DataFrame:
+    """``table`` filtered to the ids of a short request list, in a form that reaches the Parquet scan.
+
+    Up to ``limit`` distinct ids (read with that limit) become equalities that a scan holds against statistics, Bloom
+    filters and page indexes; the ids are or-ed in groups of ten, the most that Spark pushes as a list, and the groups as a balanced
+    tree. A longer list leaves the table as it is: ``mget`` joins it.
+    """
+    ids = [r[0] for r in keys.where(F.col("_id").isNotNull()).select("_id").distinct().limit(limit + 1).collect()]
+    if len(ids) > limit:
+        return table
+    ids.sort()  # neighbours share row groups
+    parts = [F.col("_id").isin(*ids[k: k + 10]) for k in range(0, len(ids), 10)] or [F.lit(False)]
+    while len(parts) > 1:
+        parts = [parts[k] | parts[k + 1] if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+    return table.where(parts[0])
+
+
 # ---------------------------------------------------------------- R3 / R4
 def match_all(table: DataFrame) -> DataFrame:
     """Every live document."""
@@ -121,12 +140,9 @@ class SearchResult:
         return with_max_score(self.matches)
 
 
-def default_order(df: DataFrame) -> list[Column]:
-    order = []
-    if "_score" in df.columns:
-        order.append(F.col("_score").desc_nulls_last())
-    order += [F.col("_index").asc(), F.col("_id").asc()]
-    return order
+def default_order(df: DataFrame) -> list:
+    """(column, ascending) pairs: score, index, id."""
+    return ([("_score", False)] if "_score" in df.columns else []) + [("_index", True), ("_id", True)]
 
 
 def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFAULT_SIZE,
@@ -136,8 +152,9 @@ def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFA
     ``from_``/``size`` page through a total order (default: score, index, id), which
     Spark plans as ``TakeOrderedAndProject`` (a per-partition top-k, then a merge of
     at most ``from_+size`` rows per partition), never a full sort. A page that ends
-    beyond ``TOP_K`` is cut by global rank instead: the same rows, without a large
-    top-k in every task. There is no limit on ``from_ + size``.
+    beyond ``TOP_K`` is selected by key ranges (``pages.deep_page``) if the order is
+    given as names or (name, ascending) pairs, else cut by global rank: the same rows,
+    without a large top-k in every task. There is no limit on ``from_ + size``.
     ``max_per_shard`` is the ``terminate_after`` argument (R8).
     """
     if from_ < 0 or size < 0:
@@ -148,9 +165,12 @@ def search(tables, query: Column | None = None, from_: int = 0, size: int = DEFA
         matches = terminate_after(matches, max_per_shard)
     if "_score" not in matches.columns:
         matches = matches.withColumn("_score", F.lit(None).cast("double"))
-    cols = order if order is not None else default_order(matches)
-    cols = [F.col(c) if isinstance(c, str) else c for c in cols]
-    if from_ + size > TOP_K:
+    cols = [(c, True) if isinstance(c, str) else c for c in (order if order is not None else default_order(matches))]
+    named = all(isinstance(c, tuple) for c in cols)
+    named_cols, cols = cols, [pages.sort_columns([c])[0] if isinstance(c, tuple) else c for c in cols]
+    if from_ + size > TOP_K and named:
+        page = pages.deep_page(matches, named_cols, from_, size)
+    elif from_ + size > TOP_K:
         ranked = global_rank(matches, cols, "_page_rank")
         page = ranked.where((F.col("_page_rank") > from_) & (F.col("_page_rank") <= from_ + size)).drop("_page_rank")
     else:
@@ -203,14 +223,14 @@ def scroll(df: DataFrame, size: int, order: list | None = None) -> DataFrame:
     return ranked.withColumn("page", F.floor((F.col("rank") - 1) / size).cast("long"))
 
 
-def iter_pages(pages: DataFrame):
+def iter_pages(numbered: DataFrame):
     """Consume a scroll result page by page on the driver, one page in memory at a time.
 
-    ``pages`` is the output of ``scroll``; it is range-partitioned by ``page`` so
+    ``numbered`` is the output of ``scroll``; it is range-partitioned by ``page`` so
     ``toLocalIterator`` fetches one partition after another, in page order.
     """
     current, rows = None, []
-    for r in pages.repartitionByRange("page").sortWithinPartitions("rank").toLocalIterator():
+    for r in numbered.repartitionByRange("page").sortWithinPartitions("rank").toLocalIterator():
         if current is not None and r["page"] != current:
             yield current, rows
             rows = []

@@ -319,13 +319,13 @@ def _prepare_ops(ops: DataFrame, table: DataFrame | None, default_index: str | N
 
 
 def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK_ROWS,
-                default_index: str | None = None, materialize_rows: bool = False) -> ReplayResult:
+                default_index: str | None = None, keep_rows=None) -> ReplayResult:
     """W8 + W9: apply a mixed ops log in ``seq`` order to ``table``.
 
     Returns the new doc_table (untouched stored rows pass through unchanged) and
-    the per-op item results. ``table`` may be None (empty index). With
-    ``materialize_rows`` the evaluated op rows are written once to the checkpoint
-    folder, so writing both the table and the items does not evaluate them twice.
+    the per-op item results. ``table`` may be None (empty index). ``keep_rows``
+    (a function of a frame) may persist or write the evaluated op rows, so that
+    writing both the table and the items does not evaluate them twice.
     """
     table, ops, fields = _aligned(table, _prepare_ops(ops, table, default_index))
     # Only stored rows whose key the log touches take part in the replay. With a
@@ -336,10 +336,8 @@ def bulk_replay(table: DataFrame | None, ops: DataFrame, chunk_rows: int = CHUNK
     ops, keyless = split_keyless(ops, stats)
     table, untouched = split_touched(table, ops, stats.rows)
     rows = _evaluate(table, ops, chunk_rows, stats)
-    if materialize_rows:
-        from docindex.operators.rank import materialize
-
-        rows = materialize(rows, "replay-rows")
+    if keep_rows is not None:
+        rows = keep_rows(rows)
     return ReplayResult(with_untouched(_final(table, rows, fields), untouched), _with_items(_items(rows), keyless))
 
 
@@ -712,13 +710,15 @@ def bulk_replay_json(table: DataFrame | None, ops: DataFrame, body_col: str = "_
     stats = log_stats(ops)
     ops, keyless = split_keyless(ops, stats)
     table, untouched = split_touched(table, ops, stats.rows)
+    if untouched is not None:  # written once: read for the states, the entries and the versions
+        table = materialize(table, "touched")
     # Written once: the per-document state, the entries and the items all read it.
     rows = materialize(_evaluate(table, ops.select(*KEY, "seq", "op", body_col), chunk_rows, stats), "replay-rows")
     contrib = F.col("succ") & F.col("op").isin("index", "create", "update")
-    per_doc = rows.groupBy(*KEY).agg(
+    per_doc = materialize(rows.groupBy(*KEY).agg(
         F.max_by(F.coalesce(F.col("_eff"), F.col("exists_before")), F.col("seq")).alias("_n_exists"),
         F.max("version").alias("_n_version"), F.max("seg").alias("_n_seg"),
-        F.max(F.when(F.col("succ"), F.col("seq"))).alias("_n_seq"))
+        F.max(F.when(F.col("succ"), F.col("seq"))).alias("_n_seq")), "replay-docs")
 
     def entries(df, seq, seg):
         m = F.try_parse_json(body_col).cast("map<string,variant>")

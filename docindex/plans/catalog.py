@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docindex.plans import agg_plans, codec_plans, mapping_plans, read_plans, store_plans, write_plans  # noqa: F401
+from docindex.plans import agg_plans, codec_plans, index_plans, mapping_plans, read_plans, store_plans, write_plans  # noqa: F401
 from docindex.plans.registry import REGISTRY
 
 

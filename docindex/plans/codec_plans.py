@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import functions as F
 
 from docindex import fixtures as fx
@@ -215,12 +212,42 @@ def i7_shard_failures(spark, sf):
     return failures
 
 
-def _decode_props(pdf: pd.DataFrame) -> pd.DataFrame:
-    ks = [json.loads(p).get("k") if p is not None else None for p in pdf["props"]]
-    return pd.DataFrame({"event_id": pdf["event_id"], "k": pd.array(ks, dtype="Int64")})
+_SHARDS_OF_BULK = with_(OPS) + replay_sql_ctes() + f""",
+it AS ({ITEMS_SELECT}),
+bt AS (SELECT *, (row_number() OVER (ORDER BY seq) - 1) // 100 AS batch_no, CAST(('0x' || substr(md5(_id), 1, 8)) AS BIGINT) % 4 AS shard FROM it),
+sh AS (SELECT batch_no, _index, shard, arg_min(COALESCE(error_type, result), seq) FILTER (status >= 300) AS reason FROM bt GROUP BY ALL)
+"""
+
+
+def _bulk_shard_replies(spark, sf):
+    """What the shards answer to the whole log, a hundred ops a batch: from the replay's own item results."""
+    items = W.bulk_replay(None, fx.ops(spark, sf)).items
+    return C.encode_shards(batch_numbers(items, "seq", 100), 4)
+
+
+@register("i7_shard_summary_bulk", _SHARDS_OF_BULK + """
+SELECT _index, CAST(count(*) AS BIGINT) AS total, CAST(count(*) - count(reason) AS BIGINT) AS successful, CAST(count(reason) AS BIGINT) AS failed,
+       CAST(count(reason) AS BIGINT) AS failures FROM sh GROUP BY _index""")
+def i7_shard_summary_bulk(spark, sf):
+    return C.shard_summary(_bulk_shard_replies(spark, sf), "reply")[0]
+
+
+@register("i7_shard_failures_bulk", _SHARDS_OF_BULK + "SELECT _index, CAST(shard AS INTEGER) AS shard, reason FROM sh WHERE reason IS NOT NULL")
+def i7_shard_failures_bulk(spark, sf):
+    return C.shard_summary(_bulk_shard_replies(spark, sf), "reply")[1]
 
 
 @register("u1_map_documents", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def u1_map_documents(spark, sf):
     ev = fx.table(spark, sf, "events").select("event_id", "props")
-    return C.map_documents(ev, _decode_props, "event_id long, k long")
+    return C.map_documents(ev, "props", "k long", {"k": lambda doc: doc["k"]}, keep=["event_id"])
+
+
+@register("u1_map_encode", """
+SELECT event_id, '{"half":' || CAST(CAST(json_extract(props, '$.k') AS BIGINT) // 2 AS VARCHAR) || ',"kind":"' ||
+  CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 2 = 0 THEN 'even' ELSE 'odd' END || '"}' AS body FROM events""")
+def u1_map_encode(spark, sf):
+    """Bodies decoded, two fields made of each, and encoded again."""
+    ev = fx.table(spark, sf, "events").select("event_id", "props")
+    made = {"half": lambda doc: F.expr("doc.k div 2"), "kind": lambda doc: F.when(doc["k"] % 2 == 0, "even").otherwise("odd")}
+    return C.map_documents(ev, "props", "k long", made, keep=["event_id"], body="body")

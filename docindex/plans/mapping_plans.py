@@ -217,3 +217,31 @@ def m7_drop_source(spark, sf):
     mapping = {"_source": {"enabled": False},
                "properties": {"lang": {"type": "keyword"}, "source": {"type": "keyword"}, "n_chars": {"type": "long"}}}
     return M.apply_mapping(js, "j", mapping, keep=["key"], drop_source=True).rows
+
+
+# Templates of three orders for indices named after the event type: a higher order types a field anew.
+FIELD_TEMPLATES = [
+    {"name": "all", "index_patterns": ["ev_*"], "order": 0, "mappings": {"properties": {"event_id": {"type": "long"}, "user_id": {"type": "keyword"}}}},
+    {"name": "c", "index_patterns": ["ev_c*", "ev_p*"], "order": 1, "mappings": {"properties": {"value": {"type": "double"}}}},
+    {"name": "view", "index_patterns": ["*_view"], "order": 2, "mappings": {"properties": {"k": {"type": "long"}}}},
+    {"name": "view_low", "index_patterns": ["*_view"], "order": 1, "mappings": {"properties": {"k": {"type": "keyword"}}}},
+]
+
+
+def _typed_events(spark, sf):
+    docs = _event_json(spark, sf).withColumn("_index", F.concat(F.lit("ev_"), F.get_json_object("json", "$.event_type")))
+    return M.apply_template_mappings(docs, "json", FIELD_TEMPLATES)
+
+
+@register("m5_template_mappings", """
+SELECT 'ev_' || event_type AS _index, CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
+       CASE WHEN event_type LIKE 'c%' OR event_type LIKE 'p%' THEN value END AS value, CAST(NULL AS BIGINT) AS k FROM events""")
+def m5_template_mappings(spark, sf):
+    """Documents cast by the merged mapping of their index; the numbers that a view event has for k do not fit."""
+    return _typed_events(spark, sf).rows.select("_index", "event_id", "user_id", "value", "k")
+
+
+@register("m5_template_rejects", """
+SELECT 'ev_view' AS _index, 'k' AS field, 'n' || CAST(user_id AS VARCHAR) AS value FROM events WHERE event_type = 'view'""")
+def m5_template_rejects(spark, sf):
+    return _typed_events(spark, sf).rejects

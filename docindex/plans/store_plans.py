@@ -42,7 +42,7 @@ def r1_get_doc_store(spark, sf):
 
 
 def _seeded_store(spark, sf):
-    """Store at version 1 = first half replayed; version 2 = second half, touched shards only."""
+    """The first half replayed and written, then the second half committed to the partitions it touches."""
     first, second = fx.ops_halves(spark, sf)
     root = scratch_path(spark, "store")
     store.write_index(W.bulk_replay(None, first).table, root)
@@ -119,15 +119,15 @@ def x1_index_stats(spark, sf):
 @register("x2_compact", with_(OPS) + replay_sql_ctes() + "SELECT * FROM final WHERE NOT _deleted")
 def x2_compact(spark, sf):
     root = _seeded_store(spark, sf)
-    v = store.compact(spark, root, max_files=2)
-    return store.read_index(spark, root, version=v).drop("shard")
+    store.compact(spark, root, max_files=2)
+    return store.read_index(spark, root).drop("shard")
 
 
 @register("x2_compact_expunge", with_(OPS) + replay_sql_ctes() + "SELECT * FROM final WHERE NOT _deleted")
 def x2_compact_expunge(spark, sf):
     root = _seeded_store(spark, sf)
-    v = store.compact(spark, root, max_files=1, expunge_only=True)
-    return store.read_index(spark, root, version=v).drop("shard")
+    store.compact(spark, root, expunge_only=True)
+    return store.read_index(spark, root).drop("shard")
 
 
 # ---------------------------------------------------------------- streaming
@@ -179,10 +179,9 @@ def s2_bulk_stateful(spark, sf):
     ops = fx.ops(spark, sf)
     src = scratch_path(spark, "ops-stream")
     _write_parts(ops, src, 2 * N_PARTS, 0, fx.ops_count(spark, sf))
-    q, paths = SB.bulk_stateful(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA), scratch_path(spark, "state"),
-                                scratch_path(spark, "ckpt"))
-    q.awaitTermination()
-    return spark.read.parquet(paths.items_path).drop("batch_id")
+    out = scratch_path(spark, "items")
+    SB.bulk_stateful(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA), out, scratch_path(spark, "ckpt")).awaitTermination()
+    return spark.read.parquet(out)
 
 
 @register("s4_search_stream", with_(DOCS) + """

@@ -254,16 +254,35 @@ def shard_summary(df: DataFrame, json_col: str) -> tuple[DataFrame, DataFrame]:
     return totals, failures
 
 
-# ---------------------------------------------------------------- U1
-def map_documents(df: DataFrame, fn, schema) -> DataFrame:
-    """A user decode/encode function applied to every document, batch by batch.
+def encode_shards(items: DataFrame, n_shards: int) -> DataFrame:
+    """``_shards`` replies of bulk batches (``batch_no, reply``), one for each batch and index, from its item results.
 
-    ``fn`` takes and returns a pandas DataFrame (one Arrow batch at a time, in
-    the executors). Prefer ``documents_as`` whenever a schema can express the
-    format; this is for formats that have none.
+    A shard that an op of the batch went to counts; it has failed if one of its ops has, for the reason of the first.
+    A reply lists a few shards, so the grouped lists are bounded by ``n_shards``.
     """
-    def run(batches):
-        for pdf in batches:
-            yield fn(pdf)
+    from docindex.functions.route import shard_of
+
+    placed = items.where("_index IS NOT NULL AND _id IS NOT NULL").withColumn("shard", shard_of(F.col("_id"), n_shards))
+    bad = F.when(F.col("status") >= 300, F.col("seq"))
+    shards = placed.groupBy("batch_no", "_index", "shard").agg(F.min_by(F.coalesce("error_type", "result"), bad).alias("reason"))
+    failed = F.sort_array(F.collect_list(F.when(F.col("reason").isNotNull(), F.struct("shard", F.col("_index").alias("index"), "reason"))))
+    lists = shards.groupBy("batch_no", "_index").agg(F.count(F.lit(1)).cast("int").alias("total"), F.count("reason").cast("int").alias("failed"), failed.alias("failures"))
+    block = F.struct("total", (F.col("total") - F.col("failed")).alias("successful"), "failed", F.when(F.size("failures") > 0, F.col("failures")).alias("failures"))
+    return lists.select("batch_no", F.to_json(F.struct("_index", block.alias("_shards"))).alias("reply"))
+
 
-    return df.mapInPandas(run, schema=schema)
+# ---------------------------------------------------------------- U1
+def map_documents(df: DataFrame, json_col: str, schema, columns: dict, keep: list[str] | None = None, body: str | None = None) -> DataFrame:
+    """A user's decode and encode of every document, as expressions.
+
+    The reader is ``schema``: each body is decoded to a typed ``doc`` (null for a text that is no JSON object). ``columns``
+    are the user's functions, each from ``doc`` to a column; they run inside the JVM, one after another, so that a later one
+    may use an earlier one's column. The writer encodes them back to one JSON body ``body`` if that is named (nulls are
+    left out), else they stay columns. ``keep`` columns are passed through.
+    """
+    out = df.select(*(keep or []), F.from_json(F.col(json_col), schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)).alias("doc"))
+    for name, fn in columns.items():
+        out = out.withColumn(name, fn(F.col("doc")))
+    if body is not None:
+        return out.select(*(keep or []), F.to_json(F.struct(*columns)).alias(body))
+    return out.drop("doc")

@@ -1,141 +1,96 @@
-"""The document store on Parquet.
+"""Documents on plain partitioned Parquet.
 
 Layout under ``root``::
 
-    root/data/c=<commit>/_index=<name>/shard=<n>/part-*.parquet   what one commit wrote
-    root/_manifest/v00000003.json                                 the whole state of version 3
+    root/_index=<name>/shard=<n>/part-*.parquet   documents, tombstones included
+    root/_settings/part-*.parquet                 kind, name, value: shard count, schema, mappings, templates, aliases
 
-A manifest holds the shard count, the merged schema, for every (index, shard) partition the commit folder with its
-current data, and the last batch of each stream. It is metadata, bounded by indices x shards. A commit writes a new
-data folder and then its manifest, by a rename that fails if that version exists already; a writer that loses the race
-reads the winner's version and applies its ops again on top, so no commit is lost. Readers open only committed
-manifests, so a crash leaves at most an unused folder, which ``vacuum`` removes.
+A commit replays a log against the partitions that it can change and replaces those with the DataFrame writer's dynamic
+partition overwrite; all others stay as they are. Spark cannot overwrite what it reads, so the new partitions are first
+written to a folder of their own (``prepare``) and then from there (``publish``), which can be repeated after a failure.
+Every replaced partition holds one filler row without an id, so that a partition that has lost all its documents is
+replaced as well; reads leave fillers out.
 
-Reads use the manifest's schema: a field that a later commit added is null in older files, and index names stay
-strings. A partition is written only if it was read by the same commit, which is checked before committing.
+Plain Parquet has no transactions: a table has one writer at a time, and a reader should not run during a publish. For
+concurrent writers keep the documents in a table format instead: the operators take and return DataFrames of any source.
+
+Files are sorted by id, with small row groups, a page index and a Bloom filter on ``_id``: a get, or an mget of keys that
+are pushed into the scan (``search.pushed``), reads the row groups and pages that can hold the ids and skips the rest of
+a shard.
+
+Reads use the schema in the settings: a field that a later commit added is null in older files, and index names stay
+strings whatever they look like.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docindex.functions.route import route, shard_of
+from docindex.session import scratch_path
 
 DEFAULT_SHARDS = 4
-MANIFEST_SCHEMA = "_index string, shard int, commit string, version long"
 PARTS = ("_index", "shard")
+_SETTINGS = "kind string, name string, value string"
+ROW_GROUP_BYTES = 8 << 20
+IDS_OF_ROW_GROUP = 50_000  # what a Bloom filter is sized for
+_LAYOUT = {"parquet.block.size": str(ROW_GROUP_BYTES), "parquet.bloom.filter.enabled#_id": "true",
+           "parquet.bloom.filter.expected.ndv#_id": str(IDS_OF_ROW_GROUP), "parquet.page.row.count.limit": "2000"}
 
 
-# ---------------------------------------------------------------- files
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
+# ---------------------------------------------------------------- settings
+def read_if_there(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The Parquet table at a path, or None if nothing was written there yet."""
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _create_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Write ``text`` to ``path`` in one step; False if the file exists already."""
-    jvm = spark._jvm
-    fs, p = _fs(spark, path)
-    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
-    out = fs.create(temp, False)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    no_overwrite = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    no_overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
-    try:
-        context.rename(fs.makeQualified(temp), fs.makeQualified(p), no_overwrite)
-    except Exception as e:  # noqa: BLE001 - py4j wraps the file system's own error
-        fs.delete(temp, False)
-        if "FileAlreadyExists" in str(e):
-            return False
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
         raise
-    return True
-
-
-def _data_dir(root: str, commit: str) -> str:
-    return f"{root.rstrip('/')}/data/c={commit}"
-
-
-def _manifest_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/_manifest/v{version:08d}.json"
 
 
-# ---------------------------------------------------------------- manifests
-def _manifest_files(spark: SparkSession, root: str) -> dict:
-    """{version: modification time} by one listing."""
-    folder = f"{root.rstrip('/')}/_manifest"
-    if not _exists(spark, folder):
-        return {}
-    fs, p = _fs(spark, folder)
-    out = {}
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v") and name.endswith(".json"):
-            out[int(name[1:-5])] = st.getModificationTime()
-    return out
+def _settings_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_settings"
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions, ascending."""
-    return sorted(_manifest_files(spark, root))
+def _load(spark: SparkSession, root: str) -> dict:
+    """{(kind, name): value} of a store: a catalog, a row for each name."""
+    found = read_if_there(spark, _settings_path(root), _SETTINGS)
+    return {(r["kind"], r["name"]): json.loads(r["value"]) for r in found.collect()} if found is not None else {}
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    return max(_manifest_files(spark, root), default=None)
+def _save(spark: SparkSession, root: str, values: dict) -> None:
+    rows = [(kind, name, json.dumps(value)) for (kind, name), value in sorted(values.items())]
+    spark.createDataFrame(rows, _SETTINGS).coalesce(1).write.mode("overwrite").parquet(_settings_path(root))
 
 
-def read_manifest(spark: SparkSession, root: str, version: int | None = None) -> dict | None:
-    """The manifest of a version (default latest) or None for an empty root. A committed file never changes."""
-    v = latest_version(spark, root) if version is None else version
-    return None if v is None else json.loads(_read_text(spark, _manifest_path(root, v)))
+def settings(spark: SparkSession, root: str, kind: str) -> dict:
+    """Named settings of a store: kind is mappings, templates or aliases."""
+    return {name: value for (k, name), value in _load(spark, root).items() if k == kind}
 
 
-def manifest_rows(spark: SparkSession, root: str, version: int) -> list[tuple[str, int, str, int]]:
-    """(index, shard, commit, version that wrote it) of every partition of a version."""
-    return [tuple(p) for p in read_manifest(spark, root, version)["parts"]]
+def put_setting(spark: SparkSession, root: str, kind: str, name: str, change, n_shards: int = DEFAULT_SHARDS) -> None:
+    """Keep ``change(current value or None)`` as the setting ``name``; None removes it. The data stays as it is."""
+    values = _load(spark, root) or {("store", "n_shards"): n_shards}
+    value = change(values.pop((kind, name), None))
+    if value is not None:
+        values[(kind, name)] = value
+    _save(spark, root, values)
 
 
-def manifest(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    found = read_manifest(spark, root, version)
-    return spark.createDataFrame([tuple(p) for p in found["parts"]] if found else [], MANIFEST_SCHEMA)
+def shard_count(spark: SparkSession, root: str, default: int = DEFAULT_SHARDS) -> int:
+    """The shard count that the store was created with; ``default`` for a store that is not there yet."""
+    return _load(spark, root).get(("store", "n_shards"), default)
 
 
-def shard_count(spark: SparkSession, root: str, default: int = DEFAULT_SHARDS) -> int:
-    """The shard count that the store was created with; ``default`` for a store without a version."""
-    found = read_manifest(spark, root)
-    return found["n_shards"] if found else default
-
-
-def _written_parts(spark: SparkSession, root: str, commit: str) -> list[tuple[str, int]]:
-    """(index, shard) folders of a commit (a listing, no data read)."""
-    jvm = spark._jvm
-    fs, _p = _fs(spark, root)
-    out = []
-    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{_data_dir(root, commit)}/_index=*/shard=*")) or []:
-        names = [st.getPath().getParent().getName(), st.getPath().getName()]
-        index = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(names[0].split("=", 1)[1])
-        out.append((index, int(names[1].split("=", 1)[1])))
-    return out
+def exists(spark: SparkSession, root: str) -> bool:
+    """Whether documents were ever written."""
+    return ("store", "schema") in _load(spark, root)
 
 
 def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
@@ -148,169 +103,152 @@ def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
     return T.StructType([f for f in out.values() if f.name not in PARTS])
 
 
-def _write_parts(spark: SparkSession, root: str, data: DataFrame) -> str:
-    commit = uuid.uuid4().hex
-    data.write.partitionBy(*PARTS).parquet(_data_dir(root, commit))
-    return commit
+def _full_schema(values: dict) -> T.StructType:
+    body = T.StructType.fromJson(values[("store", "schema")])
+    return T.StructType([*body.fields, T.StructField("_index", T.StringType()), T.StructField("shard", T.IntegerType())])
 
 
-def _commit(spark: SparkSession, root: str, base: int | None, new: dict) -> int | None:
-    """Commit ``new`` as the version after ``base``; None if another writer was first."""
-    fs, folder = _fs(spark, f"{root.rstrip('/')}/_manifest")
-    fs.mkdirs(folder)
-    version = (base or 0) + 1
-    return version if _create_once(spark, _manifest_path(root, version), json.dumps(new)) else None
+# ---------------------------------------------------------------- reads
+def among(pairs: set) -> Column:
+    """Condition on the partition columns: (index, shard) is one of ``pairs`` (prunes folders)."""
+    by_index: dict = {}
+    for index, shard in sorted(pairs, key=str):
+        by_index.setdefault(index, []).append(shard)
+    out = F.lit(False)
+    for index, shards in by_index.items():
+        out = out | ((F.col("_index") == index) & F.col("shard").isin(*shards))
+    return out
 
 
-def write_index(df: DataFrame, root: str, n_shards: int | None = None) -> int:
-    """I8 (write): commit ``df`` as the whole table; returns the new version.
+def read_index(spark: SparkSession, root: str, indices: list[str] | None = None, pairs: set | None = None) -> DataFrame:
+    """I8 (read): the documents; an empty list or None means all indices.
 
-    Rows are grouped by (index, shard) with a rebalance, so AQE splits a large (hot) shard over several writers and
-    merges small ones. ``n_shards`` defaults to the store's own count.
+    Only the folders of the asked indices (or of the (index, shard) ``pairs``) are read.
     """
-    spark = df.sparkSession
-    while True:
-        base = latest_version(spark, root)
-        old = read_manifest(spark, root, base) if base else None
-        shards = n_shards or (old["n_shards"] if old else DEFAULT_SHARDS)
-        data = route(df.drop("shard"), shards).hint("rebalance", *PARTS)
-        commit = _write_parts(spark, root, data)
-        parts = [[i, s, commit, (base or 0) + 1] for i, s in sorted(_written_parts(spark, root, commit))]
-        new = {"n_shards": shards, "schema": merged_schema(None, df.drop("shard").schema).jsonValue(), "parts": parts,
-               "streams": old["streams"] if old else {}, "settings": old["settings"] if old else {}}
-        version = _commit(spark, root, base, new)
-        if version is not None:
-            return version
-
-
-def read_index(spark: SparkSession, root: str, indices: list[str] | None = None, version: int | None = None,
-               pairs: set | None = None) -> DataFrame:
-    """I8 (read): the table at ``version`` (default latest); an empty list or None means all indices.
-
-    Only the folders of the asked indices (or of the (index, shard) ``pairs``) are listed and read.
+    return _read(spark, root, _load(spark, root), indices, pairs)
+
+
+def _read(spark: SparkSession, root: str, values: dict, indices=None, pairs=None) -> DataFrame:
+    if ("store", "schema") not in values:
+        raise FileNotFoundError(f"no documents under {root}")
+    out = spark.read.schema(_full_schema(values)).parquet(root).where(F.col("_id").isNotNull())
+    if indices:
+        out = out.where(F.col("_index").isin(*indices))
+    return out if pairs is None else out.where(among(pairs))
+
+
+# ---------------------------------------------------------------- writes
+def _overwrite(data: DataFrame, root: str, mode: str = "dynamic") -> None:
+    """Replace the partitions that ``data`` holds ("dynamic") or the whole table ("static"), rows in order of their ids."""
+    data.sortWithinPartitions(*PARTS, "_id").write.options(**_LAYOUT).mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*PARTS).parquet(root)
+
+
+def _stage(data: DataFrame, staged: str) -> None:
+    """Write new partitions to a folder of their own. AQE splits a hot shard over several writers and merges small ones."""
+    _overwrite(data.hint("rebalance", *PARTS), staged, "static")
+
+
+def _with_fillers(data: DataFrame, pairs: set) -> DataFrame:
+    """``data`` and one row without an id for each (index, shard)."""
+    rows = data.sparkSession.createDataFrame(sorted(pairs, key=str), "_index string, shard int")
+    return data.unionByName(rows, allowMissingColumns=True)
+
+
+def write_index(df: DataFrame, root: str, n_shards: int | None = None) -> None:
+    """I8 (write): ``df`` becomes the whole table. ``n_shards`` defaults to the store's own count.
+
+    Earlier folders of the table are removed by the writer, settings other than the schema stay.
     """
-    found = read_manifest(spark, root, version)
-    if found is None:
-        raise FileNotFoundError(f"no committed version under {root}")
-    wanted = set(indices) if indices else None
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    paths = [f"{_data_dir(root, commit)}/_index={escape(index)}/shard={shard}" for index, shard, commit, _ in found["parts"]
-             if (wanted is None or index in wanted) and (pairs is None or (index, shard) in pairs)]
-    body = T.StructType.fromJson(found["schema"])
-    schema = T.StructType([*body.fields, T.StructField("_index", T.StringType()), T.StructField("shard", T.IntegerType())])
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return (spark.read.schema(T.StructType([*schema.fields, T.StructField("c", T.StringType())]))
-            .option("basePath", f"{root.rstrip('/')}/data").parquet(*paths).drop("c"))
-
-
-def touched_pairs(spark: SparkSession, root: str, ops: DataFrame, version: int | None, n_shards: int) -> set:
+    spark = df.sparkSession
+    values = _load(spark, root)
+    shards = n_shards or values.get(("store", "n_shards"), DEFAULT_SHARDS)
+    staged = scratch_path(spark, "table")
+    _stage(route(df.drop("shard"), shards), staged)
+    schema = merged_schema(None, df.drop("shard").schema)
+    if ("store", "schema") in values:  # partitions that are not in the new table are emptied
+        old = {(r["_index"], r["shard"]) for r in _read(spark, root, values).select(*PARTS).distinct().collect()}
+    else:
+        old = set()
+    values.update({("store", "n_shards"): shards, ("store", "schema"): schema.jsonValue()})
+    _overwrite(_with_fillers(spark.read.schema(_full_schema(values)).parquet(staged), old), root)
+    _save(spark, root, values)
+
+
+def _routing(df: DataFrame) -> Column:
+    return F.coalesce(*[F.col(c) for c in ("_routing", "_parent", "_id") if c in df.columns])
+
+
+def touched_pairs(spark: SparkSession, root: str, ops: DataFrame, values: dict) -> set:
     """(index, shard) pairs that a log can change: where its ops are routed, and where its keys are stored now.
 
     The second part is needed as an op may lack the routing that its document was stored with. It reads the
     key columns of the log's indices only, and only if the store has routed documents. Bounded by indices x shards.
     """
-    own = ops.select("_index", shard_of(_routing(ops), n_shards).alias("shard")).distinct()
-    found = {(r["_index"], r["shard"]) for r in own.collect() if r["shard"] is not None}  # an op without id or routing fails
-    if version is None:
+    own = ops.select("_index", shard_of(_routing(ops), values[("store", "n_shards")]).alias("shard")).distinct()
+    found = {(r["_index"], r["shard"]) for r in own.collect() if r["shard"] is not None and r["_index"] is not None}  # others fail
+    if ("store", "schema") not in values:
         return found
-    stored = read_index(spark, root, sorted({i for i, _ in found}), version)
-    if {"_routing", "_parent"} & set(stored.columns):
+    stored = _read(spark, root, values, sorted({i for i, _ in found}))
+    if found and {"_routing", "_parent"} & set(stored.columns):
         keys = ops.select("_index", "_id").distinct()
         at = stored.select("_index", "_id", "shard").join(keys, ["_index", "_id"], "left_semi").select("_index", "shard").distinct()
         found |= {(r["_index"], r["shard"]) for r in at.collect()}
     return found
 
 
-def _routing(df: DataFrame):
-    return F.coalesce(*[F.col(c) for c in ("_routing", "_parent", "_id") if c in df.columns])
-
+def prepare(spark: SparkSession, root: str, ops: DataFrame, staged: str, n_shards: int | None = None, on_items=None, apply=None,
+            undo: str | None = None, chunk_rows: int | None = None) -> None:
+    """Replay a log against the stored table; the new partitions go to the folder ``staged``, the table stays as it is.
 
-def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int | None = None, chunk_rows: int | None = None,
-                  default_index: str | None = None, stream: tuple[str, int] | None = None, on_items=None, apply=None):
-    """Apply an ops log to the stored table, reading and rewriting only the partitions it touches.
-
-    Returns (new version, item results). Auto ids and arrival order are fixed first; then the touched partitions are
-    listed, read, replayed once (the evaluated rows are written to the checkpoint folder and used for the items and
-    for the table) and committed. If another writer commits first, the replay is done again on its version.
-    ``stream`` = (name, batch) makes the commit of a batch happen once: a batch that the manifest has is not applied
-    again (None is returned for its items). ``on_items`` gets the items before the commit. ``apply(table, ops)``
-    replaces the replay, for writes with their own versions (``write_external`` and its kin).
+    ``on_items`` gets the item results. ``apply(table, ops)`` replaces the replay, for writes with their own versions.
+    The stored rows of the log's keys are written to ``undo`` (keys that were not stored have a null version there).
     """
     from docindex.operators import write as W
-    from docindex.operators.rank import materialize
-
-    ops = W._prepare_ops(ops, None, default_index)
-    kwargs = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
-    while True:
-        base = latest_version(spark, root)
-        old = read_manifest(spark, root, base) if base else None
-        if stream and old and old["streams"].get(stream[0], -1) >= stream[1]:
-            return base, None
-        shards = old["n_shards"] if old else (n_shards or DEFAULT_SHARDS)
-        has_data = bool(old and old["schema"]["fields"])  # a store may hold settings only
-        pairs = touched_pairs(spark, root, ops, base if has_data else None, shards)
-        table = read_index(spark, root, version=base, pairs=pairs).drop("shard") if has_data else None
-        res = apply(table, ops) if apply else W.bulk_replay(table, ops, materialize_rows=True, **kwargs)
-        items = materialize(res.items, "items") if on_items is None else res.items
-        if on_items is not None:
-            on_items(items)
-        new_table = route(res.table, shards)
-        schema = merged_schema(T.StructType.fromJson(old["schema"]) if old else None, new_table.schema)
-        commit = _write_parts(spark, root, new_table.hint("rebalance", *PARTS))
-        written = set(_written_parts(spark, root, commit))
-        if not written <= pairs:  # cannot happen while every routing value comes from an op or a stored row
-            raise RuntimeError(f"partitions written without having been read: {sorted(written - pairs)}")
-        parts = [p for p in (old["parts"] if old else []) if (p[0], p[1]) not in pairs] + [[i, s, commit, (base or 0) + 1] for i, s in written]
-        streams = dict(old["streams"]) if old else {}
-        if stream:
-            streams[stream[0]] = stream[1]
-        version = _commit(spark, root, base, {"n_shards": shards, "schema": schema.jsonValue(), "parts": sorted(parts), "streams": streams,
-                                              "settings": old["settings"] if old else {}})
-        if version is not None:
-            return version, items
 
+    values = _load(spark, root)
+    values.setdefault(("store", "n_shards"), n_shards or DEFAULT_SHARDS)
+    pairs = touched_pairs(spark, root, ops, values)
+    has_data = ("store", "schema") in values
+    table = _read(spark, root, values, pairs=pairs).drop("shard") if has_data else None
+    kept: list = []
+
+    def keep(rows: DataFrame) -> DataFrame:
+        kept.append(rows.persist())  # read by the items and by the table; a lost block is computed again from the unchanged table
+        return kept[-1]
+
+    res = apply(table, ops) if apply else W.bulk_replay(table, ops, keep_rows=keep, **({"chunk_rows": chunk_rows} if chunk_rows else {}))
+    if on_items is not None:
+        on_items(res.items)
+    if undo is not None:
+        keys = ops.where("_index IS NOT NULL AND _id IS NOT NULL").select("_index", "_id").distinct()
+        old = keys.join(table, ["_index", "_id"], "left") if table is not None else keys.withColumn("_version", F.lit(None).cast("long"))
+        old.write.parquet(undo)
+    new = route(res.table, values[("store", "n_shards")])
+    schema = merged_schema(T.StructType.fromJson(values[("store", "schema")]) if has_data else None, new.schema)
+    _stage(_with_fillers(new, pairs), staged)
+    for rows in kept:
+        rows.unpersist()
+    values[("store", "schema")] = schema.jsonValue()
+    _save(spark, staged, values)
+
+
+def publish(spark: SparkSession, root: str, staged: str) -> None:
+    """Put prepared partitions in place. Doing it again gives the same table."""
+    values = _load(spark, staged)
+    if _load(spark, root) != values:
+        _save(spark, root, values)
+    _overwrite(spark.read.schema(_full_schema(values)).parquet(staged), root)
 
-def settings(spark: SparkSession, root: str, kind: str) -> dict:
-    """Named settings of a store: kind is mappings, templates or aliases."""
-    found = read_manifest(spark, root)
-    return found["settings"].get(kind, {}) if found else {}
-
-
-def put_setting(spark: SparkSession, root: str, kind: str, name: str, change, n_shards: int = DEFAULT_SHARDS) -> int:
-    """Commit ``change(current value or None)`` as the setting ``name``; None removes it. The data stays as it is."""
-    while True:
-        base = latest_version(spark, root)
-        old = read_manifest(spark, root, base) if base else {"n_shards": n_shards, "schema": T.StructType([]).jsonValue(), "parts": [], "streams": {}, "settings": {}}
-        group = dict(old["settings"].get(kind, {}))
-        value = change(group.get(name))
-        if value is None:
-            group.pop(name, None)
-        else:
-            group[name] = value
-        version = _commit(spark, root, base, {**old, "settings": {**old["settings"], kind: group}})
-        if version is not None:
-            return version
-
-
-def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Remove data folders that none of the last ``keep`` versions uses, and the older manifests. Returns their names.
-
-    Run it when no writer is at work: a commit in progress has a folder that no manifest names yet.
-    """
-    kept = versions(spark, root)[-keep:]
-    used = {p[2] for v in kept for p in read_manifest(spark, root, v)["parts"]}
-    fs, data = _fs(spark, f"{root.rstrip('/')}/data")
-    gone = []
-    for st in fs.listStatus(data) if fs.exists(data) else []:
-        name = st.getPath().getName()
-        if name.startswith("c=") and name[2:] not in used:
-            fs.delete(st.getPath(), True)
-            gone.append(name[2:])
-    for v in versions(spark, root):
-        if v not in kept:
-            fs.delete(_fs(spark, _manifest_path(root, v))[1], False)
-    return gone
+
+def commit_replay(spark: SparkSession, root: str, ops: DataFrame, n_shards: int | None = None, chunk_rows: int | None = None,
+                  default_index: str | None = None, apply=None, undo: str | None = None) -> DataFrame:
+    """Apply an ops log to the stored table, reading and rewriting only the partitions it touches; returns the item results."""
+    from docindex.operators import write as W
+
+    staged, items = scratch_path(spark, "staged"), scratch_path(spark, "items")
+    prepare(spark, root, W._prepare_ops(ops, None, default_index), staged, n_shards, lambda df: df.write.parquet(items), apply, undo, chunk_rows)
+    publish(spark, root, staged)
+    return spark.read.parquet(items)
 
 
 # ---------------------------------------------------------------- X1 / X2
@@ -325,28 +263,25 @@ def index_stats(table: DataFrame, body: list[str] | None = None) -> DataFrame:
         F.max("_version").alias("max_version"))
 
 
-def compact(spark: SparkSession, root: str, max_files: int = 1, expunge_only: bool = False, n_shards: int | None = None) -> int:
-    """Rewrite the table as a new version: tombstones dropped, at most ``max_files`` files per (index, shard).
+def compact(spark: SparkSession, root: str, max_files: int | None = None, expunge_only: bool = False) -> None:
+    """Rewrite the table without its tombstones; live rows are unchanged.
 
-    With ``expunge_only`` only partitions that hold tombstones are rewritten. Live rows are unchanged. Dropping a
-    tombstone forgets its version: a later write of that id starts at 1. A store without live rows reads as empty.
+    Files get the session's advisory partition size (a hot shard is written by several tasks), or with ``max_files`` at
+    most that many a shard. With ``expunge_only`` only partitions that hold tombstones are rewritten. Dropping a
+    tombstone forgets its version: a later write of that id starts at 1.
     """
-    while True:
-        base = latest_version(spark, root)
-        if base is None:
-            raise FileNotFoundError(f"no committed version under {root}")
-        old = read_manifest(spark, root, base)
-        if n_shards not in (None, old["n_shards"]):
-            raise ValueError(f"the store has {old['n_shards']} shards")
-        pairs = {(p[0], p[1]) for p in old["parts"]}
-        if expunge_only:  # one row per partition, collected as metadata
-            dirty = read_index(spark, root, version=base).where(F.col("_deleted")).select(*PARTS).distinct()
-            pairs = {(r["_index"], r["shard"]) for r in dirty.collect()}
-        live = read_index(spark, root, version=base, pairs=pairs).where(~F.col("_deleted"))
-        # At most max_files tasks write each partition: hash the id into max_files buckets.
-        salt = F.pmod(F.xxhash64("_id"), F.lit(max_files))
-        commit = _write_parts(spark, root, live.repartition(*PARTS, salt))
-        parts = [p for p in old["parts"] if (p[0], p[1]) not in pairs] + [[i, s, commit, base + 1] for i, s in _written_parts(spark, root, commit)]
-        version = _commit(spark, root, base, {**old, "parts": sorted(parts)})
-        if version is not None:
-            return version
+    values = _load(spark, root)
+    table = _read(spark, root, values)
+    if expunge_only:
+        table = table.where(F.col("_deleted"))
+    pairs = {(r["_index"], r["shard"]) for r in table.select(*PARTS).distinct().collect()}  # one row a partition
+    if not pairs:
+        return
+    live = _read(spark, root, values, pairs=pairs).where(~F.col("_deleted"))
+    staged = scratch_path(spark, "compacted")
+    whole = _with_fillers(live, pairs)
+    if max_files is None:
+        _stage(whole, staged)
+    else:  # at most max_files tasks write each partition: hash the id into max_files buckets (the filler's is one of them)
+        _overwrite(whole.repartition(*PARTS, F.pmod(F.xxhash64("_id"), F.lit(max_files))), staged, "static")
+    _overwrite(spark.read.schema(_full_schema(values)).parquet(staged), root)

@@ -96,3 +96,48 @@ def test_index_handle_stats_merge_analyze(spark):
     st2 = ix.stats().collect()[0]
     assert (st2.live_docs, st2.deleted_docs) == (1, 0)
     assert [r.token for r in ix.analyze("name").orderBy("position").collect()] == ["a", "b"]
+
+
+def test_versioned_updates_and_deletes_and_noops(spark):
+    ix = Index(spark, scratch_path(spark, "api"), "v")
+    rows = lambda *r: spark.createDataFrame(list(r), "_id string, seq long, op string, name string, version long")
+    got = lambda items: [(r.status, r._version) for r in items.orderBy("seq").collect()]
+    assert got(ix.bulk(rows(("1", 1, "index", "a", 5), ("1", 2, "delete", None, 6), ("1", 3, "update", "b", 7)), version_type="external")) == [(201, 5), (200, 6), (400, None)]
+    assert ix.get("1").count() == 0
+    assert got(ix.bulk(rows(("1", 4, "index", "c", 6), ("1", 5, "index", "d", None), ("1", 6, "index", "e", 8)), version_type="external")) == [(409, None), (409, None), (200, 8)]
+    change = lambda name, version, seq: spark.createDataFrame([("1", seq, name, version)], "_id string, seq long, name string, version long")
+    assert got(ix.update(change("stale", 7, 7))) == [(409, None)] and got(ix.update(change("f", 8, 8))) == [(200, 9)]
+    assert [(r.name, r._version) for r in ix.get("1").collect()] == [("f", 9)]
+    same = spark.createDataFrame([("1", 9, "f")], "_id string, seq long, name string")
+    assert [(r.status, r.result, r._version) for r in ix.update(same, detect_noop=True).collect()] == [(200, "noop", 9)]
+    assert [(r.status, r._version) for r in ix.update(same.withColumn("seq", F.lit(10).cast("long"))).collect()] == [(200, 10)]
+
+
+def test_search_sees_the_last_refresh(spark):
+    root = scratch_path(spark, "api")
+    ix = Index(spark, root, "i")
+    docs = lambda *r: spark.createDataFrame(list(r), "_id string, seq long, name string")
+    ix.index(docs(("1", 1, "a"), ("2", 2, "b")), refresh=True)
+    ix.index(docs(("1", 3, "a2"), ("3", 4, "c")))
+    ix.delete(spark.createDataFrame([("2", 5)], "_id string, seq long"))
+    seen = lambda h: sorted((r._id, r.name) for r in h.search().hits.collect())
+    assert seen(ix) == [("1", "a"), ("2", "b")] and seen(Index(spark, root, "i")) == [("1", "a2"), ("3", "c")]
+    assert [r.name for r in ix.get("1").collect()] == ["a2"] and ix.scroll(size=1).count() == 2
+    ix.refresh()
+    assert seen(ix) == [("1", "a2"), ("3", "c")]
+
+
+def test_mapping_of_several_indices_and_changed_types(spark):
+    root = scratch_path(spark, "api")
+    a, b = Index(spark, root, "a"), Index(spark, root, "b")
+    a.put_mapping({"properties": {"text": {"type": "text", "analyzer": "standard"}, "n": {"type": "keyword"}}})
+    b.put_mapping({"properties": {"other": {"type": "long"}}})
+    a.index(spark.createDataFrame([("1", 1, "Some Words", "12"), ("2", 2, "more words", "x")], "_id string, seq long, text string, n string"), refresh=True)
+    assert {k: set(m["properties"]) for k, m in Index(spark, root, ["a", "b"]).mappings().items()} == {"a": {"text", "n"}, "b": {"other"}}
+    with pytest.raises(ValueError):
+        a.put_mapping({"properties": {"n": {"type": "long"}}})
+    a.put_mapping({"properties": {"n": {"type": "long"}, "text": {"type": "text", "search_analyzer": "whitespace"}}}, update_all_types=True)
+    assert a.mapping()["properties"]["text"] == {"type": "text", "analyzer": "standard", "search_analyzer": "whitespace"}
+    assert sorted((r._id, r.n) for r in a.search().hits.collect()) == [("1", 12), ("2", None)]
+    # The search analyzer keeps the case of the query, the index analyzer has lowered the text.
+    assert a.search(match=("text", "Words")).total.first().value == 0 and a.search(match=("text", "words")).total.first().value == 2
