@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docindex.operators.rank import range_partitions
 from docindex.session import scratch_path
@@ -87,6 +88,7 @@ class KeysetScroll:
 
     spark: SparkSession
     path: str
+    schema: T.StructType
     order: list
     counts: list  # (range, rows) in key order: one row a range
 
@@ -96,11 +98,12 @@ class KeysetScroll:
         cols = sort_columns(order)
         (df.repartitionByRange(range_partitions(df), *cols).sortWithinPartitions(*cols).withColumn("_range", F.spark_partition_id())
          .write.partitionBy("_range").parquet(path))
-        counts = spark.read.parquet(path).groupBy("_range").count().orderBy("_range").collect() if df.columns else []
-        return cls(spark, path, order, [tuple(r) for r in counts])
+        out = cls(spark, path, T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())]), order, [])
+        out.counts = [tuple(r) for r in out._rows().groupBy("_range").count().orderBy("_range").collect()]
+        return out
 
     def _rows(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def page(self, cursor: tuple | None, size: int) -> DataFrame:
         """The first ``size`` rows after ``cursor`` (None: from the start), with their range.

@@ -46,7 +46,7 @@ def write_postings(df: DataFrame, field: str, root: str, buckets: int = 64, n_sh
     (tokens.groupBy("_index", "shard").agg(F.count(F.lit(1)).alias("docs"), F.sum("dl").alias("length"))
      .withColumn("buckets", F.lit(buckets)).write.parquet(f"{base}/stats"))
     docs = spark.read.parquet(f"{base}/stats").agg(F.sum("docs")).first()[0] or 0
-    parts = max(1, docs // (8 * LENGTH_CLASSES * BLOCK_DOCS // 4))
+    parts = max(1, docs // (8 * BLOCK_DOCS))  # lengths fall into eight classes or more
     rows = tokens.select(*KEY, "dl", F.explode("t").alias("term")).groupBy("term", *KEY, "dl").agg(F.count(F.lit(1)).alias("tf"))
     rows = rows.withColumn("block", _block(parts)).withColumn("b", _bucket(F.col("term"), buckets)).hint("rebalance", "b")
     rows.sortWithinPartitions("b", "term", "block").write.partitionBy("b").parquet(f"{base}/postings")

@@ -205,8 +205,8 @@ def prepare(spark: SparkSession, root: str, ops: DataFrame, staged: str, n_shard
     """
     from docindex.operators import write as W
 
-    values = _load(spark, root)
-    values.setdefault(("store", "n_shards"), n_shards or DEFAULT_SHARDS)
+    before = _load(spark, root)
+    values = {("store", "n_shards"): n_shards or DEFAULT_SHARDS, **before}
     pairs = touched_pairs(spark, root, ops, values)
     has_data = ("store", "schema") in values
     table = _read(spark, root, values, pairs=pairs).drop("shard") if has_data else None
@@ -229,14 +229,16 @@ def prepare(spark: SparkSession, root: str, ops: DataFrame, staged: str, n_shard
     for rows in kept:
         rows.unpersist()
     values[("store", "schema")] = schema.jsonValue()
-    _save(spark, staged, values)
+    if values != before:
+        _save(spark, staged, values)
 
 
 def publish(spark: SparkSession, root: str, staged: str) -> None:
     """Put prepared partitions in place. Doing it again gives the same table."""
-    values = _load(spark, staged)
-    if _load(spark, root) != values:
-        _save(spark, root, values)
+    changed = _load(spark, staged)
+    if changed:
+        _save(spark, root, changed)
+    values = changed or _load(spark, root)
     _overwrite(spark.read.schema(_full_schema(values)).parquet(staged), root)
 
 

@@ -53,9 +53,11 @@ def _prepared(spark: SparkSession, own: str) -> int:
 def _batch_fn(spark: SparkSession, root: str, n_shards: int, own: str, paths: BulkStream, batch_size: int | None = None,
               default_index: str | None = None):
     """Apply one micro-batch of the stream whose folder is ``own``."""
+    done: list = []  # the last batch that was prepared, read once
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         items_dir, staged = f"{paths.items_path}/batch_id={batch_id}", f"{own}/staged/{batch_id % 2}"
-        last = _prepared(spark, own)
+        last = done[0] if done else _prepared(spark, own)
         if last > batch_id:
             raise ValueError(f"batch {batch_id} comes after batch {last} of this stream: was its checkpoint put back?")
         if last < batch_id:
@@ -66,6 +68,7 @@ def _batch_fn(spark: SparkSession, root: str, n_shards: int, own: str, paths: Bu
             numbered = batch_numbers(written, "seq", batch_size) if batch_size else written.withColumn("batch_no", F.lit(batch_id).cast("long"))
             W.bulk_batch_summary(numbered).write.mode("overwrite").parquet(f"{paths.summary_path}/batch_id={batch_id}")
             spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("overwrite").parquet(f"{own}/prepared/{batch_id % 2}")
+        done[:] = [batch_id]
         store.publish(spark, root, staged)
     return apply
 
