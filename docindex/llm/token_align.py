@@ -30,9 +30,9 @@ from docindex.llm.scratch import stored
 
 BROADCAST_BYTES = 64 << 20
 PAIR_BYTES = 32  # of one counted pair in a broadcast hash table
-WINDOWS = 120_000  # windows kept in a task, about 40 MB; a full table starts anew
+WINDOWS = 150_000  # windows kept in a task, about 50 MB; a full table starts anew
 CHUNK_BYTES = 1 << 20
-UNITS = 150_000  # units that each tokenizer keeps in a task, about 35 MB
+UNITS = 400_000  # units that each tokenizer keeps in a task, about 75 MB
 _MARKS = frozenset(",.;:!?")
 
 
@@ -135,37 +135,13 @@ def _gather(values: np.ndarray, lo: np.ndarray, size: np.ndarray) -> np.ndarray:
     return values[np.repeat(lo - begin, size) + np.arange(int(size.sum()))]
 
 
-def align_window(a: list, b: list, size_a, size_b):
-    """(groups as text, linked pairs, number of groups) of two id lists that spell the same bytes."""
-    groups, links = [], []
-    i = j = 0
-    from_i = from_j = 0
-    end_a, end_b = size_a[a[0]], size_b[b[0]]
-    while True:
-        links.append((a[i], b[j]))
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[from_i: i + 1]))}|{','.join(map(str, b[from_j: j + 1]))}")
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return ";".join(groups), links, len(groups)
-            from_i, from_j = i, j
-            end_a += size_a[a[i]]
-            end_b += size_b[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[a[i]]
-        else:
-            j += 1
-            end_b += size_b[b[j]]
-
-
 class Aligner:
     """Both tokenizers and the windows that this task has aligned."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = _encoder(ByteTokens, path_a), _encoder(PieceTokens, path_b)
-        self.size_a, self.size_b = self.a.length.tolist(), self.b.length.tolist()
-        self.base = len(self.size_b)  # a linked pair is a * base + b
+        self.base = len(self.b.length)  # a linked pair is a * base + b
+        self.digits = _flat([b"%d," % i for i in range(max(len(self.a.length), self.base))])
         self.opens_a = self._opens(self.a)
         self.opens_b = self._opens(self.b)
         self.windows: dict = {}
@@ -181,15 +157,43 @@ class Aligner:
         """Forget what tasks learn; the tokenizers stay."""
         self.windows, self.a.table, self.b.table = {}, {}, {}
 
-    def _aligned(self, a: np.ndarray, b: np.ndarray):
-        key = (a.tobytes(), b.tobytes())
-        found = self.windows.get(key)
-        if found is None:
-            groups, links, n = align_window(a.tolist(), b.tolist(), self.size_a, self.size_b)
-            found = (groups, np.array([x * self.base + y for x, y in links], dtype="<i8").tobytes(), n)
-            if len(self.windows) >= WINDOWS:
+    def _align(self, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> list:
+        """(groups as text, packed links, number of groups) of windows, given their ids end to end and their numbers of ids."""
+        end_a, end_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
+        last = end_a[np.cumsum(size_a) - 1]  # where each window ends, in A and in B
+        common, every = np.intersect1d(end_a, end_b, assume_unique=True), np.union1d(end_a, end_b)
+        # Between two neighbouring ends lies one token of each side, and each linked pair has one such stretch.
+        links = a[np.searchsorted(end_a, every)].astype(np.int64) * self.base + b[np.searchsorted(end_b, every)]
+        links, n_links = links.astype("<i8").tobytes(), np.diff(np.searchsorted(every, last, side="right"), prepend=0)
+        n_groups = np.diff(np.searchsorted(common, last, side="right"), prepend=0)
+        # The text: every id's digits and what follows them (a comma, | after a group's last of A, ; after its last of B).
+        group = np.concatenate([np.searchsorted(common, end_a) * 2, np.searchsorted(common, end_b) * 2 + 1])
+        order = np.argsort(group, kind="stable")
+        ids, group = np.concatenate([a, b])[order].astype(np.int64), group[order]
+        closes = np.append(group[1:] != group[:-1], True)
+        told, start, length = self.digits
+        size = length[ids]
+        stop = np.cumsum(size)
+        text = told[np.repeat(start[ids] - (stop - size), size) + np.arange(int(stop[-1]))]
+        text[stop - 1] = np.where(closes, np.where(group % 2 == 0, ord("|"), ord(";")), ord(","))
+        text = text.tobytes()
+        # A window's last token in this order is its last of B.
+        cut = stop[np.searchsorted(group, 2 * (np.cumsum(n_groups) - 1) + 1, side="right") - 1].tolist()
+        to = (np.cumsum(n_links) * 8).tolist()
+        return [(text[p: q - 1], links[r:t], n) for p, q, r, t, n in zip([0, *cut], cut, [0, *to], to, n_groups.tolist())]
+
+    def _known(self, a: np.ndarray, b: np.ndarray, lo_a, hi_a, lo_b, hi_b) -> list:
+        """The alignments of windows a[lo_a:hi_a] beside b[lo_b:hi_b]; those that the table lacks are worked out together."""
+        raw_a, raw_b, w, v = a.tobytes(), b.tobytes(), self.a.width, self.b.width
+        keys = [(raw_a[p:q], raw_b[r:s]) for p, q, r, s in zip((lo_a * w).tolist(), (hi_a * w).tolist(), (lo_b * v).tolist(), (hi_b * v).tolist())]
+        found = list(map(self.windows.get, keys))
+        new = np.array([k for k, x in enumerate(found) if x is None], dtype=np.int64)
+        if len(new):
+            size_a, size_b = (hi_a - lo_a)[new], (hi_b - lo_b)[new]
+            if len(self.windows) > WINDOWS:
                 self.windows = {}
-            self.windows[key] = found
+            for k, x in zip(new.tolist(), self._align(_gather(a, lo_a[new], size_a), _gather(b, lo_b[new], size_b), size_a, size_b)):
+                self.windows[keys[k]] = found[k] = x
         return found
 
     def chunk(self, buf: np.ndarray, offsets: np.ndarray):
@@ -198,8 +202,10 @@ class Aligner:
         n = len(offsets) - 1
         sides = []
         good = offsets[1:] > offsets[:-1]
+        uncut = self.a._uncut(buf, offsets) | self.b._uncut(buf, offsets)
+        units = self.a.units(buf, offsets, uncut)
         for enc in (self.a, self.b):
-            ids, first = enc.ids(buf, offsets)
+            ids, first = enc.lay_out(buf, offsets, uncut, *units)
             told, size = _spell(enc, ids)
             spelled = np.concatenate([[0], np.cumsum(size)])[first]
             whole = np.diff(spelled) == np.diff(offsets)
@@ -229,8 +235,7 @@ class Aligner:
         hashes = tv.span_hashes(np.frombuffer(a.tobytes(), np.uint8), lo_a * self.a.width, hi_a * self.a.width)
         hashes ^= tv.mix(tv.span_hashes(np.frombuffer(b.tobytes(), np.uint8), lo_b * self.b.width, hi_b * self.b.width))
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        known = [self._aligned(a[p:q], b[r:s]) for p, q, r, s in
-                 zip(lo_a[first].tolist(), hi_a[first].tolist(), lo_b[first].tolist(), hi_b[first].tolist())]
+        known = self._known(a, b, lo_a[first], hi_a[first], lo_b[first], hi_b[first])
         groups = [k[0] for k in known]
         links = np.frombuffer(b"".join([k[1] for k in known]), dtype="<i8")
         size = np.array([len(k[1]) // 8 for k in known], dtype=np.int64)
@@ -241,16 +246,14 @@ class Aligner:
         n_groups[kept] = tv.sums(np.array([k[2] for k in known], dtype=np.int64)[which], bound)
         n_links[kept] = tv.sums(size[which], bound)
         for d, lo, hi in zip(kept.tolist(), bound.tolist(), bound[1:].tolist()):
-            digests[d] = hashlib.sha256(";".join([groups[w] for w in which[lo:hi].tolist()]).encode()).hexdigest()
+            digests[d] = hashlib.sha256(b";".join([groups[w] for w in which[lo:hi].tolist()])).hexdigest()
         pair = _gather(links, at[which], size[which])
         owner = np.repeat(kept, n_links[kept])
-        order = np.lexsort((pair, owner))
-        pair, owner = pair[order], owner[order]
-        new = np.ones(len(pair), dtype=bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1])
-        heads = np.flatnonzero(new)
-        bounds = np.searchsorted(owner[heads], np.arange(n + 1))
-        return counts, n_groups, n_links, digests, (bounds, pair[heads], np.diff(np.append(heads, len(pair))))
+        span = len(self.a.length) * self.base
+        both = np.sort(owner * span + pair)
+        heads = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        owner, pair = np.divmod(both[heads], span)
+        return counts, n_groups, n_links, digests, (np.searchsorted(owner, np.arange(n + 1)), pair, np.diff(np.append(heads, len(both))))
 
 
 def aligned(docs: DataFrame, key: str = "doc_id", text: str = "text", paths: tuple | None = None) -> DataFrame:

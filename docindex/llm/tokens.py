@@ -18,7 +18,7 @@ import numpy as np
 
 from docindex.llm import textvec as tv
 
-TABLE = 200_000  # units kept in a task, about 40 MB; a full table starts anew
+TABLE = 400_000  # units kept in a task, about 80 MB; a full table starts anew
 TOGETHER = 256  # unseen units encoded in one string
 CHUNK_BYTES = 1 << 20  # text taken at once
 _STRUNG = re.compile(rb" [^\t\r\n ]+").fullmatch
@@ -97,12 +97,8 @@ class Encoder:
                 at = raw.find(a, at + 1)
         return out
 
-    def ids(self, buf: np.ndarray, offsets: np.ndarray):
-        """Ids of one chunk of UTF-8 texts end to end, and the first id of each text (texts + 1)."""
-        n = len(offsets) - 1
-        uncut = self._uncut(buf, offsets)
-        if len(self.table) > self.limit:
-            self.table = {}
+    def units(self, buf: np.ndarray, offsets: np.ndarray, uncut: np.ndarray):
+        """Distinct units of the texts that are cut; and of all their units, in order, the text and the distinct unit."""
         head = (buf == 32) | (buf == 10)
         head[1:] |= buf[:-1] == 10
         marks = np.flatnonzero(_MARK[buf])
@@ -124,7 +120,13 @@ class Encoder:
         which = np.empty(len(order), dtype=np.int64)
         which[order] = np.cumsum(new) - 1
         raw, first = buf.tobytes(), order[new]
-        units = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        return [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())], doc, which
+
+    def lay_out(self, buf: np.ndarray, offsets: np.ndarray, uncut: np.ndarray, units: list, doc: np.ndarray, which: np.ndarray):
+        """Ids of the texts, and the first id of each text (texts + 1), from their units."""
+        n = len(offsets) - 1
+        if len(self.table) > self.limit:
+            self.table = {}
         packed = list(map(self.table.get, units))
         unseen = [k for k, p in enumerate(packed) if p is None]
         if unseen:
@@ -140,13 +142,18 @@ class Encoder:
         out = known[np.repeat(at[which] - begins, lengths) + np.arange(total)]
         counts = np.bincount(doc, weights=lengths, minlength=n).astype(np.int64)
         if uncut.any():
-            rows = np.flatnonzero(uncut)
+            rows, raw = np.flatnonzero(uncut), buf.tobytes()
             whole = dict(zip(rows.tolist(), self._whole([raw[offsets[i]: offsets[i + 1]].decode("utf-8") for i in rows])))
             bounds = np.concatenate([[0], np.cumsum(counts)])
             parts = [whole.get(i, out[bounds[i]: bounds[i + 1]]) for i in range(n)]
             out, counts = np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
         return out, np.concatenate([[0], np.cumsum(counts)])
 
+    def ids(self, buf: np.ndarray, offsets: np.ndarray):
+        """Ids of one chunk of UTF-8 texts end to end, and the first id of each text (texts + 1)."""
+        uncut = self._uncut(buf, offsets)
+        return self.lay_out(buf, offsets, uncut, *self.units(buf, offsets, uncut))
+
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder for a tokenizer file."""
