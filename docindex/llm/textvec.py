@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[32, *range(9, 14)]] = True
