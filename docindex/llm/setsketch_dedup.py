@@ -19,8 +19,9 @@ sets agree in a register about as often as their Jaccard similarity.
 Recall of banding at the threshold itself: 1 - (1 - 0.8**7)**48 = 0.99999, higher above it.
 
 Cases: null or empty texts have an empty set and are linked with nothing; a text with fewer words than a shingle has
-the whole sequence as its one shingle; rows of one id with several texts are one node; a row with a null id is linked
-with nothing, has a null component and is kept; an empty table gives an empty result.
+the whole sequence as its one shingle; an empty table gives an empty result. In the report, rows of one id with several
+texts are one node, and a row with a null id is linked with nothing, has a null component and is kept. The filter
+(``keep_one``) goes by rows instead, null ids and repeated ids included. Ids may be of any type that has an order.
 """
 
 from __future__ import annotations
@@ -73,21 +74,27 @@ def sketches(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Registers (texts, M) of the sets.
 
     The values that one element gives to the M registers are the marks of a Poisson process: arrival times in
-    ascending order, each falling on a random register. Arrivals later than ``ceiling`` cannot be a minimum
-    (but for a chance of exp(-8) a set), so large sets need about one arrival an element.
+    ascending order, each falling on a random register. Arrivals are drawn up to a ceiling that leaves a register
+    unreached in one set of exp(8); for those sets it is raised until every register is reached. Then each register
+    holds the true least arrival, whatever the ceiling was, and the registers of a union are the maxima of its parts'.
     """
     n, sizes = len(first) - 1, np.diff(first)
     least = np.full(n * M, np.inf)
-    doc = np.repeat(np.arange(n), sizes)
-    ceiling = (np.log(M) + 8) / np.maximum(sizes, 1)
-    state, at, limit = keys.copy(), np.zeros(len(keys)), ceiling[doc]
-    while len(state):
-        state = state + _G
-        draw = tv.mix(state)
-        at = at - np.log(((draw >> np.uint64(12)).astype(np.float64) + 1) * 2.0 ** -52) / M
-        alive = at < limit
-        state, at, limit, doc, draw = state[alive], at[alive], limit[alive], doc[alive], draw[alive]
-        np.minimum.at(least, doc * M + ((draw & np.uint64(0xFFF)) * np.uint64(M) >> np.uint64(12)).astype(np.int64), at)
+    todo, ceiling = np.flatnonzero(sizes), (np.log(M) + 8) / np.maximum(sizes, 1)
+    while len(todo):
+        doc = np.repeat(todo, sizes[todo])
+        begin = np.cumsum(sizes[todo]) - sizes[todo]
+        state = keys[np.repeat(first[todo] - begin, sizes[todo]) + np.arange(len(doc))]
+        at, limit = np.zeros(len(state)), ceiling[doc]
+        while len(state):
+            state = state + _G
+            draw = tv.mix(state)
+            at = at - np.log(((draw >> np.uint64(12)).astype(np.float64) + 1) * 2.0 ** -52) / M
+            alive = at < limit
+            state, at, limit, doc, draw = state[alive], at[alive], limit[alive], doc[alive], draw[alive]
+            np.minimum.at(least, doc * M + ((draw & np.uint64(0xFFF)) * np.uint64(M) >> np.uint64(12)).astype(np.int64), at)
+        todo = todo[np.isinf(least.reshape(n, M)[todo]).any(axis=1)]
+        ceiling = ceiling * 2
     with np.errstate(divide="ignore"):
         rank = np.floor(1 - np.log(least / RATE) / np.log(BASE))
     return np.clip(np.where(np.isfinite(rank), rank, 0), 0, TOP).astype(np.uint8).reshape(n, M)
@@ -130,10 +137,11 @@ def sketch_table(docs: DataFrame, key: str, text: str, shingle: int) -> DataFram
                 sizes, sig = np.diff(first), [signature(keys, first, salt) for salt in (1, 2)]
                 regs = sketches(keys, first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo).cast(pa.int64()), pa.array(sizes, pa.int64()), *(pa.array(s) for s in sig),
+                    [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), *(pa.array(s) for s in sig),
                      pa.array([r.tobytes() for r in regs], pa.binary())], ["id", "n", "node", "sig", "regs"])
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(tv.returning(run), "id long, n long, node long, sig long, regs binary")
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(F.col(key), F.col(text)).mapInArrow(tv.returning(run), f"id {kind}, n long, node long, sig long, regs binary")
 
 
 def set_table(docs: DataFrame, key: str, text: str, shingle: int, wanted: DataFrame) -> DataFrame:
@@ -279,9 +287,12 @@ def searched(members: DataFrame, reps: DataFrame, sets: DataFrame, roots: DataFr
     return dealt.mapInArrow(tv.returning(run), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    threshold: int = THRESHOLD) -> DataFrame:
-    """One row a document: key, n_shingles, component_id (least id reachable over confirmed links), kept."""
+def classes(docs: DataFrame, key: str, text: str, shingle: int, threshold: int, join_ids: bool):
+    """(sketch: id, n, node, sig, regs of every row with an id; classes: n, node, sig, component_id).
+
+    Equal sets are one class; a component's id is the least id of its classes. With ``join_ids`` classes that share an
+    id are linked as well.
+    """
     sketch = stored(sketch_table(docs, key, text, shingle), "sketch")
     reps = stored(sketch.where("id is not null and n > 0").groupBy("n", "node", "sig")
                   .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("regs").alias("regs")), "classes")
@@ -304,19 +315,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     votes = members.where("node <> pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).alias("m")).select(F.col("m.pivot").alias("a"), F.col("node").alias("b"))
     links = stored(confirmed(best, sets, threshold), "links")
-    # Ids that stand in several classes link those classes.
-    ids = sketch.where("id is not null and n > 0").select("id", "node")
-    several = ids.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("x")).where("b <> x").select("id", "b")
-    if not several.isEmpty():
-        links = links.union(ids.join(several, "id").select(F.col("node").alias("a"), "b").where("a <> b").distinct())
+    if join_ids:  # ids that stand in several classes link those classes
+        ids = sketch.where("id is not null and n > 0").select("id", "node")
+        several = ids.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("x")).where("b <> x").select("id", "b")
+        if not several.isEmpty():
+            links = links.union(ids.join(several, "id").select(F.col("node").alias("a"), "b").where("a <> b").distinct())
     roots = components(links)
     rest = stored(searched(members, reps, sets, roots, threshold), "links")
     if not rest.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest))
-    named = _labelled(reps.select("node", "sig", "n", "rep"), roots)
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = named.join(least, "root").select("node", "sig", "n", "component_id")
-    out = sketch.select("id", "n", "node", "sig").join(classes, ["node", "sig", "n"], "left")
+    # Only classes that have links look for the least id of their component; a large component is spread over ``SALTS`` tasks.
+    linked = reps.select("node", "rep").join(roots, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    least = linked.groupBy("root").agg(F.min("rep").alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = linked.join(least.withColumn("salt", F.col("salt").cast("long")), ["root", "salt"]).select("node", "least")
+    out = reps.select("n", "node", "sig", "rep").join(named, "node", "left")
+    return sketch, out.select("n", "node", "sig", F.coalesce("least", "rep").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    threshold: int = THRESHOLD) -> DataFrame:
+    """One row a document: key, n_shingles, component_id (least id reachable over confirmed links), kept."""
+    sketch, found = classes(docs, key, text, shingle, threshold, True)
+    out = sketch.select("id", "n", "node", "sig").join(found, ["node", "sig", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
@@ -324,9 +344,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: one row of each group stays, every column as it was."""
-    found = near_duplicates(docs, key, text, shingle, threshold)
-    dropped = found.where(~F.col("kept")).select(F.col(key).alias("_gone")).distinct()
-    left = docs.join(dropped, docs[key] == dropped["_gone"], "left_anti")
-    unique = left.where(F.col(key).isNotNull()).dropDuplicates([key])
-    return unique.unionByName(left.where(F.col(key).isNull()))
+    """The rows of ``docs`` without near duplicates: one row of each group stays, every column as it was.
+
+    Rows are told apart by (id, 64-bit hash of the text), so a row goes by its own text: rows with a null id are
+    deduplicated too, and unrelated texts under one id both stay. Of a group the row of the least id stays (a null id comes last),
+    of equal ids the one of the least hash. Rows that are equal in both are copies of one another: one of them stays;
+    texts without a set are groups of their own.
+    """
+    text_hash = F.xxhash64(F.col(text))
+    # The order of rows as text: ids first, in their own order if they are integers, then the hash.
+    kind = docs.schema[key].dataType.typeName()
+    ordered = F.lpad((F.col(key).cast("decimal(20,0)") + F.expr(f"CAST('{10 ** 19}' AS DECIMAL(20,0))")).cast("string"), 20, "0") if kind in ("long", "integer", "short", "byte") else F.col(key).cast("string")
+    row = F.concat(F.when(F.col(key).isNull(), "1").otherwise("0"), F.coalesce(ordered, F.lit("")), F.lit("|"), F.hex(text_hash))
+    numbered = docs.select(row.alias("row"), F.col(text).alias("text"))
+    sketch, found = classes(numbered, "row", "text", shingle, threshold, False)
+    gone = (sketch.select(F.col("id").alias("_row"), "n", "node", "sig").join(found, ["node", "sig", "n"])
+            .where(F.col("_row") != F.col("component_id")).select("_row").distinct())
+    names = [c for c in docs.columns]
+    left = docs.withColumn("_row", row).join(gone, "_row", "left_anti")
+    # Of rows with one id and one text hash, one stays.
+    return left.dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in names])
