@@ -5,8 +5,10 @@ fewer words is one window). The documents are read once: at each word position a
 and last word is looked up in a hash set of the test windows' hashes, which travels with the plan to every task. The
 few positions that pass are verified by joining the window's whole text with the test windows' texts.
 
-The hash set and the broadcast of the window texts are used up to ``MAX_SET`` distinct windows (counted; about 10 MB).
-Beyond that, every position goes to the verifying join, which then is a shuffle join: same rows, more movement.
+The hash set is an exact one (8 bytes a window) up to ``EXACT_BYTES``, and beyond that a packed set of bits
+(``BITS`` a window, two bits of one 60-bit block each) up to ``PACKED_BYTES``: about 2.5 million windows; one
+other position in 80 passes by mistake and goes to the join. Only beyond that do all positions go to the join. The window
+texts are broadcast to the join up to ``TEXT_BYTES`` (summed before), else they are shuffled: same rows, more movement.
 
 Rows are told apart by (id, 64-bit hash of the text), so documents with a repeated or null id are judged on their own
 text. Null and empty texts have no words and no hits; items without words have no windows; an empty benchmark hits
@@ -19,7 +21,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docindex.llm.scratch import stored
 
-WINDOW, MAX_SET = 13, 50_000
+WINDOW = 13
+EXACT_BYTES, PACKED_BYTES, TEXT_BYTES = 400_000, 8 << 20, 64 << 20
+BITS, BLOCK_BITS, BYTE_BITS = 20, 60, 6  # six bits of a byte, so that it reads as ASCII
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -31,17 +35,64 @@ def normal_words(text: Column) -> Column:
     return F.array_remove(F.split(lowered, _SEPARATOR + "+"), "")
 
 
-def _windows_at(positions: str, k: int) -> str:
-    return f"transform({positions}, i -> struct(i - 1 AS pos, {k} AS k, array_join(slice(words, i, {k}), ' ') AS gram))"
+def _windows_at(positions: Column, k: int) -> Column:
+    words = F.col("words")
+    return F.transform(positions, lambda i: F.struct((i - 1).alias("pos"), F.lit(k).alias("k"), F.array_join(F.slice(words, i, F.lit(k)), " ").alias("gram")))
 
 
-def _anchor(i: str, k: int) -> str:
+def _anchor(i: Column, k: int) -> Column:
     """Hash of three words of the window of k words that starts at the 1-based position i."""
-    return f"xxhash64(words[{i} - 1], words[{i} - 1 + {k // 2}], words[{i} + {k - 2}])"
+    words = F.col("words")
+    return F.xxhash64(words[i - 1], words[i - 1 + k // 2], words[i + (k - 2)])
 
 
-def _all_positions(k: int) -> str:
-    return f"IF(size(words) >= {k}, sequence(1, size(words) - {k - 1}), CAST(array() AS array<int>))"
+def _gram_and_anchor(k: int):
+    return lambda i: F.struct(F.array_join(F.slice("words", i, F.lit(k)), " ").alias("gram"), _anchor(i, k).alias("anchor"))
+
+
+def _all_positions(k: int) -> Column:
+    return F.when(F.size("words") >= k, F.sequence(F.lit(1), F.size("words") - (k - 1))).otherwise(F.expr("CAST(array() AS array<int>)"))
+
+
+class HashSet:
+    """A set of 64-bit hashes that travels in the plan: exact, or packed bits with mistakes of one kind (false hits)."""
+
+    def __init__(self, hashes: DataFrame, n: int, exact_bytes: int, packed_bytes: int):
+        self.exact, self.packed = n * 8 <= exact_bytes, None
+        self.blocks = max(1, n * BITS // BLOCK_BITS)
+        size = self.blocks * (BLOCK_BITS // BYTE_BITS)
+        self.usable = self.exact or size <= packed_bytes
+        if self.exact:
+            self.values = [r[0] for r in hashes.collect()]  # at most exact_bytes / 8
+        elif self.usable:
+            h = F.col(hashes.columns[0])
+            one = lambda at: F.expr(f"shiftleft(1L, CAST({at} AS int))")
+            rows = (hashes.select(self._block(h).alias("block"), *(x.alias(f"b{j}") for j, x in enumerate(self._bits(h))))
+                    .groupBy("block").agg(F.bit_or(one("b0").bitwiseOR(one("b1"))).alias("bits")).collect())  # one row a block
+            packed = bytearray(size)
+            for r in rows:
+                for k in range(BLOCK_BITS // BYTE_BITS):
+                    packed[r["block"] * (BLOCK_BITS // BYTE_BITS) + k] = r["bits"] >> (BYTE_BITS * k) & 63
+            self.packed = F.lit(bytes(packed))  # one literal, used by every test
+
+    def _block(self, h: Column) -> Column:
+        return F.pmod(h, F.lit(self.blocks)).cast("int")
+
+    def _bits(self, h: Column) -> list:
+        return [F.pmod(F.xxhash64(h, F.lit(j)), F.lit(BLOCK_BITS)).cast("int") for j in range(2)]
+
+    def at(self, k: int):
+        """Whether the window of k words at a position may be in the set."""
+        return lambda i: self.holds(_anchor(i, k))
+
+    def holds(self, h: Column) -> Column:
+        if self.exact:
+            return h.isin(self.values)
+        out, begin = F.lit(True), self._block(h) * (BLOCK_BITS // BYTE_BITS) + 1
+        for at in self._bits(h):
+            byte = F.ascii(F.substring(self.packed, begin + F.floor(at / BYTE_BITS).cast("int"), F.lit(1)).cast("string"))
+            out = out & (F.getbit(byte.cast("long"), F.pmod(at, F.lit(BYTE_BITS))) == 1)
+        return out
 
 
 def test_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -50,7 +101,7 @@ def test_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text",
     parts = []
     for k in range(1, window + 1):
         own = items.where(F.size("words") >= k) if k == window else items.where(F.size("words") == k)
-        both = F.expr(f"transform({_all_positions(k)}, i -> struct(array_join(slice(words, i, {k}), ' ') AS gram, {_anchor('i', k)} AS anchor))")
+        both = F.transform(_all_positions(k), _gram_and_anchor(k))
         parts.append(own.select("item", F.lit(k).alias("k"), F.explode(both).alias("w")).select("item", "k", "w.gram", "w.anchor"))
     out = parts[0]
     for p in parts[1:]:
@@ -59,22 +110,25 @@ def test_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text",
 
 
 def document_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-                  item_text: str = "text", window: int = WINDOW, max_set: int = MAX_SET) -> DataFrame:
+                  item_text: str = "text", window: int = WINDOW, exact_bytes: int = EXACT_BYTES, packed_bytes: int = PACKED_BYTES,
+                  text_bytes: int = TEXT_BYTES) -> DataFrame:
     """One row a document: id, text_hash, n_words, hit (0-based positions of hit words), items (ascending strings)."""
     windows = test_windows(benchmark, item_key, item_text, window)
     grams = windows.select("k", "gram", "anchor").distinct()
-    small = grams.limit(max_set + 1).count() <= max_set
-    found = []
-    for k in sorted(r["k"] for r in windows.select("k").distinct().collect()):  # at most ``window`` values
+    counted = grams.groupBy("k").agg(F.count_distinct("anchor").alias("n"), F.sum(F.octet_length("gram") + 32).alias("bytes")).orderBy("k").collect()  # at most ``window`` rows
+    small = sum(r["bytes"] for r in counted) <= text_bytes
+    total, found = sum(r["n"] for r in counted), []
+    for k, n, _ in counted:
         positions = _all_positions(k)
-        if small:
-            known = ", ".join(f"{r[0]}L" if r[0] > -(1 << 63) else "(-9223372036854775807L - 1L)" for r in grams.where(F.col("k") == k).select("anchor").distinct().collect())
-            positions = f"filter({positions}, i -> {_anchor('i', k)} IN ({known}))"
+        # The sets of all lengths share the bytes.
+        known = HashSet(grams.where(F.col("k") == k).select("anchor").distinct(), n, exact_bytes * n // total, packed_bytes * n // total)
+        if known.usable:
+            positions = F.filter(positions, known.at(k))
         found.append(_windows_at(positions, k))
-    none = "CAST(array() AS array<struct<pos:int,k:int,gram:string>>)"
+    none = F.expr("CAST(array() AS array<struct<pos:int,k:int,gram:string>>)")
     worded = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), normal_words(F.col(text)).alias("words"))
     scanned = stored(worded.select("id", "text_hash", F.size("words").cast("long").alias("n_words"),
-                                   F.expr(f"concat({', '.join([none, *found])})").alias("at")), "scan")
+                                   F.concat(none, *found).alias("at")), "scan")
     texts = grams.select("gram").distinct()
     at = scanned.where(F.size("at") > 0).select("id", "text_hash", F.explode("at").alias("w")).select("id", "text_hash", "w.*")
     hits = stored(at.join(F.broadcast(texts) if small else texts, "gram").distinct(), "hits")
