@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docindex.llm import textvec as tv, tokens
+from docindex.operators.rank import range_partitions
 from docindex.session import scratch_path
 
 END, LEVELS, GAMMA = 0, 48, 2
@@ -108,6 +109,26 @@ class Index:
         self.prints, self.docs = take("<u4", n_docs), take("<i8", n_docs)
         self.rest_hashes, self.rest_docs = take("<u8", n_rest), take("<i8", n_rest)
 
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows of the documents with these key hashes, -1 where the fingerprint says that the key is not there."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        left, base = np.arange(len(hashes)), 0
+        prints = _fingerprints(hashes)
+        for level, bits in enumerate(self.sizes):
+            at = _at(hashes[left], level, int(bits)).astype(np.int64)
+            words, bit = self.words[base + at // 64], (at % 64).astype(np.uint64)
+            here = (words >> bit) & np.uint64(1) == 1
+            below = np.bitwise_count(words & ((np.uint64(1) << bit) - np.uint64(1))).astype(np.int64)
+            slot = (self.ranks[base + at // 64] + below)[here]
+            found = left[here]
+            out[found] = np.where(self.prints[slot] == prints[found], self.docs[slot], -1)
+            left, base = left[~here], base + int(bits) // 64
+        if len(left) and len(self.rest_hashes):
+            order = np.argsort(self.rest_hashes)
+            at = np.minimum(np.searchsorted(self.rest_hashes[order], hashes[left]), len(order) - 1)
+            out[left] = np.where(self.rest_hashes[order][at] == hashes[left], self.rest_docs[order][at], -1)
+        return out
+
     def row(self, key_hash: int) -> int:
         """Row of the document with this key's hash, or -1."""
         h = np.array([key_hash], dtype=np.uint64)
@@ -136,13 +157,13 @@ def write(docs: DataFrame, root: str | None = None, key: str = "doc_id", text: s
           end: int = END, shards: int | None = None) -> tuple[str, list]:
     """Write a store; returns its folder and the manifest, a list of rows in key order (one a shard).
 
-    ``shards`` defaults to the session's number of shuffle partitions; a shard's memory in a task is its documents'
-    keys and offsets (24 bytes a document), never its ids.
+    ``shards`` defaults to one for each 256 MB of input, and to the session's number of shuffle partitions at least; a
+    shard's memory in a task is its documents' keys and offsets (24 bytes a document), never its ids.
     """
     spark = docs.sparkSession
     root = root or scratch_path(spark, "token-files")
     path = tokenizer or tokens.default_path()
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shards or range_partitions(docs)
 
     def put(batches):
         context, shard = TaskContext.get(), TaskContext.get().partitionId()
@@ -191,8 +212,35 @@ def write(docs: DataFrame, root: str | None = None, key: str = "doc_id", text: s
     return root, sorted(rows, key=lambda r: r["shard"])  # one row a shard
 
 
+def _resolved(index: Index, keys: pa.Array, first: int, last_key, last_row: int) -> np.ndarray:
+    """The row of each key of a batch of documents (rows ``first`` on), found through the index.
+
+    The index knows the first row of a key; further rows of it follow one another. Null keys are not indexed and
+    stand in order at the front of a shard. ``last_key`` and ``last_row`` are those of the document before the batch.
+    """
+    own = np.arange(first, first + len(keys))
+    known = np.asarray(keys.is_valid())
+    hashes = key_hashes(keys.filter(pa.array(known)))
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    rows = np.zeros(len(hashes), dtype=np.int64)
+    rows[new] = index.rows(hashes[new])
+    heads = np.flatnonzero(new)
+    run = np.arange(len(hashes)) - np.repeat(heads, np.diff(np.append(heads, len(hashes))))
+    rows = np.repeat(rows[new], np.diff(np.append(heads, len(hashes)))) + run
+    out = own.copy()
+    out[known] = rows
+    if len(hashes) and last_key is not None and keys[0].as_py() == last_key:  # a key that goes on from the batch before
+        going = int(np.argmax(np.append(new[1:], True))) + 1
+        out[:going] = last_row + 1 + np.arange(going)
+    return out
+
+
 def read(spark: SparkSession, root: str, manifest: list, key: str = "doc_id", kind: str = "long", with_ids: bool = False) -> DataFrame:
-    """One row a document, from the files: key, start (over the whole store), n_tokens, ids_crc32[, ids]."""
+    """One row a document, from the files: key, start (over the whole store), n_tokens, ids_crc32[, ids].
+
+    Each shard's keys are resolved to their rows through its index, and the payload is read at the offsets of those rows.
+    """
     bases, total = {}, 0
     for r in manifest:
         bases[r["shard"]] = (total, r["width"])
@@ -204,12 +252,20 @@ def read(spark: SparkSession, root: str, manifest: list, key: str = "doc_id", ki
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 base, width = bases[shard]
-                with files.open_input_file(f"{folder}/{shard:05d}.docs") as source, files.open_input_stream(f"{folder}/{shard:05d}.ids") as payload:
-                    ipc = pa.ipc.open_file(source)
+                with files.open_input_file(f"{folder}/{shard:05d}.mph") as f:
+                    index = Index(f.read())
+                with files.open_input_file(f"{folder}/{shard:05d}.docs") as source, files.open_input_file(f"{folder}/{shard:05d}.ids") as payload:
+                    ipc, row, last_key = pa.ipc.open_file(source), 0, None
                     for k in range(ipc.num_record_batches):
                         rows = ipc.get_batch(k)
-                        lengths = rows.column(2).to_pylist()
-                        raw = [payload.read(n * width) for n in lengths]
+                        found = _resolved(index, rows.column(0), row, last_key, row - 1)
+                        if (found != np.arange(row, row + rows.num_rows)).any():
+                            raise ValueError(f"the index of shard {shard} does not lead to its documents")
+                        row, last_key = row + rows.num_rows, rows.column(0)[rows.num_rows - 1].as_py() if rows.num_rows else last_key
+                        lengths, starts = rows.column(2).to_pylist(), rows.column(1).to_pylist()
+                        # The documents of a batch stand together: one read, cut at each document's offset.
+                        whole = memoryview(payload.read_at((starts[-1] + lengths[-1] - starts[0]) * width, starts[0] * width)) if lengths else b""
+                        raw = [bytes(whole[(p - starts[0]) * width: (p - starts[0] + n) * width]) for p, n in zip(starts, lengths)]
                         sums = [zlib.crc32(np.frombuffer(x, f"<u{width}").astype("<u4").tobytes()) for x in raw]
                         columns = [rows.column(0), pa.array(rows.column(1).to_numpy() + base), rows.column(2), pa.array(sums, pa.int64())]
                         names = [key, "start", "n_tokens", "ids_crc32"]
@@ -252,6 +308,54 @@ def lookup(root: str, manifest: list, key) -> list:
     return out
 
 
+def lookup_all(keys: DataFrame, root: str, manifest: list, key: str = "doc_id") -> DataFrame:
+    """Rows (key, nr, ids as little-endian of the store's width) of every document with one of the keys.
+
+    Each key goes to the shards whose range holds it; a task loads an index once a shard and reads each document at its
+    offset, so the cost follows the keys that are asked for.
+    """
+    spark, kind = keys.sparkSession, keys.schema[key].dataType
+    if not manifest:
+        return spark.createDataFrame([], f"`{key}` {kind.simpleString()}, nr int, ids binary")
+    whole = kind.typeName() in ("long", "integer", "short", "byte")
+    ends = spark.createDataFrame([(r["shard"], r["least"], r["greatest"], r["n_docs"], r["width"]) for r in manifest if r["least"] is not None],
+                                 "shard int, least string, greatest string, n_docs long, width int")  # one row a shard
+    lo, hi = (F.col(c).cast("long") if whole else F.col(c) for c in ("least", "greatest"))
+    asked = keys.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    dealt = asked.join(F.broadcast(ends), F.col(key).between(lo, hi)).select(key, "shard", "n_docs", "width").repartition("shard").sortWithinPartitions("shard")
+
+    def get(batches):
+        files, folder = _files(root)
+        now, opened = None, []
+        try:
+            for batch in batches:
+                out = ([], [], [])
+                hashes = key_hashes(batch.column(0))
+                for k, (wanted, shard, n_docs, width) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)))):
+                    if shard != now:
+                        for f in opened:
+                            f.close()
+                        with files.open_input_file(f"{folder}/{shard:05d}.mph") as f:
+                            index = Index(f.read())
+                        opened = [files.open_input_file(f"{folder}/{shard:05d}.{x}") for x in ("docs", "ids")]
+                        now, ipc = shard, pa.ipc.open_file(opened[0])
+                    row, nr = int(index.rows(hashes[k: k + 1])[0]), 0
+                    while 0 <= row < n_docs:
+                        block, at = ipc.get_batch(row // 10_000), row % 10_000
+                        if block.column(0)[at].as_py() != wanted:
+                            break
+                        start, length = block.column(1)[at].as_py(), block.column(2)[at].as_py()
+                        for column, value in zip(out, (wanted, nr, opened[1].read_at(length * width, start * width))):
+                            column.append(value)
+                        row, nr = row + 1, nr + 1
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], [key, "nr", "ids"])
+        finally:
+            for f in opened:
+                f.close()
+
+    return dealt.mapInArrow(tv.returning(get), f"`{key}` {kind.simpleString()}, nr int, ids binary")
+
+
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Write a store in the shared folder and read every document back from its files."""
     root, manifest = write(docs, None, key, text, **options)
