@@ -41,24 +41,38 @@ _HOSTS = frozenset("foreignobject mtext mi mo mn ms".split())
 _BREAKOUT = frozenset("""article aside b big blockquote body br center code dd div dl dt em embed figure footer form h1 h2 h3 h4 h5 h6 head header hr i img
 li listing main menu meta nav nobr ol p pre ruby s section small span strong strike sub sup table tt u ul var""".split())
 _UNQUOTED = re.compile(r"""=\s*[^\s"'>]+$""")  # a slash at the end of such a value closes nothing
-_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset("""a abbr acronym b bdi bdo big br button cite code data del dfn em font i img ins kbd label mark nobr output picture q rb rp rt rtc ruby
+    s samp small span strike strong sub sup time tt u var wbr""".split())
+
+
+def _is_inline(tag: str) -> bool:
+    """Inline elements do not end a block; elements of a page's own (their names have a hyphen) are inline as well."""
+    return tag in _INLINE or "-" in tag
+
+
 #: A start tag closes open tags of these names, up to the nearest of the barriers.
 _CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "tbody": "tr td th thead"}
 _BARRIER = frozenset("ul ol dl table select body".split())
 
 #: Words in class, id and role that tell what a part of a page is for.
 GROUPS = {
-    "nav": "nav navbar navigation menu breadcrumb breadcrumbs toc pager pagination tabs skip",
-    "header": "header masthead topbar head",
-    "footer": "footer foot copyright colophon legal contentinfo imprint",
-    "side": "sidebar aside side rail widget related recommended trending popular complementary teaser",
-    "ad": "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner adsense outbrain taboola",
-    "notice": "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe paywall disclaimer toast dialog",
-    "comment": "comment comments commentlist reply replies disqus respond discussion",
+    "nav": "nav navbar navigation menu breadcrumb breadcrumbs toc pager pagination tabs skip navi navegacion menue",
+    "header": "header masthead topbar head kopf kopfzeile kopfbereich entete cabecera encabezado",
+    "footer": "footer foot copyright colophon legal contentinfo imprint fuss fusszeile fussbereich impressum pied piedpage pie",
+    "side": "sidebar aside side rail widget related recommended trending popular complementary teaser seitenleiste randspalte marginale barralateral lateral",
+    "ad": "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner adsense outbrain taboola werbung anzeige anzeigen publicite pub publicidad anuncio",
+    "notice": "cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe paywall disclaimer toast dialog hinweis avis aviso",
+    "comment": "comment comments commentlist reply replies disqus respond discussion kommentar kommentare commentaire commentaires comentario comentarios",
     "form": "form search searchbox login signup register",
     "share": "share social sharing follow",
     "main": "article content main post entry story",
 }
+#: Words that may follow a group's word in a name; after any other word ("related-work") the name tells nothing.
+_STRUCTURE = frozenset("""area articles bar block body bottom box btn button buttons center col column container content desktop div entry field footer fixed grid group
+    header holder icons id inner item items left link links list main mobile module news outer page panel posts primary reading right row secondary section sec
+    side site slot small stories sticky strip text thread title top unit view widget widgets wrap wrapper zone form input""".split())
+#: Names that make an <aside> a part of the text.
+_QUOTED = frozenset("pullquote quote blockquote callout infobox factbox footnote footnotes epigraph".split())
 _GROUP_OF = {w: g for g, words in GROUPS.items() for w in words.split()}
 _TAG_GROUP = {"nav": "nav", "menu": "nav", "header": "header", "footer": "footer", "aside": "side", "form": "form", "button": "form", "select": "form",
               "label": "form", "fieldset": "form", "textarea": "form", "dialog": "notice", "article": "main", "main": "main", "head": "head", "title": "head"}
@@ -79,7 +93,11 @@ def _groups(tag: str, attributes: str) -> list:
             if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 out.append("hidden")
             elif name in ("class", "id", "role"):
-                named = [_GROUP_OF[w] for w in _TOKEN.findall(value) if w in _GROUP_OF]
+                parts = [_TOKEN.findall(one) for one in value.split()]
+                if tag == "aside" and any(w in _QUOTED for words in parts for w in words):
+                    out = [g for g in out if g != "side"]
+                named = [_GROUP_OF[w] for words in parts for k, w in enumerate(words)
+                         if w in _GROUP_OF and all(x in _GROUP_OF or x in _STRUCTURE or len(x) == 1 for x in words[k + 1:])]
                 # "article-comments", "content-sidebar": the part that is not main text tells more.
                 out += sorted(named, key=lambda g: g != "main")
     return out
@@ -114,7 +132,7 @@ def blocks(page: str) -> list:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                leaf = next((t for t, _, _ in reversed(stack) if t not in _INLINE), "")
+                leaf = next((t for t, _, _ in reversed(stack) if not _is_inline(t)), "")
                 out.append((text, stack[-1][1], stack[-1][2], _LEAF.get(leaf, 0), links))
             parts.clear()
         links = 0
@@ -159,7 +177,7 @@ def blocks(page: str) -> list:
         if foreign and tag == "foreignobject":
             flush()
         inside = foreign and not open_tags.get("foreignobject") and tag not in _BREAKOUT and not (closing and open_tags.get(tag) and tag in _LEAF)
-        inline = tag in _INLINE or tag in _EMBED or inside
+        inline = _is_inline(tag) or tag in _EMBED or inside
         if not inline and tag not in _RAW:
             flush()
         elif tag == "br" or foreign == "svg" and tag == "text":
@@ -180,7 +198,7 @@ def blocks(page: str) -> list:
             continue
         if empty and (inside or tag in _EMBED):
             continue
-        if tag in _VOID or attributes.endswith("/") and tag not in _INLINE and tag not in _LEAF:
+        if tag in _VOID or attributes.endswith("/") and not _is_inline(tag) and tag not in _LEAF:
             continue
         if not inline and open_tags.get("p"):  # a block-level tag ends an open paragraph
             close("p")
