@@ -1,5 +1,7 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, an empty table and clashing column names."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -56,8 +58,30 @@ def test_near_duplicates(odd):
     assert by[7]["component_id"] == 6 and all(r["kept"] and r["component_id"] is None for r in rows if r["doc_id"] is None)
     kept = setsketch_dedup.keep_one(odd, shingle=2)
     assert sorted(kept.columns) == sorted(odd.columns)
-    assert _ids(kept.collect()) == [(False, i) for i in (1, 2, 3, 4, 6, 8, 9, 10)] + [(True, 0)] * 2
-    assert setsketch_dedup.near_duplicates(odd.limit(0)).count() == 0
+    # Both texts under id 9 stay: they have nothing in common.
+    assert _ids(kept.collect()) == [(False, i) for i in (1, 2, 3, 4, 6, 8, 9, 9, 10)] + [(True, 0)] * 2
+    assert setsketch_dedup.near_duplicates(odd.limit(0)).count() == 0 and setsketch_dedup.keep_one(odd.limit(0)).count() == 0
+
+
+def test_near_duplicates_by_rows_and_string_ids(spark):
+    text = "one text that stands three times without an id and once with one"
+    rows = [(None, text, 1), (None, text, 2), (None, text, 3), ("doc/7", text, 4), ("doc/10", text + " end", 5), ("doc/7", "quite another text under the same id", 6),
+            ("doc/8", None, 7), ("doc/8", "", 8), (None, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, nr int")
+    assert sorted(r["nr"] for r in setsketch_dedup.keep_one(docs, shingle=2).collect()) == [5, 6, 7, 8, 9]
+    out = {(r["doc_id"], r["component_id"], r["kept"]) for r in setsketch_dedup.near_duplicates(docs, shingle=2).collect()}
+    assert ("doc/10", "doc/10", True) in out and ("doc/7", "doc/10", False) in out and (None, None, True) in out
+
+
+def test_registers_of_a_union_are_the_maxima_of_its_parts():
+    import numpy as np
+
+    rnd = np.random.default_rng(7)
+    for n in (1, 2, 5, 40, 3000):
+        both = rnd.integers(0, 1 << 63, size=2 * n, dtype=np.uint64)
+        part = lambda *sets: setsketch_dedup.sketches(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]))
+        a, b = part(both[:n], both[n:])
+        assert (part(both)[0] == np.maximum(a, b)).all()
 
 
 def test_personal_data(odd):
@@ -114,6 +138,34 @@ def test_token_files(spark, odd):
     assert len(token_files.lookup(root, manifest, 9)) == 2 and len(token_files.lookup(root, manifest, 8)) == 2
     assert token_files.lookup(root, manifest, 1)[0].tolist() == [0] and token_files.lookup(root, manifest, 77) == []
     assert token_files.report(odd.limit(0)).count() == 0
+    asked = spark.createDataFrame([(9,), (8,), (1,), (77,), (None,), (9,)], "doc_id long")
+    got = sorted((r["doc_id"], r["nr"], len(r["ids"]) // manifest[0]["width"]) for r in token_files.lookup_all(asked, root, manifest).collect())
+    assert [g[:2] for g in got] == [(1, 0), (8, 0), (8, 1), (9, 0), (9, 1)] and got[0][2] == 1
+
+
+def test_a_fault_of_the_index_is_seen(spark, odd):
+    import glob
+
+    root, manifest = token_files.write(odd, shards=1)
+    path = glob.glob(f"{root.removeprefix('file:')}/*.mph")[0]
+    good = bytearray(open(path, "rb").read())
+    n = sum(r["n_docs"] for r in manifest)
+    index = token_files.Index(bytes(good))
+    at = bytes(good).rindex(index.docs.tobytes())
+    good[at: at + 8 * len(index.docs)] = index.docs[::-1].tobytes()
+    open(path, "wb").write(good)
+    with pytest.raises(Exception, match="does not lead to its documents"):
+        token_files.read(spark, root, manifest).collect()
+    assert n == len(ROWS)
+
+
+def test_keys_with_many_rows_across_batches(spark):
+    """A repeated key whose rows go on over the batches of the document table."""
+    docs = spark.range(25_000).selectExpr("IF(id < 200, CAST(NULL AS long), IF(id < 23000, 5L, id)) AS doc_id", "concat('text ', id) AS text")
+    root, manifest = token_files.write(docs, shards=1)
+    rows = token_files.read(spark, root, manifest).collect()
+    assert len(rows) == 25_000 and sum(r["doc_id"] == 5 for r in rows) == 22_800
+    assert token_files.lookup_all(spark.createDataFrame([(5,), (24_999,)], "doc_id long"), root, manifest).count() == 22_801
 
 
 def test_string_keys(spark, odd):
@@ -136,7 +188,30 @@ def test_decontamination(odd, bench):
 
 def test_decontamination_beyond_the_set(odd, bench):
     key = lambda df: sorted(map(tuple, df.collect()), key=repr)
-    assert key(decontaminate.report(odd, bench, max_set=0)) == key(decontaminate.report(odd, bench))
+    want = key(decontaminate.report(odd, bench))
+    assert key(decontaminate.report(odd, bench, exact_bytes=0)) == want  # packed bits
+    assert key(decontaminate.report(odd, bench, exact_bytes=0, packed_bytes=0, text_bytes=0)) == want  # every position by a shuffle join
+
+
+def test_decontamination_with_many_windows(spark):
+    """200,000 windows: the packed set still decides which positions go on, and the rows are right."""
+    from tests.llm import brute
+
+    rnd = random.Random(8)
+    words = lambda n: " ".join(f"w{rnd.randrange(20_000)}x" for _ in range(n))
+    items = [(i, words(212)) for i in range(1000)]
+    docs = [(i, words(120)) for i in range(60)]
+    docs += [(1000 + i, " ".join(["start", *items[i][1].split()[20: 20 + 12 + i % 3], "end"])) for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in decontaminate.report(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == brute.contamination(docs, items)
+    windows = decontaminate.test_windows(bench)
+    n = windows.select("anchor").distinct().count()
+    known = decontaminate.HashSet(windows.select("anchor").distinct(), n, decontaminate.EXACT_BYTES, decontaminate.PACKED_BYTES)
+    assert n > 150_000 and known.usable and not known.exact
+    assert windows.where(~known.holds(chat_format.F.col("anchor"))).count() == 0
+    others = spark.range(200_000).select(chat_format.F.xxhash64("id").alias("h"))
+    assert others.where(known.holds(chat_format.F.col("h"))).count() < 0.02 * 200_000
 
 
 def test_packing(odd):

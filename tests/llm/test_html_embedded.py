@@ -37,3 +37,27 @@ def model():
 def test_nothing_is_swallowed(model, inner, want):
     page = f"<body>{NAV}<article><p>{FIRST}</p>{inner}<p>{LAST}</p></article><footer>Imprint</footer></body>"
     assert html_crf.main_texts([page], model) == [f"{FIRST}\n{want}\n{LAST}"]
+
+
+def test_inline_elements_cut_no_block(spark):
+    body = "<p>The <ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby> sign, the <label>name</label> of <my-term>a thing</my-term>, <nobr>kept</nobr> in <output>one</output> line of text.</p>"
+    html = "<html><body><article><h1>About signs</h1>" + body + "<p>A second paragraph follows the first one here.</p></article></body></html>"
+    out = html_crf.extract(spark.createDataFrame([(1, html)], "page_id long, html string")).first()["text"]
+    assert "The 漢(kan) sign, the name of a thing, kept in one line of text." in out.split("\n")
+
+
+@pytest.mark.parametrize("before, after", [('<p class="related-work">', "</p>"), ('<div class="notice-board"><p>', "</p></div>"), ('<aside class="pullquote"><p>', "</p></aside>"),
+                                           ('<p class="comment-worthy">', "</p>"), ('<section id="popular-science"><p>', "</p></section>")])
+def test_names_of_more_than_one_word_drop_no_paragraph(spark, before, after):
+    inside = "A paragraph that belongs to the article and says something of its own."
+    html = f"<html><body>{NAV}<article><h1>Heading</h1><p>{FIRST}</p>{before}{inside}{after}<p>{LAST}</p></article><footer>Imprint</footer></body></html>"
+    out = html_crf.extract(spark.createDataFrame([(1, html)], "page_id long, html string")).first()["text"].split("\n")
+    assert inside in out and FIRST in out and LAST in out and "Imprint" not in out
+
+
+@pytest.mark.parametrize("name", ["kopf", "fuss", "werbung", "kommentare", "pied-page", "publicidad", "site-header", "related-posts", "cookie-notice", "ad-slot-3"])
+def test_layout_of_other_languages_goes(spark, name):
+    noise = "Words of the layout that stand on each page of the site, whatever it says."
+    html = f"<html><body>{NAV}<div class='content'><h1>Heading</h1><p>{FIRST}</p><p>{LAST}</p></div><div class='{name}'><p>{noise}</p></div></body></html>"
+    out = html_crf.extract(spark.createDataFrame([(1, html)], "page_id long, html string")).first()["text"]
+    assert noise not in out and FIRST in out and LAST in out
