@@ -8,6 +8,13 @@ lower-cased; offsets count code points; positions start at 0; a token made of
 digits only has type ``<NUM>``, any other ``<ALPHANUM>``. Apostrophes split
 words and CJK text is not segmented per character.
 
+The unicode analyzer follows the word-break rules of Unicode's UAX #29: combining
+marks, joiners and format characters belong to the letter before them; an
+apostrophe, a full stop or a colon between two letters, and a full stop or a comma between
+two digits, do not break; connectors (``_``) join; every ideograph and hiragana
+is a token of its own, a run of katakana is one. It has no dictionary for scripts
+without spaces (Thai and its like are runs), and a token ends after ``MIDS`` inner marks.
+
 Everything is JVM expressions. The token end offsets are a prefix sum over an
 array, which Spark SQL lacks: ``prefix_sum`` builds it from aggregates over runs
 of the array, so no window and no shuffle is needed and analysis is a pure
@@ -29,6 +36,17 @@ STANDARD_PAIR = r"([^\p{L}\p{N}]*)([\p{L}\p{N}]+)"
 WHITESPACE_PAIR = r"(\s*)(\S+)"
 NUMERIC_TOKEN = r"^\p{N}+$"
 
+# Characters that do not break between two letters, between two digits, or in either place (UAX #29).
+MID_LETTER, MID_NUMBER, MID_BOTH = ":\u00b7\u0387\u05f4\u2027\ufe13\ufe55\uff1a", ",;\u037e\u0589\u060c\u060d\u066c\u07f8\u2044\ufe10\ufe14\ufe50\ufe54\uff0c\uff1b", ".'\u2018\u2019\u2024\ufe52\uff07\uff0e"
+MIDS = 200  # the pattern engine recurses once for each, so their number in a token is bounded
+_ALONE = r"\p{IsHan}\p{IsHiragana}"
+_LETTER = r"[\p{L}\p{Nl}&&[^" + _ALONE + r"\p{IsKatakana}]]"
+_REST = r"[\p{L}\p{Nl}\p{Nd}\p{M}\p{Cf}\p{Pc}&&[^" + _ALONE + r"\p{IsKatakana}]]*+"
+UNICODE_TOKEN = (r"\p{Pc}*+(?:" + _LETTER + r"|\p{Nd})" + _REST
+                 + rf"(?:(?:(?<=[\p{{L}}\p{{M}}\p{{Cf}}])[{MID_LETTER}{MID_BOTH}](?={_LETTER})|(?<=[\p{{Nd}}\p{{M}}\p{{Cf}}])[{MID_NUMBER}{MID_BOTH}](?=\p{{Nd}}))" + _REST + rf"){{0,{MIDS}}}"
+                 + r"|\p{IsKatakana}[\p{IsKatakana}\u30fc\p{M}\p{Pc}]*+|[" + _ALONE + r"]\p{M}*+")
+UNICODE_PAIR = r"(?s)(.*?)(" + UNICODE_TOKEN + r"|\z)"  # what follows the last token is one more pair, of an empty token
+
 TOKEN_SCHEMA = ("_index string, _id string, field string, token string, start_offset int, "
                 "end_offset int, type string, position int")
 
@@ -89,7 +107,7 @@ def _pair_tokens(df: DataFrame, key_cols: list[str], field: str, pair_pattern: s
     lens = F.zip_with(seps, toks, lambda s, t: F.length(s) + F.length(t))
     staged = df.select(*key_cols, toks.alias("_toks"), prefix_sum(lens).alias("_ends"))
     exploded = staged.select(*key_cols, F.posexplode(F.arrays_zip(F.col("_toks").alias("t"),
-                                                                  F.col("_ends").alias("e"))).alias("position", "z"))
+                                                                  F.col("_ends").alias("e"))).alias("position", "z")).where("z.t <> ''")
     tok = F.col("z.t")
     ttype = (F.when(tok.rlike(NUMERIC_TOKEN), F.lit(TYPE_NUM)).otherwise(F.lit(TYPE_ALPHANUM))
              if typed else F.lit(TYPE_WORD))
@@ -106,10 +124,12 @@ def _pair_tokens(df: DataFrame, key_cols: list[str], field: str, pair_pattern: s
 
 def analyze(df: DataFrame, text_col: str, analyzer: str = "standard",
             key_cols: list[str] | None = None) -> DataFrame:
-    """Token rows of ``text_col`` with the named analyzer."""
+    """Token rows of ``text_col`` with the named analyzer (standard, unicode, whitespace, keyword)."""
     key_cols = key_cols if key_cols is not None else [c for c in ("_index", "_id") if c in df.columns]
     if analyzer == "standard":
         return _pair_tokens(df, key_cols, text_col, STANDARD_PAIR, lowercase=True, typed=True)
+    if analyzer == "unicode":
+        return _pair_tokens(df, key_cols, text_col, UNICODE_PAIR, lowercase=True, typed=True)
     if analyzer == "whitespace":
         return _pair_tokens(df, key_cols, text_col, WHITESPACE_PAIR, lowercase=False, typed=False)
     if analyzer == "keyword":

@@ -196,7 +196,8 @@ def infer_mapping(df: DataFrame, json_col: str) -> DataFrame:
     """M2: field inventory of schema-less JSON documents.
 
     Rows ``field, type, docs``: how many documents hold the field (a dotted path for fields inside objects, ``path[]``
-    for the elements of an array) with that observed type, at any depth. Null values are not counted (dynamic
+    for the elements of an array; a dot, bracket or backslash in a name itself has a backslash before it) with that
+    observed type, at any depth. Null values are not counted (dynamic
     mapping ignores them); texts that are not JSON objects are left to ``infer_rejects``.
 
     Walked level by level: a level's objects and arrays are exploded once, counted by (field, type) with partial
@@ -213,6 +214,7 @@ def infer_mapping(df: DataFrame, json_col: str) -> DataFrame:
         kind = F.schema_of_variant("v")
         objects = (level.where(kind.startswith("OBJECT"))
                    .select("doc", "path", "many", F.explode(F.col("v").cast("map<string,variant>")).alias("key", "v"))
+                   .withColumn("key", F.regexp_replace("key", r"([.\[\]\\])", r"\\$1"))
                    .select("doc", F.when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key")).alias("path"), "many", "v"))
         arrays = (level.where(kind.startswith("ARRAY"))
                   .select("doc", F.concat("path", F.lit("[]")).alias("path"), F.lit(True).alias("many"), F.explode(F.col("v").cast("array<variant>")).alias("v")))

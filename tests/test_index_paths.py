@@ -204,3 +204,9 @@ def test_keyless_ops_have_items_in_every_chunk(spark):
     versioned = ops.withColumn("version", F.lit(3).cast("long"))
     for res in (write.write_external(None, versioned, chunk_rows=2), write.write_internal(None, versioned, chunk_rows=2), write.write_force(None, versioned, chunk_rows=2)):
         assert res.items.count() == 6
+
+
+def test_names_with_dots_are_told_from_paths(spark):
+    df = spark.createDataFrame([('{"a.b":1,"a":{"b":2}}',), ('{"a":{"b":3},"c[]":[1]}',)], "j string")
+    got = sorted((r["field"], r["type"], r["docs"]) for r in mapping.infer_mapping(df, "j").collect())
+    assert got == [("a", "object", 2), ("a.b", "long", 2), ("a\\.b", "long", 1), ("c\\[\\]", "array", 1), ("c\\[\\][]", "long", 1)]
