@@ -64,6 +64,8 @@ class HashSet:
         self.usable = self.exact or size <= packed_bytes
         if self.exact:
             self.values = [r[0] for r in hashes.collect()]  # at most exact_bytes / 8
+            least = "(-9223372036854775807L - 1L)"  # the one long that SQL cannot spell
+            self.listed = ", ".join(f"{v}L" if v > -(1 << 63) else least for v in self.values) or "NULL"
         elif self.usable:
             h = F.col(hashes.columns[0])
             one = lambda at: F.expr(f"shiftleft(1L, CAST({at} AS int))")
@@ -81,13 +83,17 @@ class HashSet:
     def _bits(self, h: Column) -> list:
         return [F.pmod(F.xxhash64(h, F.lit(j)), F.lit(BLOCK_BITS)).cast("int") for j in range(2)]
 
-    def at(self, k: int):
-        """Whether the window of k words at a position may be in the set."""
-        return lambda i: self.holds(_anchor(i, k))
+    def among(self, k: int) -> Column:
+        """The positions whose windows of k words may be in the set."""
+        if not self.exact:
+            return F.filter(_all_positions(k), lambda i: self.holds(_anchor(i, k)))
+        # As SQL text: a long list of values is one parse there, and a call to the JVM each otherwise.
+        positions = f"IF(size(words) >= {k}, sequence(1, size(words) - {k - 1}), CAST(array() AS array<int>))"
+        anchor = f"xxhash64(words[i - 1], words[i - 1 + {k // 2}], words[i + {k - 2}])"
+        return F.expr(f"filter({positions}, i -> {anchor} IN ({self.listed}))")
 
     def holds(self, h: Column) -> Column:
-        if self.exact:
-            return h.isin(self.values)
+        """Whether a hash may be in the packed set."""
         out, begin = F.lit(True), self._block(h) * (BLOCK_BITS // BYTE_BITS) + 1
         for at in self._bits(h):
             byte = F.ascii(F.substring(self.packed, begin + F.floor(at / BYTE_BITS).cast("int"), F.lit(1)).cast("string"))
@@ -119,12 +125,9 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     small = sum(r["bytes"] for r in counted) <= text_bytes
     total, found = sum(r["n"] for r in counted), []
     for k, n, _ in counted:
-        positions = _all_positions(k)
         # The sets of all lengths share the bytes.
         known = HashSet(grams.where(F.col("k") == k).select("anchor").distinct(), n, exact_bytes * n // total, packed_bytes * n // total)
-        if known.usable:
-            positions = F.filter(positions, known.at(k))
-        found.append(_windows_at(positions, k))
+        found.append(_windows_at(known.among(k) if known.usable else _all_positions(k), k))
     none = F.expr("CAST(array() AS array<struct<pos:int,k:int,gram:string>>)")
     worded = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), normal_words(F.col(text)).alias("words"))
     scanned = stored(worded.select("id", "text_hash", F.size("words").cast("long").alias("n_words"),
