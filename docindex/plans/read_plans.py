@@ -203,8 +203,9 @@ def t1_analyze_standard(spark, sf):
 
 
 # The same rules without look-around, for text of letters with case: letters with inner marks, numbers with theirs, connectors.
+_DOT = ":\u00b7"
 _MIDS = "." + "''" + "\u2018\u2019"
-_UNI = rf"(?s)(.*?)(\p{{Pc}}*(?:\p{{L}}[\p{{L}}\p{{M}}]*(?:[{_MIDS}:\u00b7]\p{{L}}[\p{{L}}\p{{M}}]*)*|\p{{Nd}}+(?:[{_MIDS},;]\p{{Nd}}+)*)(?:\p{{L}}[\p{{L}}\p{{M}}]*(?:[{_MIDS}:\u00b7]\p{{L}}[\p{{L}}\p{{M}}]*)*|\p{{Nd}}+(?:[{_MIDS},;]\p{{Nd}}+)*|\p{{Pc}})*)"
+_UNI = rf"(?s)(.*?)(\p{{Pc}}*(?:\p{{L}}[\p{{L}}\p{{M}}]*(?:[{_MIDS}{_DOT}]\p{{L}}[\p{{L}}\p{{M}}]*)*|\p{{Nd}}+(?:[{_MIDS},;]\p{{Nd}}+)*)(?:\p{{L}}[\p{{L}}\p{{M}}]*(?:[{_MIDS}{_DOT}]\p{{L}}[\p{{L}}\p{{M}}]*)*|\p{{Nd}}+(?:[{_MIDS},;]\p{{Nd}}+)*|\p{{Pc}})*)"
 
 
 @register("t1_analyze_unicode", _t_sql("text", _UNI, "lower(tok)", r"CASE WHEN regexp_full_match(tok, '\p{N}+') THEN '<NUM>' ELSE '<ALPHANUM>' END"))
