@@ -96,9 +96,11 @@ class KeysetScroll:
     def of(cls, df: DataFrame, order: list, path: str | None = None) -> "KeysetScroll":
         spark, path = df.sparkSession, path or scratch_path(df.sparkSession, "scroll")
         cols = sort_columns(order)
-        (df.repartitionByRange(range_partitions(df), *cols).sortWithinPartitions(*cols).withColumn("_range", F.spark_partition_id())
-         .write.partitionBy("_range").parquet(path))
-        out = cls(spark, path, T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())]), order, [])
+        place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+        (df.repartitionByRange(range_partitions(df), *cols).sortWithinPartitions(*cols)
+         .withColumn("_place", place).withColumn("_range", F.spark_partition_id()).write.partitionBy("_range").parquet(path))
+        added = [T.StructField("_place", T.LongType()), T.StructField("_range", T.IntegerType())]
+        out = cls(spark, path, T.StructType([*df.schema.fields, *added]), order, [])
         out.counts = [tuple(r) for r in out._rows().groupBy("_range").count().orderBy("_range").collect()]
         return out
 
@@ -109,18 +111,28 @@ class KeysetScroll:
         """The first ``size`` rows after ``cursor`` (None: from the start), with their range.
 
         A cursor is a row's range and sort key. Only the folders from its range on that hold ``size`` more rows are read.
+        The page is cut by the rows' places in their ranges, so a page of any size is sorted by many tasks.
         """
-        start = cursor[0] if cursor else -1
-        read, found = [], 0
+        start, skip = (cursor[0], self._passed(*cursor)) if cursor else (-1, 0)
+        read, left, last = [], size, None
         for part, rows in self.counts:
-            if part < start or found >= size:
+            if part < start or left <= 0:
                 continue
+            first = skip if part == start else 0
             read.append(part)
-            found += rows if part > start else 0
+            left, last = left - (rows - first), (part, first + left)
         df = self._rows().where(F.col("_range").isin(read) if read else F.lit(False))
         if cursor:
-            df = df.where((F.col("_range") > start) | after(self.order, cursor[1]))
-        return df.orderBy(*sort_columns(self.order)).limit(size)
+            df = df.where((F.col("_range") > start) | (F.col("_place") >= skip))
+        if last:
+            df = df.where((F.col("_range") < last[0]) | (F.col("_place") < last[1]))
+        df = df.orderBy(*sort_columns(self.order))
+        return (df.limit(size) if size <= SORTED else df).drop("_place")
+
+    def _passed(self, part: int, values) -> int:
+        """How many rows of a range lie up to the key ``values``: rows that are equal to it count as well."""
+        rows = self._rows().where(F.col("_range") == part)
+        return rows.where(~after(self.order, values)).count()
 
     def cursor_after(self, page: DataFrame) -> tuple | None:
         """The cursor behind a page's last row; None for an empty page."""
