@@ -8,7 +8,6 @@ sink read back, so the driver sees a static frame.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docindex import fixtures as fx
 from docindex.operators import search as S
@@ -188,13 +187,9 @@ def s2_bulk_stateful(spark, sf):
 SELECT * EXCLUDE (shard), shard, 0 AS consumer FROM docs WHERE NOT _deleted AND lang = 'fr'
 UNION ALL SELECT * EXCLUDE (shard), shard, 1 FROM docs WHERE NOT _deleted AND lang = 'fr'""")
 def s4_search_stream(spark, sf):
-    docs = fx.docs(spark, sf)
-    src = scratch_path(spark, "docs-stream")
-    for i, part in enumerate([F.col("lang").isin("en", "de"), ~F.col("lang").isin("en", "de")]):
-        docs.where(part).coalesce(1).write.mode("overwrite").parquet(f"{src}/p={i}")
-    stream = spark.readStream.schema(docs.schema.add("p", T.IntegerType())).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = fx.docs_stream(spark, sf)
     sinks = [scratch_path(spark, "hits"), scratch_path(spark, "hits")]
-    qs = SB.search_stream(stream.drop("p"), F.col("lang") == "fr", sinks,
+    qs = SB.search_stream(stream, F.col("lang") == "fr", sinks,
                           [scratch_path(spark, "ckpt"), scratch_path(spark, "ckpt")])
     for q in qs:
         q.awaitTermination()

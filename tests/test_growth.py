@@ -1,7 +1,11 @@
 """What grows with the input stays in many tasks and few passes: the steps that larger tables would have stopped."""
 
+import pytest
+from pyspark.sql import functions as F
 
+from docindex import fixtures as fx
 from docindex.operators import pages
+from docindex.session import scratch_path
 
 
 def files(spark, path):
@@ -21,3 +25,22 @@ def test_a_large_page_is_cut_without_a_limit(spark, monkeypatch):
         assert "Limit" not in shown and "TakeOrdered" not in shown
     want = [r["k"] for r in df.orderBy(*pages.sort_columns(order)).collect()]
     assert [r["k"] for r in first.collect()] == want[:60] and [r["k"] for r in second.collect()] == want[60:120]
+
+
+@pytest.fixture
+def split_docs(spark, sf_dir):
+    """The documents in nine files."""
+    path = scratch_path(spark, "tables")
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(9).write.parquet(f"{path}/documents.parquet")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task a file
+    yield path
+    spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_a_document_stream_has_many_files_and_two_batches(spark, split_docs):
+    stream, seen = fx.docs_stream(spark, split_docs), []
+    query = stream.writeStream.foreachBatch(lambda batch, _: seen.append((batch.select(F.input_file_name()).distinct().count(), batch.count())))
+    query.option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 2 and min(n for n, _ in seen) > 1
+    assert sum(rows for _, rows in seen) == fx.docs(spark, split_docs).where("lang is not null").count()
