@@ -168,13 +168,9 @@ SELECT t.term AS query, _index, _id FROM tok t JOIN top USING (term)
 UNION ALL SELECT a.term || '+' || b.term, x._index, x._id FROM top a JOIN top b ON b.rn = a.rn + 1
   JOIN tok x ON x.term = a.term JOIN tok y ON y.term = b.term AND y._index = x._index AND y._id = x._id""")
 def s4_percolate(spark, sf):
-    """199 standing queries over the documents as a stream of two files; the source is read once."""
-    docs = fx.docs(spark, sf)
-    src, out = scratch_path(spark, "docs-stream"), scratch_path(spark, "hits")
-    for i, part in enumerate([F.col("lang").isin("en", "de"), ~F.col("lang").isin("en", "de")]):
-        docs.where(part).write.parquet(f"{src}/{i}")
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    P.percolate_stream(stream, _standing(docs), "text", out, scratch_path(spark, "ckpt")).awaitTermination()
+    """199 standing queries over the documents as a stream of two micro-batches; the source is read once."""
+    out = scratch_path(spark, "hits")
+    P.percolate_stream(fx.docs_stream(spark, sf), _standing(fx.docs(spark, sf)), "text", out, scratch_path(spark, "ckpt")).awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
 
