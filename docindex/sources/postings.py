@@ -2,8 +2,9 @@
 
 Layout under ``root``: ``postings/b=<bucket>/`` holds one row per (term, document) with its frequency and the document's
 length, in the bucket of the term's hash; ``stats`` one row per (index, shard) with documents and total length. A query
-reads the buckets of its terms only and never the texts. A very common term is one row per document that holds it,
-written by as many tasks as the rebalance needs.
+reads the buckets of its terms only and never the texts. Documents are dealt into segments, and the task of a segment
+writes one file a bucket, sorted by term: the texts are shuffled once, the postings never. A very common term is one row
+per document that holds it, in the files of all segments.
 
 Documents are dealt into blocks by their length class and a hash, about ``BLOCK_DOCS`` each, and ``blocks/b=<bucket>/``
 holds one row per (term, block): documents, greatest frequency, least length. From these few rows ``bm25_top`` bounds the
@@ -20,11 +21,12 @@ from pyspark.sql import functions as F
 from docindex.functions.analyze import standard_tokens
 from docindex.functions.route import route
 from docindex.functions.scoring import B, K1
-from docindex.operators.rank import materialize
+from docindex.operators.rank import input_bytes, materialize
 
 KEY = ["_index", "_id", "shard"]
 BLOCK_DOCS = 128
 LENGTH_CLASSES = 4  # a doubling of the length
+SEGMENT_BYTES = 16 << 20  # input bytes whose postings one task writes, about
 
 
 def _block(parts: int):
@@ -37,6 +39,11 @@ def _bucket(term, buckets: int):
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _segments(df: DataFrame) -> int:
+    """Tasks that write a token table, each a file a bucket: by the bytes of the input."""
+    return max(1, -(-input_bytes(df) // SEGMENT_BYTES))
+
+
 def write_postings(df: DataFrame, field: str, root: str, buckets: int = 64, n_shards: int = 4) -> None:
     """Index the standard tokens of ``field`` for the live documents of ``df``; a null field has no tokens."""
     live = df.where(~F.col("_deleted")) if "_deleted" in df.columns else df
@@ -47,8 +54,11 @@ def write_postings(df: DataFrame, field: str, root: str, buckets: int = 64, n_sh
      .withColumn("buckets", F.lit(buckets)).write.parquet(f"{base}/stats"))
     docs = spark.read.parquet(f"{base}/stats").agg(F.sum("docs")).first()[0] or 0
     parts = max(1, docs // (8 * BLOCK_DOCS))  # lengths fall into eight classes or more
-    rows = tokens.select(*KEY, "dl", F.explode("t").alias("term")).groupBy("term", *KEY, "dl").agg(F.count(F.lit(1)).alias("tf"))
-    rows = rows.withColumn("block", _block(parts)).withColumn("b", _bucket(F.col("term"), buckets)).hint("rebalance", "b")
+    # Texts are dealt by document, so a document's terms are counted, sorted and written where it lies.
+    dealt = live.where(F.col(field).isNotNull()).select(*KEY, F.col(field).alias("text")).repartition(_segments(df), *KEY)
+    terms = dealt.select(*KEY, standard_tokens(F.col("text")).alias("t")).select(*KEY, F.size("t").cast("long").alias("dl"), F.explode("t").alias("term"))
+    rows = terms.groupBy(*KEY, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    rows = rows.select("term", *KEY, "dl", "tf", _block(parts).alias("block"), _bucket(F.col("term"), buckets).alias("b"))
     rows.sortWithinPartitions("b", "term", "block").write.partitionBy("b").parquet(f"{base}/postings")
     written = spark.read.schema(_POSTINGS).parquet(f"{base}/postings")
     (written.groupBy("b", "term", "block").agg(F.count(F.lit(1)).alias("docs"), F.max("tf").alias("tf"), F.min("dl").alias("dl"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from docindex import fixtures as fx
 from docindex.operators import pages
 from docindex.session import scratch_path
+from docindex.sources import postings
 
 
 def files(spark, path):
@@ -44,3 +45,17 @@ def test_a_document_stream_has_many_files_and_two_batches(spark, split_docs):
     query.option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start().awaitTermination()
     assert len(seen) == 2 and min(n for n, _ in seen) > 1
     assert sum(rows for _, rows in seen) == fx.docs(spark, split_docs).where("lang is not null").count()
+
+
+def test_postings_are_written_where_texts_lie(spark, monkeypatch):
+    monkeypatch.setattr(postings, "_segments", lambda df: 3)
+    rows = [("ix", str(k % 30), f"common w{k % 7} w{k % 7}") for k in range(60)] + [("ix", None, "common"), ("ix", "x", ""), ("ix", "y", None)]
+    root = scratch_path(spark, "postings")
+    postings.write_postings(spark.createDataFrame(rows, "_index string, _id string, text string"), "text", root, buckets=2)
+    written = spark.read.parquet(f"{root}/postings")
+    assert len(written.inputFiles()) == 6
+    # Documents of one key and length are one document to the table, as they always were.
+    found = {r["_id"]: r["tf"] for r in postings.read_postings(spark, root, ["common"]).collect()}
+    assert found == {**{str(k): 2 for k in range(30)}, None: 1}
+    blocks = spark.read.parquet(f"{root}/blocks").where("term = 'common'").agg(F.sum("docs"), F.max("tf")).first()
+    assert tuple(blocks) == (31, 2)
