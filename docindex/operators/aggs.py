@@ -58,16 +58,22 @@ def terms_agg(df: DataFrame, field: str, size: int = 10, metric_field: str | Non
 def _counted():
     """Per task: every key with its count (``mapInArrow``; Arrow's own grouping, batch by batch)."""
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        held = None
+        held, rows, kept = [], 0, 0  # tables, their rows, and those that the last grouping left
+
+        def folded():
+            return pa.concat_tables(held).group_by("key").aggregate([("n", "sum")]).rename_columns(["key", "n"])
+
         for batch in batches:
-            new = pa.Table.from_batches([batch]).append_column("n", pa.array([1] * batch.num_rows, pa.int64()))
-            held = new if held is None else pa.concat_tables([held, new])
-            if held.num_rows > _FOLD_ROWS:
-                held = held.group_by("key").aggregate([("n", "sum")]).rename_columns(["key", "n"])
-        if held is not None and held.num_rows:
-            yield from held.group_by("key").aggregate([("n", "sum")]).rename_columns(["key", "n"]).to_batches()
+            held.append(pa.Table.from_batches([batch]).append_column("n", pa.array(np.ones(batch.num_rows, dtype=np.int64))))
+            rows += batch.num_rows
+            if rows > max(_FOLD_ROWS, 2 * kept):  # as many new rows as groups: each row is grouped a few times at most
+                held = [folded()]
+                rows = kept = held[0].num_rows
+        if rows:
+            yield from folded().to_batches()
     return run
 
 
@@ -92,8 +98,10 @@ def terms_topk(df: DataFrame, field: str, size: int = 10) -> DataFrame:
     local = counts.withColumn("rank", best).where(F.col("rank") <= size).groupBy("key").agg(F.sum("n").alias("low"))
     low = local.orderBy(F.desc("low")).offset(size - 1).limit(1).first()
     share = 1 if low is None else -(-low["low"] // tasks)
-    candidates = counts.where(F.col("n") >= share).select("key").distinct()
-    exact = counts.join(candidates, "key", "left_semi").groupBy("key").agg(F.sum("n").alias("doc_count"))
+    if share > 1:  # else every value is a candidate
+        candidates = counts.where(F.col("n") >= share).select("key").distinct()
+        counts = counts.join(candidates, "key", "left_semi")
+    exact = counts.groupBy("key").agg(F.sum("n").alias("doc_count"))
     return exact.orderBy(F.desc("doc_count"), "key").limit(size)
 
 

@@ -1,10 +1,11 @@
 """What grows with the input stays in many tasks and few passes: the steps that larger tables would have stopped."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docindex import fixtures as fx
-from docindex.operators import pages
+from docindex.operators import aggs, pages
 from docindex.session import scratch_path
 from docindex.sources import postings
 
@@ -59,3 +60,12 @@ def test_postings_are_written_where_texts_lie(spark, monkeypatch):
     assert found == {**{str(k): 2 for k in range(30)}, None: 1}
     blocks = spark.read.parquet(f"{root}/blocks").where("term = 'common'").agg(F.sum("docs"), F.max("tf")).first()
     assert tuple(blocks) == (31, 2)
+
+
+def test_counting_many_values_groups_each_row_a_few_times(monkeypatch):
+    monkeypatch.setattr(aggs, "_FOLD_ROWS", 100)
+    calls, concat = [], pa.concat_tables
+    monkeypatch.setattr(pa, "concat_tables", lambda tables, *a, **k: calls.append(len(tables)) or concat(tables, *a, **k))
+    batches = [pa.RecordBatch.from_pydict({"key": list(range(50 * k, 50 * k + 50))}) for k in range(200)]
+    out = pa.Table.from_batches(aggs._counted()(iter([*batches, *batches])))
+    assert out.num_rows == 10_000 and set(out["n"].to_pylist()) == {2} and len(calls) <= 20
