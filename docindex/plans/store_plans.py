@@ -130,21 +130,30 @@ def x2_compact_expunge(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
-def _write_parts(ops, path, n_parts, lo, n):
-    """Fixture: the log as ``n_parts`` files written one after another, in seq order."""
+PART_FILE_ROWS = 250_000  # ops of one file of a part, about
+
+
+def _write_parts(ops, path, n_parts, lo, n) -> int:
+    """Fixture: the log as ``n_parts`` folders written one after another, in seq order; returns the files of a folder.
+
+    All folders have that many files (rows are dealt round robin, many to each), so a trigger of as many takes one part.
+    """
+    files = max(1, n // n_parts // PART_FILE_ROWS)
     parted = ops.withColumn("part", F.floor((F.col("seq") - lo - 1) * n_parts / n).cast("int"))
     for p in range(n_parts):
-        parted.where(F.col("part") == p).drop("part").coalesce(1).write.mode("overwrite").parquet(f"{path}/{p:02d}")
+        part = parted.where(F.col("part") == p).drop("part")
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("overwrite").parquet(f"{path}/{p:02d}")
+    return files
 
 
 def _stream_second_half(spark, sf):
     first, second = fx.ops_halves(spark, sf)
     n, cut = fx.ops_count(spark, sf), fx.ops_count(spark, sf) // 2
     src = scratch_path(spark, "ops-stream")
-    _write_parts(second, src, N_PARTS, cut, n - cut)
+    files = _write_parts(second, src, N_PARTS, cut, n - cut)
     root = scratch_path(spark, "store")
     store.write_index(W.bulk_replay(None, first).table, root)
-    q, paths = SB.bulk_stream(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA), root,
+    q, paths = SB.bulk_stream(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA, files), root,
                               checkpoint=scratch_path(spark, "ckpt"))
     q.awaitTermination()
     return paths
@@ -177,9 +186,9 @@ def s3_stream_batch_summary(spark, sf):
 def s2_bulk_stateful(spark, sf):
     ops = fx.ops(spark, sf)
     src = scratch_path(spark, "ops-stream")
-    _write_parts(ops, src, 2 * N_PARTS, 0, fx.ops_count(spark, sf))
+    files = _write_parts(ops, src, 2 * N_PARTS, 0, fx.ops_count(spark, sf))
     out = scratch_path(spark, "items")
-    SB.bulk_stateful(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA), out, scratch_path(spark, "ckpt")).awaitTermination()
+    SB.bulk_stateful(spark, SB.read_ops_stream(spark, f"{src}/*", OPS_STREAM_SCHEMA, files), out, scratch_path(spark, "ckpt")).awaitTermination()
     return spark.read.parquet(out)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docindex import fixtures as fx
 from docindex.operators import aggs, pages
+from docindex.plans import store_plans
 from docindex.session import scratch_path
 from docindex.sources import postings
 
@@ -48,6 +49,15 @@ def test_a_document_stream_has_many_files_and_two_batches(spark, split_docs):
     assert sum(rows for _, rows in seen) == fx.docs(spark, split_docs).where("lang is not null").count()
 
 
+def test_parts_of_a_log_have_one_number_of_files(spark, monkeypatch):
+    monkeypatch.setattr(store_plans, "PART_FILE_ROWS", 100)
+    ops, path = spark.range(1, 1701).select(F.col("id").alias("seq"), F.lit("index").alias("op")), scratch_path(spark, "parts")
+    n = store_plans._write_parts(ops, path, 4, 0, 1700)
+    assert n == 4 and [len(files(spark, f"{path}/{p:02d}")) for p in range(4)] == [4] * 4
+    ranges = [spark.read.parquet(f"{path}/{p:02d}").agg(F.min("seq"), F.max("seq"), F.count("seq")).first() for p in range(4)]
+    assert [tuple(r) for r in ranges] == [(425 * p + 1, 425 * (p + 1), 425) for p in range(4)]
+
+
 def test_postings_are_written_where_texts_lie(spark, monkeypatch):
     monkeypatch.setattr(postings, "_segments", lambda df: 3)
     rows = [("ix", str(k % 30), f"common w{k % 7} w{k % 7}") for k in range(60)] + [("ix", None, "common"), ("ix", "x", ""), ("ix", "y", None)]
