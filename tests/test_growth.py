@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docindex import fixtures as fx
+from docindex.functions.analyze import prefix_sum
 from docindex.operators import aggs, pages
 from docindex.plans import store_plans
 from docindex.session import scratch_path
@@ -79,3 +80,9 @@ def test_counting_many_values_groups_each_row_a_few_times(monkeypatch):
     batches = [pa.RecordBatch.from_pydict({"key": list(range(50 * k, 50 * k + 50))}) for k in range(200)]
     out = pa.Table.from_batches(aggs._counted()(iter([*batches, *batches])))
     assert out.num_rows == 10_000 and set(out["n"].to_pylist()) == {2} and len(calls) <= 20
+
+
+def test_prefix_sums_work_on_slices_of_arrow_arrays():
+    whole = pa.array([[9, 9], None, [1, 2, 3], [], [5], [7, 7]], pa.list_(pa.int32()))
+    assert prefix_sum.func(whole.slice(1, 4)).to_pylist() == [None, [1, 3, 6], [], [5]]
+    assert prefix_sum.func(whole.slice(0, 0)).to_pylist() == []
