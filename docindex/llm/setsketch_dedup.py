@@ -168,7 +168,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """
     def run(batches):
         now, mine = None, None
-        for batch in batches:
+        for batch in tv.few(batches):
             out = []
             for a, salt, is_b, b, raw in zip(*(batch.column(c).to_pylist() for c in range(5))):
                 if not is_b:
@@ -261,7 +261,7 @@ def searched(members: DataFrame, reps: DataFrame, sets: DataFrame, roots: DataFr
     def run(batches):
         now, group, out = None, [], []
         as_batch = lambda found: pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-        for batch in batches:
+        for batch in tv.few(batches):
             for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
                 if row[:3] != now:
                     if group:

@@ -67,6 +67,13 @@ def returning(run):
     return wrapped
 
 
+def few(batches, rows: int = 256):
+    """The batches in slices of a few rows: what a loop turns into Python objects at once is small, however long the rows."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def string_buffers(column: pa.Array):
     """(bytes, offsets) of a string array; a null is an empty text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docindex import fixtures as fx
 from docindex.functions.analyze import prefix_sum
+from docindex.llm import textvec
 from docindex.operators import aggs, pages
 from docindex.plans import store_plans
 from docindex.session import scratch_path
@@ -86,3 +87,10 @@ def test_prefix_sums_work_on_slices_of_arrow_arrays():
     whole = pa.array([[9, 9], None, [1, 2, 3], [], [5], [7, 7]], pa.list_(pa.int32()))
     assert prefix_sum.func(whole.slice(1, 4)).to_pylist() == [None, [1, 3, 6], [], [5]]
     assert prefix_sum.func(whole.slice(0, 0)).to_pylist() == []
+
+
+def test_rows_become_objects_a_few_at_a_time():
+    batches = [pa.RecordBatch.from_pydict({"a": list(range(n))}) for n in (0, 3, 600)]
+    parts = list(textvec.few(iter(batches)))
+    assert [p.num_rows for p in parts] == [3, 256, 256, 88]
+    assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(3), *range(600)]
