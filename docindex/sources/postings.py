@@ -62,7 +62,7 @@ def write_postings(df: DataFrame, field: str, root: str, buckets: int = 64, n_sh
     rows.sortWithinPartitions("b", "term", "block").write.partitionBy("b").parquet(f"{base}/postings")
     written = spark.read.schema(_POSTINGS).parquet(f"{base}/postings")
     (written.groupBy("b", "term", "block").agg(F.count(F.lit(1)).alias("docs"), F.max("tf").alias("tf"), F.min("dl").alias("dl"))
-     .hint("rebalance", "b").sortWithinPartitions("b", "term").write.partitionBy("b").parquet(f"{base}/blocks"))
+     .coalesce(_segments(df)).sortWithinPartitions("b", "term").write.partitionBy("b").parquet(f"{base}/blocks"))
 
 
 _POSTINGS = "term string, _index string, _id string, shard int, dl long, tf long, block long, b int"

@@ -94,3 +94,13 @@ def test_rows_become_objects_a_few_at_a_time():
     parts = list(textvec.few(iter(batches)))
     assert [p.num_rows for p in parts] == [3, 256, 256, 88]
     assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(3), *range(600)]
+
+
+def test_block_bounds_are_written_by_the_tasks_that_count_them(spark, monkeypatch):
+    monkeypatch.setattr(postings, "_segments", lambda df: 2)
+    rows = [("ix", str(k), f"common w{k % 7}") for k in range(60)]
+    root = scratch_path(spark, "postings")
+    postings.write_postings(spark.createDataFrame(rows, "_index string, _id string, text string"), "text", root, buckets=2)
+    blocks = spark.read.parquet(f"{root}/blocks")
+    assert 2 <= len(blocks.inputFiles()) <= 4
+    assert blocks.count() == blocks.select("b", "term", "block").distinct().count()
