@@ -183,15 +183,18 @@ def touched_pairs(spark: SparkSession, root: str, ops: DataFrame, values: dict)
 
     The second part is needed as an op may lack the routing that its document was stored with. It reads the
     key columns of the log's indices only, and only if the store has routed documents. Bounded by indices x shards.
+    Keys meet by their hashes, so that no id is shuffled; a collision would rewrite a partition more.
     """
+    from docindex.operators import write as W
+
     own = ops.select("_index", shard_of(_routing(ops), values[("store", "n_shards")]).alias("shard")).distinct()
     found = {(r["_index"], r["shard"]) for r in own.collect() if r["shard"] is not None and r["_index"] is not None}  # others fail
     if ("store", "schema") not in values:
         return found
     stored = _read(spark, root, values, sorted({i for i, _ in found}))
     if found and {"_routing", "_parent"} & set(stored.columns):
-        keys = ops.select("_index", "_id").distinct()
-        at = stored.select("_index", "_id", "shard").join(keys, ["_index", "_id"], "left_semi").select("_index", "shard").distinct()
+        keys = ops.where("_index IS NOT NULL AND _id IS NOT NULL").select(W.key_hash().alias("_h")).distinct()
+        at = stored.select("_index", "shard", W.key_hash().alias("_h")).join(keys, "_h", "left_semi").select("_index", "shard").distinct()
         found |= {(r["_index"], r["shard"]) for r in at.collect()}
     return found
 

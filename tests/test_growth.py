@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docindex import fixtures as fx
 from docindex.functions.analyze import prefix_sum
 from docindex.llm import textvec
-from docindex.operators import aggs, pages
+from docindex.operators import aggs, pages, rank, write
 from docindex.plans import store_plans
 from docindex.session import scratch_path
 from docindex.sources import postings
@@ -104,3 +104,56 @@ def test_block_bounds_are_written_by_the_tasks_that_count_them(spark, monkeypatc
     blocks = spark.read.parquet(f"{root}/blocks")
     assert 2 <= len(blocks.inputFiles()) <= 4
     assert blocks.count() == blocks.select("b", "term", "block").distinct().count()
+
+
+POSTS = "_index string, _id string, seq long, op string, name string, n int"
+
+
+def test_posts_of_a_large_log_are_not_replayed_by_key(spark, monkeypatch):
+    monkeypatch.setattr(write, "REPLAY_BROADCAST_KEYS", 20)
+    table = write.bulk_replay(None, spark.createDataFrame([("ix", str(k), k, "index", "old", k) for k in range(15)], POSTS)).table.localCheckpoint()
+    posts = spark.createDataFrame([("ix", None, 100 + k, "index", f"p{k}", k) for k in range(60)], POSTS)
+    kept = []
+    res = write.bulk_replay(table, posts, keep_rows=lambda rows: kept.append(rows) or rows)
+    assert [rows.count() for rows in kept] == [0, 60]
+    assert res.table.where("name LIKE 'p%' AND _version = 1 AND length(_id) = 64").count() == 60 and res.table.count() == 75
+
+
+def test_a_large_log_with_lone_ops_gives_what_the_replay_by_key_gives(spark, monkeypatch):
+    first = [("ix", None, k, "index", f"a{k}", k) for k in range(8)] + [("ix", "d", 20, "index", "d", 1), ("ix", "d", 21, "delete", None, None),
+                                                                       ("ix", "s", 22, "index", "s", 1), ("iy", "quiet", 23, "index", "q", 1)]
+    table = write.bulk_replay(None, spark.createDataFrame(first, POSTS)).table.localCheckpoint()
+    log = [("ix", None, 100 + k, "index" if k % 2 else "create", f"b{k}", None if k % 3 else k) for k in range(40)]  # new posts
+    log += [("ix", None, k, "index", f"retry{k}", k) for k in range(5, 8)]  # ids that are stored already
+    log += [("ix", "d", 200, "update", "none", 1), ("ix", "d", 201, "create", "again", 2), ("ix", "s", 202, "create", "no", 2), ("ix", "s", 203, "update", None, 9)]
+    log += [("ix", "one", 204, "index", "once", 1), ("ix", "two", 205, "create", "twice", 1), ("ix", "two", 206, "update", None, 5)]
+    log += [("ix", "gone", 207, "update", "x", 1), ("ix", "gone too", 208, "delete", None, None), ("ix", "odd", 209, "what", "x", 1), ("ix", "none", 210, None, "x", 1)]
+    log += [("ix", None, None, "index", "no place", 1), (None, "k", 211, "index", "x", 1), ("ix", None, 212, "update", "x", 1)]
+    ops = spark.createDataFrame(log, POSTS).withColumn("more", F.col("n") + 1)
+
+    def replayed():
+        res = write.bulk_replay(table, ops, chunk_rows=7)
+        return [(f.schema, sorted(map(str, f.collect()))) for f in (res.table.select(*sorted(res.table.columns)), res.items)]
+
+    want = replayed()
+    monkeypatch.setattr(write, "REPLAY_BROADCAST_KEYS", 30)
+    prepared = write._prepare_ops(ops, table, None)
+    stats = write.log_stats(prepared)
+    shared, lone, _touched, untouched = write.split_lone(table, write.split_keyless(prepared, stats)[0], stats)
+    assert (shared.count(), lone.count(), untouched.count()) == (10, 45, 6)
+    got = replayed()
+    assert [rows for _, rows in got] == [rows for _, rows in want]
+    assert [[(f.name, f.dataType) for f in s] for s, _ in got] == [[(f.name, f.dataType) for f in s] for s, _ in want]
+    monkeypatch.setattr(write, "REPLAY_BROADCAST_KEYS", 3)  # more shared keys than that: all of it by key
+    assert [rows for _, rows in replayed()] == [rows for _, rows in want]
+
+
+def test_a_rank_is_joined_without_a_shuffle(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the ranked rows were too many
+    try:
+        ranked = rank.global_rank(spark.range(100).repartition(5), ["id"])
+        assert "SortMergeJoin" not in ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [r["rank"] for r in ranked.orderBy("id").collect()] == list(range(1, 101))
