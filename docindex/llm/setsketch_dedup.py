@@ -287,6 +287,19 @@ def searched(members: DataFrame, reps: DataFrame, sets: DataFrame, roots: DataFr
     return dealt.mapInArrow(tv.returning(run), "a long, b long")
 
 
+def _least_ids(linked: DataFrame) -> DataFrame:
+    """(node, least): the least id of the component of each node, from (node, rep, root).
+
+    Only classes that have links look for it, and a large component is spread over ``SALTS`` tasks. The least id goes to
+    the salts that occur in its component, at most one row a class. Spark takes the exploded table to be as small as
+    what it was before, so the hint keeps it from being broadcast: the driver would hold all of it.
+    """
+    linked = linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    least = (linked.groupBy("root", "salt").agg(F.min("rep").alias("m")).groupBy("root").agg(F.min("m").alias("least"), F.collect_list("salt").alias("salts"))
+             .select("root", "least", F.explode("salts").alias("salt")))
+    return linked.join(least.hint("merge"), ["root", "salt"]).select("node", "least")
+
+
 def classes(docs: DataFrame, key: str, text: str, shingle: int, threshold: int, join_ids: bool):
     """(sketch: id, n, node, sig, regs of every row with an id; classes: n, node, sig, component_id).
 
@@ -324,10 +337,7 @@ def classes(docs: DataFrame, key: str, text: str, shingle: int, threshold: int,
     rest = stored(searched(members, reps, sets, roots, threshold), "links")
     if not rest.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(rest))
-    # Only classes that have links look for the least id of their component; a large component is spread over ``SALTS`` tasks.
-    linked = reps.select("node", "rep").join(roots, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
-    least = linked.groupBy("root").agg(F.min("rep").alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    named = linked.join(least.withColumn("salt", F.col("salt").cast("long")), ["root", "salt"]).select("node", "least")
+    named = _least_ids(reps.select("node", "rep").join(roots, "node"))
     out = reps.select("n", "node", "sig", "rep").join(named, "node", "left")
     return sketch, out.select("n", "node", "sig", F.coalesce("least", "rep").alias("component_id"))
 

@@ -73,6 +73,29 @@ def test_near_duplicates_by_rows_and_string_ids(spark):
     assert ("doc/10", "doc/10", True) in out and ("doc/7", "doc/10", False) in out and (None, None, True) in out
 
 
+def test_least_ids_are_not_broadcast_once_a_salt(spark):
+    """The table of least ids, a row a salt, is far larger than Spark takes it to be: the driver must not hold it."""
+    common = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(100 - k, f"{common} own{k}") for k in range(80)] + [(200 + k, f"alone{k} on{k} its{k} own{k}") for k in range(5)] + [(300, "alone0 on0 its0 own0")],
+                                 "doc_id long, text string")
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")  # less than the linked rows, more than a row a component
+    try:
+        out = setsketch_dedup.near_duplicates(docs, shingle=1)
+        got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    held, shown = None, out._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    assert "Final Plan" in shown and "Generate explode" in shown
+    for line in shown.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        held = None if held is not None and depth <= held else held
+        assert held is None or "Generate explode" not in line
+        held = depth if held is None and "BroadcastExchange" in line else held
+    assert got == {100 - k: (21, k == 79) for k in range(80)} | {200 + k: (200 + k, True) for k in range(5)} | {300: (200, False)}
+
+
 def test_registers_of_a_union_are_the_maxima_of_its_parts():
     import numpy as np
 
