@@ -148,6 +148,31 @@ def test_a_large_log_with_lone_ops_gives_what_the_replay_by_key_gives(spark, mon
     assert [rows for _, rows in replayed()] == [rows for _, rows in want]
 
 
+JSON_TABLE = "_index string, _id string, _version long, _deleted boolean, _seq long, _source string"
+
+
+def test_a_json_log_of_many_keys_keeps_the_documents_that_it_does_not_touch(spark, monkeypatch):
+    stored = [("ix", "a", 2, False, 1, '{"x": 1,  "y": null}'), ("ix", "b", 3, True, 2, None), ("ix", "twice", 1, False, 3, '{"n": 1}'),
+              ("ix", "quiet", 1, False, 4, '{"z": 1,  "a": [2]}'), ("ix", "quiet gone", 4, True, 5, None), ("iy", "a", 1, False, 6, "{}"),
+              ("ix", "no version", 0, False, None, '{"v": 0}'), ("ix", None, 1, False, 7, '{"k": 1}'), (None, "a", 1, False, 8, '{"k": 2}')]
+    log = [("ix", "a", 10, "update", '{"y": 2, "w": null}'), ("ix", "b", 11, "create", '{"new": true}'), ("ix", "twice", 12, "delete", None),
+           ("ix", "twice", 13, "update", '{"n": 2}'), ("ix", "none", 14, "update", '{"n": 3}'), ("ix", "c", 15, "index", '{"c": "d"}'),
+           ("ix", "c", 16, "update", "not json"), ("ix", None, 17, "index", '{"auto": 1}'), ("ix", None, 18, "delete", None), (None, "a", 19, "index", "{}")]
+    table, ops = spark.createDataFrame(stored, JSON_TABLE), spark.createDataFrame(log, "_index string, _id string, seq long, op string, _source string")
+
+    def replayed(t):
+        res = write.bulk_replay_json(t, ops, chunk_rows=4)
+        return [(f.dtypes, sorted(map(str, f.collect()))) for f in (res.table, res.items)]
+
+    want, alone = replayed(table), replayed(None)
+    monkeypatch.setattr(write, "REPLAY_BROADCAST_KEYS", 3)
+    got = replayed(table)
+    assert got == want and replayed(None) == alone
+    for row in spark.createDataFrame(stored[3:], JSON_TABLE).collect():
+        assert str(row) in got[0][1]
+    assert len(got[0][1]) == 11
+
+
 def test_a_rank_is_joined_without_a_shuffle(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the ranked rows were too many
